@@ -485,7 +485,7 @@ def rsd_by_group_query(spark, sf):
 
 def _pooled_rsd(spark, sf, mode=REFERENCE):
     return B.pooled_rsd(
-        B.bmis_candidates(_staged_data(spark, sf), internal(spark, sf), mode, runs=B.is_pool())
+        B.candidate_moments(_staged_data(spark, sf), internal(spark, sf), mode, runs=B.is_pool())
     )
 
 
@@ -515,7 +515,7 @@ def bmis_final(spark, sf):
 @query
 def is_to_is_rsd(spark, sf):
     data, names = _staged_data(spark, sf), internal(spark, sf)
-    pick = B.bmis_pick(B.pooled_rsd(B.bmis_candidates(data, names, runs=B.is_pool())))
+    pick = B.bmis_pick(B.pooled_rsd(B.candidate_moments(data, names, runs=B.is_pool())))
     return cut_columns(B.is_to_is_rsd(data, names, pick), rsd_of_smp=9, rsd_of_poo=9)
 
 
@@ -648,7 +648,7 @@ def carbon_nitrogen(spark, sf):
 
 TOTALS = {"total_c_measured_nm_per_id": 5, "total_n_measured_nm_per_id": 5}
 SUMMARY = {
-    f"{short}_{name}": 9 if short == "mol_c_fraction" else 6
+    f"{short}_{name}": 7 if short == "mol_c_fraction" else 6
     for short in ("nmol_enviro", "nmol_c", "mol_c_fraction") for name in ("med", "min", "max")
 }
 
@@ -661,7 +661,7 @@ def totals_per_sample(spark, sf):
 @query
 def mole_fractions(spark, sf):
     return cut_columns(
-        _quantified(spark, sf).measurements, **ATOMS, **TOTALS, ratio_cn=7, mol_fraction_c=9, mol_fraction_n=9
+        _quantified(spark, sf).measurements, **ATOMS, **TOTALS, ratio_cn=6, mol_fraction_c=6, mol_fraction_n=6
     )
 
 

@@ -14,28 +14,28 @@ def rsd_by_group(df: DataFrame, keys: list[str], value: str, name: str = "rsd")
     return df.groupBy(*keys).agg(safe_div(F.stddev_samp(value), F.avg(value)).alias(name))
 
 
-def weighted_rsd(
-    df: DataFrame, keys: list[str], value: str, weight: str, name: str = "rsd"
-) -> DataFrame:
-    """Relative standard deviation with frequency weights, plus `row_weight`, the weight of all rows.
-
-    Rows of equal weight are first reduced to count, mean and variance, map-side and numerically
-    stable; only these partial moments are shuffled and combined around the overall mean."""
-    parts = df.groupBy(*keys, F.col(weight).alias("_w")).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.count(value).alias("_n"),
-        F.avg(value).alias("_mean"),
-        F.var_pop(value).alias("_var"),
+def weighted_rsd(df: DataFrame, keys: list[str], name: str = "rsd") -> DataFrame:
+    """Relative standard deviation of values given as moments, plus `row_weight`, the weight of all rows.
+
+    A row stands for `frequency` values with this `mean` and (population) `variance`, and for
+    `rows` table rows, missing values included. Rows of equal frequency are first reduced to count,
+    mean and variance, map-side and numerically stable; only these partial moments are shuffled and
+    combined around the overall mean."""
+    parts = df.groupBy(*keys, "frequency").agg(
+        F.sum("rows").alias("_rows"),
+        F.count("mean").alias("_n"),
+        F.avg("mean").alias("_mean"),
+        (F.var_pop("mean") + F.avg("variance")).alias("_var"),
     )
     group = Window.partitionBy(*keys)
-    w_n = F.col("_w") * F.col("_n")
-    parts = parts.withColumn("_total", F.sum(w_n).over(group)).withColumn(
-        "_overall", safe_div(F.sum(w_n * F.col("_mean")).over(group), F.col("_total"))
+    n = F.col("frequency") * F.col("_n")
+    parts = parts.withColumn("_total", F.sum(n).over(group)).withColumn(
+        "_overall", safe_div(F.sum(n * F.col("_mean")).over(group), F.col("_total"))
     )
-    spread = w_n * (F.col("_var") + F.pow(F.col("_mean") - F.col("_overall"), 2))
+    spread = n * (F.col("_var") + F.pow(F.col("_mean") - F.col("_overall"), 2))
     variance = F.when(F.max("_total") > 1, safe_div(F.sum(spread), F.max("_total") - 1))
     return parts.groupBy(*keys).agg(
-        F.sum(F.col("_w") * F.col("_rows")).alias("row_weight"),
+        F.sum("_rows").alias("row_weight"),
         safe_div(F.sqrt(variance), F.max("_overall")).alias(name),
     )
 

@@ -125,29 +125,21 @@ def is_sample(replicate: str = "replicate_name"):
     return replicate_part(replicate, 1) == "Smp"
 
 
-def bmis_candidates(
-    data: DataFrame, standards: DataFrame, mode: str = REFERENCE, runs=None, features: DataFrame | None = None
-) -> DataFrame:
+def bmis_candidates(data: DataFrame, standards: DataFrame, mode: str = REFERENCE) -> DataFrame:
     """Every feature row normalised by every internal standard of its replicate.
 
     Features include the internal standards and the pseudo-standard themselves. A standard a replicate
-    lacks gives a row with a missing adjusted area. `runs` restricts the replicates, `features` the
-    features; means always use all runs. The grid of standards is built per replicate and joined to
-    the features on the replicate, so the multiplied rows appear only behind the last shuffle."""
+    lacks gives a row with a missing adjusted area. This is the full table the calculation is defined
+    on, as a result of its own; choosing and normalising work without it."""
     areas = standard_areas(data, standards, mode)
     means = sized(is_means(data, standards, mode)).withColumnRenamed("mass_feature", "mis")
     volumes = injection_volume(data, mode)
     rows = _features(data).unionByName(volumes)
-    if features is not None:
-        rows = null_safe_join(rows, sized(features.select("mass_feature")), ["mass_feature"], "left_semi")
-    if runs is not None:
-        areas, rows, volumes = areas.filter(runs), rows.filter(runs), volumes.filter(runs)
-    grid = pair_with_each(volumes.select("replicate_name"), means)
     found = areas.select(
         "replicate_name", F.col("mass_feature").alias("mis"), F.col("area_with_qc").alias("_is_area"),
         F.col("weight").alias("_is_weight"),
     )
-    grid = grid.join(found, ["replicate_name", "mis"], "left")
+    grid = pair_with_each(volumes.select("replicate_name"), means).join(found, ["replicate_name", "mis"], "left")
     return rows.join(grid, "replicate_name").select(
         "replicate_name", "mass_feature", "mis", "area_with_qc",
         (safe_div("area_with_qc", "_is_area") * F.col("average_area")).alias("adjusted_area"),
@@ -155,10 +147,55 @@ def bmis_candidates(
     )
 
 
-def pooled_rsd(candidates: DataFrame) -> DataFrame:
+def _moments(rows: DataFrame, keys: list[str], value, prefix: str) -> DataFrame:
+    """Rows, values, mean and variance per key; repeated measurements collapse map-side."""
+    return rows.groupBy(*keys, F.col("weight").alias(f"{prefix}_weight")).agg(
+        F.count(F.lit(1)).alias(f"{prefix}_rows"),
+        F.count(value).alias(f"{prefix}_n"),
+        F.avg(value).alias(f"{prefix}_mean"),
+        F.var_pop(value).alias(f"{prefix}_var"),
+    )
+
+
+def candidate_moments(
+    data: DataFrame, standards: DataFrame, mode: str = REFERENCE, runs=None, features: DataFrame | None = None
+) -> DataFrame:
+    """Moments of the candidates per (replicate, feature, standard), without building the candidates.
+
+    Within a replicate every value of a feature meets every value of a standard, so mean and variance
+    of the quotients follow from those of the areas and of the inverse standard areas. Both sides are
+    reduced before they are joined: repeated rows never multiply, and the joined pairs go straight
+    into the next aggregation. The mean area of a standard cancels in a relative deviation and is
+    left out. `runs` restricts the replicates, `features` the features."""
+    areas = standard_areas(data, standards, mode)
+    names = sized(is_means(data, standards, mode)).select(F.col("mass_feature").alias("mis"))
+    volumes = injection_volume(data, mode)
+    rows = _features(data).unionByName(volumes)
+    if features is not None:
+        rows = null_safe_join(rows, sized(features), ["mass_feature"], "left_semi")
+    if runs is not None:
+        areas, rows, volumes = areas.filter(runs), rows.filter(runs), volumes.filter(runs)
+    inverse = _moments(
+        areas.withColumnRenamed("mass_feature", "mis"), ["replicate_name", "mis"],
+        safe_div(F.lit(1.0), "area_with_qc"), "is",
+    )
+    area = _moments(rows, ["replicate_name", "mass_feature"], F.col("area_with_qc"), "f")
+    grid = pair_with_each(volumes.select("replicate_name"), names).join(inverse, ["replicate_name", "mis"], "left")
+    f_mean, is_mean, f_var, is_var = (F.col(c) for c in ("f_mean", "is_mean", "f_var", "is_var"))
+    is_weight = F.coalesce("is_weight", F.lit(1))
+    return area.join(grid, "replicate_name").select(
+        "replicate_name", "mass_feature", "mis",
+        (f_mean * is_mean).alias("mean"),
+        (f_var * is_var + f_var * is_mean * is_mean + f_mean * f_mean * is_var).alias("variance"),
+        (F.col("f_weight") * F.col("f_n") * is_weight * F.coalesce("is_n", F.lit(0))).alias("frequency"),
+        (F.col("f_weight") * F.col("f_rows") * is_weight * F.coalesce("is_rows", F.lit(1))).alias("rows"),
+    )
+
+
+def pooled_rsd(moments: DataFrame) -> DataFrame:
     """Mean over the pooled samples of the relative standard deviation, weighted by their rows."""
-    pools = candidates.filter(is_pool()).withColumn("samp_id", replicate_part("replicate_name", 2))
-    per_sample = weighted_rsd(pools, ["samp_id", "mass_feature", "mis"], "adjusted_area", "weight")
+    pools = moments.filter(is_pool()).withColumn("samp_id", replicate_part("replicate_name", 2))
+    per_sample = weighted_rsd(pools, ["samp_id", "mass_feature", "mis"])
     rows = F.when(F.col("rsd").isNotNull(), F.col("row_weight"))
     return per_sample.groupBy("mass_feature", "mis").agg(
         safe_div(F.sum(rows * F.col("rsd")), F.sum(rows)).alias("rsd_of_poo")
@@ -205,7 +242,7 @@ def bmis_choice(
     data: DataFrame, standards: DataFrame, p: BmisParams = BmisParams(), mode: str = REFERENCE
 ) -> DataFrame:
     """From input rows to one final standard per feature, looking at pooled runs only."""
-    pools = bmis_candidates(data, standards, mode, runs=is_pool())
+    pools = candidate_moments(data, standards, mode, runs=is_pool())
     return bmis_final(bmis_pick(pooled_rsd(pools), p), mode)
 
 
@@ -213,9 +250,9 @@ def is_to_is_rsd(
     data: DataFrame, standards: DataFrame, pick: DataFrame, mode: str = REFERENCE
 ) -> DataFrame:
     """Spread of every internal standard under every other, over all sample runs."""
-    names = is_means(data, standards, mode).select("mass_feature")
-    samples = bmis_candidates(data, standards, mode, runs=is_sample(), features=names)
-    spread = weighted_rsd(samples, ["mass_feature", "mis"], "adjusted_area", "weight", "rsd_of_smp")
+    names = sized(is_means(data, standards, mode)).select("mass_feature")
+    samples = candidate_moments(data, standards, mode, runs=is_sample(), features=names)
+    spread = weighted_rsd(samples, ["mass_feature", "mis"], "rsd_of_smp")
     judged = pick.select("mass_feature", "mis", "rsd_of_poo", "accept_mis")
     return spread.drop("row_weight").join(judged, ["mass_feature", "mis"], "left")
 
