@@ -484,9 +484,9 @@ def rsd_by_group_query(spark, sf):
 
 
 def _pooled_rsd(spark, sf, mode=REFERENCE):
-    return B.pooled_rsd(
-        B.candidate_moments(_staged_data(spark, sf), internal(spark, sf), mode, runs=B.is_pool())
-    )
+    data, names = _staged_data(spark, sf), internal(spark, sf)
+    rsd = B.pooled_rsd(B.candidate_moments(data, names, mode, runs=B.is_pool()))
+    return B.with_missing_pairs(rsd, B.is_means(data, names, mode))
 
 
 @query

@@ -63,31 +63,36 @@ def _middle_values(long: DataFrame, keys: list[str], bounds: DataFrame) -> DataF
     )
 
 
-def exact_median(
+def median_min_max(
     df: DataFrame, keys: list[str], columns: list[str], accuracy: int = 10_000
 ) -> DataFrame:
-    """Exact interpolated medians of several columns per group, without gathering a group anywhere.
-
-    A mergeable quantile sketch brackets the middle of every group in one map-side pass; a second
-    pass counts exactly inside the bracket. A group whose bracket misses is done over its full range."""
-    keys_and_metric = [*keys, "_metric"]
-    long = df.unpivot(keys, columns, "_metric", "_value").filter(F.col("_value").isNotNull())
+    """Exact interpolated median, minimum and maximum of several columns per group, as
+    `<column>_med`, `_min` and `_max`, without gathering a group anywhere.
+
+    One map-side pass takes the ranges and brackets the middle of every group with a mergeable
+    quantile sketch; a second pass counts exactly inside the bracket. A group whose bracket misses is
+    done over its full range. Groups without any value have NULLs."""
+    by = [*keys, "_metric"]
+    long = df.unpivot(keys, columns, "_metric", "_value")
     margin = 2.0 / accuracy
-    bounds = sized(
-        long.groupBy(*keys_and_metric).agg(
-            F.count(F.lit(1)).alias("_n"),
+    stats = sized(
+        long.groupBy(*by).agg(
+            F.count("_value").alias("_n"), F.min("_value").alias("_min"), F.max("_value").alias("_max"),
             F.percentile_approx("_value", [0.5 - margin, 0.5 + margin], accuracy).alias("_b"),
-        ).select(*keys_and_metric, "_n", F.col("_b")[0].alias("_low"), F.col("_b")[1].alias("_high"))
+        ).select(*by, "_n", "_min", "_max", F.col("_b")[0].alias("_low"), F.col("_b")[1].alias("_high"))
     )
-    medians = sized(_middle_values(long, keys_and_metric, bounds))
-    missed = medians.filter(F.col("_median").isNull()).select(*keys_and_metric)
+    values = long.filter(F.col("_value").isNotNull())
+    bounds = stats.filter(F.col("_n") > 0).select(*by, "_n", "_low", "_high")
+    medians = sized(_middle_values(values, by, bounds))
+    missed = medians.filter(F.col("_median").isNull()).select(*by)
     if not missed.isEmpty():
-        whole = null_safe_join(bounds, missed, keys_and_metric, "left_semi").withColumns(
+        whole = null_safe_join(bounds, missed, by, "left_semi").withColumns(
             {"_low": F.lit(float("-inf")), "_high": F.lit(float("inf"))}
         )
-        medians = medians.filter(F.col("_median").isNotNull()).unionByName(
-            _middle_values(long, keys_and_metric, whole)
-        )
-    return medians.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("_metric") == c, F.col("_median"))).alias(c) for c in columns
+        medians = medians.filter(F.col("_median").isNotNull()).unionByName(_middle_values(values, by, whole))
+    per_metric = null_safe_join(stats.select(*by, "_min", "_max"), medians, by)
+    return per_metric.groupBy(*keys).agg(*[
+        F.max(F.when(F.col("_metric") == c, F.col(source))).alias(f"{c}_{name}")
+        for c in columns
+        for name, source in (("med", "_median"), ("min", "_min"), ("max", "_max"))
     ])

@@ -45,6 +45,11 @@ def _standard_names(standards: DataFrame) -> DataFrame:
     return sized(standards.select(F.col("compound_name").alias("metabolite_name")).distinct())
 
 
+def _with_standard_flag(data: DataFrame, standards: DataFrame) -> DataFrame:
+    flagged = _standard_names(standards).withColumn("_is_standard", F.lit(True))
+    return null_safe_join(data, flagged, ["metabolite_name"])
+
+
 def semi_internal_standards(data: DataFrame, standards: DataFrame) -> DataFrame:
     """Rows of internal standards."""
     return null_safe_join(data, _standard_names(standards), ["metabolite_name"], "left_semi")
@@ -55,16 +60,20 @@ def anti_internal_standards(data: DataFrame, standards: DataFrame) -> DataFrame:
     return null_safe_join(data, _standard_names(standards), ["metabolite_name"], "left_anti")
 
 
+def _volume():
+    """Relative injection volume of a replicate."""
+    return F.when(F.col("replicate_name").contains("Half"), F.lit(0.5)).otherwise(F.lit(1.0))
+
+
 def injection_volume(data: DataFrame, mode: str = REFERENCE) -> DataFrame:
     """One pseudo-standard row per replicate: 0.5 for half injections, else 1.
 
     Its weight is the number of rows of the replicate (corrected: 1)."""
     weight = F.lit(1).cast("bigint") if is_corrected(mode) else F.col("_rows")
-    half = F.col("replicate_name").contains("Half")
     return data.groupBy("replicate_name").agg(F.count(F.lit(1)).alias("_rows")).select(
         "replicate_name",
         F.lit(INJECTION_VOLUME).alias("mass_feature"),
-        F.when(half, F.lit(0.5)).otherwise(F.lit(1.0)).alias("area_with_qc"),
+        _volume().alias("area_with_qc"),
         weight.alias("weight"),
     )
 
@@ -110,11 +119,20 @@ def assert_same_replicates(left: DataFrame, right: DataFrame, strict: bool = Fal
 
 
 def is_means(data: DataFrame, standards: DataFrame, mode: str = REFERENCE) -> DataFrame:
-    """Mean area of every internal standard over all runs."""
-    w = F.when(F.col("area_with_qc").isNotNull(), F.col("weight"))
-    return standard_areas(data, standards, mode).groupBy("mass_feature").agg(
-        safe_div(F.sum(w * F.col("area_with_qc")), F.sum(w)).alias("average_area")
-    )
+    """Mean area of every internal standard over all runs.
+
+    Reference: the pseudo-standard counts once per row of a replicate, so its mean is that of the
+    rows and one pass over the table gives all means."""
+    if is_corrected(mode):
+        areas = standard_areas(data, standards, mode)
+    else:
+        rows = _with_standard_flag(data, standards)
+        own = F.when(F.col("_is_standard"), F.struct(F.col("metabolite_name"), F.col("area_with_qc")))
+        volume = F.struct(F.lit(INJECTION_VOLUME).alias("metabolite_name"), _volume().alias("area_with_qc"))
+        areas = rows.select(F.explode(F.array(own, volume)).alias("_a")).filter(F.col("_a").isNotNull()).select(
+            F.col("_a.metabolite_name").alias("mass_feature"), "_a.area_with_qc"
+        )
+    return areas.groupBy("mass_feature").agg(F.avg("area_with_qc").alias("average_area"))
 
 
 def is_pool(replicate: str = "replicate_name"):
@@ -147,48 +165,64 @@ def bmis_candidates(data: DataFrame, standards: DataFrame, mode: str = REFERENCE
     )
 
 
-def _moments(rows: DataFrame, keys: list[str], value, prefix: str) -> DataFrame:
-    """Rows, values, mean and variance per key; repeated measurements collapse map-side."""
-    return rows.groupBy(*keys, F.col("weight").alias(f"{prefix}_weight")).agg(
-        F.count(F.lit(1)).alias(f"{prefix}_rows"),
-        F.count(value).alias(f"{prefix}_n"),
-        F.avg(value).alias(f"{prefix}_mean"),
-        F.var_pop(value).alias(f"{prefix}_var"),
-    )
-
-
 def candidate_moments(
-    data: DataFrame, standards: DataFrame, mode: str = REFERENCE, runs=None, features: DataFrame | None = None
+    data: DataFrame, standards: DataFrame, mode: str = REFERENCE, runs=None, standards_only: bool = False
 ) -> DataFrame:
     """Moments of the candidates per (replicate, feature, standard), without building the candidates.
 
     Within a replicate every value of a feature meets every value of a standard, so mean and variance
-    of the quotients follow from those of the areas and of the inverse standard areas. Both sides are
-    reduced before they are joined: repeated rows never multiply, and the joined pairs go straight
-    into the next aggregation. The mean area of a standard cancels in a relative deviation and is
-    left out. `runs` restricts the replicates, `features` the features."""
-    areas = standard_areas(data, standards, mode)
-    names = sized(is_means(data, standards, mode)).select(F.col("mass_feature").alias("mis"))
-    volumes = injection_volume(data, mode)
-    rows = _features(data).unionByName(volumes)
-    if features is not None:
-        rows = null_safe_join(rows, sized(features), ["mass_feature"], "left_semi")
+    of the quotients follow from those of the areas and of the inverse standard areas. One pass reduces
+    the rows to moments per (replicate, feature), so repeated rows never multiply; a replicate then
+    is one row with as many entries as it has compounds, and its pairs go straight into the next
+    aggregation. The mean area of a standard cancels in a relative deviation and is left out.
+
+    `rows` counts table rows. A feature row also counts for standards its replicate lacks: the entry
+    with mis NULL carries these base counts, all others only what they add to them. `runs` restricts
+    the replicates, `standards_only` the features."""
     if runs is not None:
-        areas, rows, volumes = areas.filter(runs), rows.filter(runs), volumes.filter(runs)
-    inverse = _moments(
-        areas.withColumnRenamed("mass_feature", "mis"), ["replicate_name", "mis"],
-        safe_div(F.lit(1.0), "area_with_qc"), "is",
+        data = data.filter(runs)
+    area = F.col("area_with_qc")
+    inverse = safe_div(F.lit(1.0), area)
+    compounds = data.groupBy("replicate_name", "metabolite_name").agg(
+        F.count(F.lit(1)).alias("rows"), F.count(area).alias("n"), F.avg(area).alias("mean"),
+        F.var_pop(area).alias("var"), F.count(inverse).alias("inv_n"), F.avg(inverse).alias("inv_mean"),
+        F.var_pop(inverse).alias("inv_var"),
+    )
+    standard = F.coalesce("_is_standard", F.lit(False))
+    feature = F.struct(F.col("metabolite_name").alias("name"), "rows", "n", "mean", "var")
+    divisor = F.struct(
+        F.col("metabolite_name").alias("name"), "rows", F.col("inv_n").alias("n"),
+        F.col("inv_mean").alias("mean"), F.col("inv_var").alias("var"),
+    )
+    replicates = _with_standard_flag(compounds, standards).groupBy("replicate_name").agg(
+        F.sum("rows").alias("_k"),
+        F.collect_list(F.when(standard, feature) if standards_only else feature).alias("_features"),
+        F.collect_list(F.when(standard, divisor)).alias("_divisors"),
+    )
+    k = F.lit(1).cast("bigint") if is_corrected(mode) else F.col("_k")
+
+    def entry(name, rows, n, mean, var):
+        fields = {"name": name, "rows": rows, "n": n, "mean": mean, "var": var}
+        return F.array(F.struct(*[c.alias(field) for field, c in fields.items()]))
+
+    zero, nothing = F.lit(0.0), F.lit(0).cast("bigint")
+    volume, name = _volume(), F.lit(INJECTION_VOLUME)
+    features = F.concat("_features", entry(name, k, k, volume, zero))
+    divisors = F.concat(
+        "_divisors", entry(name, k, k, 1.0 / volume, zero),
+        entry(F.lit(None).cast("string"), nothing, nothing, F.lit(None).cast("double"), F.lit(None).cast("double")),
+    )
+    pairs = replicates.select("replicate_name", F.explode(features).alias("f"), divisors.alias("_d")).select(
+        "replicate_name", "f", F.explode("_d").alias("d")
     )
-    area = _moments(rows, ["replicate_name", "mass_feature"], F.col("area_with_qc"), "f")
-    grid = pair_with_each(volumes.select("replicate_name"), names).join(inverse, ["replicate_name", "mis"], "left")
-    f_mean, is_mean, f_var, is_var = (F.col(c) for c in ("f_mean", "is_mean", "f_var", "is_var"))
-    is_weight = F.coalesce("is_weight", F.lit(1))
-    return area.join(grid, "replicate_name").select(
-        "replicate_name", "mass_feature", "mis",
-        (f_mean * is_mean).alias("mean"),
-        (f_var * is_var + f_var * is_mean * is_mean + f_mean * f_mean * is_var).alias("variance"),
-        (F.col("f_weight") * F.col("f_n") * is_weight * F.coalesce("is_n", F.lit(0))).alias("frequency"),
-        (F.col("f_weight") * F.col("f_rows") * is_weight * F.coalesce("is_rows", F.lit(1))).alias("rows"),
+    f_mean, d_mean, f_var, d_var = (F.col(c) for c in ("f.mean", "d.mean", "f.var", "d.var"))
+    added = F.when(F.col("d.name").isNull(), F.lit(1)).otherwise(F.col("d.rows") - 1)
+    return pairs.select(
+        "replicate_name", F.col("f.name").alias("mass_feature"), F.col("d.name").alias("mis"),
+        (f_mean * d_mean).alias("mean"),
+        (f_var * d_var + f_var * d_mean * d_mean + f_mean * f_mean * d_var).alias("variance"),
+        (F.col("f.n") * F.col("d.n")).alias("frequency"),
+        (F.col("f.rows") * added).alias("rows"),
     )
 
 
@@ -196,12 +230,25 @@ def pooled_rsd(moments: DataFrame) -> DataFrame:
     """Mean over the pooled samples of the relative standard deviation, weighted by their rows."""
     pools = moments.filter(is_pool()).withColumn("samp_id", replicate_part("replicate_name", 2))
     per_sample = weighted_rsd(pools, ["samp_id", "mass_feature", "mis"])
+    base = F.max(F.when(F.col("mis").isNull(), F.col("row_weight"))).over(
+        Window.partitionBy("samp_id", "mass_feature")
+    )
+    per_sample = per_sample.withColumn("row_weight", F.col("row_weight") + base).filter(F.col("mis").isNotNull())
     rows = F.when(F.col("rsd").isNotNull(), F.col("row_weight"))
     return per_sample.groupBy("mass_feature", "mis").agg(
         safe_div(F.sum(rows * F.col("rsd")), F.sum(rows)).alias("rsd_of_poo")
     )
 
 
+def with_missing_pairs(rsd: DataFrame, means: DataFrame) -> DataFrame:
+    """Add the pairs of a feature and a standard that never share a pooled replicate, without a value."""
+    rsd = sized(rsd)
+    pairs = pair_with_each(
+        rsd.select("mass_feature").distinct(), sized(means).select(F.col("mass_feature").alias("mis"))
+    )
+    return null_safe_join(pairs, rsd, ["mass_feature", "mis"])
+
+
 def bmis_pick(rsd: DataFrame, p: BmisParams = BmisParams()) -> DataFrame:
     """Per feature the standard with the lowest spread, and whether it improves enough on none."""
     feature = Window.partitionBy("mass_feature")
@@ -250,9 +297,8 @@ def is_to_is_rsd(
     data: DataFrame, standards: DataFrame, pick: DataFrame, mode: str = REFERENCE
 ) -> DataFrame:
     """Spread of every internal standard under every other, over all sample runs."""
-    names = sized(is_means(data, standards, mode)).select("mass_feature")
-    samples = candidate_moments(data, standards, mode, runs=is_sample(), features=names)
-    spread = weighted_rsd(samples, ["mass_feature", "mis"], "rsd_of_smp")
+    samples = candidate_moments(data, standards, mode, runs=is_sample(), standards_only=True)
+    spread = weighted_rsd(samples, ["mass_feature", "mis"], "rsd_of_smp").filter(F.col("mis").isNotNull())
     judged = pick.select("mass_feature", "mis", "rsd_of_poo", "accept_mis")
     return spread.drop("row_weight").join(judged, ["mass_feature", "mis"], "left")
 
@@ -274,21 +320,22 @@ def bmis_normalize(
     Only the chosen standard is joined back, so the row count never multiplies."""
     if final is None:
         final = bmis_choice(data, standards, p, mode)
-    chosen = sized(final.select("mass_feature", "final_bmis", "orig_rsd", "final_rsd"))
     means = sized(is_means(data, standards, mode)).withColumnRenamed("mass_feature", "final_bmis")
-    found = standard_areas(data, standards, mode).select(
-        "replicate_name", F.col("mass_feature").alias("final_bmis"), F.col("area_with_qc").alias("_is_area")
+    chosen = sized(final.select("mass_feature", "final_bmis", "orig_rsd", "final_rsd")).join(
+        means, "final_bmis", "left"
+    )
+    found = semi_internal_standards(data, standards).select(
+        "replicate_name", F.col("metabolite_name").alias("final_bmis"), F.col("area_with_qc").alias("_is_area")
     )
     rows = _features(data).unionByName(injection_volume(data, mode)).drop("weight")
-    joined = (
-        null_safe_join(rows, chosen, ["mass_feature"], "inner")
-        .join(means, "final_bmis", "left")
-        .join(found, ["replicate_name", "final_bmis"], "left")
+    joined = null_safe_join(rows, chosen, ["mass_feature"], "inner").join(
+        found, ["replicate_name", "final_bmis"], "left"
     )
-    adjusted = safe_div("area_with_qc", "_is_area") * F.col("average_area")
+    divisor = F.when(F.col("final_bmis") == INJECTION_VOLUME, _volume()).otherwise(F.col("_is_area"))
     return joined.select(
         "mass_feature", "final_bmis", "orig_rsd", "final_rsd",
         *[c.alias(n) for n, c in parse_replicate("replicate_name").items()],
-        "area_with_qc", F.col("final_bmis").alias("mis"), adjusted.alias("adjusted_area"),
+        "area_with_qc", F.col("final_bmis").alias("mis"),
+        (safe_div("area_with_qc", divisor) * F.col("average_area")).alias("adjusted_area"),
         F.concat_ws(" ", "replicate_name", F.coalesce("mass_feature", F.lit("NA"))).alias("run_cmpd"),
     )

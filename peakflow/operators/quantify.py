@@ -9,7 +9,7 @@ from peakflow.functions.columns import (
     core_name, finite, formula_atoms, join_parts, safe_div, trim_whitespace,
 )
 from peakflow.functions.joins import natural_left_join, null_safe_join, sized
-from peakflow.functions.stats import exact_median
+from peakflow.functions.stats import median_min_max
 from peakflow.params import REFERENCE, QuantifyParams, is_corrected
 
 # Standard run classes.
@@ -113,18 +113,21 @@ def rf_ratios(rf: DataFrame, mode: str = REFERENCE) -> DataFrame:
 
 
 def quantify_response_factor(bmis: DataFrame, ratios: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Amount per vial of every normalised row whose compound has a response-factor ratio."""
+    """Amount per vial of every normalised row whose compound has a response-factor ratio.
+
+    Repeated rows count once; they are removed while the rows are still narrow."""
+    factors = sized(null_safe_join(
+        ratios, ranges.select("metabolite_name", "rf_max", "rf_min").distinct(), ["metabolite_name"]
+    ))
     rows = bmis.select(
         F.col("mass_feature").alias("metabolite_name"), "final_bmis", "run_date", "type", "samp_id", "replicate",
-        join_parts("run_date", "type", "samp_id", "replicate").alias("replicate_name"),
         "adjusted_area", "area_with_qc",
     )
-    factors = null_safe_join(
-        ratios, ranges.select("metabolite_name", "rf_max", "rf_min").distinct(), ["metabolite_name"]
-    )
-    joined = null_safe_join(rows, sized(factors), ["metabolite_name"], "inner").withColumn(
-        "rf_ave", (F.col("rf_min") + F.col("rf_max")) / 2
-    )
+    rows = null_safe_join(rows, factors, ["metabolite_name"], "left_semi").distinct()
+    joined = null_safe_join(rows, factors, ["metabolite_name"], "inner").withColumns({
+        "replicate_name": join_parts("run_date", "type", "samp_id", "replicate"),
+        "rf_ave": (F.col("rf_min") + F.col("rf_max")) / 2,
+    })
 
     def umol(factor: str):
         return safe_div(safe_div("adjusted_area", factor), "rf_ratio")
@@ -133,7 +136,7 @@ def quantify_response_factor(bmis: DataFrame, ratios: DataFrame, ranges: DataFra
         "umol_in_vial_ave": umol("rf_ave"),
         "umol_in_vial_max": umol("rf_min"),
         "umol_in_vial_min": umol("rf_max"),
-    }).distinct()
+    })
 
 
 def is_name_pairs(
@@ -165,11 +168,11 @@ def quantify_internal_standard(
         pairs = natural_left_join(pairs, seen).withColumn(
             "concentration_um", F.when(F.col("_seen"), F.col("concentration_um"))
         ).drop("_seen")
-    members = sized(
+    members = (
         pairs.select(F.col("final_bmis").alias("metabolite_name"))
         .unionByName(pairs.select("metabolite_name")).distinct()
     )
-    concentrations = sized(pairs.select("metabolite_name", "concentration_um").distinct())
+    concentrations = pairs.select("metabolite_name", "concentration_um").distinct()
     rows = qc.filter(~F.col("replicate_name").contains("Std")).select(
         "replicate_name", "metabolite_name", "area_with_qc"
     )
@@ -199,14 +202,19 @@ def quantify_merge(by_factor: DataFrame, by_standard: DataFrame) -> DataFrame:
     })
 
 
-def environmental_nmol(merged: DataFrame, formulas: DataFrame, p: QuantifyParams = QuantifyParams()) -> DataFrame:
-    """Amount in the environment, and the empirical formula of the compound."""
+def environmental_nmol(
+    merged: DataFrame, formulas: DataFrame, p: QuantifyParams = QuantifyParams(), dedupe: bool = True
+) -> DataFrame:
+    """Amount in the environment, and the empirical formula of the compound.
+
+    `dedupe=False` saves a shuffle where the rows are known to be distinct."""
     nmol = (
         F.col("umol_in_vial_ave") * F.lit(1e-6) * p.reconstitution_volume / p.volume_filtered * 1000.0
         * p.dilution_factor
     )
     known = sized(formulas.select("metabolite_name", "empirical_formula").distinct())
-    return null_safe_join(merged.withColumn("nmol_in_enviro_ave", nmol), known, ["metabolite_name"]).distinct()
+    rows = null_safe_join(merged.withColumn("nmol_in_enviro_ave", nmol), known, ["metabolite_name"])
+    return rows.distinct() if dedupe else rows
 
 
 def carbon_nitrogen(environmental: DataFrame, mode: str = REFERENCE) -> DataFrame:
@@ -250,13 +258,7 @@ _SUMMARISED = {
 
 def compound_summary(fractions: DataFrame) -> DataFrame:
     """Median, minimum and maximum of three amounts for every compound, names descending."""
-    ranges = fractions.groupBy("metabolite_name").agg(*[
-        f(c).alias(f"{short}_{name}")
-        for c, short in _SUMMARISED.items() for name, f in (("min", F.min), ("max", F.max))
-    ])
-    medians = exact_median(fractions, ["metabolite_name"], list(_SUMMARISED))
-    medians = medians.withColumnsRenamed({c: f"{short}_med" for c, short in _SUMMARISED.items()})
-    columns = [f"{short}_{name}" for short in _SUMMARISED.values() for name in ("med", "min", "max")]
-    return natural_left_join(ranges, medians).select("metabolite_name", *columns).orderBy(
+    amounts = fractions.select("metabolite_name", *[F.col(c).alias(n) for c, n in _SUMMARISED.items()])
+    return median_min_max(amounts, ["metabolite_name"], list(_SUMMARISED.values())).orderBy(
         F.desc("metabolite_name")
     )

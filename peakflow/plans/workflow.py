@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from peakflow.functions.columns import fix_replicate_dash
+from peakflow.functions.joins import sized
 from peakflow.operators import bmis as B
 from peakflow.operators import quantify as Q
 from peakflow.operators.duplicates import drop_mode_duplicates
@@ -49,7 +50,7 @@ def response_factor_tables(
     """Standard rows with their class, response-factor ratios and response-factor ranges."""
     rows = Q.standard_run_types(Q.standard_rows(qc, standards, p.column_type))
     rf = Q.response_factors(rows)
-    return rows, Q.rf_ratios(rf, mode), Q.rf_range(rf)
+    return rows, sized(Q.rf_ratios(rf, mode)), sized(Q.rf_range(rf))
 
 
 def quantify(
@@ -66,7 +67,7 @@ def quantify(
         Q.quantify_response_factor(normalized, ratios, ranges),
         Q.quantify_internal_standard(samples, pairs, measured=rows),
     )
-    molecules = Q.carbon_nitrogen(Q.environmental_nmol(merged, known, p), mode)
+    molecules = Q.carbon_nitrogen(Q.environmental_nmol(merged, known, p, dedupe=False), mode)
     return Quantified(normalized, rows, ratios, stage(molecules, "molecules"))
 
 
