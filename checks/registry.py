@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from checks.fixtures import view
 from peakflow.functions import columns as C
+from peakflow.functions.joins import sized
 from peakflow.functions.stats import rsd_by_group
 from peakflow.operators import bmis as B
 from peakflow.operators import duplicates as D
@@ -66,7 +67,7 @@ def peaks_modes(spark, sf):
 
 
 def standards(spark, sf):
-    return view(spark, sf, "standards")
+    return sized(view(spark, sf, "standards"))
 
 
 def internal(spark, sf):
@@ -101,7 +102,7 @@ def fragments(spark, sf):
 
 
 def transitions(spark, sf):
-    return view(spark, sf, "transitions")
+    return sized(view(spark, sf, "transitions"))
 
 
 # --- names and scalars ------------------------------------------------------------------------------
@@ -582,11 +583,15 @@ def rf_ratios(spark, sf):
     return cut_columns(Q.rf_ratios(_rf(spark, sf)), rf_ratio=9)
 
 
-def _inputs(spark, sf):
-    """Staged quality-controlled and normalised peaks with the response-factor tables."""
-    checked = staged_qc(spark, sf)
-    known = standards(spark, sf)
+def _normalized_peaks(spark, sf):
+    """Staged quality-controlled and normalised peaks with the dimension."""
+    checked, known = staged_qc(spark, sf), standards(spark, sf)
     normalized = stage(B.bmis_normalize(B.bmis_input(checked), B.internal_standards(known)), "normalized")
+    return checked, known, normalized
+
+
+def _inputs(spark, sf):
+    checked, known, normalized = _normalized_peaks(spark, sf)
     return checked, known, normalized, W.response_factor_tables(checked, known)
 
 
@@ -627,7 +632,7 @@ def quantify_merge(spark, sf):
 
 
 def _quantified(spark, sf):
-    checked, known, normalized, _ = _inputs(spark, sf)
+    checked, known, normalized = _normalized_peaks(spark, sf)
     return W.quantify(checked, normalized, known, QuantifyParams())
 
 

@@ -317,25 +317,31 @@ def bmis_normalize(
 ) -> DataFrame:
     """Rows of every feature that kept a final standard, with the area adjusted by it.
 
-    Only the chosen standard is joined back, so the row count never multiplies."""
+    Only the chosen standard is joined back, so the row count never multiplies. Features that fell
+    back to the injection volume need no join at all; the rest is shuffled once, still narrow."""
     if final is None:
         final = bmis_choice(data, standards, p, mode)
+    final = sized(final.select("mass_feature", "final_bmis", "orig_rsd", "final_rsd"))
     means = sized(is_means(data, standards, mode)).withColumnRenamed("mass_feature", "final_bmis")
-    chosen = sized(final.select("mass_feature", "final_bmis", "orig_rsd", "final_rsd")).join(
-        means, "final_bmis", "left"
+    rows = _features(data).unionByName(injection_volume(data, mode)).drop("weight")
+    choice = final.select("mass_feature", "final_bmis")
+    fell_back = F.col("final_bmis") == INJECTION_VOLUME
+    by_volume = null_safe_join(rows, choice.filter(fell_back), ["mass_feature"], "inner").withColumn(
+        "_divisor", _volume()
     )
     found = semi_internal_standards(data, standards).select(
-        "replicate_name", F.col("metabolite_name").alias("final_bmis"), F.col("area_with_qc").alias("_is_area")
+        "replicate_name", F.col("metabolite_name").alias("final_bmis"), F.col("area_with_qc").alias("_divisor")
     )
-    rows = _features(data).unionByName(injection_volume(data, mode)).drop("weight")
-    joined = null_safe_join(rows, chosen, ["mass_feature"], "inner").join(
+    by_standard = null_safe_join(rows, choice.filter(~fell_back), ["mass_feature"], "inner").join(
         found, ["replicate_name", "final_bmis"], "left"
     )
-    divisor = F.when(F.col("final_bmis") == INJECTION_VOLUME, _volume()).otherwise(F.col("_is_area"))
-    return joined.select(
+    spreads = final.join(means, "final_bmis", "left").select(
+        "mass_feature", "orig_rsd", "final_rsd", "average_area"
+    )
+    return null_safe_join(by_volume.unionByName(by_standard), spreads, ["mass_feature"]).select(
         "mass_feature", "final_bmis", "orig_rsd", "final_rsd",
         *[c.alias(n) for n, c in parse_replicate("replicate_name").items()],
         "area_with_qc", F.col("final_bmis").alias("mis"),
-        (safe_div("area_with_qc", divisor) * F.col("average_area")).alias("adjusted_area"),
+        (safe_div("area_with_qc", "_divisor") * F.col("average_area")).alias("adjusted_area"),
         F.concat_ws(" ", "replicate_name", F.coalesce("mass_feature", F.lit("NA"))).alias("run_cmpd"),
     )

@@ -188,18 +188,26 @@ def quantify_internal_standard(
 
 
 def quantify_merge(by_factor: DataFrame, by_standard: DataFrame) -> DataFrame:
-    """The amount by internal standard wins where there is one; it has no range."""
+    """The amount by internal standard wins where there is one; it has no range.
+
+    Only compounds that have such amounts are joined on the replicate, all others stay in place."""
     amounts = by_standard.select("replicate_name", "metabolite_name", "umol_in_vial_is").distinct()
+    paired = sized(amounts.select("metabolite_name").distinct())
     rows = by_factor.select(
         "metabolite_name", "samp_id", "replicate_name", "adjusted_area", "area_with_qc", "rf_ratio", "rf_max",
         "rf_min", "rf_ave", "umol_in_vial_ave", "umol_in_vial_max", "umol_in_vial_min",
     )
+    alone = null_safe_join(rows, paired, ["metabolite_name"], "left_anti")
+    joined = null_safe_join(
+        null_safe_join(rows, paired, ["metabolite_name"], "left_semi"), amounts, ["replicate_name", "metabolite_name"]
+    )
     amount = F.col("umol_in_vial_is")
-    return null_safe_join(rows, amounts, ["replicate_name", "metabolite_name"]).withColumns({
+    joined = joined.withColumns({
         "umol_in_vial_ave": F.coalesce(amount, F.col("umol_in_vial_ave")),
         "umol_in_vial_max": F.when(amount.isNull(), F.col("umol_in_vial_max")),
         "umol_in_vial_min": F.when(amount.isNull(), F.col("umol_in_vial_min")),
     })
+    return joined.unionByName(alone, allowMissingColumns=True)
 
 
 def environmental_nmol(

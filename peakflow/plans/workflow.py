@@ -48,7 +48,7 @@ def response_factor_tables(
     qc: DataFrame, standards: DataFrame, p: QuantifyParams = QuantifyParams(), mode: str = REFERENCE
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Standard rows with their class, response-factor ratios and response-factor ranges."""
-    rows = Q.standard_run_types(Q.standard_rows(qc, standards, p.column_type))
+    rows = stage(Q.standard_run_types(Q.standard_rows(qc, standards, p.column_type)), "standard-rows")
     rf = Q.response_factors(rows)
     return rows, sized(Q.rf_ratios(rf, mode)), sized(Q.rf_range(rf))
 
