@@ -62,7 +62,7 @@ def response_factors(std: DataFrame, literal: bool = True) -> DataFrame:
     })
     if "ion_column" in std.columns:
         name, mix = F.col("replicate_name"), F.col("hilic_mix")
-        own_mix = name.contains(mix) if literal else name.rlike(mix)
+        own_mix = name.contains(mix) if literal else F.rlike(name, mix)
         rf = rf.filter(own_mix | name.contains("H2OInMatrix"))
     return rf
 
@@ -150,7 +150,7 @@ def is_name_pairs(
         sized(ratios.select("metabolite_name")), ["metabolite_name"], "left_semi",
     )
     chosen, name = F.col("final_bmis"), F.col("metabolite_name")
-    pairs = names.filter(chosen.contains(name) if literal else chosen.rlike(name))
+    pairs = names.filter(chosen.contains(name) if literal else F.rlike(chosen, name))
     concentrations = sized(known.select(F.col("metabolite_name").alias("final_bmis"), "concentration_um"))
     return natural_left_join(pairs, concentrations)
 

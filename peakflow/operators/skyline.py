@@ -23,7 +23,7 @@ def standard_mix_filter(df: DataFrame, standards: DataFrame, literal: bool = Tru
     mixes = sized(standards.select(F.col("compound_name").alias(COMPOUND), "hilic_mix").distinct())
     runs = df.filter(F.col("replicate_name").contains("Std"))
     name, mix = F.col("replicate_name"), F.col("hilic_mix")
-    own_mix = name.contains(mix) if literal else name.rlike(mix)
+    own_mix = name.contains(mix) if literal else F.rlike(name, mix)
     joined = null_safe_join(runs, mixes, [COMPOUND])
     return joined.filter(own_mix | name.rlike("(?i)H2OinMatrix")).drop("hilic_mix")
 
