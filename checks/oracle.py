@@ -508,12 +508,12 @@ SQL["rf_dimensions"] = "SELECT * FROM rf_dim"
 SQL["missing_rf"] = "SELECT DISTINCT metabolite_name FROM rf_dim WHERE rf IS NULL"
 SQL["rf_ratios"] = f"SELECT metabolite_name, {cuts(rf_ratio=9)} FROM ratio"
 
-UMOL = {"adjusted_area": 4, "rf_ratio": 9, "umol_in_vial_ave": 6, "umol_in_vial_max": 6, "umol_in_vial_min": 6}
-AMOUNTS = {**UMOL, "umol_in_vial_is": 9, "nmol_in_enviro_ave": 7}
-MOLECULES = {**AMOUNTS, "nmol_c_ave": 6, "nmol_n_ave": 6}
-TOTALS = {"total_c_measured_nm_per_id": 5, "total_n_measured_nm_per_id": 5}
+UMOL = {"adjusted_area": 4, "rf_ratio": 9, "umol_in_vial_ave": 4, "umol_in_vial_max": 4, "umol_in_vial_min": 4}
+AMOUNTS = {**UMOL, "umol_in_vial_is": 9, "nmol_in_enviro_ave": 5}
+MOLECULES = {**AMOUNTS, "nmol_c_ave": 4, "nmol_n_ave": 4}
+TOTALS = {"total_c_measured_nm_per_id": 3, "total_n_measured_nm_per_id": 3}
 SUMMARY = {
-    f"{short}_{name}": 7 if short == "mol_c_fraction" else 6
+    f"{short}_{name}": 5 if short == "mol_c_fraction" else 4
     for short in ("nmol_enviro", "nmol_c", "mol_c_fraction") for name in ("med", "min", "max")
 }
 SQL["quantify_response_factor"] = f"SELECT * REPLACE ({cuts(**UMOL)}) FROM quant"
@@ -524,7 +524,7 @@ SQL["environmental_nmol"] = f"SELECT * REPLACE ({cuts(**AMOUNTS)}) FROM enviro"
 SQL["carbon_nitrogen"] = f"SELECT * REPLACE ({cuts(**MOLECULES)}) FROM molecules"
 SQL["totals_per_sample"] = f"SELECT samp_id, {cuts(**TOTALS)} FROM totals"
 SQL["mole_fractions"] = f"""
-SELECT * EXCLUDE (samp_id) REPLACE ({cuts(**MOLECULES, **TOTALS, ratio_cn=6, mol_fraction_c=6, mol_fraction_n=6)})
+SELECT * EXCLUDE (samp_id) REPLACE ({cuts(**MOLECULES, **TOTALS, ratio_cn=4, mol_fraction_c=5, mol_fraction_n=5)})
 FROM fractions"""
 SQL["compound_summary"] = f"SELECT metabolite_name, {cuts(**SUMMARY)} FROM summary ORDER BY metabolite_name DESC"
 

@@ -595,7 +595,7 @@ def _inputs(spark, sf):
     return checked, known, normalized, W.response_factor_tables(checked, known)
 
 
-UMOL = {"adjusted_area": 4, "rf_ratio": 9, "umol_in_vial_ave": 6, "umol_in_vial_max": 6, "umol_in_vial_min": 6}
+UMOL = {"adjusted_area": 4, "rf_ratio": 9, "umol_in_vial_ave": 4, "umol_in_vial_max": 4, "umol_in_vial_min": 4}
 
 
 @query
@@ -636,8 +636,8 @@ def _quantified(spark, sf):
     return W.quantify(checked, normalized, known, QuantifyParams())
 
 
-AMOUNTS = {**UMOL, "umol_in_vial_is": 9, "nmol_in_enviro_ave": 7}
-ATOMS = {**AMOUNTS, "nmol_c_ave": 6, "nmol_n_ave": 6}
+AMOUNTS = {**UMOL, "umol_in_vial_is": 9, "nmol_in_enviro_ave": 5}
+ATOMS = {**AMOUNTS, "nmol_c_ave": 4, "nmol_n_ave": 4}
 
 
 @query
@@ -651,9 +651,9 @@ def carbon_nitrogen(spark, sf):
     return cut_columns(_quantified(spark, sf).molecules, **ATOMS)
 
 
-TOTALS = {"total_c_measured_nm_per_id": 5, "total_n_measured_nm_per_id": 5}
+TOTALS = {"total_c_measured_nm_per_id": 3, "total_n_measured_nm_per_id": 3}
 SUMMARY = {
-    f"{short}_{name}": 7 if short == "mol_c_fraction" else 6
+    f"{short}_{name}": 5 if short == "mol_c_fraction" else 4
     for short in ("nmol_enviro", "nmol_c", "mol_c_fraction") for name in ("med", "min", "max")
 }
 
@@ -666,7 +666,7 @@ def totals_per_sample(spark, sf):
 @query
 def mole_fractions(spark, sf):
     return cut_columns(
-        _quantified(spark, sf).measurements, **ATOMS, **TOTALS, ratio_cn=6, mol_fraction_c=6, mol_fraction_n=6
+        _quantified(spark, sf).measurements, **ATOMS, **TOTALS, ratio_cn=4, mol_fraction_c=5, mol_fraction_n=5
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peakflow.functions.columns import (
@@ -177,10 +177,12 @@ def quantify_internal_standard(
         "replicate_name", "metabolite_name", "area_with_qc"
     )
     rows = null_safe_join(rows, members, ["metabolite_name"], "left_semi").distinct()
+    rows = rows.withColumn("_core", core_name("metabolite_name"))
     labelled = F.col("metabolite_name").contains(",")
-    group = Window.partitionBy("replicate_name", core_name("metabolite_name"))
-    standard_area = F.max(F.when(labelled, F.col("area_with_qc"))).over(group)
-    compounds = rows.withColumn("_is_area", standard_area).filter(~labelled)
+    standard_areas = rows.filter(labelled).groupBy("replicate_name", "_core").agg(
+        F.max("area_with_qc").alias("_is_area")
+    )
+    compounds = null_safe_join(rows.filter(~labelled), standard_areas, ["replicate_name", "_core"])
     return null_safe_join(compounds, concentrations, ["metabolite_name"]).select(
         "replicate_name", "metabolite_name", "area_with_qc", "concentration_um",
         (safe_div("area_with_qc", "_is_area") * (F.col("concentration_um") / 1000)).alias("umol_in_vial_is"),
