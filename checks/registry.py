@@ -78,12 +78,17 @@ def qc(spark, sf):
     return M.msdial_qc(peaks(spark, sf), QC)
 
 
+def qc_of_table(spark, sf):
+    """Quality control of a stored peak table, where many passes over the input follow."""
+    return M.msdial_qc(stage(peaks(spark, sf), "peaks"), QC)
+
+
 def bmis_data(spark, sf):
     return B.bmis_input(qc(spark, sf))
 
 
 def staged_qc(spark, sf):
-    return stage(qc(spark, sf), "qc")
+    return stage(qc_of_table(spark, sf), "qc")
 
 
 def skyline(spark, sf):
@@ -101,6 +106,10 @@ def fragments(spark, sf):
     return view(spark, sf, "fragments")
 
 
+def fragment_table(spark, sf):
+    return stage(fragments(spark, sf), "fragments")
+
+
 def transitions(spark, sf):
     return sized(view(spark, sf, "transitions"))
 
@@ -332,12 +341,12 @@ def signal_to_noise(spark, sf):
 
 @query
 def skyline_qc(spark, sf):
-    return S.skyline_qc(skyline(spark, sf), SKYLINE_QC)
+    return S.skyline_qc(stage(skyline(spark, sf), "long-peaks"), SKYLINE_QC)
 
 
 @query
 def skyline_qc_corrected(spark, sf):
-    return S.skyline_qc(skyline(spark, sf), SKYLINE_QC, CORRECTED)
+    return S.skyline_qc(stage(skyline(spark, sf), "long-peaks"), SKYLINE_QC, CORRECTED)
 
 
 # --- triple-quad -------------------------------------------------------------------------------------
@@ -373,7 +382,7 @@ def ion_ratio_reference(spark, sf):
 
 
 def _ion_ratio_flags(spark, sf, mode):
-    table, listed = fragments(spark, sf), transitions(spark, sf)
+    table, listed = fragment_table(spark, sf), transitions(spark, sf)
     ranges = R.ion_ratio_reference(R.check_fragments(table, listed, "Std", mode), mode)
     return R.ion_ratio_flags(table, listed, ranges, QC, mode)
 
@@ -390,12 +399,12 @@ def tqs_blank_reference(spark, sf):
 
 @query
 def tqs_qc(spark, sf):
-    return R.tqs_qc(fragments(spark, sf), transitions(spark, sf), QC)
+    return R.tqs_qc(fragment_table(spark, sf), transitions(spark, sf), QC)
 
 
 @query
 def tqs_qc_corrected(spark, sf):
-    return R.tqs_qc(fragments(spark, sf), transitions(spark, sf), QC, CORRECTED)
+    return R.tqs_qc(fragment_table(spark, sf), transitions(spark, sf), QC, CORRECTED)
 
 
 # --- ion-mode duplicates -----------------------------------------------------------------------------
@@ -469,7 +478,8 @@ def assert_same_replicates(spark, sf):
 
 
 def _staged_data(spark, sf):
-    return stage(bmis_data(spark, sf).select("replicate_name", "metabolite_name", "area_with_qc"), "bmis-input")
+    data = B.bmis_input(qc_of_table(spark, sf))
+    return stage(data.select("replicate_name", "metabolite_name", "area_with_qc"), "bmis-input")
 
 
 @query
@@ -538,7 +548,7 @@ def bmis_normalize(spark, sf):
 
 
 def _rows(spark, sf):
-    return Q.standard_rows(qc(spark, sf), standards(spark, sf), "HILIC")
+    return Q.standard_rows(qc_of_table(spark, sf), standards(spark, sf), "HILIC")
 
 
 def _rf(spark, sf):
@@ -678,7 +688,8 @@ def compound_summary(spark, sf):
 @query
 def analyse_two_modes(spark, sf):
     """Everything from raw peaks of both ion modes to the compound summary."""
-    return cut_columns(W.analyse(peaks_modes(spark, sf), standards(spark, sf)).summary, **SUMMARY)
+    table = stage(peaks_modes(spark, sf), "peaks")
+    return cut_columns(W.analyse(table, standards(spark, sf)).summary, **SUMMARY)
 
 
 _QUERIES["rsd_by_group"] = _QUERIES.pop("rsd_by_group_query")

@@ -15,7 +15,10 @@ def sized(df: DataFrame) -> DataFrame:
     An aggregate's size is unknown while a plan is built, so a join against it would shuffle the big
     side first. A filled cache reports its true size: below `spark.sql.autoBroadcastJoinThreshold`
     the planner broadcasts it and leaves the big side in place, above it the join stays a shuffle
-    join with adaptive skew splitting. Lost cache blocks are recomputed from lineage."""
+    join with adaptive skew splitting. Lost cache blocks are recomputed from lineage. A table whose
+    plan is cached already is returned as it is."""
+    if df.storageLevel.useMemory:
+        return df
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     df.count()
     return df

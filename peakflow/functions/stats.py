@@ -14,19 +14,24 @@ def rsd_by_group(df: DataFrame, keys: list[str], value: str, name: str = "rsd")
     return df.groupBy(*keys).agg(safe_div(F.stddev_samp(value), F.avg(value)).alias(name))
 
 
-def weighted_rsd(df: DataFrame, keys: list[str], name: str = "rsd") -> DataFrame:
+def weighted_rsd(
+    df: DataFrame, keys: list[str], name: str = "rsd", cluster: list[str] | None = None
+) -> DataFrame:
     """Relative standard deviation of values given as moments, plus `row_weight`, the weight of all rows.
 
     A row stands for `frequency` values with this `mean` and (population) `variance`, and for
     `rows` table rows, missing values included. Rows of equal frequency are first reduced to count,
     mean and variance, map-side and numerically stable; only these partial moments are shuffled and
-    combined around the overall mean."""
+    combined around the overall mean. `cluster` names the keys a following step groups by: laid out by
+    them at once, that step needs no shuffle of its own."""
     parts = df.groupBy(*keys, "frequency").agg(
         F.sum("rows").alias("_rows"),
         F.count("mean").alias("_n"),
         F.avg("mean").alias("_mean"),
         (F.var_pop("mean") + F.avg("variance")).alias("_var"),
     )
+    if cluster:
+        parts = parts.repartition(*cluster)
     group = Window.partitionBy(*keys)
     n = F.col("frequency") * F.col("_n")
     parts = parts.withColumn("_total", F.sum(n).over(group)).withColumn(

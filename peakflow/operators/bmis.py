@@ -229,9 +229,10 @@ def candidate_moments(
 def pooled_rsd(moments: DataFrame) -> DataFrame:
     """Mean over the pooled samples of the relative standard deviation, weighted by their rows."""
     pools = moments.filter(is_pool()).withColumn("samp_id", replicate_part("replicate_name", 2))
-    per_sample = weighted_rsd(pools, ["samp_id", "mass_feature", "mis"])
+    sample_and_feature = ["samp_id", "mass_feature"]
+    per_sample = weighted_rsd(pools, [*sample_and_feature, "mis"], cluster=sample_and_feature)
     base = F.max(F.when(F.col("mis").isNull(), F.col("row_weight"))).over(
-        Window.partitionBy("samp_id", "mass_feature")
+        Window.partitionBy(*sample_and_feature)
     )
     per_sample = per_sample.withColumn("row_weight", F.col("row_weight") + base).filter(F.col("mis").isNotNull())
     rows = F.when(F.col("rsd").isNotNull(), F.col("row_weight"))

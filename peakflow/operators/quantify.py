@@ -147,11 +147,11 @@ def is_name_pairs(
     `literal=False` reads the compound name as a regular expression."""
     names = null_safe_join(
         bmis.select("final_bmis", F.col("mass_feature").alias("metabolite_name")).distinct(),
-        sized(ratios.select("metabolite_name")), ["metabolite_name"], "left_semi",
+        sized(ratios).select("metabolite_name"), ["metabolite_name"], "left_semi",
     )
     chosen, name = F.col("final_bmis"), F.col("metabolite_name")
     pairs = names.filter(chosen.contains(name) if literal else F.rlike(chosen, name))
-    concentrations = sized(known.select(F.col("metabolite_name").alias("final_bmis"), "concentration_um"))
+    concentrations = sized(known).select(F.col("metabolite_name").alias("final_bmis"), "concentration_um")
     return natural_left_join(pairs, concentrations)
 
 
@@ -222,7 +222,7 @@ def environmental_nmol(
         F.col("umol_in_vial_ave") * F.lit(1e-6) * p.reconstitution_volume / p.volume_filtered * 1000.0
         * p.dilution_factor
     )
-    known = sized(formulas.select("metabolite_name", "empirical_formula").distinct())
+    known = sized(formulas).select("metabolite_name", "empirical_formula").distinct()
     rows = null_safe_join(merged.withColumn("nmol_in_enviro_ave", nmol), known, ["metabolite_name"])
     return rows.distinct() if dedupe else rows
 
