@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -164,7 +162,3 @@ def core_name(name: Column | str) -> Column:
     return F.when(
         before_comma.contains("-"), F.get(F.split(before_comma, "-"), F.lit(1))
     ).otherwise(before_comma)
-
-
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)

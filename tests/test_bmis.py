@@ -2,6 +2,7 @@ import statistics
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from peakflow.operators import bmis as B
 from peakflow.params import CORRECTED, REFERENCE, BmisParams
@@ -223,6 +224,25 @@ def test_standard_to_standard_spread(data, internal):
     assert rows["S1", "S2"]["rsd_of_smp"] == pytest.approx(statistics.stdev(ratios) / statistics.mean(ratios))
 
 
+def test_repeated_rows_of_a_hot_replicate_never_multiply(spark, internal):
+    """A replicate with thousands of repeated rows costs as many entries as it has compounds."""
+    per_compound = 4000
+    rows = spark.range(3 * per_compound).selectExpr(
+        "'1_Poo_H_1' AS replicate_name", "element_at(array('A', 'S1', 'S2'), cast(id % 3 as int) + 1) AS metabolite_name",
+        "1000.0 + (id * 7919) % 500 AS area_with_qc",
+    ).withColumn("area_with_qc", F.col("area_with_qc").cast("double"))
+    moments = B.candidate_moments(rows, internal)
+    found = by(moments, "mass_feature", "mis")
+    # features A, S1, S2 and the volume against S1, S2, the volume and the entry of base counts
+    assert moments.count() == len(found) == 16
+    assert found["A", "S1"]["frequency"] == per_compound**2
+    areas = {n: [r["area_with_qc"] for r in rows.filter(F.col("metabolite_name") == n).collect()] for n in ("A", "S1")}
+    mean_a, mean_s = statistics.fmean(areas["A"]), statistics.fmean(1 / x for x in areas["S1"])
+    square = statistics.fmean(x * x for x in areas["A"]) * statistics.fmean(1 / x**2 for x in areas["S1"])
+    assert found["A", "S1"]["mean"] == pytest.approx(mean_a * mean_s)
+    assert found["A", "S1"]["variance"] == pytest.approx(square - (mean_a * mean_s) ** 2, rel=1e-6)
+
+
 def test_plans_have_no_python_and_no_cross_joins(data, internal):
     for df in (B.bmis_candidates(data, internal), B.bmis_normalize(data, internal)):
         assert forbidden_in(df) == []

@@ -56,6 +56,12 @@ def test_flags(peaks):
     assert rows["1_Std_a_3", "A"]["rt_flag"] == "RT.Flag"
 
 
+def test_default_thresholds():
+    assert QcParams() == QcParams(area_min=1000, rt_flex=0.4, blk_thresh=0.3, sn_min=4)
+    reverse = QcParams.reverse_phase()
+    assert (reverse.area_min, reverse.rt_flex, reverse.blk_thresh, reverse.sn_min) == (5000, 0.2, 0.2, 4)
+
+
 def test_range_ends_are_flagged(spark):
     df = spark.createDataFrame(
         [peak("1_Std_a_1", "A", rt=5.0), peak("1_Smp_s_1", "A", rt=5.5), peak("1_Smp_s_2", "A", rt=4.5)], PEAKS
