@@ -336,9 +336,9 @@ def bmis_normalize(
     by_standard = null_safe_join(rows, choice.filter(~fell_back), ["mass_feature"], "inner").join(
         found, ["replicate_name", "final_bmis"], "left"
     )
-    spreads = final.join(means, "final_bmis", "left").select(
+    spreads = sized(final.join(means, "final_bmis", "left").select(
         "mass_feature", "orig_rsd", "final_rsd", "average_area"
-    )
+    ))
     return null_safe_join(by_volume.unionByName(by_standard), spreads, ["mass_feature"]).select(
         "mass_feature", "final_bmis", "orig_rsd", "final_rsd",
         *[c.alias(n) for n, c in parse_replicate("replicate_name").items()],
