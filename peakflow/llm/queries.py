@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from peakflow.llm.jaccard_join import op5_ngram_jaccard_join
+from peakflow.llm.ngram_lm import op4_deleted_interpolation
 from peakflow.llm.packing import op9_best_two_fit_packing
 from peakflow.llm.substring_dedup import op10_substring_dedup
 
-_QUERIES = (op5_ngram_jaccard_join, op9_best_two_fit_packing, op10_substring_dedup)
+_QUERIES = (op4_deleted_interpolation, op5_ngram_jaccard_join, op9_best_two_fit_packing, op10_substring_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
