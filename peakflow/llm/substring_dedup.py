@@ -27,13 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peakflow.llm import text as X
+from peakflow.llm.hot import frequent
 from peakflow.sources.staging import stage
 
 WINDOW = 13
 ANCHOR = 6
-HOT_SHARE = 0.005  # an anchor in more than this share of the documents is salted
+HOT_SHARE = 0.005  # an anchor in about this share of the documents or more is salted
 SALTS = 64
-_BLOCK = 1 << 20  # anchors looked at together when hot ones are sought
 
 _RUNS = "h long, salt int, doc_id long, start int, n int, w binary"
 _SEEDS = "doc_id long, start int, n int, ref_doc long, ref_start int, hot_h long, hot_w long"
@@ -71,36 +71,12 @@ def _runs_of(words: X.Words, size: int):
     return text[first], at[first] - words.first[text[first]], count, first, hashes, anchors[first]
 
 
-def _hot_anchors(docs: DataFrame, size: int) -> np.ndarray:
-    """Anchors in more than HOT_SHARE of all documents, up to what single blocks can see.
+def _anchors_of(size: int):
+    def values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        text, _, _, _, _, anchors = _runs_of(X.words_of(column), size)
+        return text, anchors
 
-    Bounded: each has at least that share of the documents, so there are at most as many as a mean
-    document has anchors, divided by the share. Which anchors are salted has no effect on results."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, docs_held = [], 0
-
-        def found():
-            values, n = np.unique(np.concatenate(held), return_counts=True)
-            often = n > max(4, HOT_SHARE * docs_held)
-            return pa.record_batch([pa.array(X.signed(values[often])), pa.array(n[often])], names=["h", "n"])
-
-        for part in X.slices(batches):
-            words = X.words_of(part.column("text"))
-            text, _, _, _, _, anchors = _runs_of(words, size)
-            pairs = np.unique(np.stack([text.astype(np.uint64), anchors]), axis=1)[1] if len(anchors) else anchors
-            held.append(pairs)
-            docs_held += part.num_rows
-            if sum(map(len, held)) >= _BLOCK:
-                yield found()
-                held, docs_held = [], 0
-        if held:
-            yield found()
-
-    local = docs.select("text").mapInArrow(count, "h long, n long")
-    least = max(4.0, HOT_SHARE * docs.count() / 2)
-    hot = local.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") > least).select("h")
-    return np.sort(np.array([r.h for r in hot.collect()], np.int64))
+    return values
 
 
 def _runs(docs: DataFrame, size: int, hot: np.ndarray) -> DataFrame:
@@ -184,7 +160,7 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def seeds(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """Runs of windows that start in an earlier document: doc_id, start, n, ref_doc, ref_start."""
-    runs = _runs(docs, size, _hot_anchors(docs, size))
+    runs = _runs(docs, size, frequent(docs, _anchors_of(size), HOT_SHARE))
     ordered = runs.repartition("h", "salt").sortWithinPartitions("h", "salt", "doc_id", "start")
     marked = stage(ordered.mapInArrow(_mark, _SEEDS), "seeds")
     names = ["doc_id", "start", "n", "ref_doc", "ref_start"]
@@ -195,16 +171,16 @@ def seeds(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     return marked.where(F.col("hot_h").isNull()).select(*names).unionByName(across)
 
 
-def factorise(found: list[dict], n_words: int, size: int) -> list[dict]:
+def factorise(start: np.ndarray, n: np.ndarray, ref_doc: np.ndarray, ref_start: np.ndarray, n_words: int, size: int) -> list[dict]:
     """Greedy parse of one document from its seeds: at each place the factor that reaches furthest."""
-    spans: list[list[int]] = []
-    for s in sorted(found, key=lambda s: (s["ref_doc"], s["ref_start"] - s["start"], s["start"])):
-        begin, end, shift = s["start"], s["start"] + s["n"] + size - 1, s["ref_start"] - s["start"]
-        if spans and spans[-1][2:] == [s["ref_doc"], shift] and begin <= spans[-1][1]:
-            spans[-1][1] = max(end, spans[-1][1])
-        else:
-            spans.append([begin, end, s["ref_doc"], shift])
-    spans.sort()
+    shift = ref_start.astype(np.int64) - start
+    order = np.lexsort((start, shift, ref_doc))
+    begin, end, shift, ref = start[order], (start + n)[order] + size - 1, shift[order], ref_doc[order]
+    new = np.ones(len(order), bool)  # seeds of one source and shift that follow or overlap are one match
+    new[1:] = (ref[1:] != ref[:-1]) | (shift[1:] != shift[:-1]) | (begin[1:] > end[:-1])
+    first = np.flatnonzero(new)
+    end = np.maximum.reduceat(end, first) if len(first) else end
+    spans = sorted(zip(begin[first].tolist(), end.tolist(), ref[first].tolist(), shift[first].tolist(), strict=True))
     out, at, k = [], 0, 0
     while k < len(spans) or at is not None:
         best = None
@@ -234,9 +210,13 @@ def parse(docs: DataFrame, size: int = WINDOW, with_text: bool = True) -> DataFr
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in X.slices(batches):
             rows = []
-            for text, found in zip(part.column("text").to_pylist(), part.column("_seeds").to_pylist(), strict=True):
-                words = (text or "").encode().split()
-                factors = factorise(found, len(words), size) if found else []
+            found = part.column("_seeds").fill_null([])
+            own, first = found.flatten(), np.concatenate([[0], np.cumsum(found.value_lengths().to_numpy())])
+            fields = [own.field(k).to_numpy() for k in range(4)]
+            for row, text in enumerate(part.column("text")):
+                words = (text.as_py() or "").encode().split()
+                at = slice(first[row], first[row + 1])
+                factors = factorise(*(f[at] for f in fields), len(words), size) if first[row + 1] > first[row] else []
                 kept, at = [], 0
                 for f in factors:
                     kept += words[at:f["start"]]

@@ -33,29 +33,35 @@ _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(_SPACES)] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
-_powers: list[np.ndarray] = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
+_FOLDED = np.where(_IS_SPACE, np.uint8(0x20), _LOWER)
+_STEP = 2048
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the base and of its inverse, kept between calls."""
-    if len(_powers[0]) < n:
-        size = max(n, SLICE_BYTES + 4096)
-        for k, factor in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            table = np.full(size, factor, np.uint64)
-            table[0] = 1
-            _powers[k] = np.multiply.accumulate(table)
-    return _powers[0][:n], _powers[1][:n]
+def _powers(factor: int, n: int) -> np.ndarray:
+    table = np.full(max(1, n), factor % (1 << 64), np.uint64)
+    table[0] = 1
+    return np.multiply.accumulate(table)
+
+
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_LOW, _INVERSE_LOW = _powers(_BASE, _STEP), _powers(_INVERSE, _STEP)
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each byte span: differences of one running polynomial sum."""
     if not len(starts):
         return np.empty(0, np.uint64)
-    power, inverse = _power_tables(len(data) + 1)
+    steps = len(data) // _STEP + 1
+    high, inverse_high = (_powers(pow(x, _STEP, 1 << 64), steps) for x in (_BASE, _INVERSE))
     total = np.empty(len(data) + 1, np.uint64)
     total[0] = 0
-    np.cumsum(_BYTE_VALUES[data] * power[:len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * inverse[starts])
+    np.cumsum(_BYTE_VALUES[data] * np.multiply.outer(high, _LOW).ravel()[:len(data)], out=total[1:])
+    return mix((total[ends] - total[starts]) * inverse_high[starts // _STEP] * _INVERSE_LOW[starts % _STEP])
+
+
+def folded(data: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z as a-z and white space as the space."""
+    return _FOLDED[data]
 
 
 @dataclass
