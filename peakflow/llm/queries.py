@@ -6,12 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from peakflow.llm import decontaminate
+from peakflow.llm.cotraining import op6_cotraining
+from peakflow.llm.decontaminate import op1_benchmark_decontamination
 from peakflow.llm.jaccard_join import op5_ngram_jaccard_join
+from peakflow.llm.langid import op8_language_id
 from peakflow.llm.ngram_lm import op4_deleted_interpolation
 from peakflow.llm.packing import op9_best_two_fit_packing
 from peakflow.llm.substring_dedup import op10_substring_dedup
 
-_QUERIES = (op4_deleted_interpolation, op5_ngram_jaccard_join, op9_best_two_fit_packing, op10_substring_dedup)
+_QUERIES = (
+    op1_benchmark_decontamination, op4_deleted_interpolation, op5_ngram_jaccard_join, op6_cotraining, op8_language_id,
+    op9_best_two_fit_packing, op10_substring_dedup,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -19,4 +26,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_benchmark_decontamination": decontaminate.OP1_SQL}
