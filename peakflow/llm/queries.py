@@ -13,11 +13,12 @@ from peakflow.llm.jaccard_join import op5_ngram_jaccard_join
 from peakflow.llm.langid import op8_language_id
 from peakflow.llm.ngram_lm import op4_deleted_interpolation
 from peakflow.llm.packing import op9_best_two_fit_packing
+from peakflow.llm.quality_rules import op2_quality_divergence
 from peakflow.llm.substring_dedup import op10_substring_dedup
 
 _QUERIES = (
-    op1_benchmark_decontamination, op4_deleted_interpolation, op5_ngram_jaccard_join, op6_cotraining, op8_language_id,
-    op9_best_two_fit_packing, op10_substring_dedup,
+    op1_benchmark_decontamination, op2_quality_divergence, op4_deleted_interpolation, op5_ngram_jaccard_join, op6_cotraining,
+    op8_language_id, op9_best_two_fit_packing, op10_substring_dedup,
 )
 
 
