@@ -19,6 +19,7 @@ from peakflow.sources.staging import stage
 WINDOW = 10
 BROADCAST_BYTES = 32 << 20
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_RESULTS = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans", "_id", "_hash", "_items", "_spans", "_h", "_n")
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -64,7 +65,8 @@ def hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, broadcast_by
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """All columns of `docs`, and n_words, n_hit, n_items, items_sha256, contaminated and the hit spans
-    (start and length in words, merged)."""
+    (start and stop in words, merged). A column named like one of these is replaced."""
+    docs = docs.select(*(c for c in docs.columns if c not in _RESULTS))
     by_doc = hits(docs, benchmark, size).groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
         F.array_sort(F.collect_set(F.struct("start", "length"))).alias("_hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("_items"))
@@ -87,6 +89,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
         F.coalesce(n_hit > 0, F.lit(False)).alias("contaminated"), F.col("_spans").alias("spans"))
 
 
+def clean_documents(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
+    """The rows of `docs`, unchanged, in which no window of a benchmark item occurs."""
+    bad = hits(docs, benchmark, size).select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad_id"]) & (F.xxhash64(docs["text"]) == bad["_bad_hash"]), "left_anti")
+
+
 def op1_benchmark_decontamination(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")

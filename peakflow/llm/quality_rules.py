@@ -138,8 +138,9 @@ def judge(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that the rules keep, unchanged."""
-    bad = judge(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("lang").alias("_lang")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_hash")) & (F.coalesce("lang", F.lit("")) == F.col("_lang"))
+    bad = judge(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash"), F.col("lang").alias("_bad_lang")).distinct()
+    text, lang = (F.coalesce(docs[c], F.lit("")) for c in ("text", "lang"))
+    same = docs["doc_id"].eqNullSafe(bad["_bad_id"]) & (F.xxhash64(text) == bad["_bad_hash"]) & (lang == bad["_bad_lang"])
     return docs.join(bad, same, "left_anti")
 
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from peakflow.llm import decontaminate, warc
 from peakflow.llm.cotraining import op6_cotraining
 from peakflow.llm.decontaminate import op1_benchmark_decontamination
@@ -26,7 +27,7 @@ _QUERIES = (
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {fn.__name__: fn for fn in _QUERIES}
+    return {fn.__name__: fn for fn in _QUERIES} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -12,7 +12,8 @@ this hash are. Rows arrive ordered by document, and one pass that remembers the
 window of the current anchor marks the later ones. Anchors of very many documents are found
 beforehand and salted; the few first owners per salt are then compared by a map-side minimum.
 
-Input: columns doc_id and text, others pass through untouched. A null text has no words. A null
+Input: columns doc_id and text, others pass through untouched (one named like a result column is
+replaced). A null text has no words. A null
 doc_id is neither a reference nor cut. Rows that repeat a doc_id are the same document and repeat its
 text: they never remove from each other. An empty table gives an empty result."""
 
@@ -40,6 +41,8 @@ _SEEDS = "doc_id long, start int, n int, ref_doc long, ref_start int, hot_h long
 _PARSED = "n_words long, n_removed long, kept_sha256 string, kept_text string, " \
           "factors array<struct<start:int,length:int,ref_doc:long,ref_start:int>>"
 
+_RESULTS = ("n_words", "n_removed", "kept_sha256", "kept_text", "factors", "_seeds")
+
 
 def _minimizers(grams: np.ndarray, size: int) -> np.ndarray:
     """Smallest of every `size` consecutive values, by doubling."""
@@ -204,7 +207,8 @@ def parse(docs: DataFrame, size: int = WINDOW, with_text: bool = True) -> DataFr
     space; null unless `with_text`) and the factors (start and length in words, source)."""
     by_doc = seeds(docs, size).groupBy(F.col("doc_id").alias("_doc")).agg(
         F.collect_list(F.struct("start", "n", "ref_doc", "ref_start")).alias("_seeds"))
-    joined = docs.join(by_doc, docs["doc_id"].cast("long") == by_doc["_doc"], "left").drop("_doc")
+    docs = docs.select(*(c for c in docs.columns if c not in _RESULTS))
+    joined = docs.join(by_doc, docs["doc_id"].cast("long") == by_doc["_doc"], "left").select(*(docs[c] for c in docs.columns), by_doc["_seeds"])
     names = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,6 +240,18 @@ def parse(docs: DataFrame, size: int = WINDOW, with_text: bool = True) -> DataFr
     return joined.mapInArrow(cut, schema)
 
 
+def cut_documents(docs: DataFrame, size: int = WINDOW) -> DataFrame:
+    """The columns of `docs` with duplicate spans cut from the texts (and n_chars, where there is one, set
+    anew). A text without a duplicate stays as it is; one of which no word is left goes."""
+    others = {c: f"_x{k}" for k, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    parsed = parse(docs.withColumnsRenamed(others), size).where("n_words = 0 or n_removed < n_words")
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
+    made = {"doc_id": F.col("doc_id"), "text": text} | {c: F.col(x) for c, x in others.items()}
+    if "n_chars" in made:
+        made["n_chars"] = F.when(F.col("n_removed") > 0, F.char_length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(made["n_chars"])
+    return parsed.select(*(made[c].alias(c) for c in docs.columns))
+
+
 def op10_substring_dedup(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return parse(docs, WINDOW, with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
