@@ -170,8 +170,10 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: i
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.avg("quality").alias("y"))
     chosen = stage(known.orderBy(*by_hash).limit(sample), "labelled")
     rows = _features(docs.join(chosen, "doc_id"))
-    train, held = [r for k, r in enumerate(rows) if k % 4], [r for k, r in enumerate(rows) if k % 4 == 0]
-    if len({r[0] for r in train}) < 2 or not held:
+    # every fourth row of either class is kept for the calibration
+    classes = [[r for r in rows if (r[0] >= 0.5) == good] for good in (False, True)]
+    train, held = ([r for c in classes for k, r in enumerate(c) if (k % 4 == 0) == out] for out in (False, True))
+    if not all(classes) or len({r[0] >= 0.5 for r in train}) < 2:
         rate = float(np.mean([r[0] for r in rows])) if rows else 0.5
         return docs.select(F.col("doc_id").cast("long"), *(F.lit(rate).alias(c) for c in ("content_score", "metadata_score", "score")))
     extra: list[list[tuple]] = [[], []]  # pseudo-labelled rows for each view

@@ -122,7 +122,7 @@ def divergence(docs: DataFrame) -> DataFrame:
     words = told.select("doc_id", "text_hash", "lang", _distance([*shares, rest]).alias("word_distance"))
     chars = [(F.col(c) / F.col("n_chars"), F.col(f"ref_{c}") / F.col("ref_n_chars")) for c in CHARS]
     measured = base.join(reference.select("lang", *(f"ref_{c}" for c in rows)), "lang", "left").withColumn(
-        "char_distance", F.when((F.col("n_chars") > 0), _distance(chars))).select(*base.columns, "char_distance")
+        "char_distance", F.when((F.col("n_chars") > 0) & F.col("ref_n_chars").isNotNull(), _distance(chars))).select(*base.columns, "char_distance")
     words = words.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash", "lang": "_lang"})
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")) & (F.col("lang") == F.col("_lang"))
     return measured.join(words, same, "left").drop("_id", "_hash", "_lang")

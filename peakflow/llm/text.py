@@ -104,7 +104,7 @@ def words_of(column: pa.Array, lower: bool = False) -> Words:
     before[1:len(data)] = inside[:-1]
     after[:len(data) - 1 if len(data) else 0] = inside[1:]
     before[offsets[:-1]] = False
-    after[np.maximum(offsets[1:], 1) - 1] = False
+    after[offsets[1:][np.diff(offsets) > 0] - 1] = False
     starts = np.flatnonzero(inside & ~before[:len(data)])
     ends = np.flatnonzero(inside & ~after[:len(data)]) + 1
     return Words(data, starts, ends, np.searchsorted(starts, offsets))
