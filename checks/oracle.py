@@ -10,14 +10,15 @@ import re
 from checks.fixtures import VIEWS
 
 
-def cut(x: str, decimals: int, alias: str | None = None) -> str:
-    """Same cut of a computed double as on the Spark side."""
-    scale = f"{float(10**decimals)}::DOUBLE"
-    return f"floor(({x}) * {scale} + 0.123456::DOUBLE) / {scale} AS {alias or x.split('.')[-1]}"
+def cut(x: str, alias: str | None = None, digits: int = 7) -> str:
+    """Same cut of a computed double to significant digits as on the Spark side."""
+    scale = f"pow(10.0::DOUBLE, {digits - 1} - floor(log10(abs({x}))))"
+    return f"""CASE WHEN abs({x}) < 1e-12 THEN 0.0::DOUBLE WHEN isnan({x}) OR isinf({x}) THEN {x}
+      ELSE floor(({x}) * {scale} + 0.123456::DOUBLE) / {scale} END AS {alias or x.split('.')[-1]}"""
 
 
-def cuts(**decimals: int) -> str:
-    return ", ".join(cut(c, d) for c, d in decimals.items())
+def cuts(*names: str) -> str:
+    return ", ".join(cut(c) for c in names)
 
 
 PEAK = "replicate_name, area_value, mz_value, rt_value, sn_value, alignment_id, metabolite_name"
@@ -63,9 +64,13 @@ STEPS["qc"] = f"SELECT *, {MSDIAL_TEXT} AS all_flags FROM flagged"
 
 # both ion modes, duplicates of the negative mode removed
 STEPS["pk2"] = f"SELECT {PEAK}, ion_column, {TOKEN} AS run_type FROM peaks_modes"
+# duplicates are looked for in samples and pools only, after the fix of the first dash
+STEPS["bm2"] = """
+SELECT * REPLACE (regexp_replace(replicate_name, '-', '.') AS replicate_name) FROM peaks_modes
+WHERE NOT regexp_matches(replicate_name, 'Blk|Std')"""
 STEPS["dup"] = """
 SELECT DISTINCT metabolite_name FROM (
-  SELECT metabolite_name FROM peaks_modes GROUP BY metabolite_name, replicate_name HAVING count(*) >= 2) t"""
+  SELECT metabolite_name FROM bm2 GROUP BY metabolite_name, replicate_name HAVING count(*) >= 2) t"""
 STEPS["qc2"] = """
 SELECT pk2.*, CASE WHEN area_value < 1000 THEN NULL ELSE area_value END AS area_with_qc FROM pk2
 WHERE NOT (metabolite_name IN (SELECT metabolite_name FROM dup) AND ion_column = 'HILICNeg')"""
@@ -446,9 +451,9 @@ SELECT {TQ}, area_with_qc, ir_flag, {SK_NAMES}, blank_flag,
 
 SQL["mode_duplicates"] = "SELECT * FROM dup"
 SQL["mode_duplicate_stats"] = f"""
-SELECT metabolite_name, ion_column, {cuts(means=4, std_devs=4)} FROM (
+SELECT metabolite_name, ion_column, {cuts("means", "std_devs")} FROM (
   SELECT metabolite_name, ion_column, avg(a) AS means, stddev_samp(a) AS std_devs FROM (
-    SELECT *, CASE WHEN area_value < 1000 THEN NULL ELSE area_value END AS a FROM peaks_modes
+    SELECT *, CASE WHEN area_value < 1000 THEN NULL ELSE area_value END AS a FROM bm2
     WHERE metabolite_name IN (SELECT metabolite_name FROM dup)) t GROUP BY metabolite_name, ion_column) u"""
 SQL["drop_mode_duplicates"] = f"SELECT ion_column, {PEAK} FROM qc2"
 
@@ -461,36 +466,36 @@ SELECT replicate_name, mass_feature, area_with_qc, count(*) AS weight FROM inj G
 SQL["is_raw_areas"] = f"""
 SELECT replicate_name, {PARTS}, mass_feature, area_with_qc FROM (SELECT * FROM int_one) t"""
 SQL["is_issues"] = SQL["is_raw_areas"] + " WHERE area_with_qc IS NULL"
-SQL["is_means"] = f"SELECT mass_feature, {cuts(average_area=4)} FROM means"
+SQL["is_means"] = f"SELECT mass_feature, {cuts("average_area")} FROM means"
 SQL["assert_same_replicates"] = """
 SELECT replicate_name, 'left' AS only_in FROM (
   SELECT replicate_name FROM int_is EXCEPT SELECT replicate_name FROM bm WHERE metabolite_name NOT IN (SELECT compound_name FROM is_dim)) a
 UNION ALL SELECT replicate_name, 'right' FROM (
   SELECT replicate_name FROM bm WHERE metabolite_name NOT IN (SELECT compound_name FROM is_dim) EXCEPT SELECT replicate_name FROM int_is) b"""
 SQL["bmis_candidates"] = f"""
-SELECT replicate_name, mass_feature, mis, area_with_qc, {cuts(adjusted_area=4)}, weight FROM (
+SELECT replicate_name, mass_feature, mis, area_with_qc, {cuts("adjusted_area")}, weight FROM (
   SELECT *, count(*) AS weight FROM cand GROUP BY ALL) t"""
 SQL["rsd_by_group"] = f"""
-SELECT metabolite_name, type, {cuts(rsd=9)} FROM (
+SELECT metabolite_name, type, {cuts("rsd")} FROM (
   SELECT metabolite_name, split_part(replicate_name, '_', 2) AS type,
     stddev_samp(area_with_qc) / nullif(avg(area_with_qc), 0) AS rsd FROM bm GROUP BY 1, 2) t"""
-SQL["pooled_rsd"] = f"SELECT mass_feature, mis, {cuts(rsd_of_poo=9)} FROM poo"
-SQL["pooled_rsd_corrected"] = f"SELECT mass_feature, mis, {cuts(rsd_of_poo=9)} FROM poo_one"
+SQL["pooled_rsd"] = f"SELECT mass_feature, mis, {cuts("rsd_of_poo")} FROM poo"
+SQL["pooled_rsd_corrected"] = f"SELECT mass_feature, mis, {cuts("rsd_of_poo")} FROM poo_one"
 SQL["bmis_pick"] = f"""
-SELECT mass_feature, mis, poo_picked_is, accept_mis, {cuts(rsd_of_poo=9, orig_rsd=9, del_rsd=9, percent_change=9)} FROM pick"""
+SELECT mass_feature, mis, poo_picked_is, accept_mis, {cuts("rsd_of_poo", "orig_rsd", "del_rsd", "percent_change")} FROM pick"""
 SQL["bmis_final"] = f"""
 SELECT mass_feature, poo_picked_is, accept_mis, final_bmis,
-  {cuts(orig_rsd=9, del_rsd=9, percent_change=9, final_rsd=9)} FROM final"""
+  {cuts("orig_rsd", "del_rsd", "percent_change", "final_rsd")} FROM final"""
 SQL["is_to_is_rsd"] = f"""
-SELECT s.mass_feature, s.mis, {cuts(rsd_of_smp=9)}, {cut('p.rsd_of_poo', 9)}, p.accept_mis FROM (
+SELECT s.mass_feature, s.mis, {cuts("rsd_of_smp")}, {cut('p.rsd_of_poo')}, p.accept_mis FROM (
   SELECT mass_feature, mis, {RSD} AS rsd_of_smp FROM cand
   WHERE split_part(replicate_name, '_', 2) = 'Smp' AND mass_feature IN (SELECT mass_feature FROM int_std)
   GROUP BY mass_feature, mis) s LEFT JOIN pick p ON p.mass_feature = s.mass_feature AND p.mis = s.mis"""
 SQL["bmis_quick_report"] = f"""
-SELECT {cut("avg(CASE WHEN final_bmis <> 'Inj_vol' THEN 1.0 ELSE 0.0 END)", 9, 'share_picked')},
+SELECT {cut("avg(CASE WHEN final_bmis <> 'Inj_vol' THEN 1.0 ELSE 0.0 END)", 'share_picked')},
   0.4::DOUBLE AS cut_off, 0.1::DOUBLE AS cut_off2 FROM final"""
 SQL["bmis_normalize"] = f"""
-SELECT * REPLACE ({cuts(orig_rsd=9, final_rsd=9, adjusted_area=4)}) FROM norm"""
+SELECT * REPLACE ({cuts("orig_rsd", "final_rsd", "adjusted_area")}) FROM norm"""
 
 SQL["standard_rows"] = "SELECT * FROM std_rows"
 SQL["standard_run_types"] = """
@@ -506,31 +511,31 @@ SELECT *, 'HILICPos' AS ion_column FROM rf
 WHERE contains(replicate_name, hilic_mix) OR contains(replicate_name, 'H2OInMatrix')"""
 SQL["rf_dimensions"] = "SELECT * FROM rf_dim"
 SQL["missing_rf"] = "SELECT DISTINCT metabolite_name FROM rf_dim WHERE rf IS NULL"
-SQL["rf_ratios"] = f"SELECT metabolite_name, {cuts(rf_ratio=9)} FROM ratio"
-
-UMOL = {"adjusted_area": 4, "rf_ratio": 9, "umol_in_vial_ave": 4, "umol_in_vial_max": 4, "umol_in_vial_min": 4}
-AMOUNTS = {**UMOL, "umol_in_vial_is": 9, "nmol_in_enviro_ave": 5}
-MOLECULES = {**AMOUNTS, "nmol_c_ave": 4, "nmol_n_ave": 4}
-TOTALS = {"total_c_measured_nm_per_id": 3, "total_n_measured_nm_per_id": 3}
-SUMMARY = {
-    f"{short}_{name}": 5 if short == "mol_c_fraction" else 4
-    for short in ("nmol_enviro", "nmol_c", "mol_c_fraction") for name in ("med", "min", "max")
-}
-SQL["quantify_response_factor"] = f"SELECT * REPLACE ({cuts(**UMOL)}) FROM quant"
+SQL["rf_ratios"] = f"SELECT metabolite_name, {cuts("rf_ratio")} FROM ratio"
+
+UMOL = ("adjusted_area", "rf_ratio", "umol_in_vial_ave", "umol_in_vial_max", "umol_in_vial_min")
+AMOUNTS = (*UMOL, "umol_in_vial_is", "nmol_in_enviro_ave")
+MOLECULES = (*AMOUNTS, "nmol_c_ave", "nmol_n_ave")
+TOTALS = ("total_c_measured_nm_per_id", "total_n_measured_nm_per_id")
+SUMMARY = tuple(f"{short}_{name}" for short in ("nmol_enviro", "nmol_c", "mol_c_fraction") for name in ("med", "min", "max"))
+SQL["quantify_response_factor"] = f"SELECT * REPLACE ({cuts(*UMOL)}) FROM quant"
 SQL["is_name_pairs"] = "SELECT * FROM pairs"
-SQL["quantify_internal_standard"] = f"SELECT * REPLACE ({cuts(umol_in_vial_is=9)}) FROM by_is"
-SQL["quantify_merge"] = f"SELECT * REPLACE ({cuts(**UMOL, umol_in_vial_is=9)}) FROM merged"
-SQL["environmental_nmol"] = f"SELECT * REPLACE ({cuts(**AMOUNTS)}) FROM enviro"
-SQL["carbon_nitrogen"] = f"SELECT * REPLACE ({cuts(**MOLECULES)}) FROM molecules"
-SQL["totals_per_sample"] = f"SELECT samp_id, {cuts(**TOTALS)} FROM totals"
+SQL["quantify_internal_standard"] = f"SELECT * REPLACE ({cuts("umol_in_vial_is")}) FROM by_is"
+SQL["quantify_merge"] = f"SELECT * REPLACE ({cuts(*UMOL, "umol_in_vial_is")}) FROM merged"
+SQL["environmental_nmol"] = f"SELECT * REPLACE ({cuts(*AMOUNTS)}) FROM enviro"
+SQL["carbon_nitrogen"] = f"SELECT * REPLACE ({cuts(*MOLECULES)}) FROM molecules"
+SQL["totals_per_sample"] = f"SELECT samp_id, {cuts(*TOTALS)} FROM totals"
 SQL["mole_fractions"] = f"""
-SELECT * EXCLUDE (samp_id) REPLACE ({cuts(**MOLECULES, **TOTALS, ratio_cn=4, mol_fraction_c=5, mol_fraction_n=5)})
+SELECT * EXCLUDE (samp_id) REPLACE ({cuts(*MOLECULES, *TOTALS, "ratio_cn", "mol_fraction_c", "mol_fraction_n")})
 FROM fractions"""
-SQL["compound_summary"] = f"SELECT metabolite_name, {cuts(**SUMMARY)} FROM summary ORDER BY metabolite_name DESC"
+SQL["compound_summary"] = f"SELECT metabolite_name, {cuts(*SUMMARY)} FROM summary ORDER BY metabolite_name DESC"
 
-#: In the two-mode analysis the same steps run on other peaks, and response factors on own mixes only.
+#: In the two-mode analysis the same steps run on other peaks, standard rows come from the table before
+#: duplicates go, and response factors on own mixes only.
 TWO_MODES = {
     "qc": STEPS["qc2"],
+    "qc_all": "SELECT pk2.*, CASE WHEN area_value < 1000 THEN NULL ELSE area_value END AS area_with_qc FROM pk2",
+    "std_rows": STEPS["std_rows"].replace("FROM qc q", "FROM qc_all q"),
     "rf": STEPS["rf"] + " AND (contains(substr(replicate_name, 1, length(replicate_name) - 2), hilic_mix)"
                         " OR contains(replicate_name, 'H2OInMatrix'))",
 }

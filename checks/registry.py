@@ -42,17 +42,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
 
-def cut(c: Column | str, decimals: int) -> Column:
-    """Cut a computed double for comparison.
+def cut(c: Column | str, digits: int = 7) -> Column:
+    """Cut a computed double to significant digits for comparison.
 
     The last bits depend on the order of a sum. The offset is no decimal half, so values on a short
     decimal grid never sit on the edge of a step."""
-    scale = float(10**decimals)
-    return F.floor(C.col(c) * scale + 0.123456) / scale
+    x = C.col(c)
+    scale = F.pow(F.lit(10.0), F.lit(digits - 1) - F.floor(F.log10(F.abs(x))))
+    return F.when(F.abs(x) < 1e-12, 0.0).when(F.isnan(x) | (F.abs(x) == float("inf")), x).otherwise(F.floor(x * scale + 0.123456) / scale)
 
 
-def cut_columns(df: DataFrame, **decimals: int) -> DataFrame:
-    return df.withColumns({c: cut(c, d) for c, d in decimals.items()})
+def cut_columns(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumns({c: cut(c) for c in names})
 
 
 # --- inputs -----------------------------------------------------------------------------------------
@@ -412,18 +413,19 @@ def tqs_qc_corrected(spark, sf):
 
 @query
 def mode_duplicates(spark, sf):
-    return D.mode_duplicates(peaks_modes(spark, sf))
+    return D.mode_duplicates(B.bmis_input(peaks_modes(spark, sf)))
 
 
 @query
 def mode_duplicate_stats(spark, sf):
-    table = peaks_modes(spark, sf).withColumn("area_with_qc", C.area_with_qc("area_value", QC.area_min))
-    return cut_columns(D.mode_duplicate_stats(table), means=4, std_devs=4)
+    table = B.bmis_input(peaks_modes(spark, sf)).withColumn("area_with_qc", C.area_with_qc("area_value", QC.area_min))
+    return cut_columns(D.mode_duplicate_stats(table), "means", "std_devs")
 
 
 @query
 def drop_mode_duplicates(spark, sf):
-    return D.drop_mode_duplicates(peaks_modes(spark, sf))
+    table = peaks_modes(spark, sf)
+    return D.drop_mode_duplicates(table, duplicates=D.mode_duplicates(B.bmis_input(table)))
 
 
 # --- best-matched internal standard ------------------------------------------------------------------
@@ -466,7 +468,7 @@ def is_raw_areas(spark, sf):
 
 @query
 def is_means(spark, sf):
-    return cut_columns(B.is_means(bmis_data(spark, sf), internal(spark, sf)), average_area=4)
+    return cut_columns(B.is_means(bmis_data(spark, sf), internal(spark, sf)), "average_area")
 
 
 @query
@@ -485,13 +487,13 @@ def _staged_data(spark, sf):
 @query
 def bmis_candidates(spark, sf):
     candidates = B.bmis_candidates(_staged_data(spark, sf), internal(spark, sf))
-    return cut_columns(candidates, adjusted_area=4)
+    return cut_columns(candidates, "adjusted_area")
 
 
 @query
 def rsd_by_group_query(spark, sf):
     rows = bmis_data(spark, sf).withColumn("type", C.replicate_part("replicate_name", 1))
-    return cut_columns(rsd_by_group(rows, ["metabolite_name", "type"], "area_with_qc"), rsd=9)
+    return cut_columns(rsd_by_group(rows, ["metabolite_name", "type"], "area_with_qc"), "rsd")
 
 
 def _pooled_rsd(spark, sf, mode=REFERENCE):
@@ -502,37 +504,37 @@ def _pooled_rsd(spark, sf, mode=REFERENCE):
 
 @query
 def pooled_rsd(spark, sf):
-    return cut_columns(_pooled_rsd(spark, sf), rsd_of_poo=9)
+    return cut_columns(_pooled_rsd(spark, sf), "rsd_of_poo")
 
 
 @query
 def pooled_rsd_corrected(spark, sf):
-    return cut_columns(_pooled_rsd(spark, sf, CORRECTED), rsd_of_poo=9)
+    return cut_columns(_pooled_rsd(spark, sf, CORRECTED), "rsd_of_poo")
 
 
 @query
 def bmis_pick(spark, sf):
     return cut_columns(
-        B.bmis_pick(_pooled_rsd(spark, sf)), rsd_of_poo=9, orig_rsd=9, del_rsd=9, percent_change=9
+        B.bmis_pick(_pooled_rsd(spark, sf)), "rsd_of_poo", "orig_rsd", "del_rsd", "percent_change"
     )
 
 
 @query
 def bmis_final(spark, sf):
     final = B.bmis_final(B.bmis_pick(_pooled_rsd(spark, sf)))
-    return cut_columns(final, orig_rsd=9, del_rsd=9, percent_change=9, final_rsd=9)
+    return cut_columns(final, "orig_rsd", "del_rsd", "percent_change", "final_rsd")
 
 
 @query
 def is_to_is_rsd(spark, sf):
     data, names = _staged_data(spark, sf), internal(spark, sf)
     pick = B.bmis_pick(B.pooled_rsd(B.candidate_moments(data, names, runs=B.is_pool())))
-    return cut_columns(B.is_to_is_rsd(data, names, pick), rsd_of_smp=9, rsd_of_poo=9)
+    return cut_columns(B.is_to_is_rsd(data, names, pick), "rsd_of_smp", "rsd_of_poo")
 
 
 @query
 def bmis_quick_report(spark, sf):
-    return cut_columns(B.bmis_quick_report(B.bmis_final(B.bmis_pick(_pooled_rsd(spark, sf)))), share_picked=9)
+    return cut_columns(B.bmis_quick_report(B.bmis_final(B.bmis_pick(_pooled_rsd(spark, sf)))), "share_picked")
 
 
 def _normalized(spark, sf):
@@ -541,7 +543,7 @@ def _normalized(spark, sf):
 
 @query
 def bmis_normalize(spark, sf):
-    return cut_columns(_normalized(spark, sf), orig_rsd=9, final_rsd=9, adjusted_area=4)
+    return cut_columns(_normalized(spark, sf), "orig_rsd", "final_rsd", "adjusted_area")
 
 
 # --- quantification ----------------------------------------------------------------------------------
@@ -590,7 +592,7 @@ def missing_rf(spark, sf):
 
 @query
 def rf_ratios(spark, sf):
-    return cut_columns(Q.rf_ratios(_rf(spark, sf)), rf_ratio=9)
+    return cut_columns(Q.rf_ratios(_rf(spark, sf)), "rf_ratio")
 
 
 def _normalized_peaks(spark, sf):
@@ -605,13 +607,13 @@ def _inputs(spark, sf):
     return checked, known, normalized, W.response_factor_tables(checked, known)
 
 
-UMOL = {"adjusted_area": 4, "rf_ratio": 9, "umol_in_vial_ave": 4, "umol_in_vial_max": 4, "umol_in_vial_min": 4}
+UMOL = ("adjusted_area", "rf_ratio", "umol_in_vial_ave", "umol_in_vial_max", "umol_in_vial_min")
 
 
 @query
 def quantify_response_factor(spark, sf):
     _, _, normalized, (_, ratios, ranges) = _inputs(spark, sf)
-    return cut_columns(Q.quantify_response_factor(normalized, ratios, ranges), **UMOL)
+    return cut_columns(Q.quantify_response_factor(normalized, ratios, ranges), *UMOL)
 
 
 def _pairs(inputs):
@@ -630,7 +632,7 @@ def _by_standard(inputs):
 
 @query
 def quantify_internal_standard(spark, sf):
-    return cut_columns(_by_standard(_inputs(spark, sf)), umol_in_vial_is=9)
+    return cut_columns(_by_standard(_inputs(spark, sf)), "umol_in_vial_is")
 
 
 @query
@@ -638,7 +640,7 @@ def quantify_merge(spark, sf):
     inputs = _inputs(spark, sf)
     _, _, normalized, (_, ratios, ranges) = inputs
     merged = Q.quantify_merge(Q.quantify_response_factor(normalized, ratios, ranges), _by_standard(inputs))
-    return cut_columns(merged, **UMOL, umol_in_vial_is=9)
+    return cut_columns(merged, *UMOL, "umol_in_vial_is")
 
 
 def _quantified(spark, sf):
@@ -646,50 +648,47 @@ def _quantified(spark, sf):
     return W.quantify(checked, normalized, known, QuantifyParams())
 
 
-AMOUNTS = {**UMOL, "umol_in_vial_is": 9, "nmol_in_enviro_ave": 5}
-ATOMS = {**AMOUNTS, "nmol_c_ave": 4, "nmol_n_ave": 4}
+AMOUNTS = (*UMOL, "umol_in_vial_is", "nmol_in_enviro_ave")
+ATOMS = (*AMOUNTS, "nmol_c_ave", "nmol_n_ave")
 
 
 @query
 def environmental_nmol(spark, sf):
     table = _quantified(spark, sf).molecules.drop("c", "n", "nmol_c_ave", "nmol_n_ave")
-    return cut_columns(table, **AMOUNTS)
+    return cut_columns(table, *AMOUNTS)
 
 
 @query
 def carbon_nitrogen(spark, sf):
-    return cut_columns(_quantified(spark, sf).molecules, **ATOMS)
+    return cut_columns(_quantified(spark, sf).molecules, *ATOMS)
 
 
-TOTALS = {"total_c_measured_nm_per_id": 3, "total_n_measured_nm_per_id": 3}
-SUMMARY = {
-    f"{short}_{name}": 5 if short == "mol_c_fraction" else 4
-    for short in ("nmol_enviro", "nmol_c", "mol_c_fraction") for name in ("med", "min", "max")
-}
+TOTALS = ("total_c_measured_nm_per_id", "total_n_measured_nm_per_id")
+SUMMARY = tuple(f"{short}_{name}" for short in ("nmol_enviro", "nmol_c", "mol_c_fraction") for name in ("med", "min", "max"))
 
 
 @query
 def totals_per_sample(spark, sf):
-    return cut_columns(_quantified(spark, sf).totals, **TOTALS)
+    return cut_columns(_quantified(spark, sf).totals, *TOTALS)
 
 
 @query
 def mole_fractions(spark, sf):
     return cut_columns(
-        _quantified(spark, sf).measurements, **ATOMS, **TOTALS, ratio_cn=4, mol_fraction_c=5, mol_fraction_n=5
+        _quantified(spark, sf).measurements, *ATOMS, *TOTALS, "ratio_cn", "mol_fraction_c", "mol_fraction_n"
     )
 
 
 @query
 def compound_summary(spark, sf):
-    return cut_columns(_quantified(spark, sf).summary, **SUMMARY)
+    return cut_columns(_quantified(spark, sf).summary, *SUMMARY)
 
 
 @query
 def analyse_two_modes(spark, sf):
     """Everything from raw peaks of both ion modes to the compound summary."""
     table = stage(peaks_modes(spark, sf), "peaks")
-    return cut_columns(W.analyse(table, standards(spark, sf)).summary, **SUMMARY)
+    return cut_columns(W.analyse(table, standards(spark, sf)).summary, *SUMMARY)
 
 
 _QUERIES["rsd_by_group"] = _QUERIES.pop("rsd_by_group_query")

@@ -10,7 +10,7 @@ from peakflow.functions.columns import fix_replicate_dash
 from peakflow.functions.joins import sized
 from peakflow.operators import bmis as B
 from peakflow.operators import quantify as Q
-from peakflow.operators.duplicates import drop_mode_duplicates
+from peakflow.operators.duplicates import drop_mode_duplicates, mode_duplicates
 from peakflow.operators.msdial import msdial_qc
 from peakflow.params import REFERENCE, BmisParams, QcParams, QuantifyParams, is_corrected
 from peakflow.sources.staging import stage
@@ -38,10 +38,17 @@ class Quantified:
         return Q.compound_summary(self.measurements)
 
 
-def quality_control(peaks: DataFrame, p: QcParams = QcParams(), mode: str = REFERENCE) -> DataFrame:
-    """Flagged peaks as a hand-over table, without the duplicates of the negative ion mode."""
+def quality_control(
+    peaks: DataFrame, p: QcParams = QcParams(), mode: str = REFERENCE
+) -> tuple[DataFrame, DataFrame]:
+    """Flagged peaks as a hand-over table, and the same without the duplicates of the negative ion mode.
+
+    Duplicates are compounds seen twice in one sample or pool; blanks and standards do not count. Response
+    factors rest on the first table, everything else on the second."""
     qc = stage(msdial_qc(peaks, p, mode), "qc")
-    return drop_mode_duplicates(qc) if "ion_column" in peaks.columns else qc
+    if "ion_column" not in peaks.columns:
+        return qc, qc
+    return qc, drop_mode_duplicates(qc, duplicates=mode_duplicates(B.bmis_input(qc)))
 
 
 def response_factor_tables(
@@ -55,10 +62,12 @@ def response_factor_tables(
 
 def quantify(
     qc: DataFrame, normalized: DataFrame, standards: DataFrame, p: QuantifyParams = QuantifyParams(),
-    mode: str = REFERENCE,
+    mode: str = REFERENCE, measured: DataFrame | None = None,
 ) -> Quantified:
-    """Both quantification routes, merged, with carbon and nitrogen."""
-    rows, ratios, ranges = response_factor_tables(qc, standards, p, mode)
+    """Both quantification routes, merged, with carbon and nitrogen.
+
+    `measured` is the quality-controlled table that holds the standard runs, where it is not `qc`."""
+    rows, ratios, ranges = response_factor_tables(qc if measured is None else measured, standards, p, mode)
     known = Q.known_standards(standards, p.column_type)
     pairs = Q.is_name_pairs(normalized, ratios, known)
     # Corrected: both routes spell replicate names alike, so that they meet.
@@ -77,7 +86,7 @@ def analyse(
     mode: str = REFERENCE,
 ) -> Quantified:
     """Quality control, duplicate removal, normalisation and quantification of one peak table."""
-    qc = quality_control(peaks, qc_params, mode)
+    measured, qc = quality_control(peaks, qc_params, mode)
     internal = B.internal_standards(standards, quantify_params.column_type, mode)
     normalized = stage(B.bmis_normalize(B.bmis_input(qc), internal, bmis_params, mode), "normalized")
-    return quantify(qc, normalized, standards, quantify_params, mode)
+    return quantify(qc, normalized, standards, quantify_params, mode, measured)
