@@ -457,6 +457,9 @@ SELECT metabolite_name, ion_column, {cuts("means", "std_devs")} FROM (
     WHERE metabolite_name IN (SELECT metabolite_name FROM dup)) t GROUP BY metabolite_name, ion_column) u"""
 SQL["drop_mode_duplicates"] = f"SELECT ion_column, {PEAK} FROM qc2"
 
+SQL["dimension_by_header"] = """
+SELECT compound_name, compound_name_original, compound_type, column_type, concentration_um, hilic_mix, empirical_formula FROM standards"""
+
 SQL["internal_standards"] = "SELECT * FROM is_dim"
 SQL["semi_internal_standards"] = f"SELECT {PEAK} FROM peaks WHERE metabolite_name IN (SELECT compound_name FROM is_dim)"
 SQL["anti_internal_standards"] = f"SELECT {PEAK} FROM peaks WHERE metabolite_name NOT IN (SELECT compound_name FROM is_dim)"

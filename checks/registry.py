@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,7 +24,7 @@ from peakflow.operators import tidy as T
 from peakflow.params import CORRECTED, REFERENCE, QcParams, QuantifyParams
 from peakflow.plans import workflow as W
 from peakflow.schema import PEAKS, SKYLINE_NUMERIC
-from peakflow.sources.readers import read_wide
+from peakflow.sources.readers import load_standards, read_wide
 from peakflow.sources.staging import stage, staging_dir
 
 QC = QcParams()
@@ -115,6 +116,19 @@ def transitions(spark, sf):
     return sized(view(spark, sf, "transitions"))
 
 
+@query
+def dimension_by_header(spark, sf):
+    """The dimension written with vendor headers, shuffled and extra columns, and read back by name."""
+    folder = f"{staging_dir(spark).rstrip('/')}/dimension-{uuid.uuid4().hex}"
+    standards(spark, sf).select(
+        F.col("hilic_mix").alias("HILIC_Mix"), F.lit("x").alias("Extra"), F.col("compound_type").alias("Compound_Type"),
+        F.col("concentration_um").alias("Concentration_uM"), F.col("compound_name").alias("Compound_Name"),
+        F.col("empirical_formula").alias("Empirical_Formula"), F.col("column_type").alias("Column"),
+        F.col("compound_name_original").alias("Compound_Name_Original"), F.lit(1).alias("Mass"),
+    ).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
+    return load_standards(spark, folder)
+
+
 # --- names and scalars ------------------------------------------------------------------------------
 
 

@@ -102,7 +102,7 @@ def _with_ion_ratio(samples: DataFrame, mode: str) -> DataFrame:
         return samples.withColumn("ir_ratio", ratio)
 
     def first(trace: str):
-        return F.min_by(F.col("area"), F.when(F.col(trace), F.col("replicate_name")))
+        return F.min_by(F.col("area"), F.when(F.col(trace), F.struct("replicate_name", "product_mz")))
 
     ratios = sized(samples.groupBy(COMPOUND).agg(
         F.when(F.bool_or("significant_size"), safe_div(first("quan_trace"), first("second_trace"))).alias("ir_ratio")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from peakflow.functions.columns import (
     BLANK_ANY_CASE, SAMPLE_OR_POOL, SAMPLE_OR_POOL_ANY_CASE, STANDARD_ANY_CASE, area_with_qc, flag, open_max,
-    open_min, outside, safe_div, skyline_flag_text, strict_max, strict_min,
+    open_min, outside, run_type, safe_div, skyline_flag_text, strict_max, strict_min,
 )
 from peakflow.functions.joins import null_safe_join, sized
 from peakflow.params import REFERENCE, QcParams, is_corrected
@@ -138,4 +138,5 @@ def skyline_qc(df: DataFrame, p: QcParams = QcParams(), mode: str = REFERENCE) -
 
 def to_peaks(qc: DataFrame) -> DataFrame:
     """Rename a quality-controlled long export so that the normalisation steps can read it."""
-    return qc.withColumnsRenamed({COMPOUND: "metabolite_name", "area": "area_value"})
+    named = qc.withColumnsRenamed({COMPOUND: "metabolite_name", "area": "area_value"})
+    return named.withColumn("run_type", run_type("replicate_name"))

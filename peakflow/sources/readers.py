@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,17 +26,43 @@ def _matching(df: DataFrame, pattern: str | None, ignore_case: bool = False) ->
     return df.filter(F.col("_metadata.file_name").rlike(("(?i)" if ignore_case else "") + pattern))
 
 
-def _scan_csv(
-    spark: SparkSession, path: str, columns: T.StructType, pattern: str | None, header: bool = True
-) -> DataFrame:
-    reader = spark.read.schema(columns).option("header", header).option("nullValue", "NA")
+#: Headers whose plain spelling is not the column's name here.
+_ALIASES = {"column": "column_type", "2nd_trace": "second_trace"}
+
+
+def column_name(header: str) -> str:
+    """Plain spelling of a header: small letters, everything else an underscore."""
+    plain = re.sub(r"[^0-9a-z]+", "_", header.strip().lower()).strip("_")
+    return _ALIASES.get(plain, plain)
+
+
+def _scan_csv(spark: SparkSession, path: str, columns: T.StructType, pattern: str | None) -> DataFrame:
+    """Text columns of CSV files, bound by the names in their header; further columns are ignored.
+
+    All files must have the same header; Spark checks it file by file. Names alone are listed first, so
+    that files outside the pattern neither give the header nor are read."""
+    names = _matching(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path), pattern)
+    paths = [r.path for r in names.select("path").collect()]
+    if not paths:
+        return spark.createDataFrame([], schema._strings(*columns.names))
+    raw = spark.read.option("header", True).option("enforceSchema", False).option("nullValue", "NA").csv(sorted(paths))
+    found = {column_name(c): c for c in reversed(raw.columns)}
+    missing = [c for c in columns.names if c not in found]
+    if missing:
+        raise ValueError(f"{path}: no column for {', '.join(missing)} among {', '.join(raw.columns)}")
+    return raw.select(*(F.col("`" + found[c].replace("`", "``") + "`").cast("string").alias(c) for c in columns.names))
+
+
+def _scan_rows(spark: SparkSession, path: str, columns: T.StructType, pattern: str | None) -> DataFrame:
+    """CSV rows after the first line of each file, bound by position."""
+    reader = spark.read.schema(columns).option("header", True).option("nullValue", "NA")
     return _matching(reader.option("recursiveFileLookup", True).csv(path), pattern)
 
 
 def read_csv(
     spark: SparkSession, path: str, columns: T.StructType, pattern: str | None = None
 ) -> DataFrame:
-    """CSV files of one layout. "NA" and empty cells are missing; numbers are read from text."""
+    """CSV files of one layout, columns by name in any order. "NA" and empty cells are missing; numbers are read from text."""
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in columns])
     raw = _scan_csv(spark, path, text, pattern)
     return raw.select(*[
@@ -86,7 +114,7 @@ def wide_header(spark: SparkSession, path: str, pattern: str | None = None) -> D
     the first line with a first cell is the header, and the rest is data. Files may differ in header
     and width and may be split over tasks: the header is the line at the smallest file position."""
     names = [f"_c{i}" for i in range(_widest_row(spark, path, pattern))]
-    rows = _scan_csv(spark, path, schema._strings(*names), pattern).select(
+    rows = _scan_rows(spark, path, schema._strings(*names), pattern).select(
         dataset_name(F.col("_metadata.file_name")).alias("source_file"),
         F.col("_metadata.file_path").alias("_path"),
         F.struct(
@@ -94,8 +122,8 @@ def wide_header(spark: SparkSession, path: str, pattern: str | None = None) -> D
         ).alias("_at"),
         F.array(*names).alias("cells"),
     ).filter(F.coalesce(F.col("cells")[0], F.lit("")) != "")
-    headers = sized(rows.groupBy("_path").agg(F.min_by("cells", "_at").alias("header")))
-    return rows.join(headers, "_path").filter(~F.col("cells").eqNullSafe(F.col("header"))).select(
+    headers = sized(rows.groupBy("_path").agg(F.min_by("cells", "_at").alias("header"), F.min("_at").alias("_first")))
+    return rows.join(headers, "_path").filter(F.col("_at") != F.col("_first")).select(
         "source_file", "header", "cells"
     )
 

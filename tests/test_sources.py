@@ -96,6 +96,18 @@ def test_dimensions(spark, tmp_path):
     assert listed[50.1]["second_trace"] == "" and listed[70.2]["quan_trace"] == "no"
 
 
+def test_columns_are_bound_by_name(spark, tmp_path):
+    (tmp_path / "standards.csv").write_text(
+        "Compound_Type,Extra,Empirical_Formula,Concentration_uM,Column,HILIC_Mix,Compound_Name,Compound_Name_Original\n"
+        "Internal Standard,zz,C2,2.5,HILIC,Mix1,A,Old\n")
+    row = R.load_standards(spark, str(tmp_path / "standards.csv")).first()
+    assert (row.compound_name, row.compound_type, row.concentration_um, row.column_type) == ("A", "Internal Standard", 2.5, "HILIC")
+    (tmp_path / "short.csv").write_text("Compound_Type,Compound_Name\nx,A\n")
+    with pytest.raises(ValueError, match="concentration_um"):
+        R.load_standards(spark, str(tmp_path / "short.csv"))
+    assert R.read_long(spark, str(tmp_path), pattern="nothing").count() == 0
+
+
 def test_results_round_trip(spark, tmp_path):
     day = dt.date(2020, 1, 2)
     df = spark.createDataFrame([("r", 1.5), (None, None)], "replicate_name string, area double")
