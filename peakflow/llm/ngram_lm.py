@@ -11,13 +11,14 @@ Spark moves tokens as packed blocks: each task deals its (document, bigram, coun
 parts whose number follows the size of the corpus, and a part counts its bigrams and scores the documents'
 entries at once. Entries are combined per document first, so a bigram that makes up a third of all
 tokens is one entry per document. Only the frequent words, sums and the EM histogram (bucket by likelihood ratio)
-reach the driver; all are bounded.
+reach the driver; all are bounded. What a part finds out about the documents of a slice goes back as one row of packed sums.
 
 Input: columns doc_id and text. A null text is the end token alone. A null doc_id counts as the
 empty text in the split. Repeated rows count as often as they occur and get equal scores."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,8 +37,10 @@ _END_HASH = np.uint64(0x45AC1F0D9A3B7C11)
 _TEST, _KEPT, _DELETED = 0, 1, 2
 _BIN, _BINS = 0.1, 400  # steps of the logarithm of the likelihood ratio, the first is for ratio zero
 
-_BLOCKS = "part long, keys binary, n binary, sizes binary, docs binary, crc binary, role binary"
-_SUMS = "doc_key long, crc long, score double, logs double, tokens long, known long, ends long"
+_BLOCKS = "part long, slice long, keys binary, n binary, sizes binary, docs binary, role binary"
+_SUMS = "slice long, kind int, docs binary, x binary, y binary, about binary"
+_SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+_HEAD = np.dtype([("key", np.int64), ("role", np.uint8), ("tokens", np.int64), ("rare", np.int64), ("unseen", np.int64), ("logs", np.float64)])
 
 
 @dataclass
@@ -58,17 +61,16 @@ class Unigrams:
     def unknown(self) -> int:
         return len(self.words)
 
-    def tables(self, kept: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Context counts and unigram probabilities by id; then the class of other words and the start."""
+    def tables(self, kept: bool) -> tuple[np.ndarray, np.ndarray, float]:
+        """Context counts and unigram probabilities by id, then of the class of other words and the
+        start; and the add-one counts of that class. A frequent word not seen here counts as seen once less."""
         n = (self.kept if kept else self.counts).astype(float)
         total, distinct = (self.total_kept, self.distinct_kept) if kept else (self.total, self.distinct)
         shown = int((n > 0).sum())
         contexts = np.concatenate([n, [total - n.sum(), self.docs_kept if kept else self.docs]])
-        rest = (total - n.sum()) + (distinct - shown) + 1
-        mass = np.concatenate([n + (n > 0), [rest, 0.0]]) / (total + distinct + 1)
-        # a word seen only in deleted documents takes the place of an unseen one
-        mass[:-2][n == 0] = 1 / (total + distinct + 1)
-        return contexts, mass
+        rest = (total - n.sum()) + (distinct - shown) + 1.0
+        counts = np.concatenate([np.where(n > 0, n + 1, 1.0), [rest, 0.0]])
+        return contexts, counts / counts.sum(), rest
 
 
 def _tokens(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -143,20 +145,22 @@ def unigrams(prepared: DataFrame, parts: int, vocabulary: int = VOCABULARY) -> U
     return Unigrams(words[order], counts, kept, s[0], s[1], s[2], s[3], ends[0], ends[1])
 
 
-def _packed(part_of: np.ndarray, keys: np.ndarray, n: np.ndarray, text: np.ndarray, ids: tuple[np.ndarray, ...], rows: list) -> None:
-    """One row per part: its entries by document."""
+def _packed(part_of: np.ndarray, keys: np.ndarray, n: np.ndarray, text: np.ndarray, role: np.ndarray, name: int, rows: list) -> None:
+    """One row per part: its entries by document, which are numbered within the slice."""
     order = np.lexsort((text, part_of))
     part_of, keys, n, text = part_of[order], keys[order], n[order].astype(np.uint32), text[order]
-    edges = np.flatnonzero(np.diff(part_of, prepend=-1))
+    edges = np.flatnonzero(np.append(True, part_of[1:] != part_of[:-1]))
     for a, b in zip(edges, [*edges[1:], len(order)], strict=True):
         own, sizes = np.unique(text[a:b], return_counts=True)
-        rows.append((int(part_of[a]), keys[a:b].tobytes(), n[a:b].tobytes(), sizes.astype(np.uint32).tobytes(), *(x[own].tobytes() for x in ids)))
+        rows.append((int(part_of[a]), name, keys[a:b].tobytes(), n[a:b].tobytes(), sizes.astype(np.uint32).tobytes(),
+                     own.astype(np.uint32).tobytes(), role[own].tobytes()))
 
 
-def _entries(prepared: DataFrame, model: Unigrams, parts: int, rare: bool) -> DataFrame:
-    """Blocks of (document, bigram of ids, count); with `rare` also of the words beyond the vocabulary,
-    in parts of negative number."""
+def _entries(prepared: DataFrame, model: Unigrams, parts: int, all_kinds: bool) -> DataFrame:
+    """Blocks of (document, bigram of ids, count), in parts from 0. With `all_kinds` also of the words beyond
+    the vocabulary, in parts below 0, and a head of each slice of documents, in parts from `parts`."""
     vocabulary, unknown = model.words, model.unknown
+    logs = np.log10(np.append(model.counts + 1.0, 1.0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in X.slices(batches):
@@ -169,29 +173,38 @@ def _entries(prepared: DataFrame, model: Unigrams, parts: int, rare: bool) -> Da
             context[first[:-1]] = unknown + 1
             entry, n = np.unique(text << np.uint64(32) | context << np.uint64(16) | ids, return_counts=True)
             pair = (entry & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            about = (part.column("doc_key").to_numpy(), part.column("crc").to_numpy().astype(np.uint32), part.column("role").to_numpy().astype(np.uint8))
+            key, crc, role = (part.column(c).to_numpy() for c in ("doc_key", "crc", "role"))
+            role = role.astype(np.uint8)
+            name = int.from_bytes(hashlib.blake2b(key.tobytes() + crc.tobytes(), digest_size=8).digest(), "little", signed=True)
             rows: list[tuple] = []
-            _packed((X.mix(pair) % np.uint64(parts)).astype(np.int64), pair, n, (entry >> np.uint64(32)).astype(np.int64), about, rows)
-            if rare and (ids == unknown).any():
+            _packed((X.mix(pair) % np.uint64(parts)).astype(np.int64), pair, n, (entry >> np.uint64(32)).astype(np.int64), role, name, rows)
+            if all_kinds:
                 mine = ids == unknown
-                order = np.lexsort((tokens[mine], text[mine]))
-                t, w = text[mine][order], tokens[mine][order]
-                new = np.flatnonzero(np.append(True, (t[1:] != t[:-1]) | (w[1:] != w[:-1])))
-                _packed(-1 - (w[new] % np.uint64(parts)).astype(np.int64), w[new], np.diff(np.append(new, len(w))), t[new].astype(np.int64), about, rows)
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), *[pa.binary()] * 6), strict=True)],
-                                  names=["part", "keys", "n", "sizes", "docs", "crc", "role"])
+                head = np.zeros(part.num_rows, _HEAD)
+                head["key"], head["role"], head["tokens"] = key, role, np.diff(first)
+                head["rare"] = np.bincount(text.astype(np.int64), mine, minlength=part.num_rows)
+                head["unseen"] = np.bincount(text.astype(np.int64), ~mine & (logs[ids] == 0), minlength=part.num_rows)
+                head["logs"] = np.bincount(text.astype(np.int64), np.where(mine, 0.0, logs[ids]), minlength=part.num_rows)
+                rows.append((parts + name % parts, name, head.tobytes(), b"", b"", b"", b""))
+                if mine.any():
+                    order = np.lexsort((tokens[mine], text[mine]))
+                    t, w = text[mine][order], tokens[mine][order]
+                    new = np.flatnonzero(np.append(True, (t[1:] != t[:-1]) | (w[1:] != w[:-1])))
+                    _packed(-1 - (w[new] % np.uint64(parts)).astype(np.int64), w[new], np.diff(np.append(new, len(w))), t[new].astype(np.int64), role, name, rows)
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), *[pa.binary()] * 5), strict=True)],
+                                  names=["part", "slice", "keys", "n", "sizes", "docs", "role"])
 
     return prepared.mapInArrow(run, _BLOCKS)
 
 
 def _unpacked(table: pa.Table):
-    """Keys and counts of all entries, the place of their document, and the documents."""
+    """Keys and counts of all entries, the place of their document among the blocks' documents, and its role."""
     def joined(name, kind):
         return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
 
     pairs = table.column("part")[0].as_py() >= 0
     keys, n, sizes = joined("keys", np.uint32 if pairs else np.uint64), joined("n", np.uint32), joined("sizes", np.uint32)
-    return keys, n.astype(np.int64), np.repeat(np.arange(len(sizes)), sizes), (joined("docs", np.int64), joined("crc", np.uint32), joined("role", np.uint8))
+    return keys, n.astype(np.int64), np.repeat(np.arange(len(sizes)), sizes), joined("role", np.uint8)
 
 
 def bucket(contexts: np.ndarray) -> np.ndarray:
@@ -220,10 +233,10 @@ def weights(histogram: dict[tuple[int, int], int], rounds: int = 60) -> np.ndarr
 
 
 def learn_weights(prepared: DataFrame, model: Unigrams, parts: int) -> np.ndarray:
-    contexts, mass = model.tables(kept=True)
+    contexts, mass, _ = model.tables(kept=True)
 
     def run(table: pa.Table) -> pa.Table:
-        pair, n, where, (_, _, role) = _unpacked(table)
+        pair, n, where, role = _unpacked(table)
         role = role[where]
         kinds, at = np.unique(pair, return_inverse=True)
         seen = np.bincount(at, n * (role == _KEPT), minlength=len(kinds))
@@ -234,7 +247,7 @@ def learn_weights(prepared: DataFrame, model: Unigrams, parts: int) -> np.ndarra
         cell, back = np.unique(bucket(c) * _BINS + k, return_inverse=True)
         return pa.table({"cell": cell, "n": np.bincount(back, asked, minlength=len(cell)).astype(np.int64)})
 
-    counted = _entries(prepared.where(F.col("role") != _TEST), model, parts, rare=False).groupBy("part").applyInArrow(run, "cell long, n long")
+    counted = _entries(prepared.where(F.col("role") != _TEST), model, parts, all_kinds=False).groupBy("part").applyInArrow(run, "cell long, n long")
     sums = counted.groupBy("cell").agg(F.sum("n").alias("n")).collect()
     return weights({(r["cell"] // _BINS, r["cell"] % _BINS): r["n"] for r in sums})
 
@@ -249,39 +262,54 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     prepared = _prepared(docs, F.col("_held"))
     model = unigrams(prepared, parts)
     lam = learn_weights(prepared, model, parts)
-    contexts, mass = model.tables(kept=False)
-    counts, unknown, rest = model.counts, model.unknown, 0.0
-    rest = mass[unknown] * (model.total + model.distinct + 1)  # the mass of the class, in counts
+    contexts, mass, rest = model.tables(kept=False)
+    unknown, total = model.unknown, model.total
+    norm = float(np.log10(total + model.distinct + 1))
+    rest = float(np.log10(rest))
 
     def run(table: pa.Table) -> pa.Table:
-        keys, n, where, (doc, crc, role) = _unpacked(table)
+        part = table.column("part")[0].as_py()
+        names = table.column("slice")
+        if part >= parts:  # heads pass through
+            empty = pa.array([b""] * len(table), pa.binary())
+            return pa.table([names, pa.array([2] * len(table), pa.int32()), empty, empty, empty, table.column("keys")], names=["slice", "kind", "docs", "x", "y", "about"])
+        keys, n, where, role = _unpacked(table)
         kinds, at = np.unique(keys, return_inverse=True)
         seen = np.bincount(at, n * (role[where] != _TEST), minlength=len(kinds))
-        if keys.dtype == np.uint32:
-            word, c = (kinds & 0xFFFF).astype(np.int64), contexts[kinds >> 16]
+        if part >= 0:
+            c = contexts[kinds >> 16]
             weight = lam[bucket(c)]
-            value = np.log10(weight * seen / np.maximum(c, 1) + (1 - weight) * mass[word])
-            n_word = np.append(counts, 0)[word]
-            logs, tokens, known = np.log10(n_word + 1.0), np.ones(len(kinds)), (n_word > 0).astype(float)
-            ends = (vocabulary[np.minimum(word, unknown - 1)] == _END_HASH) & (word < unknown)
+            value = np.log10(weight * seen / np.maximum(c, 1) + (1 - weight) * mass[kinds & 0xFFFF])
         else:
-            logs = np.log10(seen + 1.0)
-            value, tokens, known, ends = logs - np.log10(rest), np.zeros(len(kinds)), (seen > 0).astype(float), np.zeros(len(kinds))
-        sums = [np.bincount(where, n * x[at], minlength=len(doc)) for x in (value, logs, tokens, known, ends)]
-        return pa.table([pa.array(doc), pa.array(crc.astype(np.int64)), *(pa.array(s) for s in sums[:2]), *(pa.array(s.astype(np.int64)) for s in sums[2:])],
-                        names=["doc_key", "crc", "score", "logs", "tokens", "known", "ends"])
-
-    vocabulary = model.words
-    sums = _entries(prepared, model, parts, rare=True).groupBy("part").applyInArrow(run, _SUMS)
-    by_doc = sums.groupBy("doc_key", "crc").agg(*(F.sum(c).alias(c) for c in ("score", "logs", "tokens", "known", "ends")))
-    rows = docs.select("doc_id", F.col("_held").alias("held_out"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_key"),
-                       F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("crc"))
-    norm = float(np.log10(model.total + model.distinct + 1))
-    each = {c: (F.col(c) / F.col("ends")) for c in ("tokens", "known", "score", "logs")}  # repeated rows were summed
-    return rows.join(by_doc, ["doc_key", "crc"]).select(
-        "doc_id", "held_out", each["tokens"].cast("long").alias("n_tokens"), each["known"].cast("long").alias("n_known"),
-        F.lit(int(model.total)).cast("long").alias("train_tokens"),
-        (each["logs"] - each["tokens"] * F.lit(norm)).alias("base_score"), each["score"].alias("score"))
+            value = np.log10(seen + 1.0)
+        x = np.bincount(where, n * value[at], minlength=len(role))
+        y = np.bincount(where, n * (seen > 0)[at], minlength=len(role)).astype(np.int64) if part < 0 else np.empty(0, np.int64)
+        cut = np.cumsum([0, *(len(d) // 4 for d in table.column("docs").to_pylist())])
+        return pa.table([names, pa.array([0 if part >= 0 else 1] * len(table), pa.int32()), table.column("docs"),
+                         pa.array([x[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()),
+                         pa.array([y[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()), pa.array([b""] * len(table), pa.binary())],
+                        names=["slice", "kind", "docs", "x", "y", "about"])
+
+    def finish(table: pa.Table) -> pa.Table:
+        kind, docs, x, y, about = (table.column(c).to_pylist() for c in ("kind", "docs", "x", "y", "about"))
+        heads = [np.frombuffer(a, _HEAD) for a, k in zip(about, kind, strict=True) if k == 2]
+        head, sums = heads[0], np.zeros((3, len(heads[0])))  # bigrams; logarithms and known tokens of other words
+        for k, d, v, u in zip(kind, docs, x, y, strict=True):
+            at = np.frombuffer(d, np.uint32)
+            if k == 0:
+                sums[0, at] += np.frombuffer(v, np.float64)
+            elif k == 1:
+                sums[1, at] += np.frombuffer(v, np.float64)
+                sums[2, at] += np.frombuffer(u, np.int64)
+        sums /= len(heads)  # a slice of equal rows occurs once for each of its repetitions
+        known = head["tokens"] - head["rare"] - head["unseen"] + np.round(sums[2]).astype(np.int64)
+        own = {"doc_id": pa.array(head["key"], mask=head["key"] == -(1 << 63)), "held_out": pa.array(head["role"] == _TEST), "n_tokens": pa.array(head["tokens"]), "n_known": pa.array(known),
+               "train_tokens": pa.array(np.full(len(head), total, np.int64)), "base_score": pa.array(head["logs"] + sums[1] - head["tokens"] * norm),
+               "score": pa.array(sums[0] + sums[1] - head["rare"] * rest)}
+        return pa.concat_tables([pa.table(own)] * len(heads))
+
+    sums = _entries(prepared, model, parts, all_kinds=True).groupBy("part").applyInArrow(run, _SUMS)
+    return sums.groupBy("slice").applyInArrow(finish, _SCORES)
 
 
 def op4_deleted_interpolation(spark, sf_dir):
