@@ -544,6 +544,21 @@ TWO_MODES = {
 }
 
 
+OWN_MIX = """
+SELECT s.* FROM {table} s LEFT JOIN (SELECT DISTINCT compound_name, hilic_mix FROM standards) m
+  ON m.compound_name IS NOT DISTINCT FROM s.precursor_ion_name
+WHERE {other} (contains(replicate_name, 'Std')
+  AND (contains(replicate_name, hilic_mix) OR regexp_matches(replicate_name, '(?i)H2OinMatrix')))"""
+#: The analysis of long exports: own mixes, then the flagged table under the names of the peak table.
+LONG = {
+    "sk_all": STEPS["sk"],
+    "sk": OWN_MIX.format(table="sk_all", other="NOT contains(replicate_name, 'Std') OR"),
+    "qc": f"SELECT replicate_name, precursor_ion_name AS metabolite_name, area AS area_value, area_with_qc, {TOKEN} AS run_type FROM sk_flagged",
+}
+SQL["keep_own_mixes"] = OWN_MIX.format(table="sk", other="")
+SQL["keep_own_mixes_corrected"] = OWN_MIX.format(table="sk", other="NOT contains(replicate_name, 'Std') OR")
+
+
 def with_steps(sql: str, steps: dict[str, str]) -> str:
     """Put the steps a statement needs in front of it, as common table expressions."""
     needed: list[str] = []
@@ -563,4 +578,5 @@ def with_steps(sql: str, steps: dict[str, str]) -> str:
 def oracle_sql() -> dict[str, str]:
     texts = {name: with_steps(sql, STEPS) for name, sql in SQL.items()}
     texts["analyse_two_modes"] = with_steps(SQL["compound_summary"], {**STEPS, **TWO_MODES})
+    texts["analyse_long"] = with_steps(SQL["compound_summary"], {**STEPS, **LONG})
     return texts

@@ -324,6 +324,16 @@ def cast_numeric_columns(spark, sf):
     return T.cast_numeric_columns(view(spark, sf, "skyline_raw"), SKYLINE_NUMERIC)
 
 
+@query
+def keep_own_mixes(spark, sf):
+    return S.keep_own_mixes(skyline(spark, sf), standards(spark, sf))
+
+
+@query
+def keep_own_mixes_corrected(spark, sf):
+    return S.keep_own_mixes(skyline(spark, sf), standards(spark, sf), CORRECTED)
+
+
 @query
 def standard_mix_filter(spark, sf):
     return S.standard_mix_filter(skyline(spark, sf), standards(spark, sf))
@@ -705,4 +715,11 @@ def analyse_two_modes(spark, sf):
     return cut_columns(W.analyse(table, standards(spark, sf)).summary, *SUMMARY)
 
 
+@query
+def analyse_long(spark, sf):
+    """Everything from a long export to the compound summary, on own mixes."""
+    table = stage(skyline(spark, sf), "long")
+    return cut_columns(W.analyse_long(table, standards(spark, sf), SKYLINE_QC, own_mixes=True).summary, *SUMMARY)
+
+
 _QUERIES["rsd_by_group"] = _QUERIES.pop("rsd_by_group_query")

@@ -12,7 +12,8 @@ from peakflow.operators import bmis as B
 from peakflow.operators import quantify as Q
 from peakflow.operators.duplicates import drop_mode_duplicates, mode_duplicates
 from peakflow.operators.msdial import msdial_qc
-from peakflow.params import REFERENCE, BmisParams, QcParams, QuantifyParams, is_corrected
+from peakflow.operators.skyline import keep_own_mixes, skyline_qc, to_peaks
+from peakflow.params import CORRECTED, REFERENCE, BmisParams, QcParams, QuantifyParams, is_corrected
 from peakflow.sources.staging import stage
 
 
@@ -38,17 +39,34 @@ class Quantified:
         return Q.compound_summary(self.measurements)
 
 
+def without_duplicates(qc: DataFrame) -> DataFrame:
+    """Rows of a quality-controlled table without the duplicates of the negative ion mode.
+
+    Duplicates are compounds seen twice in one sample or pool; blanks and standards do not count."""
+    if "ion_column" not in qc.columns:
+        return qc
+    return drop_mode_duplicates(qc, duplicates=mode_duplicates(B.bmis_input(qc)))
+
+
 def quality_control(
     peaks: DataFrame, p: QcParams = QcParams(), mode: str = REFERENCE
 ) -> tuple[DataFrame, DataFrame]:
-    """Flagged peaks as a hand-over table, and the same without the duplicates of the negative ion mode.
+    """Flagged peaks of wide exports as a hand-over table, and the same without duplicates.
 
-    Duplicates are compounds seen twice in one sample or pool; blanks and standards do not count. Response
-    factors rest on the first table, everything else on the second."""
+    Response factors rest on the first table, everything else on the second."""
     qc = stage(msdial_qc(peaks, p, mode), "qc")
-    if "ion_column" not in peaks.columns:
-        return qc, qc
-    return qc, drop_mode_duplicates(qc, duplicates=mode_duplicates(B.bmis_input(qc)))
+    return qc, without_duplicates(qc)
+
+
+def long_quality_control(
+    raw: DataFrame, standards: DataFrame, p: QcParams = QcParams(), mode: str = REFERENCE, own_mixes: bool | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The same for long exports. Of standard runs only those with the compound's own mix count, by
+    default where there are ion modes; all other runs stay."""
+    if own_mixes or (own_mixes is None and "ion_column" in raw.columns):
+        raw = keep_own_mixes(raw, standards, CORRECTED)
+    qc = stage(to_peaks(skyline_qc(raw, p, mode)), "qc")
+    return qc, without_duplicates(qc)
 
 
 def response_factor_tables(
@@ -86,7 +104,22 @@ def analyse(
     mode: str = REFERENCE,
 ) -> Quantified:
     """Quality control, duplicate removal, normalisation and quantification of one peak table."""
-    measured, qc = quality_control(peaks, qc_params, mode)
+    tables = quality_control(peaks, qc_params, mode)
+    return _concentrations(tables, standards, bmis_params, quantify_params, mode)
+
+
+def analyse_long(
+    raw: DataFrame, standards: DataFrame, qc_params: QcParams = QcParams(),
+    bmis_params: BmisParams = BmisParams(), quantify_params: QuantifyParams = QuantifyParams(),
+    mode: str = REFERENCE, own_mixes: bool | None = None,
+) -> Quantified:
+    """The same from a long export."""
+    tables = long_quality_control(raw, standards, qc_params, mode, own_mixes)
+    return _concentrations(tables, standards, bmis_params, quantify_params, mode)
+
+
+def _concentrations(tables, standards: DataFrame, bmis_params: BmisParams, quantify_params: QuantifyParams, mode: str) -> Quantified:
+    measured, qc = tables
     internal = B.internal_standards(standards, quantify_params.column_type, mode)
     normalized = stage(B.bmis_normalize(B.bmis_input(qc), internal, bmis_params, mode), "normalized")
     return quantify(qc, normalized, standards, quantify_params, mode, measured)
