@@ -100,6 +100,7 @@ def msdial_flag_text(flags: list[Column | str], mode: str = REFERENCE) -> Column
     Reference text keeps the separator of the last set flag when later ones are absent."""
     if is_corrected(mode):
         return blank_to_null(F.concat_ws(", ", *[col(f) for f in flags]))
+    # fixed values: the clean-up patterns here and in the next function
     text = F.replace(_spelled_out(flags), F.lit("NA, "), F.lit(""))
     return blank_to_null(F.replace(text, F.lit("NA"), F.lit("")))
 
@@ -140,6 +141,7 @@ def formula_atoms(formula: Column | str, mode: str = REFERENCE) -> tuple[Column,
     formula = col(formula)
     if is_corrected(mode):
         return _all_atoms(formula, "C"), _all_atoms(formula, "N")
+    # fixed values: the patterns
     carbon = F.regexp_substr(formula, F.lit(r"^C\d\d?"))
     nitrogen = F.regexp_substr(formula, F.lit(r"N\d"))
     return (

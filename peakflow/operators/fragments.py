@@ -10,22 +10,22 @@ from peakflow.functions.joins import null_safe_join, sized
 from peakflow.operators.skyline import COMPOUND, flag_columns, skyline_rt_reference, threshold_flags
 from peakflow.params import REFERENCE, QcParams, is_corrected
 
-#: Decimals to which two m/z values must agree to be the same product ion.
+#: Decimals to which two m/z values must agree, unless told otherwise, to be the same product ion.
 MZ_DECIMALS = 4
 
 _FRAGMENT = ["replicate_name", COMPOUND, "product_mz"]
 
 
-def attach_transitions(df: DataFrame, transitions: DataFrame) -> DataFrame:
+def attach_transitions(df: DataFrame, transitions: DataFrame, mz_decimals: int = MZ_DECIMALS) -> DataFrame:
     """Add whether a product ion is the quantitative or the secondary trace (NULL: not listed)."""
     second, quan = F.col("second_trace"), F.col("quan_trace")
     listed = sized(transitions.select(
         F.col("compound_name").alias(COMPOUND),
-        F.round("daughter", MZ_DECIMALS).alias("_mz"),
+        F.round("daughter", mz_decimals).alias("_mz"),
         F.when(quan.isNotNull(), quan != "no").alias("quan_trace"),
         F.when(second.isNotNull(), second != "").alias("second_trace"),
     ))
-    keyed = df.withColumn("_mz", F.round("product_mz", MZ_DECIMALS))
+    keyed = df.withColumn("_mz", F.round("product_mz", mz_decimals))
     return null_safe_join(keyed, listed, [COMPOUND, "_mz"]).drop("_mz")
 
 
@@ -117,6 +117,7 @@ def ion_ratio_flags(
     carry = [c for c in ("protein_name", "retention_time", "background", "height") if c in df.columns]
     samples = _with_ion_ratio(_checked(df, transitions, "Smp", mode, carry), mode)
     ratio = F.col("ir_ratio")
+    # fixed value: the label
     off = (ratio < F.col("ir_min") - p.ir_flex) | (ratio > F.col("ir_max") + p.ir_flex)
     return null_safe_join(samples, sized(ir_ref), [COMPOUND]).select(
         "replicate_name", COMPOUND, "precursor_mz", "product_mz", "area", "two_fragments",

@@ -46,6 +46,9 @@ def blank_reference(peaks: DataFrame, mode: str = REFERENCE) -> DataFrame:
     )
 
 
+# The flag labels below.
+
+
 def sn_area_flags(peaks: DataFrame, p: QcParams) -> DataFrame:
     return with_run_type(peaks).withColumns({
         "sn_flag": flag(F.col("sn_value") < p.sn_min, "SN.Flag"),

@@ -98,7 +98,7 @@ def threshold_flags(df: DataFrame, p: QcParams, mode: str = REFERENCE) -> DataFr
 
     Signal to noise is judged in samples and pools only, all other flags in every run. Only
     corrected mode judges the blank ratio."""
-    flags = {
+    flags = {  # fixed values: the labels
         "rt_flag": flag(outside("retention_time", "rt_min", "rt_max", p.rt_flex), "RT.Flag"),
         "height_min_flag": flag(F.col("height") < p.height_min, "height.min.Flag"),
         "overloaded_flag": flag(F.col("height") > p.height_max, "overloaded.Flag"),

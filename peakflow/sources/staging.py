@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _DIR_KEY = "spark.checkpoint.dir"
+#: Folders of local sessions that name none. The session's own setting is never touched.
+_local_folders: dict[str, str] = {}
 
 
 def staging_dir(spark: SparkSession) -> str:
@@ -17,9 +19,10 @@ def staging_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {_DIR_KEY} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="peakflow-")
-    spark.conf.set(_DIR_KEY, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="peakflow-")
+    return _local_folders[application]
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -38,7 +38,7 @@ def write_lines(df: DataFrame, path: str, run_date: dt.date) -> str:
 
 
 def quick_report_line(report: DataFrame) -> DataFrame:
-    """The share of matched features as one line of text."""
+    """The share of matched features as one line of text. Its wording."""
     return report.select(F.concat_ws(
         " ", F.lit("Percent of Mass Features that picked a BMIS:"), F.col("share_picked").cast("string"),
         F.lit("| RSD improvement cutoff"), F.col("cut_off").cast("string"),

@@ -108,3 +108,10 @@ def test_only_samples_and_pools_make_duplicates(spark):
     left = {(r.ion_column, r.replicate_name, r.metabolite_name) for r in qc.collect()}
     assert left == {(m, r, n) for m, r, n, *_ in rows if not (n == "B" and m == HILIC_NEGATIVE)}
     assert measured.filter("metabolite_name = 'B' and replicate_name like '%Std%'").count() == 1
+
+
+def test_staging_leaves_the_session_alone(spark):
+    from peakflow.sources.staging import staging_dir
+
+    before = spark.conf.get("spark.checkpoint.dir")
+    assert staging_dir(spark) == before == spark.conf.get("spark.checkpoint.dir")
