@@ -27,7 +27,7 @@ CHAR_LIMIT, CHAR_GUARD = 0.32, 200  # distance, characters
 WORD_LIMIT, WORD_GUARD = 0.40, 100  # distance, words
 REFERENCE_WORDS = 1_000  # words of a language below which it is no reference
 BROADCAST_ROWS = 100_000
-WORD = r"[^\x20\x09-\x0D]+"
+SPACES = r"[\x20\x09-\x0D]+"
 # character classes, besides white space and what none of them matches (mostly small letters)
 _CLASSES = {"upper": r"[A-Z]+", "digit": r"[0-9]+", "punct": r"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+", "wide": r"[^\x00-\x7F]+"}
 CHARS = ("lower", *_CLASSES, "space")
@@ -39,7 +39,11 @@ def _without(text: Column, pattern: str) -> Column:
 
 
 def _words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(text, SPACES), "")
+
+
+def _joined_hashes(array: str, step: int) -> Column:
+    return F.transform(array, lambda x, i: F.xxhash64(x, F.get(array, i + step)))
 
 
 def _repeated(docs: DataFrame, size: int) -> DataFrame:
@@ -48,8 +52,12 @@ def _repeated(docs: DataFrame, size: int) -> DataFrame:
     Only texts with an equal pair of window hashes sort them; the columns in between keep each array
     from being computed more than once."""
     n = F.size("w") - size + 1
-    windows = F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.slice("w", i, size))))
-    hashed = docs.withColumn("_h", windows)
+    hashed, width = docs.withColumn("_h1", F.transform("w", lambda x: F.xxhash64(x))), 1
+    while width < size:  # hashes of windows twice as wide from pairs that adjoin or overlap
+        step = min(width, size - width)
+        hashed = hashed.withColumn(f"_h{width + step}", _joined_hashes(f"_h{width}", step))
+        width += step
+    hashed = hashed.withColumn("_h", F.when(n > 0, F.slice(f"_h{size}", F.lit(1), n)))
     twice = hashed.withColumn("_s", F.when(F.size(F.array_distinct("_h")) < F.size("_h"), F.sort_array(
         F.transform("_h", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
     places = twice.withColumn("_p", F.sort_array(F.transform(F.filter(
@@ -58,7 +66,7 @@ def _repeated(docs: DataFrame, size: int) -> DataFrame:
     m = F.size("_p")
     steps = F.zip_with(F.slice("_p", F.lit(1), m - 1), F.slice("_p", F.lit(2), m - 1), lambda a, b: F.least(b - a, F.lit(size)))
     covered = F.when(m > 0, F.aggregate(steps, F.lit(0), lambda a, x: a + x) + size).otherwise(0)
-    return places.withColumn("n_repeat_words", covered.cast("long")).drop("_h", "_s", "_p")
+    return places.withColumn("n_repeat_words", covered.cast("long")).select(*docs.columns, "n_repeat_words")
 
 
 def measures(docs: DataFrame) -> DataFrame:
@@ -98,6 +106,29 @@ def common_words(docs: DataFrame, common: int = COMMON) -> DataFrame:
     return ranked.where(F.col("rank") <= common)
 
 
+def _word_distances(docs: DataFrame, reference: DataFrame) -> DataFrame:
+    """doc_id, text_hash, lang and word_distance of every row whose language has a reference.
+
+    A row's words become sorted ranks, whose runs are its counts; nothing is shuffled but the result."""
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.coalesce("lang", F.lit("")).alias("lang"), _words(text).alias("w"))
+    rows = rows.join(reference, "lang").where("size(w) > 0")
+    ranks = F.transform("w", lambda x: F.when(F.octet_length(x) <= F.col("longest"), F.array_position("common", x)))
+    rows = rows.withColumn("n", F.size("w")).withColumn("_s", F.sort_array(F.filter(ranks, lambda r: r > 0)))
+    ends = F.filter(F.transform("_s", lambda r, i: F.struct(r.cast("int").alias("r"), (i + 1).alias("upto"), (~r.eqNullSafe(F.get("_s", i + 1))).alias("last"))), lambda e: e["last"])
+    rows = rows.withColumn("_e", ends)
+    counts = F.transform("_e", lambda e, i: F.struct(
+        ((e["upto"] - F.coalesce(F.get("_e", i - 1)["upto"], F.lit(0))) / F.col("n")).alias("p"), (F.get("common_n", e["r"] - 1) / F.col("ref_n_words")).alias("q")))
+    rows = rows.withColumn("_c", counts)
+    listed = F.aggregate("common_n", F.lit(0.0), lambda a, x: a + x / F.col("ref_n_words"))
+    own = F.aggregate("_c", F.lit(0.0), lambda a, c: a + c["p"])
+    # a listed word that a text lacks adds its share of the language
+    present = F.aggregate("_c", F.lit(0.0), lambda a, c: a + _term(c["p"], c["q"]) - c["q"])
+    rows = rows.withColumn("_d", present + listed + _term(F.greatest(1 - own, F.lit(0.0)), F.greatest(1 - listed, F.lit(0.0))))
+    distance = F.sqrt(F.greatest(F.col("_d") / 2, F.lit(0.0))).alias("word_distance")
+    return rows.groupBy("doc_id", "text_hash", "lang").agg(F.max(distance).alias("word_distance"))
+
+
 def divergence(docs: DataFrame) -> DataFrame:
     """The measures of every row with char_distance and word_distance (null without a reference)."""
     base = stage(measures(docs), "measures")
@@ -105,21 +136,14 @@ def divergence(docs: DataFrame) -> DataFrame:
     totals = base.groupBy("lang").agg(*(F.sum(c).alias(f"ref_{c}") for c in rows)).where(F.col("ref_n_words") >= REFERENCE_WORDS)
     top = stage(common_words(docs), "common")
     small = top.count() <= BROADCAST_ROWS
-    lookup = F.broadcast(top) if small else top
-    # counts of the language's ranks, one row per document, summed where the words are
-    text = F.coalesce("text", F.lit(""))
-    each = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.coalesce("lang", F.lit("")).alias("lang"), F.explode(_words(text)).alias("word"))
-    found = each.join(lookup.select("lang", "word", "rank"), ["lang", "word"], "left")
-    names = [f"c{k}" for k in range(1, COMMON + 1)]
-    counted = found.groupBy("doc_id", "text_hash", "lang").agg(
-        F.count("*").alias("all"), *(F.count(F.when(F.col("rank") == k, 1)).alias(f"c{k}") for k in range(1, COMMON + 1)))
-    wide = top.groupBy("lang").agg(*(F.coalesce(F.sum(F.when(F.col("rank") == k, F.col("n"))), F.lit(0)).alias(f"ref_c{k}") for k in range(1, COMMON + 1)))
-    reference = totals.join(wide, "lang")
-    reference = F.broadcast(stage(reference, "reference")) if small else reference
-    told = counted.join(reference, "lang")
-    shares = [(F.col(c) / F.col("all"), F.col(f"ref_{c}") / F.col("ref_n_words")) for c in names]
-    rest = tuple(1.0 - reduce(lambda a, b: a + b, (s[k] for s in shares)) for k in (0, 1))
-    words = told.select("doc_id", "text_hash", "lang", _distance([*shares, rest]).alias("word_distance"))
+    # each language's words, their shares and longest length in one row of bounded size
+    listed = F.sort_array(F.collect_list(F.struct("rank", "word", "n")))
+    words_of = top.groupBy("lang").agg(listed.alias("_l")).select(
+        "lang", F.col("_l.word").alias("common"), F.col("_l.n").alias("common_n"),
+        F.array_max(F.transform("_l.word", lambda x: F.octet_length(x))).alias("longest"))
+    reference = stage(totals.join(words_of, "lang"), "reference")
+    reference = F.broadcast(reference) if small else reference
+    words = _word_distances(docs, reference.select("lang", "common", "common_n", "longest", "ref_n_words"))
     chars = [(F.col(c) / F.col("n_chars"), F.col(f"ref_{c}") / F.col("ref_n_chars")) for c in CHARS]
     measured = base.join(reference.select("lang", *(f"ref_{c}" for c in rows)), "lang", "left").withColumn(
         "char_distance", F.when((F.col("n_chars") > 0) & F.col("ref_n_chars").isNotNull(), _distance(chars))).select(*base.columns, "char_distance")
