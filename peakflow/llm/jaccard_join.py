@@ -30,7 +30,9 @@ from peakflow.llm.hot import frequent
 from peakflow.sources.staging import stage
 
 TILE = 1024  # rows of a tile's side
-_BITS = 2  # bitmap bits per element, rounded up to a power of two
+DENSE = 16  # candidate pairs per row up to which a tile hands on all
+_BITS = 2  # bitmap bits per element, rounded down to a power of two
+_FILTER = 1 << 23  # bits of the filter of wanted documents
 
 _SUMMARY = "doc_id long, n long, s1 long, s2 long, prefix array<long>, bitmap binary"
 
@@ -57,7 +59,7 @@ def _sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def bitmap(values: np.ndarray) -> np.ndarray:
     """Bits of a set of hashes, in a width that follows its size. A wider one folds into a narrower one."""
-    width = max(64, 1 << int(_BITS * len(values) - 1).bit_length())
+    width = max(64, 1 << (int(_BITS * len(values)).bit_length() - 1))
     bits = np.zeros(width, np.uint8)
     bits[values & np.uint64(width - 1)] = 1
     return np.packbits(bits, bitorder="little").view(np.uint64)
@@ -126,58 +128,92 @@ def _shared(num: int, den: int):
     return run
 
 
-def _tiles(num: int, den: int):
-    """Candidate pairs of one tile: rows of one token, or of two blocks of it."""
-
-    def run(table: pa.Table) -> pa.Table:
-        n = table.column("n").to_numpy()
-        order = np.lexsort((table.column("doc").to_numpy(), n))
-        n, doc, comp, side = n[order], *(table.column(c).to_numpy()[order] for c in ("doc", "comp", "side"))
-        failed = table.column("failed").to_pylist()
-        raw = table.column("bitmap").to_pylist()
-        bits = [np.frombuffer(raw[i], np.uint64) for i in order]
-        tested = {doc[k]: set(failed[i]) for k, i in enumerate(order) if failed[i]}
-        cross = len(set(side.tolist())) > 1
-        a_out, b_out, bound_out = [], [], []
-        widths = np.array([len(b) for b in bits])
-        stacks = {w: np.stack([_fold(b, w) for b in bits if len(b) >= w]) for w in set(widths.tolist())}
-        row_in = {w: np.cumsum(widths >= w) - 1 for w in stacks}
-        for i in range(len(n) - 1):
-            k = np.arange(i + 1, int(np.searchsorted(n, n[i] * den // num, side="right")))  # n[i] is the smaller size
-            k = k[(comp[k] != comp[i]) & ((side[k] != side[i]) if cross else True)]
-            if len(k) and doc[i] in tested:
-                k = k[[d not in tested[doc[i]] for d in doc[k].tolist()]]
-            if not len(k):
-                continue
-            w = widths[i]
-            missing = np.bitwise_count(bits[i] & ~stacks[w][row_in[w][k]]).sum(axis=1)
-            bound = n[i] - missing.astype(np.int64)
-            other = n[k] - np.bitwise_count(stacks[w][row_in[w][k]] & ~bits[i]).sum(axis=1).astype(np.int64)
-            bound = np.minimum(bound, other)
-            ok = bound * den >= num * (n[i] + n[k] - bound)
+def _passing(n, doc, comp, side, bits, failed, num: int, den: int):
+    """Pairs (places of rows ordered by size) of one tile whose bound passes, and the bounds."""
+    cross = (side != side[0]).any()
+    widths = np.array([len(b) for b in bits])
+    stacks = {w: np.stack([_fold(b, w) for b in bits if len(b) >= w]) for w in np.unique(widths).tolist()}
+    row_in = {w: np.cumsum(widths >= w) - 1 for w in stacks}
+    upto = np.searchsorted(n, n * den // num, side="right")
+    a_out, b_out, bound_out = [], [], []
+    for i in range(len(n) - 1):
+        k = np.arange(i + 1, upto[i])  # sizes from n[i] up to the largest that can reach the threshold
+        k = k[(comp[k] != comp[i]) & ((side[k] != side[i]) if cross else True)]
+        if len(k) and failed[i]:
+            k = k[~np.isin(doc[k], failed[i])]
+        if not len(k):
+            continue
+        other = stacks[widths[i]][row_in[widths[i]][k]]
+        bound = np.minimum(n[i] - np.bitwise_count(bits[i] & ~other).sum(axis=1).astype(np.int64),
+                           n[k] - np.bitwise_count(other & ~bits[i]).sum(axis=1).astype(np.int64))
+        ok = bound * den >= num * (n[i] + n[k] - bound)
+        if ok.any():
             a_out.append(np.full(ok.sum(), i))
             b_out.append(k[ok])
             bound_out.append(bound[ok] / (n[i] + n[k][ok] - bound[ok]))
-        a, b = (np.concatenate(x) if x else np.empty(0, int) for x in (a_out, b_out))
-        more = len(a) > 3 * len(n)
+    return tuple(np.concatenate(x) if x else np.empty(0, int) for x in (a_out, b_out, bound_out))
+
+
+def _forest(a, b, comp, bounds) -> list[int]:
+    """Edges of a spanning forest over components, best bounds first."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            root[x] = x = root.get(root[x], root[x])
+        return x
+
+    chosen = []
+    for e in np.argsort(-bounds, kind="stable").tolist():
+        x, y = find(int(comp[a[e]])), find(int(comp[b[e]]))
+        if x != y:
+            root[x] = y
+            chosen.append(e)
+    return chosen
+
+
+_TILE_KEY = ("token", "i", "j")
+
+
+def _tiles(num: int, den: int):
+    """Candidate pairs of tiles, whose rows follow each other. A tile has at most two blocks of rows."""
+
+    def tile(rows: pa.Table):
+        n = rows.column("n").to_numpy()
+        order = np.lexsort((rows.column("doc").to_numpy(), n))
+        n, doc, comp, side = n[order], *(rows.column(c).to_numpy()[order] for c in ("doc", "comp", "side"))
+        raw, failed = rows.column("bitmap").to_pylist(), rows.column("failed").to_pylist()
+        a, b, bounds = _passing(n, doc, comp, side, [np.frombuffer(raw[i], np.uint64) for i in order], [failed[i] for i in order], num, den)
+        more = len(a) > DENSE * len(n)
         if more:
-            root: dict[int, int] = {}
-
-            def find(x: int) -> int:
-                while root.get(x, x) != x:
-                    root[x] = x = root.get(root[x], root[x])
-                return x
-
-            chosen = []
-            for e in np.argsort(-np.concatenate(bound_out), kind="stable"):
-                x, y = find(int(comp[a[e]])), find(int(comp[b[e]]))
-                if x != y:
-                    root[x] = y
-                    chosen.append(e)
+            chosen = _forest(a, b, comp, bounds)
             a, b = a[chosen], b[chosen]
         x, y = doc[a], doc[b]
-        return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y), "token": np.full(len(a), table.column("token")[0].as_py(), np.int64),
-                         "more": np.full(len(a), more)})
+        return np.minimum(x, y), np.maximum(x, y), np.full(len(a), rows.column("token")[0].as_py(), np.int64), np.full(len(a), more)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def out(found):
+            return pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], names=["a", "b", "token", "more"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = [batch.column(c).to_numpy() for c in _TILE_KEY]
+            first = np.flatnonzero(np.append(True, np.any([k[1:] != k[:-1] for k in keys], axis=0)))
+            if held and tuple(held[-1].column(c)[0].as_py() for c in _TILE_KEY) != tuple(int(k[0]) for k in keys):
+                yield out([tile(pa.Table.from_batches(held))])
+                held = []
+            found = []
+            for a, b in zip(first[:-1], first[1:], strict=True):
+                found.append(tile(pa.Table.from_batches([*held, batch.slice(a, b - a)])))
+                held = []
+            if found:
+                yield out(found)
+            held.append(batch.slice(first[-1]))
+        if held:
+            yield out([tile(pa.Table.from_batches(held))])
 
     return run
 
@@ -200,14 +236,28 @@ def _verified(pairs: DataFrame, arrays: DataFrame, num: int, den: int) -> DataFr
 
 
 def _arrays(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """Sorted shingle hashes of the wanted documents, made where their texts are.
+
+    A filter of fixed size over hashed ids tells them from most others; the few it lets through
+    besides meet no pair."""
+    bit = F.pmod(F.xxhash64("doc"), F.lit(_FILTER))
+    cells = wanted.select((bit / 64).cast("int").alias("cell"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc), {_FILTER}) % 64 as int))").alias("b"))
+    held = np.zeros(_FILTER // 64, np.uint64)
+    for r in cells.groupBy("cell").agg(F.expr("bit_or(b)").alias("b")).collect():
+        held[r["cell"]] = np.uint64(r["b"] % (1 << 64))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in X.slices(batches):
-            values, first = _sets(part.column("text"), size)
-            yield pa.record_batch([part.column("doc_id"), pa.array([values[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary())],
-                                  names=["doc", "hashes"])
+        for batch in batches:
+            at = batch.column("bit").to_numpy()
+            mine = pa.array((held[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1) == 1)
+            for part in X.slices([batch.filter(mine)]):
+                values, first = _sets(part.column("text"), size)
+                yield pa.record_batch([part.column("doc_id"), pa.array([values[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary())],
+                                      names=["doc", "hashes"])
 
-    needed = docs.select(F.col("doc_id").cast("long"), "text").join(wanted, F.col("doc_id") == F.col("doc"), "left_semi")
-    return needed.mapInArrow(run, "doc long, hashes binary").dropDuplicates(["doc"])
+    doc = F.col("doc_id").cast("long")
+    rows = docs.where(doc.isNotNull()).select(doc.alias("doc_id"), F.pmod(F.xxhash64(doc), F.lit(_FILTER)).alias("bit"), "text")
+    return rows.mapInArrow(run, "doc long, hashes binary")
 
 
 def similar_groups(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -222,28 +272,31 @@ def similar_groups(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100
     summary = stage(_summaries(docs, size, num, den, frequent(ids, values)), "summaries")
     key = ["s1", "s2", "n"]
     classes = stage(summary.where("n > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("rep")), "classes")
-    reps = stage(summary.join(classes.select(*key, F.col("rep").alias("doc_id")), [*key, "doc_id"], "left_semi")
-                 .select(F.col("doc_id").alias("doc"), "n", "prefix", "bitmap"), "reps")
-    tokens = reps.select(F.explode("prefix").alias("token"), "n", "doc")
+    rep = classes.select(*key, F.col("rep").alias("doc_id"))
+    tokens = summary.join(rep, [*key, "doc_id"], "left_semi").select(F.explode("prefix").alias("token"), "n", F.col("doc_id").alias("doc"))
     shared = stage(tokens.repartition("token").sortWithinPartitions("token", "n", "doc")
                    .mapInArrow(_shared(num, den), "token long, n long, doc long, block long"), "shared")
+    # tokens of the same documents make the same tile; one of them is enough
+    about = shared.groupBy("token").agg(F.max("block").alias("last"), F.count("*").alias("rows"),
+                                        F.expr("bit_xor(xxhash64(doc))").alias("x"), F.expr("bit_xor(xxhash64(doc, n, block))").alias("y"))
+    one = about.groupBy("rows", "x", "y").agg(F.min("token").alias("token"), F.max("last").alias("last")).select("token", "last")
     # a long stretch is dealt to tiles of two blocks; blocks of other stretches of the token come along
-    blocks = shared.groupBy("token").agg(F.max("block").alias("last"))
-    long = blocks.where("last > 0")
     each = F.explode(F.sequence(F.lit(0), F.col("last"))).alias("other")
-    rows = shared.join(long, "token", "left").select("token", "n", "doc", "block", F.coalesce("last", F.lit(0)).alias("last")) \
-        .select("*", each).select("token", "n", "doc", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.col("block").alias("side"))
-    arrays = stage(_arrays(docs, shared.select("doc").distinct(), size), "shingles")
+    rows = stage(shared.join(one, "token").select("token", "n", "doc", "block", each)
+                 .select("token", "n", "doc", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.col("block").alias("side")), "tiles")
+    bitmaps = summary.join(rep, [*key, "doc_id"], "left_semi").select(F.col("doc_id").alias("doc"), "bitmap")
     links = failed = comps = active = None
     while True:
         told = rows if active is None else rows.join(active, "token", "left_semi")
-        told = told.join(reps.select("doc", "bitmap"), "doc")
+        told = told.join(bitmaps, "doc")
         told = told.withColumn("comp", F.col("doc")) if comps is None else told.join(
             comps.withColumnRenamed("node", "doc"), "doc", "left").withColumn("comp", F.coalesce("component", "doc")).drop("component")
         told = told.withColumn("failed", F.lit(None).cast("array<long>")) if failed is None else told.join(failed, "doc", "left")
-        found = stage(told.groupBy("token", "i", "j").applyInArrow(_tiles(num, den), "a long, b long, token long, more boolean"), "pairs")
-        pairs = found.select("a", "b").distinct()
-        tested = stage(_verified(pairs, arrays, num, den), "tested")
+        dealt = told.select(*_TILE_KEY, "side", "n", "doc", "comp", "failed", "bitmap").repartition(*_TILE_KEY).sortWithinPartitions(*_TILE_KEY)
+        found = stage(dealt.mapInArrow(_tiles(num, den), "a long, b long, token long, more boolean"), "pairs")
+        pairs = stage(found.select("a", "b").distinct(), "candidates")
+        wanted = pairs.select(F.col("a").alias("doc")).unionAll(pairs.select("b")).distinct()
+        tested = stage(_verified(pairs, stage(_arrays(docs, wanted, size), "shingles"), num, den), "tested")
         own = tested.where("linked").select("a", "b")
         links = own if links is None else links.unionAll(own)
         comps = stage(components(links), "components")

@@ -65,6 +65,7 @@ def test_groups_equal_brute_force(spark, rows, batches, size, num):
 def test_groups_over_many_tiles(spark, monkeypatch):
     """A dense group over several blocks: forests, failed pairs and more rounds."""
     monkeypatch.setattr(jaccard_join, "TILE", 16)
+    monkeypatch.setattr(jaccard_join, "DENSE", 1)
     rng = random.Random(5)
     base = brute.prose(rng, 60, 5_000).split()
     rows = []
