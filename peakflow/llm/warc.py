@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peakflow.sources.staging import staging_dir
+from peakflow.sources.staging import stage, staging_dir
 
 DATE = "2024-01-01T00:00:00Z"
 REVISIT_BYTES = 100
@@ -43,7 +43,8 @@ def captures_of(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
     own = F.struct("page_id", "url")
     # nulls sort first, but a page with an id is the better response
     known = long.where("page_id is not null").groupBy("digest").agg(F.min(F.struct("page_id", "url")).alias("known"))
-    again = again.join(known, "digest", "left").select("digest", F.coalesce("known", "first").alias("first"))
+    # stored, so that its size is known and a small one leaves the payloads where they are
+    again = stage(again.join(known, "digest", "left").select("digest", F.coalesce("known", "first").alias("first")), "repeated")
     joined = rows.join(again, "digest", "left")
     return joined.withColumn("first", F.when(~F.col("first").eqNullSafe(own), F.col("first")))
 
@@ -187,7 +188,8 @@ def op3_warc_transactions(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     folder = f"{staging_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
     write_archive(pages, folder)
-    return pages_of(assemble(read_records(spark, folder, with_payload=False)))
+    # headers and digests only; stored, so that the archives are read once for all joins
+    return pages_of(assemble(stage(read_records(spark, folder, with_payload=False), "records")))
 
 
 OP3_SQL = """
