@@ -169,7 +169,7 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: i
     by_hash = (F.xxhash64(F.col("doc_id").cast("string")), F.col("doc_id"))
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.avg("quality").alias("y"))
     chosen = stage(known.orderBy(*by_hash).limit(sample), "labelled")
-    rows = _features(docs.join(chosen, "doc_id"))
+    rows = _features(docs.join(F.broadcast(chosen), "doc_id"))  # at most `sample` ids and labels
     # every fourth row of either class is kept for the calibration
     classes = [[r for r in rows if (r[0] >= 0.5) == good] for good in (False, True)]
     train, held = ([r for c in classes for k, r in enumerate(c) if (k % 4 == 0) == out] for out in (False, True))
@@ -185,9 +185,9 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: i
 
     views = models()
     given: set[int] = set()
-    unlabelled = docs.join(known.select("doc_id"), "doc_id", "left_anti").where("doc_id is not null") if rounds else docs
     for _ in range(rounds):
-        scores = stage(_scored(unlabelled, views), "scores")
+        # the texts stay where they are; only scores meet the labels
+        scores = stage(_scored(docs, views).where("doc_id is not null").join(known.select("doc_id"), "doc_id", "left_anti"), "scores")
         fresh = []
         for k, name in enumerate(("content_score", "metadata_score")):
             for y, sure in ((1.0, F.col(name) >= CONFIDENT), (0.0, F.col(name) <= 1 - CONFIDENT)):
@@ -195,9 +195,10 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: i
                 fresh += [(r.doc_id, 1 - k, y) for r in [r for r in found if r.doc_id not in given][:pseudo]]
         if not fresh:
             break
+        # at most 4 * pseudo rows
         table = docs.sparkSession.createDataFrame(fresh, "doc_id long, view int, y double")
         for view in (0, 1):
-            extra[view] += _features(docs.join(table.where(F.col("view") == view).drop("view"), "doc_id"))
+            extra[view] += _features(docs.join(F.broadcast(table.where(F.col("view") == view).drop("view")), "doc_id"))
         given |= {r[0] for r in fresh}
         views = models()
     y = np.array([r[0] for r in held])
