@@ -7,7 +7,7 @@ parse covers exactly the words of all matching windows.
 
 The index is built and probed in one shuffle. Two equal windows hold the same minimizer (the smallest
 hash among their word 6-grams), so rows are dealt by that anchor, about one for every four or five
-words, and carry a 32-bit hash of each of their windows: windows are equal if the 64-bit anchor and
+words, and carry the 64-bit hash of each of their windows: windows are equal if the 64-bit anchor and
 this hash are. Rows arrive ordered by document, and one pass that remembers the first owner of each
 window of the current anchor marks the later ones. Anchors of very many documents are found
 beforehand and salted; the few first owners per salt are then compared by a map-side minimum.
@@ -89,9 +89,8 @@ def _runs(docs: DataFrame, size: int, hot: np.ndarray) -> DataFrame:
             text, start, count, first, hashes, anchors = _runs_of(X.words_of(part.column("text")), size)
             doc, h = ids[text], X.signed(anchors)
             salt = np.where(np.isin(h, hot), (X.mix(doc.astype(np.uint64)) % np.uint64(SALTS)).astype(np.int32) + 1, 0)
-            packed = (hashes >> np.uint64(32)).astype(np.uint32)
-            ends = np.append(first, len(packed)).astype(np.int32) * 4
-            w = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(packed)])
+            ends = np.append(first, len(hashes)).astype(np.int32) * 8
+            w = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(hashes))])
             columns = [pa.array(h), pa.array(salt.astype(np.int32)), pa.array(doc.astype(np.int64)),
                        pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32)), w]
             yield pa.record_batch(columns, names=["h", "salt", "doc_id", "start", "n", "w"])
@@ -118,10 +117,10 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = group == group[-1]
         use = np.flatnonzero((size[group] > 1) | (group == 0) | last | (salt > 0))
         offsets = np.frombuffer(batch.column(5).buffers()[1], np.int32)[batch.column(5).offset:][:len(h) + 1]
-        data = np.frombuffer(batch.column(5).buffers()[2] or b"", np.uint32)
+        data = np.frombuffer(batch.column(5).buffers()[2] or b"", np.uint64)
         row = np.repeat(use, n[use])
         within = np.arange(len(row)) - np.repeat(np.cumsum(n[use]) - n[use], n[use])
-        window = data[offsets[row] // 4 + within]
+        window = data[offsets[row] // 8 + within]
         g, d, s, hh, sa = group[row], doc[row], start[row] + within, h[row], salt[row]
         n_held = 0
         if held is not None and group[0] == 0:
@@ -129,10 +128,9 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             g, d, s = np.append(np.zeros(n_held, int), g), np.append(held[2], d), np.append(held[3], s)
             window = np.append(held[1], window)
             hh, sa, row = np.append(np.full(n_held, h[0]), hh), np.append(np.full(n_held, salt[0]), sa), np.append(np.full(n_held, -1), row)
-        both = (g.astype(np.uint64) << np.uint64(32)) | window.astype(np.uint64)
-        order = np.argsort(both, kind="stable")
+        order = np.argsort(window, kind="stable")  # groups ascend before, so equal windows of one stay together
         lead = np.ones(len(order), bool)
-        lead[1:] = both[order][1:] != both[order][:-1]
+        lead[1:] = (window[order][1:] != window[order][:-1]) | (g[order][1:] != g[order][:-1])
         owner = np.empty(len(order), np.int64)
         owner[order] = order[np.maximum.accumulate(np.where(lead, np.arange(len(order)), 0))]
         later = d > d[owner]
@@ -157,7 +155,7 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.concat_arrays([pa.array(ref_doc[f]), pa.nulls(len(c), pa.int64())]),
             pa.concat_arrays([pa.array((s[k] + shift)[f].astype(np.int32)), pa.nulls(len(c), pa.int32())]),
             pa.concat_arrays([none, pa.array(hh[c])]),
-            pa.concat_arrays([none, pa.array(window[c].astype(np.int64))]),
+            pa.concat_arrays([none, pa.array(X.signed(window[c]))]),
         ], names=["doc_id", "start", "n", "ref_doc", "ref_start", "hot_h", "hot_w"])
 
 

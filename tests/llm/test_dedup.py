@@ -3,9 +3,12 @@
 import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from peakflow.llm import graph, jaccard_join, substring_dedup
+from peakflow.llm import text as X
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string"
@@ -43,6 +46,23 @@ def test_cut_spans_equal_brute_force(spark, rows, batches, monkeypatch, share):
             assert brute.words(r.text)[f.start:at] == brute.words(text[f.ref_doc])[f.ref_start:f.ref_start + f.length]
 
 
+@pytest.mark.parametrize("share", [0.005, 0.0])
+def test_windows_that_agree_in_half_their_hash_differ(spark, monkeypatch, share):
+    """Windows of one anchor and equal top 32 bits of their hashes, of which nothing must be cut."""
+    monkeypatch.setattr(substring_dedup, "HOT_SHARE", share)
+    shared, lasts = " ".join(f"c{k}" for k in range(12)), [f"v{k}" for k in range(300_000)]
+    _, hashes, anchors = substring_dedup._anchored(X.words_of(pa.array([f"{shared} {w}" for w in lasts])), 13)
+    kinds, n = np.unique(anchors, return_counts=True)
+    usual = np.flatnonzero(anchors == kinds[n.argmax()])
+    top = hashes[usual] >> np.uint64(32)
+    order = np.argsort(top)
+    at = order[np.flatnonzero(top[order][1:] == top[order][:-1])[0]:][:2]
+    rows = [(k, f"{shared} {lasts[usual[i]]}") for k, i in enumerate([*range(8), *at]) if k > 7 or i not in at]
+    assert hashes[usual[at[0]]] != hashes[usual[at[1]]]
+    got = substring_dedup.parse(spark.createDataFrame([*rows, (90, rows[-1][1])], SCHEMA)).collect()
+    assert {r.doc_id: r.n_removed for r in got} == {i: 0 for i, _ in rows} | {90: 13}
+
+
 def test_cut_documents_keeps_other_columns(spark):
     long = " ".join(f"a{k}" for k in range(20))
     docs = spark.createDataFrame([(1, long, 7, "x", "k"), (2, "b " + long, 9, "y", "l"), (3, "  b\nc ", 5, None, "m"), (4, long, 1, "z", "n"), (5, None, None, None, None)],
