@@ -3,14 +3,15 @@
 Maximum-likelihood bigram estimates are mixed with add-one unigram estimates. The weight of the mixture
 depends on how often the context was seen (buckets by the power of two of its count) and is learned by expectation-
 maximisation on a part of the training documents that is deleted from the counts for it; the final counts are
-those of all training documents. Context and bigram counts tell the `VOCABULARY` most frequent words
-apart; the other words are one class there, and within it their own counts decide. So the probabilities of
-all words after a context sum to one, with the mass of an unseen word kept by the add-one estimate.
+those of all training documents. Every word has its own counts as a context and in bigrams. The
+probabilities of all words after a context sum to one, with the mass of an unseen word kept by the add-one estimate.
 
 Spark moves tokens as packed blocks: each task deals its (document, bigram, count) entries by hash into
 parts whose number follows the size of the corpus, and a part counts its bigrams and scores the documents'
 entries at once. Entries are combined per document first, so a bigram that makes up a third of all
-tokens is one entry per document. Only the frequent words, sums and the EM histogram (bucket by likelihood ratio)
+tokens is one entry per document. Counts of the `VOCABULARY` most frequent words are known to every task, so
+bigrams of two of them are scored where they are counted. Of the others, a slice of documents asks for the counts of its
+different words and bigrams (by 64-bit hashes) and scores them itself. So the vocabulary steers work, never results. Only the frequent words, sums and the EM histogram (bucket by likelihood ratio)
 reach the driver; all are bounded. What a part finds out about the documents of a slice goes back as one row of packed sums.
 
 Input: columns doc_id and text. A null text is the end token alone. A null doc_id counts as the
@@ -38,6 +39,9 @@ _TEST, _KEPT, _DELETED = 0, 1, 2
 _BIN, _BINS = 0.1, 400  # steps of the logarithm of the likelihood ratio, the first is for ratio zero
 
 _BLOCKS = "part long, slice long, keys binary, n binary, sizes binary, docs binary, role binary"
+_OTHER = np.uint32(1 << 31)  # marks the place of a word beyond the vocabulary among those of its slice
+_START_HASH = np.uint64(0x1F83D9ABFB41BD6B)
+_PAIR = np.uint64(0xD1342543DE82EF95)
 _SUMS = "slice long, kind int, docs binary, x binary, y binary, about binary"
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 _HEAD = np.dtype([("key", np.int64), ("role", np.uint8), ("tokens", np.int64), ("rare", np.int64), ("unseen", np.int64), ("logs", np.float64)])
@@ -62,15 +66,13 @@ class Unigrams:
         return len(self.words)
 
     def tables(self, kept: bool) -> tuple[np.ndarray, np.ndarray, float]:
-        """Context counts and unigram probabilities by id, then of the class of other words and the
-        start; and the add-one counts of that class. A frequent word not seen here counts as seen once less."""
+        """Context counts and unigram probabilities by id, then of all other words together and the
+        start; and what the add-one estimates are divided by."""
         n = (self.kept if kept else self.counts).astype(float)
         total, distinct = (self.total_kept, self.distinct_kept) if kept else (self.total, self.distinct)
-        shown = int((n > 0).sum())
-        contexts = np.concatenate([n, [total - n.sum(), self.docs_kept if kept else self.docs]])
-        rest = (total - n.sum()) + (distinct - shown) + 1.0
-        counts = np.concatenate([np.where(n > 0, n + 1, 1.0), [rest, 0.0]])
-        return contexts, counts / counts.sum(), rest
+        norm = total + distinct + 1.0
+        mass = (n + 1) / norm
+        return np.concatenate([n, [total - n.sum(), self.docs_kept if kept else self.docs]]), np.concatenate([mass, [1 - mass.sum(), 0.0]]), norm
 
 
 def _tokens(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -156,9 +158,20 @@ def _packed(part_of: np.ndarray, keys: np.ndarray, n: np.ndarray, text: np.ndarr
                      own.astype(np.uint32).tobytes(), role[own].tobytes()))
 
 
-def _entries(prepared: DataFrame, model: Unigrams, parts: int, all_kinds: bool) -> DataFrame:
-    """Blocks of (document, bigram of ids, count), in parts from 0. With `all_kinds` also of the words beyond
-    the vocabulary, in parts below 0, and a head of each slice of documents, in parts from `parts`."""
+def _asked(keys: np.ndarray, n: np.ndarray, asked: np.ndarray, slot: int, part_of: np.ndarray, name: int, rows: list) -> None:
+    """One row per part: its keys with their counts here; first those whose whole count is asked for, with their slots."""
+    order = np.lexsort((~asked, part_of))
+    edges = np.flatnonzero(np.append(True, part_of[order][1:] != part_of[order][:-1])) if len(order) else []
+    for a, b in zip(edges, [*edges[1:], len(order)], strict=False):
+        k = order[a:b]
+        rows.append((int(part_of[k[0]]), name, keys[k].tobytes(), n[k].astype(np.uint32).tobytes(), b"",
+                     (k[asked[k]] + slot).astype(np.uint32).tobytes(), b""))
+
+
+def _entries(prepared: DataFrame, model: Unigrams, parts: int, counted: tuple[int, ...], scored: tuple[int, ...]) -> DataFrame:
+    """Blocks of (document, bigram of ids, count), in parts from 0. Words beyond the vocabulary and bigrams with them
+    are in parts below 0, by slice, with their counts in documents of the `counted` roles. A head of each slice, with its
+    entries of such bigrams in documents of the `scored` roles, is in parts from `parts`."""
     vocabulary, unknown = model.words, model.unknown
     logs = np.log10(np.append(model.counts + 1.0, 1.0))
 
@@ -168,42 +181,93 @@ def _entries(prepared: DataFrame, model: Unigrams, parts: int, all_kinds: bool)
             at = np.minimum(np.searchsorted(vocabulary, tokens), unknown - 1)
             ids = np.where(vocabulary[at] == tokens, at, unknown).astype(np.uint64)
             text = np.repeat(np.arange(part.num_rows, dtype=np.uint64), np.diff(first))
-            context = np.empty_like(ids)
-            context[1:] = ids[:-1]
-            context[first[:-1]] = unknown + 1
-            entry, n = np.unique(text << np.uint64(32) | context << np.uint64(16) | ids, return_counts=True)
+            context, before = np.empty_like(ids), np.empty_like(tokens)
+            context[1:], before[1:] = ids[:-1], tokens[:-1]
+            context[first[:-1]], before[first[:-1]] = unknown + 1, _START_HASH
+            mine = ids == unknown
+            other = mine | (context == unknown)
+            entry, n = np.unique((text << np.uint64(32) | context << np.uint64(16) | ids)[~other], return_counts=True)
             pair = (entry & np.uint64(0xFFFFFFFF)).astype(np.uint32)
             key, crc, role = (part.column(c).to_numpy() for c in ("doc_key", "crc", "role"))
             role = role.astype(np.uint8)
             name = int.from_bytes(hashlib.blake2b(key.tobytes() + crc.tobytes(), digest_size=8).digest(), "little", signed=True)
             rows: list[tuple] = []
-            _packed((X.mix(pair) % np.uint64(parts)).astype(np.int64), pair, n, (entry >> np.uint64(32)).astype(np.int64), role, name, rows)
-            if all_kinds:
-                mine = ids == unknown
-                head = np.zeros(part.num_rows, _HEAD)
-                head["key"], head["role"], head["tokens"] = key, role, np.diff(first)
-                head["rare"] = np.bincount(text.astype(np.int64), mine, minlength=part.num_rows)
-                head["unseen"] = np.bincount(text.astype(np.int64), ~mine & (logs[ids] == 0), minlength=part.num_rows)
-                head["logs"] = np.bincount(text.astype(np.int64), np.where(mine, 0.0, logs[ids]), minlength=part.num_rows)
-                rows.append((parts + name % parts, name, head.tobytes(), b"", b"", b"", b""))
-                if mine.any():
-                    order = np.lexsort((tokens[mine], text[mine]))
-                    t, w = text[mine][order], tokens[mine][order]
-                    new = np.flatnonzero(np.append(True, (t[1:] != t[:-1]) | (w[1:] != w[:-1])))
-                    _packed(-1 - (w[new] % np.uint64(parts)).astype(np.int64), w[new], np.diff(np.append(new, len(w))), t[new].astype(np.int64), role, name, rows)
+            if len(entry):
+                _packed((X.mix(pair) % np.uint64(parts)).astype(np.int64), pair, n, (entry >> np.uint64(32)).astype(np.int64), role, name, rows)
+            text = text.astype(np.int64)
+            add, ask = np.isin(role, counted)[text], np.isin(role, scored)[text]
+            words, where = np.unique(tokens[mine], return_inverse=True)
+            _asked(words, np.bincount(where, add[mine], len(words)), np.bincount(where, ask[mine], len(words)) > 0, 0,
+                   -1 - (words % np.uint64(parts)).astype(np.int64), name, rows)
+            hashes = X.mix(before[other] * _PAIR + tokens[other])
+            pairs, example, where = np.unique(hashes, return_index=True, return_inverse=True)
+            _asked(pairs, np.bincount(where, add[other], len(pairs)), np.bincount(where, ask[other], len(pairs)) > 0, len(words),
+                   -1 - parts - (pairs % np.uint64(parts)).astype(np.int64), name, rows)
+            refs = []
+            for i, w in ((context, before), (ids, tokens)):
+                i, w = i[other][example], w[other][example]
+                refs.append(np.where(i == unknown, np.searchsorted(words, w).astype(np.uint32) | _OTHER, i.astype(np.uint32)).astype(np.uint32))
+            own = ask[other]
+            entry, n = np.unique(text[other][own].astype(np.uint64) << np.uint64(32) | where[own].astype(np.uint64), return_counts=True)
+            inside = np.concatenate([entry >> np.uint64(32), entry & np.uint64(0xFFFFFFFF), n.astype(np.uint64)]).astype(np.uint32)
+            head = np.zeros(part.num_rows, _HEAD)
+            head["key"], head["role"], head["tokens"] = key, role, np.diff(first)
+            head["rare"] = np.bincount(text, mine, minlength=part.num_rows)
+            head["unseen"] = np.bincount(text, ~mine & (logs[ids] == 0), minlength=part.num_rows)
+            head["logs"] = np.bincount(text, np.where(mine, 0.0, logs[ids]), minlength=part.num_rows)
+            rows.append((parts + name % parts, name, head.tobytes(), inside.tobytes(), np.concatenate(refs).tobytes(), np.uint32(len(words)).tobytes(), b""))
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), *[pa.binary()] * 5), strict=True)],
                                   names=["part", "slice", "keys", "n", "sizes", "docs", "role"])
 
     return prepared.mapInArrow(run, _BLOCKS)
 
 
+def _sums(table: pa.Table, kind: int, docs, x, y=None, about=None) -> pa.Table:
+    empty = pa.array([b""] * len(table), pa.binary())
+    return pa.table([table.column("slice"), pa.array([kind] * len(table), pa.int32()), docs, x, empty if y is None else y, empty if about is None else about],
+                    names=["slice", "kind", "docs", "x", "y", "about"])
+
+
+def _told(table: pa.Table, parts: int) -> pa.Table | None:
+    """Heads as they are (kind 2), and the whole counts that slices ask for (kind 1)."""
+    part = table.column("part")[0].as_py()
+    if part >= parts:
+        return _sums(table, 2, table.column("n"), table.column("sizes"), table.column("docs"), table.column("keys"))
+    if part >= 0:
+        return None
+    keys, n = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("keys", np.uint64), ("n", np.uint32)))
+    _, at = np.unique(keys, return_inverse=True)
+    whole = np.bincount(at, n).astype(np.int64)[at]
+    begin = np.cumsum([0, *(len(k) // 8 for k in table.column("keys").to_pylist())])
+    slots = table.column("docs").to_pylist()
+    return _sums(table, 1, table.column("docs"), pa.array([whole[a:a + len(s) // 4].tobytes() for a, s in zip(begin[:-1], slots, strict=True)], pa.binary()))
+
+
+def _others(table: pa.Table, ids: np.ndarray, starts: np.ndarray):
+    """Of a slice's bigrams with a word beyond the vocabulary: counts of context, word and bigram and whether the word is
+    beyond it; and the entries (document, bigram, count). `ids` and `starts` are the counts of words and contexts by id."""
+    kind, docs, x, y = (table.column(c).to_pylist() for c in ("kind", "docs", "x", "y"))
+    head = kind.index(2)
+    (context, word), (n_words,) = np.frombuffer(x[head], np.uint32).reshape(2, -1), np.frombuffer(y[head], np.uint32)
+    counts = np.zeros(int(n_words) + len(word), np.int64)
+    for k, slots, whole in zip(kind, docs, x, strict=True):
+        if k == 1:
+            counts[np.frombuffer(slots, np.uint32)] = np.frombuffer(whole, np.int64)
+
+    def of(ref, known):
+        out, mine = np.empty(len(ref)), ref >= _OTHER
+        out[mine], out[~mine] = counts[ref[mine] & ~_OTHER], known[ref[~mine]]
+        return out
+
+    return of(context, starts), of(word, ids), counts[int(n_words):], word >= _OTHER, np.frombuffer(docs[head], np.uint32).reshape(3, -1).astype(np.int64)
+
+
 def _unpacked(table: pa.Table):
     """Keys and counts of all entries, the place of their document among the blocks' documents, and its role."""
     def joined(name, kind):
         return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
 
-    pairs = table.column("part")[0].as_py() >= 0
-    keys, n, sizes = joined("keys", np.uint32 if pairs else np.uint64), joined("n", np.uint32), joined("sizes", np.uint32)
+    keys, n, sizes = joined("keys", np.uint32), joined("n", np.uint32), joined("sizes", np.uint32)
     return keys, n.astype(np.int64), np.repeat(np.arange(len(sizes)), sizes), joined("role", np.uint8)
 
 
@@ -232,23 +296,42 @@ def weights(histogram: dict[tuple[int, int], int], rounds: int = 60) -> np.ndarr
     return out
 
 
+def _cells(seen: np.ndarray, c: np.ndarray, mass: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cells of the histogram (bucket and likelihood ratio) and how many deleted tokens are in each."""
+    ratio = seen / np.maximum(c, 1) / mass
+    k = np.where(seen > 0, np.clip(np.round(np.log(np.maximum(ratio, 1e-300)) / _BIN) + _BINS // 3, 1, _BINS - 1), 0).astype(np.int64)
+    cell, back = np.unique(bucket(c) * _BINS + k, return_inverse=True)
+    return cell, np.bincount(back, asked, minlength=len(cell)).astype(np.int64)
+
+
 def learn_weights(prepared: DataFrame, model: Unigrams, parts: int) -> np.ndarray:
-    contexts, mass, _ = model.tables(kept=True)
+    contexts, mass, norm = model.tables(kept=True)
 
     def run(table: pa.Table) -> pa.Table:
+        told = _told(table, parts)
+        if told is not None:
+            return told
         pair, n, where, role = _unpacked(table)
         role = role[where]
         kinds, at = np.unique(pair, return_inverse=True)
         seen = np.bincount(at, n * (role == _KEPT), minlength=len(kinds))
         asked = np.bincount(at, n * (role == _DELETED), minlength=len(kinds)).astype(np.int64)
-        c = contexts[kinds >> 16]
-        ratio = seen / np.maximum(c, 1) / mass[kinds & 0xFFFF]
-        k = np.where(seen > 0, np.clip(np.round(np.log(np.maximum(ratio, 1e-300)) / _BIN) + _BINS // 3, 1, _BINS - 1), 0).astype(np.int64)
-        cell, back = np.unique(bucket(c) * _BINS + k, return_inverse=True)
-        return pa.table({"cell": cell, "n": np.bincount(back, asked, minlength=len(cell)).astype(np.int64)})
-
-    counted = _entries(prepared.where(F.col("role") != _TEST), model, parts, all_kinds=False).groupBy("part").applyInArrow(run, "cell long, n long")
-    sums = counted.groupBy("cell").agg(F.sum("n").alias("n")).collect()
+        cell, n = _cells(seen, contexts[kinds >> 16], mass[kinds & 0xFFFF], asked)
+        one = table.slice(0, 1)
+        return _sums(one, 3, pa.array([b""], pa.binary()), pa.array([cell.tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary()))
+
+    def tally(table: pa.Table) -> pa.Table:
+        kind, x, y = (table.column(c).to_pylist() for c in ("kind", "x", "y"))
+        cells, n = ([np.frombuffer(v, np.int64) for k, v in zip(kind, column, strict=True) if k == 3] for column in (x, y))
+        if 2 in kind:
+            c, w, seen, _, (_, pair, times) = _others(table, model.kept, contexts)
+            cell, own = _cells(seen, c, (w + 1) / norm, np.bincount(pair, times, minlength=len(seen)) * kind.count(2))
+            cells, n = [*cells, cell], [*n, own]
+        return pa.table({"cell": np.concatenate(cells), "n": np.concatenate(n)})
+
+    counted = _entries(prepared.where(F.col("role") != _TEST), model, parts, (_KEPT,), (_DELETED,)).groupBy("part").applyInArrow(run, _SUMS)
+    told = counted.groupBy("slice").applyInArrow(tally, "cell long, n long")
+    sums = told.where("n > 0").groupBy("cell").agg(F.sum("n").alias("n")).collect()
     return weights({(r["cell"] // _BINS, r["cell"] % _BINS): r["n"] for r in sums})
 
 
@@ -262,53 +345,43 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     prepared = _prepared(docs, F.col("_held"))
     model = unigrams(prepared, parts)
     lam = learn_weights(prepared, model, parts)
-    contexts, mass, rest = model.tables(kept=False)
-    unknown, total = model.unknown, model.total
-    norm = float(np.log10(total + model.distinct + 1))
-    rest = float(np.log10(rest))
+    contexts, mass, norm = model.tables(kept=False)
+    total = model.total
 
     def run(table: pa.Table) -> pa.Table:
-        part = table.column("part")[0].as_py()
-        names = table.column("slice")
-        if part >= parts:  # heads pass through
-            empty = pa.array([b""] * len(table), pa.binary())
-            return pa.table([names, pa.array([2] * len(table), pa.int32()), empty, empty, empty, table.column("keys")], names=["slice", "kind", "docs", "x", "y", "about"])
+        told = _told(table, parts)
+        if told is not None:
+            return told
         keys, n, where, role = _unpacked(table)
         kinds, at = np.unique(keys, return_inverse=True)
         seen = np.bincount(at, n * (role[where] != _TEST), minlength=len(kinds))
-        if part >= 0:
-            c = contexts[kinds >> 16]
-            weight = lam[bucket(c)]
-            value = np.log10(weight * seen / np.maximum(c, 1) + (1 - weight) * mass[kinds & 0xFFFF])
-        else:
-            value = np.log10(seen + 1.0)
+        c = contexts[kinds >> 16]
+        weight = lam[bucket(c)]
+        value = np.log10(weight * seen / np.maximum(c, 1) + (1 - weight) * mass[kinds & 0xFFFF])
         x = np.bincount(where, n * value[at], minlength=len(role))
-        y = np.bincount(where, n * (seen > 0)[at], minlength=len(role)).astype(np.int64) if part < 0 else np.empty(0, np.int64)
         cut = np.cumsum([0, *(len(d) // 4 for d in table.column("docs").to_pylist())])
-        return pa.table([names, pa.array([0 if part >= 0 else 1] * len(table), pa.int32()), table.column("docs"),
-                         pa.array([x[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()),
-                         pa.array([y[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()), pa.array([b""] * len(table), pa.binary())],
-                        names=["slice", "kind", "docs", "x", "y", "about"])
+        return _sums(table, 0, table.column("docs"), pa.array([x[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()))
 
     def finish(table: pa.Table) -> pa.Table:
-        kind, docs, x, y, about = (table.column(c).to_pylist() for c in ("kind", "docs", "x", "y", "about"))
+        kind, docs, x, about = (table.column(c).to_pylist() for c in ("kind", "docs", "x", "about"))
         heads = [np.frombuffer(a, _HEAD) for a, k in zip(about, kind, strict=True) if k == 2]
-        head, sums = heads[0], np.zeros((3, len(heads[0])))  # bigrams; logarithms and known tokens of other words
-        for k, d, v, u in zip(kind, docs, x, y, strict=True):
-            at = np.frombuffer(d, np.uint32)
+        head, sums = heads[0], np.zeros(len(heads[0]))
+        for k, d, v in zip(kind, docs, x, strict=True):
             if k == 0:
-                sums[0, at] += np.frombuffer(v, np.float64)
-            elif k == 1:
-                sums[1, at] += np.frombuffer(v, np.float64)
-                sums[2, at] += np.frombuffer(u, np.int64)
+                sums[np.frombuffer(d, np.uint32)] += np.frombuffer(v, np.float64)
         sums /= len(heads)  # a slice of equal rows occurs once for each of its repetitions
-        known = head["tokens"] - head["rare"] - head["unseen"] + np.round(sums[2]).astype(np.int64)
+        c, w, seen, mine, (doc, pair, n) = _others(table, model.counts, contexts)
+        weight = lam[bucket(c)]
+        value = np.log10(weight * seen / np.maximum(c, 1) + (1 - weight) * (w + 1) / norm)
+        sums += np.bincount(doc, n * value[pair], minlength=len(head))
+        logs = head["logs"] + np.bincount(doc, n * np.where(mine, np.log10(w + 1), 0.0)[pair], minlength=len(head))
+        known = head["tokens"] - head["rare"] - head["unseen"] + np.bincount(doc, n * (mine & (w > 0))[pair], minlength=len(head)).astype(np.int64)
         own = {"doc_id": pa.array(head["key"], mask=head["key"] == -(1 << 63)), "held_out": pa.array(head["role"] == _TEST), "n_tokens": pa.array(head["tokens"]), "n_known": pa.array(known),
-               "train_tokens": pa.array(np.full(len(head), total, np.int64)), "base_score": pa.array(head["logs"] + sums[1] - head["tokens"] * norm),
-               "score": pa.array(sums[0] + sums[1] - head["rare"] * rest)}
+               "train_tokens": pa.array(np.full(len(head), total, np.int64)), "base_score": pa.array(logs - head["tokens"] * np.log10(norm)),
+               "score": pa.array(sums)}
         return pa.concat_tables([pa.table(own)] * len(heads))
 
-    sums = _entries(prepared, model, parts, all_kinds=True).groupBy("part").applyInArrow(run, _SUMS)
+    sums = _entries(prepared, model, parts, (_KEPT, _DELETED), (_TEST, _KEPT, _DELETED)).groupBy("part").applyInArrow(run, _SUMS)
     return sums.groupBy("slice").applyInArrow(finish, _SCORES)
 
 

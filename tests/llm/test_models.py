@@ -32,6 +32,40 @@ def test_base_scores_equal_brute_force(spark, monkeypatch, vocabulary):
     assert all(np.isfinite(r.score) and r.score < 0 for r in got)
 
 
+@pytest.mark.parametrize("vocabulary", [5, 65_000])
+def test_every_word_has_its_own_contexts_and_bigrams(spark, monkeypatch, vocabulary):
+    """Scores equal brute force whatever share of the words is beyond the vocabulary."""
+    monkeypatch.setattr(ngram_lm, "PART_BYTES", 4_000)
+    monkeypatch.setattr(ngram_lm.unigrams, "__defaults__", (vocabulary,))
+    rows = [*brute.documents(), *((1000 + k, f"red{k % 7} green{k % 7} blue red{k % 3} green{k % 3}") for k in range(120))]
+    got = ngram_lm.score(spark.createDataFrame(rows, DOC).repartition(3), F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2).collect()
+    name = {i: "" if i is None else str(i) for i, _ in rows}
+    tokens = [(i, ["<s>", *brute.words(t, lower=True), None], zlib.crc32(name[i].encode()) % 7 == 2, zlib.crc32(f"deleted:{name[i]}".encode()) % 10 == 0) for i, t in rows]
+
+    def counts(use):
+        uni, con, bi = Counter(), Counter(), Counter()
+        for _, w, held, deleted in tokens:
+            if use(held, deleted):
+                uni.update(w[1:])
+                con.update(w[:-1])
+                bi.update(zip(w[:-1], w[1:], strict=True))
+        return uni, con, bi, sum(uni.values()) + len(uni) + 1
+
+    uni, con, bi, norm = counts(lambda held, deleted: not held and not deleted)
+    cells = Counter()
+    for _, w, held, deleted in tokens:
+        for a, b in zip(w[:-1], w[1:], strict=True) if deleted and not held else ():
+            ratio = bi[a, b] / max(con[a], 1) / ((uni[b] + 1) / norm)
+            cells[int(con[a]).bit_length(), int(np.clip(np.round(np.log(ratio) / ngram_lm._BIN) + ngram_lm._BINS // 3, 1, ngram_lm._BINS - 1)) if bi[a, b] else 0] += 1
+    lam = ngram_lm.weights(cells)
+    uni, con, bi, norm = counts(lambda held, deleted: not held)
+    want = Counter()
+    for i, w, _, _ in tokens:
+        at = [(lam[int(con[a]).bit_length()], bi[a, b] / max(con[a], 1), (uni[b] + 1) / norm) for a, b in zip(w[:-1], w[1:], strict=True)]
+        want[i, len(w) - 1, round(sum(math.log10(x * p + (1 - x) * q) for x, p, q in at), 5)] += 1
+    assert Counter((r.doc_id, r.n_tokens, round(r.score, 5)) for r in got) == want
+
+
 def test_probabilities_sum_to_one():
     model = ngram_lm.Unigrams(np.arange(3, dtype=np.uint64), np.array([5, 3, 2]), np.array([4, 3, 0]), 14, 7, 9, 4, 2, 2)
     for kept in (True, False):
