@@ -97,7 +97,7 @@ def _summaries(docs: DataFrame, size: int, num: int, den: int, hot: np.ndarray)
 
 
 def _shared(num: int, den: int):
-    """Rows, ordered by token and size, that have a neighbour of the same token within the threshold's size.
+    """Different rows, ordered by token and size, that have a neighbour of the same token within the threshold's size.
 
     Each gets its place within such a stretch of the token, from which its tile follows. One row is carried."""
 
@@ -109,6 +109,9 @@ def _shared(num: int, den: int):
             token, n, doc = (batch.column(k).to_numpy() for k in range(3))
             if held is not None:
                 token, n, doc = np.append(held[0], token), np.append(held[1], n), np.append(held[2], doc)
+            new = np.ones(len(token), bool)  # a document whose row is repeated counts once
+            new[1:] = (token[1:] != token[:-1]) | (n[1:] != n[:-1]) | (doc[1:] != doc[:-1])
+            token, n, doc = token[new], n[new], doc[new]
             near = np.zeros(len(token), bool)
             near[1:] = (token[1:] == token[:-1]) & (n[:-1] * den >= n[1:] * num) & (doc[1:] != doc[:-1])
             index = np.arange(len(token))
@@ -276,7 +279,7 @@ def similar_groups(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100
     tokens = summary.join(rep, [*key, "doc_id"], "left_semi").select(F.explode("prefix").alias("token"), "n", F.col("doc_id").alias("doc"))
     shared = stage(tokens.repartition("token").sortWithinPartitions("token", "n", "doc")
                    .mapInArrow(_shared(num, den), "token long, n long, doc long, block long"), "shared")
-    # tokens of the same documents make the same tile; one of them is enough
+    # tokens of the same documents make the same tile; one of them is enough. Rows of a token differ, so none cancels another
     about = shared.groupBy("token").agg(F.max("block").alias("last"), F.count("*").alias("rows"),
                                         F.expr("bit_xor(xxhash64(doc))").alias("x"), F.expr("bit_xor(xxhash64(doc, n, block))").alias("y"))
     one = about.groupBy("rows", "x", "y").agg(F.min("token").alias("token"), F.max("last").alias("last")).select("token", "last")

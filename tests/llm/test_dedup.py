@@ -82,6 +82,22 @@ def test_groups_equal_brute_force(spark, rows, batches, size, num):
     assert any(r.component_id != r.doc_id for r in got)
 
 
+def test_groups_of_repeated_rows(spark, batches):
+    """Two tokens of different documents must not be taken for one when every row is repeated."""
+    rng = random.Random(2)
+    while True:
+        w = [f"q{rng.randrange(10**6)}" for _ in range(21)]
+        docs = [w, ["first", *w[1:]], [*w[:-1], "last"], [*w[:10], "middle", *w[11:]]]
+        values, first = jaccard_join._sets(pa.array([" ".join(d) for d in docs]), 3)
+        z, a, c, b = (values[i:j][:2].tolist() for i, j in zip(first[:-1], first[1:], strict=True))
+        if z == b and not set(z) <= set(a) and not set(z) <= set(c) and set(z) & set(a) and set(z) & set(c) and set(z) & set(a) != set(z) & set(c):
+            break
+    rows = [(k + 1, " ".join(d)) for k, d in enumerate(docs)] * 2
+    got = jaccard_join.similar_groups(spark.createDataFrame(rows, SCHEMA), 3, 90).collect()
+    assert len(got) == 8 and {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.groups(rows, 3, 90)
+    assert brute.groups(rows, 3, 90)[3] == (19, 1)
+
+
 def test_groups_over_many_tiles(spark, monkeypatch):
     """A dense group over several blocks: forests, failed pairs and more rounds."""
     monkeypatch.setattr(jaccard_join, "TILE", 16)
