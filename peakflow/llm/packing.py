@@ -50,10 +50,13 @@ _BREAKS[[0x20, 0x09, 0x0A, 0x0D]] = True
 class Encoder:
     """Ids of texts by a byte-level BPE file of the `tokenizers` library.
 
-    Its pre-tokenizer never joins anything across a space that stands right before a word. Texts are split
-    there, and each different piece is encoded once per few megabytes and remembered for a while."""
+    Added tokens of the file are found in the text first, as that library does by default, and what is between
+    them is encoded by itself. The pre-tokenizer never joins anything across a space that stands right before a
+    word. Texts are split there, and each different piece is encoded once per few megabytes and remembered for a while."""
 
     def __init__(self, path: str):
+        import re
+
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
@@ -62,6 +65,10 @@ class Encoder:
         model = spec["model"]
         if model["type"] != "BPE" or spec["pre_tokenizer"]["type"] != "ByteLevel" or spec["normalizer"]:
             raise ValueError(f"{path} is no plain byte-level BPE")
+        if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"]):
+            raise ValueError(f"{path} has added tokens that depend on what is around them")
+        self._added = {t["content"].encode(): t["id"] for t in spec["added_tokens"]}
+        self._any_added = re.compile(b"|".join(map(re.escape, sorted(self._added, key=len, reverse=True)))) if self._added else None
         vocab = {bytes(alphabet[c] for c in t): i for t, i in model["vocab"].items() if t not in special}
         merges = [m if isinstance(m, str) else " ".join(m) for m in model["merges"]]
         order = [model["vocab"][m.replace(" ", "")] for m in merges]
@@ -76,29 +83,42 @@ class Encoder:
         self._ids: list[int] = []
         self._ends: list[int] = [0]
 
+    def _added_in(self, whole: bytes, offsets: np.ndarray) -> list[tuple[int, int]]:
+        """Begin and end of the added tokens within the texts, the longest at each place."""
+        if self._any_added is None or not self._any_added.search(whole):
+            return []
+        texts = zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
+        return [m.span() for a, b in texts for m in self._any_added.finditer(whole, a, b)]
+
     def ids(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the offsets of the texts in them."""
         data, offsets = X.bytes_of(column)
         if not len(data):
             return np.empty(0, np.uint32), np.zeros(len(column) + 1, np.int64)
+        whole = data.tobytes()
         begins = np.zeros(len(data), bool)
         begins[:-1] = _BREAKS[data[:-1]] & _FOLLOWS[data[1:]]
         last = offsets[1:][np.diff(offsets) > 0] - 1
         begins[last] = False  # what follows belongs to the next text
+        added = self._added_in(whole, offsets)
+        for a, b in added:
+            begins[max(a - 1, 0):b] = False
+        for a, b in added:
+            begins[[a, b] if b < len(data) else a] = True
         begins[offsets[:-1][np.diff(offsets) > 0]] = True
         starts = np.flatnonzero(begins)
         ends = np.append(starts[1:], len(data))
         _, where, inverse = np.unique(X.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
         if len(self._known) > _CACHE:
             self._clear()
-        whole, known, ids, upto = data.tobytes(), self._known, self._ids, self._ends
+        known, ids, upto = self._known, self._ids, self._ends
         at = []
         for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True):
             piece = whole[a:b]
             k = known.get(piece)
             if k is None:
                 k = known[piece] = len(upto) - 1
-                ids.extend(self._encode(piece.decode("utf-8", "replace")))
+                ids.extend([self._added[piece]] if piece in self._added else self._encode(piece.decode("utf-8", "replace")))
                 upto.append(len(ids))
             at.append(k)
         store, bounds, at = np.array(ids, np.uint32), np.array(upto), np.array(at)

@@ -150,6 +150,18 @@ def test_ids_equal_the_library(library, texts):
     assert [flat[a:b].tolist() for a, b in zip(first[:-1], first[1:], strict=True)] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|endo", "ftext|>", "<", "|>", " ", "  ", "\n", "a", "é", "'s", "1"]), max_size=8).map("".join), max_size=6))
+@settings(max_examples=100, deadline=None)
+def test_added_tokens_equal_the_library_by_default(texts):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    default, texts = Tokenizer.from_file(packing.tokenizer_path()), ["a <|endoftext|> b", "a  <|endoftext|><|endoftext|>", "<|endo", "ftext|>", *texts]
+    flat, first = _encoder().ids(pa.array(texts, pa.string()))
+    assert flat[:4].tolist() == [64, 220, 50256, 275]
+    assert [flat[a:b].tolist() for a, b in zip(first[:-1], first[1:], strict=True)] == [e.ids for e in default.encode_batch(texts, add_special_tokens=False)]
+
+
 def _encoder(cache=[]):  # noqa: B006
     if not cache:
         cache.append(packing.Encoder(packing.tokenizer_path()))
