@@ -59,6 +59,11 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((total[ends] - total[starts]) * inverse_high[starts // _STEP] * _INVERSE_LOW[starts % _STEP])
 
 
+def lowered(data: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z as a-z."""
+    return _LOWER[data]
+
+
 def folded(data: np.ndarray) -> np.ndarray:
     """Bytes with A-Z as a-z and white space as the space."""
     return _FOLDED[data]
@@ -110,6 +115,30 @@ def words_of(column: pa.Array, lower: bool = False) -> Words:
     return Words(data, starts, ends, np.searchsorted(starts, offsets))
 
 
+def ragged(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places begins[0], begins[0] + 1, ... of all stretches, one stretch after the other."""
+    upto = np.cumsum(sizes)
+    return np.repeat(begins - (upto - sizes), sizes) + np.arange(upto[-1] if len(upto) else 0)
+
+
+def distinct_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First place of each different byte span, and for every span which of these it equals.
+
+    Hashes only propose; every span is compared byte by byte with the one that stands for it, and should two
+    different ones share a hash, all are told apart by their bytes instead."""
+    _, first, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    size, like = ends - starts, first[inverse]
+    same = np.array_equal(size, size[like])
+    for a in range(0, len(starts) if same else 0, 1 << 17):
+        part = slice(a, a + (1 << 17))
+        same = same and np.array_equal(data[ragged(starts[part], size[part])], data[ragged(starts[like[part]], size[part])])
+    if not same:
+        raw, known = data.tobytes(), {}
+        inverse = np.array([known.setdefault(raw[a:b], len(known)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], np.int64)
+        first = np.unique(inverse, return_index=True)[1]
+    return first, inverse
+
+
 def windows(words: np.ndarray, size: int) -> np.ndarray:
     """Hash of the `size` consecutive values that start at each place (before the last size - 1)."""
     n = max(0, len(words) - size + 1)
