@@ -6,14 +6,19 @@ with a prefix shingle in common and sizes within the threshold of each other. Wi
 bitmap of each set bounds every overlap from above, since a bit of one set that the other lacks stands for at
 least one element it lacks. Pairs that pass are intersected as sorted arrays, exactly.
 
-A tile with few passing pairs hands on all of them. A dense one, in a large group of near copies, hands on a
-spanning forest of them, best bounds first; after the exact test the rest is looked at again among
-documents still apart, until no passing pair is untested or within one component. So no component is
-missed and no tile emits all its pairs.
-
-Input: columns doc_id and text; a null text or one without words has an empty set, which links with
-nothing. A null doc_id links with nothing and has a null component. Rows that repeat a doc_id are one
-node. Sets are compared by 64-bit shingle hashes, classes by 128 bits."""
+The work ends after two rounds of tiles. In the first, blocks of a long stretch meet themselves and the next one.
+A tile with few passing pairs hands on all of them; a dense one, in a large group of near copies, hands on a
+spanning forest of them, best bounds first. The second round looks at dense tiles again and at all other pairs of
+blocks whose sizes can meet, but only at pairs of documents still in different components, and not at
+all at blocks that lie in one component. A tile that is dense even then, among documents similar but not similar enough, gets
+the sorted arrays of its documents and intersects them in place: products of 0/1 columns of their
+shingles count all its overlaps exactly, and a spanning forest of its true links is handed on. So no
+component is missed, no tile emits all its pairs, and there is no third round.
+
+Input: columns doc_id and text; others, whatever their names, are ignored. A null text or one without words has an empty set, which
+links with nothing. A null doc_id links with nothing and has a null component. Rows that repeat a doc_id are one
+node. Texts are read whole. Which of equal shingles or pairs comes first changes no result. An empty
+table gives an empty result. Sets are compared by 64-bit shingle hashes, classes by 128 bits."""
 
 from __future__ import annotations
 
@@ -31,6 +36,7 @@ from peakflow.sources.staging import stage
 
 TILE = 1024  # rows of a tile's side
 DENSE = 16  # candidate pairs per row up to which a tile hands on all
+_COLUMNS = 4096  # shingles counted together in a dense tile
 _BITS = 2  # bitmap bits per element, rounded down to a power of two
 _FILTER = 1 << 23  # bits of the filter of wanted documents
 
@@ -99,7 +105,7 @@ def _summaries(docs: DataFrame, size: int, num: int, den: int, hot: np.ndarray)
 def _shared(num: int, den: int):
     """Different rows, ordered by token and size, that have a neighbour of the same token within the threshold's size.
 
-    Each gets its place within such a stretch of the token, from which its tile follows. One row is carried."""
+    Each gets its place within its token, from which its block follows. One row is carried."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # token, n, doc and place of the last row, and whether it has been handed on
@@ -115,7 +121,7 @@ def _shared(num: int, den: int):
             near = np.zeros(len(token), bool)
             near[1:] = (token[1:] == token[:-1]) & (n[:-1] * den >= n[1:] * num) & (doc[1:] != doc[:-1])
             index = np.arange(len(token))
-            base = np.maximum.accumulate(np.where(near, 0, index))
+            base = np.maximum.accumulate(np.where(np.append(True, token[1:] != token[:-1]), index, 0))
             place = index - base
             if held is not None:
                 place[base == 0] += held[3]
@@ -123,15 +129,14 @@ def _shared(num: int, den: int):
             keep[:-1] |= near[1:]
             if held is not None and held[4]:
                 keep[0] = False
-            stretch = n - 0
-            yield pa.record_batch([pa.array(token[keep]), pa.array(stretch[keep]), pa.array(doc[keep]), pa.array(place[keep] // TILE)],
+            yield pa.record_batch([pa.array(token[keep]), pa.array(n[keep]), pa.array(doc[keep]), pa.array(place[keep] // TILE)],
                                   names=["token", "n", "doc", "block"])
             held = (token[-1:], n[-1:], doc[-1:], int(place[-1]), bool(keep[-1]) or (len(token) == 1 and held is not None and held[4]))
 
     return run
 
 
-def _passing(n, doc, comp, side, bits, failed, num: int, den: int):
+def _passing(n, comp, side, bits, num: int, den: int):
     """Pairs (places of rows ordered by size) of one tile whose bound passes, and the bounds."""
     cross = (side != side[0]).any()
     widths = np.array([len(b) for b in bits])
@@ -142,8 +147,6 @@ def _passing(n, doc, comp, side, bits, failed, num: int, den: int):
     for i in range(len(n) - 1):
         k = np.arange(i + 1, upto[i])  # sizes from n[i] up to the largest that can reach the threshold
         k = k[(comp[k] != comp[i]) & ((side[k] != side[i]) if cross else True)]
-        if len(k) and failed[i]:
-            k = k[~np.isin(doc[k], failed[i])]
         if not len(k):
             continue
         other = stacks[widths[i]][row_in[widths[i]][k]]
@@ -178,27 +181,33 @@ def _forest(a, b, comp, bounds) -> list[int]:
 _TILE_KEY = ("token", "i", "j")
 
 
-def _tiles(num: int, den: int):
-    """Candidate pairs of tiles, whose rows follow each other. A tile has at most two blocks of rows."""
+def _tiles(num: int, den: int, last: bool):
+    """Candidate pairs of tiles, whose rows follow each other. A tile has at most two blocks of rows.
+
+    Of a dense tile a forest comes back and a row that names it (a and b null); in the last round,
+    instead, each of its rows with a candidate (b null)."""
 
     def tile(rows: pa.Table):
         n = rows.column("n").to_numpy()
         order = np.lexsort((rows.column("doc").to_numpy(), n))
         n, doc, comp, side = n[order], *(rows.column(c).to_numpy()[order] for c in ("doc", "comp", "side"))
-        raw, failed = rows.column("bitmap").to_pylist(), rows.column("failed").to_pylist()
-        a, b, bounds = _passing(n, doc, comp, side, [np.frombuffer(raw[i], np.uint64) for i in order], [failed[i] for i in order], num, den)
-        more = len(a) > DENSE * len(n)
-        if more:
-            chosen = _forest(a, b, comp, bounds)
-            a, b = a[chosen], b[chosen]
-        x, y = doc[a], doc[b]
-        return np.minimum(x, y), np.maximum(x, y), np.full(len(a), rows.column("token")[0].as_py(), np.int64), np.full(len(a), more)
+        raw = rows.column("bitmap").to_pylist() if (comp != comp[0]).any() else []
+        a, b, bounds = _passing(n, comp, side, [np.frombuffer(raw[i], np.uint64) for i in order], num, den) if raw else ([], [], [])
+        x, y = (pa.array(doc[k] if len(k) else [], pa.int64()) for k in (a, b))
+        if len(a) > DENSE * len(n):
+            if last:
+                x = pa.array(doc[np.unique(np.concatenate([a, b]))])
+                y = pa.nulls(len(x), pa.int64())
+            else:
+                chosen = _forest(a, b, comp, bounds)
+                x, y = (pa.concat_arrays([pa.array(doc[k[chosen]], pa.int64()), pa.nulls(1, pa.int64())]) for k in (a, b))
+        return x, y, *(pa.repeat(rows.column(c)[0], len(x)) for c in _TILE_KEY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def out(found):
-            return pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], names=["a", "b", "token", "more"])
+            return pa.record_batch([pa.concat_arrays(c) for c in zip(*found, strict=True)], names=["a", "b", *_TILE_KEY])
 
         for batch in batches:
             if not batch.num_rows:
@@ -221,6 +230,63 @@ def _tiles(num: int, den: int):
     return run
 
 
+def true_links(arrays: list[np.ndarray], comp: np.ndarray, side: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
+    """A spanning forest, over components, of the linked pairs of one tile."""
+    size, rows = np.array(list(map(len, arrays))), len(arrays)
+    _, element, count = np.unique(np.concatenate(arrays), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(rows), size)
+    # what all rows have counts once for each pair, what only one has for none
+    common = np.full((rows, rows), float((count == rows).sum()), np.float32)
+    some = (count > 1) & (count < rows)
+    number = np.cumsum(some) - 1
+    kept = some[element]
+    element, row = number[element[kept]], row[kept]
+    order = np.argsort(element, kind="stable")
+    element, row = element[order], row[order]
+    for lo in range(0, int(some.sum()), _COLUMNS):
+        a, b = np.searchsorted(element, [lo, lo + _COLUMNS])
+        columns = np.zeros((rows, _COLUMNS), np.float32)
+        columns[row[a:b], element[a:b] - lo] = 1
+        common += columns @ columns.T
+    common = common.astype(np.int64)
+    linked = common * den >= num * (size[:, None] + size[None, :] - common)
+    if (side != side[0]).any():
+        linked &= side[:, None] != side[None, :]
+    label, chosen = comp.copy(), []
+    for i in range(rows):
+        while len(k := np.flatnonzero(linked[i] & (label != label[i]))):
+            chosen.append((i, int(k[0])))
+            label[label == label[k[0]]] = label[i]
+    return chosen
+
+
+def _dense_tiles(num: int, den: int):
+    """Links of tiles by their rows' arrays. Rows of a tile follow each other."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+
+        def out():
+            links = true_links([h for h, _, _ in held], *(np.array(x) for x in list(zip(*[(c, s) for _, c, s in held], strict=True))), num, den)
+            docs = np.array(ids)
+            return pa.record_batch([pa.array(docs[[e[k] for e in links]] if links else [], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        ids: list[int] = []
+        for batch in batches:
+            keys = zip(*(batch.column(c).to_pylist() for c in _TILE_KEY), strict=True)
+            for key, doc, comp, side, raw in zip(keys, *(batch.column(c).to_pylist() for c in ("doc", "comp", "side")), batch.column("hashes"), strict=True):
+                if at is not None and key != at:
+                    yield out()
+                    held, ids = [], []
+                at = key
+                ids.append(doc)
+                held.append((np.frombuffer(raw.as_buffer(), np.uint64), comp, side))
+        if held:
+            yield out()
+
+    return run
+
+
 def _verified(pairs: DataFrame, arrays: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs with `linked`: exact intersection of their sorted shingle arrays."""
 
@@ -283,43 +349,86 @@ def similar_groups(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100
     about = shared.groupBy("token").agg(F.max("block").alias("last"), F.count("*").alias("rows"),
                                         F.expr("bit_xor(xxhash64(doc))").alias("x"), F.expr("bit_xor(xxhash64(doc, n, block))").alias("y"))
     one = about.groupBy("rows", "x", "y").agg(F.min("token").alias("token"), F.max("last").alias("last")).select("token", "last")
-    # a long stretch is dealt to tiles of two blocks; blocks of other stretches of the token come along
-    each = F.explode(F.sequence(F.lit(0), F.col("last"))).alias("other")
-    rows = stage(shared.join(one, "token").select("token", "n", "doc", "block", each)
-                 .select("token", "n", "doc", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.col("block").alias("side")), "tiles")
+    rows = stage(shared.join(one.select("token"), "token").select("token", "n", "doc", "block"), "rows")
     bitmaps = summary.join(rep, [*key, "doc_id"], "left_semi").select(F.col("doc_id").alias("doc"), "bitmap")
-    links = failed = comps = active = None
-    while True:
-        told = rows if active is None else rows.join(active, "token", "left_semi")
-        told = told.join(bitmaps, "doc")
-        told = told.withColumn("comp", F.col("doc")) if comps is None else told.join(
-            comps.withColumnRenamed("node", "doc"), "doc", "left").withColumn("comp", F.coalesce("component", "doc")).drop("component")
-        told = told.withColumn("failed", F.lit(None).cast("array<long>")) if failed is None else told.join(failed, "doc", "left")
-        dealt = told.select(*_TILE_KEY, "side", "n", "doc", "comp", "failed", "bitmap").repartition(*_TILE_KEY).sortWithinPartitions(*_TILE_KEY)
-        found = stage(dealt.mapInArrow(_tiles(num, den), "a long, b long, token long, more boolean"), "pairs")
-        pairs = stage(found.select("a", "b").distinct(), "candidates")
+    tiles = "token long, i long, j long"
+
+    def told(pairs: DataFrame, comps: DataFrame | None) -> DataFrame:
+        """Rows of the wanted pairs of blocks, with their components."""
+        ends = pairs.select(*_TILE_KEY, F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
+        out = rows.join(ends, ["token", "block"]).withColumnRenamed("block", "side")
+        if comps is None:
+            return out.withColumn("comp", F.col("doc"))
+        return out.join(comps.withColumnRenamed("node", "doc"), "doc", "left").withColumn("comp", F.coalesce("component", "doc")).drop("component")
+
+    def searched(pairs: DataFrame, comps: DataFrame | None) -> DataFrame:
+        columns = [*_TILE_KEY, "side", "n", "doc", "comp", "bitmap"]
+        dealt = told(pairs, comps).join(bitmaps, "doc").select(*columns).repartition(*_TILE_KEY).sortWithinPartitions(*_TILE_KEY)
+        return stage(dealt.mapInArrow(_tiles(num, den, comps is not None), f"a long, b long, {tiles}"), "found")
+
+    def exact(found: DataFrame) -> DataFrame:
+        pairs = stage(found.where("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
         wanted = pairs.select(F.col("a").alias("doc")).unionAll(pairs.select("b")).distinct()
-        tested = stage(_verified(pairs, stage(_arrays(docs, wanted, size), "shingles"), num, den), "tested")
-        own = tested.where("linked").select("a", "b")
-        links = own if links is None else links.unionAll(own)
+        return stage(_verified(pairs, stage(_arrays(docs, wanted, size), "shingles"), num, den), "tested").where("linked").select("a", "b")
+
+    near = F.explode(F.sequence(F.col("block"), F.least(F.col("block") + 1, F.col("last")))).alias("j")
+    blocks = rows.groupBy("token", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    spans = stage(blocks.join(one, "token"), "spans")
+    first_pairs = spans.select("token", F.col("block").alias("i"), near)
+    found = searched(first_pairs, None)
+    links = exact(found)
+    comps = stage(components(links), "components")
+    # blocks within the size of each other that were dense, or have not met
+    long = spans.where("last > 1").select("token", "block", "lo", "hi")
+    x, y = long.alias("x"), long.alias("y")
+    apart = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("y.block") > F.col("x.block") + 1) & (F.col("y.lo") * num <= F.col("x.hi") * den))
+    more = found.where("a is null").select(*_TILE_KEY).unionAll(apart.select("x.token", F.col("x.block").alias("i"), F.col("y.block").alias("j")))
+    unsure = rows.join(more.select("token").distinct(), "token", "left_semi").join(comps.withColumnRenamed("node", "doc"), "doc", "left")
+    own = F.coalesce("component", "doc")
+    pure = unsure.groupBy("token", "block").agg(F.min(own).alias("least"), F.max(own).alias("most"))
+    left, right = (pure.select("token", *[F.col(c).alias(f"{c}_{k}") for c in ("least", "most")], F.col("block").alias(k)) for k in ("i", "j"))
+    mixed = (F.least("least_i", "least_j") != F.greatest("most_i", "most_j"))
+    open_ = stage(more.join(left, ["token", "i"]).join(right, ["token", "j"]).where(mixed).select(*_TILE_KEY), "open")
+    if open_.take(1):
+        found = searched(open_, comps)
+        dense = found.where("b is null").select(*_TILE_KEY, F.col("a").alias("doc"))
+        links = links.unionAll(exact(found))
+        if dense.take(1):
+            arrays = stage(_arrays(docs, dense.select("doc").distinct(), size), "shingles")
+            dealt = told(dense.select(*_TILE_KEY).distinct(), comps).join(dense, [*_TILE_KEY, "doc"], "left_semi").join(arrays, "doc")
+            dealt = dealt.select(*_TILE_KEY, "side", "doc", "comp", "hashes").repartition(*_TILE_KEY).sortWithinPartitions(*_TILE_KEY)
+            links = links.unionAll(stage(dealt.mapInArrow(_dense_tiles(num, den), "a long, b long"), "dense"))
         comps = stage(components(links), "components")
-        active = found.where("more").select("token").distinct()
-        if not active.take(1):
-            break
-        both = tested.where("not linked").select("a", "b")
-        both = both.select(F.col("a").alias("doc"), "b").unionAll(both.select(F.col("b").alias("doc"), F.col("a").alias("b")))
-        new = both.groupBy("doc").agg(F.collect_set("b").alias("failed"))
-        failed = new if failed is None else failed.unionAll(new).groupBy("doc").agg(F.array_distinct(F.flatten(F.collect_list("failed"))).alias("failed"))
-        failed, active = stage(failed, "failed"), stage(active, "active")
     labelled = summary.select("doc_id", *key).join(classes, key, "left").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
     return labelled.select("doc_id", F.col("n").alias("n_shingles"),
                            F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """Documents without those that a smaller doc_id of their group stands for."""
-    gone = similar_groups(docs, size, num, den).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group: that of its smallest doc_id, and one of several with that id.
+
+    Different texts under one id are documents of their own, and so are texts without an id; these count as larger than
+    all ids. Rows of one id (or of none) and one text are copies. Documents without words are in no
+    group, so those with an id all stay, once per row."""
+    own, n = F.xxhash64("text"), docs.columns
+    text = f"c{n.index('text')}"
+    hashed = docs.select(F.col("doc_id").cast("long").alias("_id"), own.alias("_own"))
+    seen = hashed.groupBy("_id").agg(F.count("*").alias("_rows"), F.min("_own").alias("_least"), F.max("_own").alias("_most"))
+    # ids that say less than one row each; known by its size, so texts are moved only if there are many
+    several = stage(seen.where("_rows > 1 or _id is null"), "several")
+    kept_columns = [F.col(c).alias(f"c{k}") for k, c in enumerate(n)]
+    marked = docs.select(*kept_columns, F.col("doc_id").cast("long").alias("_id"), own.alias("_own"))
+    marked = marked.alias("d").join(several.alias("s"), F.col("d._id").eqNullSafe(F.col("s._id")), "left").drop(F.col("s._id"))
+    node = F.when(F.col("_rows").isNull() | (F.col("_id").isNotNull() & (F.col("_own") == F.col("_least"))), F.col("_id")).otherwise(
+        F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("_id", text), 2))
+    nodes = marked.withColumn("_node", node)
+    groups = similar_groups(nodes.select(F.col("_node").alias("doc_id"), F.col(text).alias("text")), size, num, den)
+    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_node")).distinct()
+    left = nodes.join(gone, "_node", "left_anti")
+    back = [F.col(f"c{k}").alias(c) for k, c in enumerate(n)]
+    again = F.col("_rows").isNotNull() & F.col(text).rlike("[^ \\t-\\r]")
+    once = left.where(again).groupBy("_node").agg(F.first(F.struct(*[f"c{k}" for k in range(len(n))])).alias("r")).select("r.*")
+    return left.where(~F.coalesce(again, F.lit(False))).select(*back).unionAll(once.select(*back))
 
 
 def op5_ngram_jaccard_join(spark, sf_dir):

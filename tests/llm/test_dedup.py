@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from peakflow.llm import graph, jaccard_join, substring_dedup
 from peakflow.llm import text as X
@@ -98,26 +99,64 @@ def test_groups_of_repeated_rows(spark, batches):
     assert brute.groups(rows, 3, 90)[3] == (19, 1)
 
 
-def test_groups_over_many_tiles(spark, monkeypatch):
-    """A dense group over several blocks: forests, failed pairs and more rounds."""
-    monkeypatch.setattr(jaccard_join, "TILE", 16)
-    monkeypatch.setattr(jaccard_join, "DENSE", 1)
+@pytest.mark.parametrize("tile, dense, edits", [(16, 1, 3), (8, 0, 4), (32, 0, 6)])
+def test_groups_over_many_tiles(spark, monkeypatch, tile, dense, edits):
+    """A dense group over several blocks: forests, blocks that meet later, exact tiles."""
+    monkeypatch.setattr(jaccard_join, "TILE", tile)
+    monkeypatch.setattr(jaccard_join, "DENSE", dense)
     rng = random.Random(5)
     base = brute.prose(rng, 60, 5_000).split()
     rows = []
     for i in range(90):
         w = list(base)
-        for _ in range(rng.randint(0, 3)):
+        for _ in range(rng.randint(0, edits)):
             w[rng.randrange(len(w))] = f"y{rng.randrange(10_000)}"
-        rows.append((i, " ".join(w)))
+        rows.append((i, " ".join(w[:60 - i % 3])))
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.similar_groups(spark.createDataFrame(rows, SCHEMA), 3, 90).collect()}
     assert got == brute.groups(rows, 3, 90)
 
 
+def test_similar_but_unlinked_documents_end_in_two_rounds(spark, monkeypatch):
+    """2,000 documents of a similarity of 0.85 to 0.89, and a few true links among them."""
+    staged = []
+    monkeypatch.setattr(jaccard_join, "stage", lambda df, name, real=jaccard_join.stage: (staged.append(name), real(df, name))[1])
+    rng = random.Random(8)
+    rows = [(i, " ".join([f"b{k}" for k in range(300)] + [f"u{rng.randrange(10**9)}" for _ in range(20)])) for i in range(2_000)]
+    rows += [(2_000 + i, rows[7 * i][1] + " end") for i in range(40)]
+    got = {r.doc_id: r.component_id for r in jaccard_join.similar_groups(spark.createDataFrame(rows, SCHEMA), 3, 90).collect()}
+    assert got == {i: i for i in range(2_000)} | {2_000 + i: 7 * i for i in range(40)}
+    assert staged.count("found") == 2 and staged.count("dense") == 1
+
+
+def test_true_links_equal_brute_force():
+    rng = np.random.default_rng(3)
+    arrays = [np.sort(rng.choice(60, rng.integers(1, 50), replace=False)).astype(np.uint64) for _ in range(40)]
+    comp, side = rng.integers(0, 30, 40), np.zeros(40, int)
+    links = jaccard_join.true_links(arrays, comp, side, 60, 100)
+
+    def classes(pairs):
+        up = list(range(30))
+        for a, b in pairs:
+            x, y = up[comp[a]], up[comp[b]]
+            up = [y if u == x else u for u in up]
+        return [up.index(u) for u in up]
+
+    every = [(a, b) for a in range(40) for b in range(a) if 100 * len(c := np.intersect1d(arrays[a], arrays[b])) >= 60 * (len(arrays[a]) + len(arrays[b]) - len(c))]
+    assert set(map(tuple, np.sort(links, axis=1)[:, ::-1].tolist())) <= set(every) and classes(links) == classes(every)
+
+
 def test_keep_one_of_each_group(spark):
-    text = brute.prose(random.Random(1), 50)
-    docs = spark.createDataFrame([(4, text, 1), (2, text + " end", 2), (9, None, 3), (None, text, 4)], SCHEMA + ", component_id int")
-    assert sorted((r.component_id for r in jaccard_join.keep_one(docs).collect())) == [2, 3, 4]
+    rng = random.Random(1)
+    text, other = brute.prose(rng, 50), brute.prose(rng, 50)
+    rows = [(4, text, 1), (2, text + " end", 2), (9, None, 3), (None, text, 4), (5, other, 5), (5, other, 5), (None, other + " x", 6), (None, other + " x", 6),
+            (2, brute.prose(rng, 50), 7), (None, brute.prose(rng, 50), 8), (None, None, 9), (9, None, 3), (6, " ", 10)]
+    docs = spark.createDataFrame(rows, SCHEMA + ", component_id int").withColumns({"_node": F.lit("x"), "c0": F.lit("y"), "n": F.lit(1)})
+    kept = jaccard_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    left = sorted(r.component_id for r in kept.collect())
+    assert left in ([2, 3, 3, 5, 7, 8, 9, 10],)
+    copies = spark.createDataFrame([(1, text), (1, text), (None, text), (None, text)], SCHEMA)
+    assert [r.doc_id for r in jaccard_join.keep_one(copies).collect()] == [1]
 
 
 def test_empty_tables(spark):
