@@ -39,7 +39,7 @@ def suffixes(words: np.ndarray, first: np.ndarray, least: int) -> tuple[np.ndarr
     n, text = len(words), np.repeat(np.arange(len(first) - 1), np.diff(first))
     left = np.repeat(first[1:], np.diff(first)) - np.arange(n)  # words up to the end of the text
     ranks, size, kept = [], 1, np.arange(n)
-    rank = np.unique(np.stack([text, words]), axis=1, return_inverse=True)[1].ravel() if n else np.empty(0, np.int64)
+    rank = np.unique(text * (int(words.max(initial=0)) + 1) + words, return_inverse=True)[1]
     while True:
         ranks.append(rank.astype(np.int32))
         count = np.bincount(rank[kept], minlength=1) if len(kept) else np.zeros(1, int)
@@ -112,6 +112,26 @@ def _joined(a: _Interval, b: _Interval) -> _Interval:
 def runs_of(words: np.ndarray, first: np.ndarray, shortest: int = SHORTEST) -> tuple[np.ndarray, np.ndarray]:
     """Runs of all texts as rows (start from the first word of all texts, length, period), by start and
     period, and the offsets of the texts in them. `words` are numbers, equal for equal words."""
+    least = (shortest + 1) // 2
+    texts = _with_repeats(words, first, least)
+    sizes = np.diff(first)[texts]
+    at = X.ragged(first[:-1][texts], sizes)
+    rows = _runs(words[at], np.append(0, np.cumsum(sizes)), shortest)
+    rows[:, 0] = at[rows[:, 0]]
+    return rows, np.searchsorted(rows[:, 0], first)
+
+
+def _with_repeats(words: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
+    """Texts in which some stretch of `size` words occurs again (and, by chance of equal hashes, perhaps others)."""
+    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    here = np.flatnonzero(X.complete(first, size))
+    hashes = X.mix(X.windows(words.astype(np.uint64), size)[here] + text[here].astype(np.uint64))
+    order = np.argsort(hashes, kind="stable")
+    again = hashes[order[1:]] == hashes[order[:-1]]
+    return np.unique(text[here[order[1:][again]]])
+
+
+def _runs(words: np.ndarray, first: np.ndarray, shortest: int) -> np.ndarray:
     least = (shortest + 1) // 2
     order, common = suffixes(words, first, least)
     found: list[tuple[int, int, int]] = []
@@ -144,12 +164,11 @@ def runs_of(words: np.ndarray, first: np.ndarray, shortest: int = SHORTEST) -> t
             open_.append((length, leaf(x)))
             close(length)
     if not found:
-        return np.empty((0, 3), np.int64), np.zeros(len(first), np.int64)
+        return np.empty((0, 3), np.int64)
     rows = np.array(found, np.int64)
     rows = rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
     rows = rows[np.append(True, (rows[1:, :2] != rows[:-1, :2]).any(axis=1))]  # the smallest period of a stretch
-    rows = rows[np.lexsort((rows[:, 2], rows[:, 0]))]
-    return rows, np.searchsorted(rows[:, 0], first)
+    return rows[np.lexsort((rows[:, 2], rows[:, 0]))]
 
 
 def periodic_runs(docs: DataFrame, shortest: int = SHORTEST) -> DataFrame:
