@@ -440,6 +440,15 @@ SELECT {FRAGMENT}, CASE WHEN two_fragments AND quan_trace THEN 0.05 * qa END AS
       max(CASE WHEN second_trace THEN area END) AS sa
     FROM frag_smp GROUP BY 1, 2) p ON p.r = f.replicate_name AND p.c = f.precursor_ion_name) t"""
 SQL["assert_two_fragments"] = "SELECT DISTINCT precursor_ion_name FROM frag_std WHERE NOT two_fragments"
+SQL["single_fragments"] = """
+SELECT precursor_ion_name FROM fragments
+WHERE contains(replicate_name, 'Std') AND NOT (product_mz >= 70 AND regexp_matches(precursor_ion_name, '[37]$'))
+GROUP BY precursor_ion_name HAVING count(DISTINCT product_mz) = 1"""
+SQL["transitions_within_tolerance"] = """
+SELECT f.*, t.quan_trace <> 'no' AS quan_trace, t.second_trace <> '' AS second_trace FROM (
+  SELECT * REPLACE (product_mz + ((length(replicate_name) * 7 + CAST(precursor_mz AS INT)) % 9 - 4) * CAST(0.03 AS DOUBLE) AS product_mz)
+  FROM fragments) f LEFT JOIN transitions t
+  ON t.compound_name = f.precursor_ion_name AND abs(f.product_mz - t.daughter) <= 0.1"""
 SQL["ion_ratio_reference"] = "SELECT * FROM ir_ref"
 SQL["ion_ratio_flags"] = f"SELECT {FRAGMENT}, retention_time, background, height, ir_flag FROM ir_flagged"
 SQL["tqs_blank_reference"] = "SELECT * FROM tq_blank"
@@ -460,6 +469,11 @@ SQL["drop_mode_duplicates"] = f"SELECT ion_column, {PEAK} FROM qc2"
 SQL["dimension_by_header"] = """
 SELECT compound_name, compound_name_original, compound_type, column_type, concentration_um, hilic_mix, empirical_formula FROM standards"""
 
+SQL["long_two_headers"] = """
+SELECT replicate_name, precursor_ion_name, CASE WHEN retention_time <> '#N/A' THEN CAST(retention_time AS DOUBLE) END AS retention_time,
+  CASE WHEN area <> '#N/A' THEN CAST(area AS DOUBLE) END AS area, CAST(background AS DOUBLE) AS background,
+  CASE WHEN height <> '#N/A' THEN CAST(height AS DOUBLE) END AS height, CAST(mass_error_ppm AS DOUBLE) AS mass_error_ppm FROM skyline_raw"""
+
 SQL["internal_standards"] = "SELECT * FROM is_dim"
 SQL["semi_internal_standards"] = f"SELECT {PEAK} FROM peaks WHERE metabolite_name IN (SELECT compound_name FROM is_dim)"
 SQL["anti_internal_standards"] = f"SELECT {PEAK} FROM peaks WHERE metabolite_name NOT IN (SELECT compound_name FROM is_dim)"
@@ -475,6 +489,12 @@ SELECT replicate_name, 'left' AS only_in FROM (
   SELECT replicate_name FROM int_is EXCEPT SELECT replicate_name FROM bm WHERE metabolite_name NOT IN (SELECT compound_name FROM is_dim)) a
 UNION ALL SELECT replicate_name, 'right' FROM (
   SELECT replicate_name FROM bm WHERE metabolite_name NOT IN (SELECT compound_name FROM is_dim) EXCEPT SELECT replicate_name FROM int_is) b"""
+_LEFT = "SELECT replicate_name FROM int_is WHERE NOT ends_with(split_part(replicate_name, '_', 3), '3')"
+_RIGHT = """SELECT replicate_name FROM bm WHERE metabolite_name NOT IN (SELECT compound_name FROM is_dim)
+  AND NOT ends_with(split_part(replicate_name, '_', 3), '7')"""
+SQL["replicate_mismatch"] = f"""
+SELECT replicate_name, 'left' AS only_in FROM ({_LEFT} EXCEPT {_RIGHT}) a
+UNION ALL SELECT replicate_name, 'right' FROM ({_RIGHT} EXCEPT {_LEFT}) b"""
 SQL["bmis_candidates"] = f"""
 SELECT replicate_name, mass_feature, mis, area_with_qc, {cuts("adjusted_area")}, weight FROM (
   SELECT *, count(*) AS weight FROM cand GROUP BY ALL) t"""

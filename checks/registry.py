@@ -24,7 +24,7 @@ from peakflow.operators import tidy as T
 from peakflow.params import CORRECTED, REFERENCE, QcParams, QuantifyParams
 from peakflow.plans import workflow as W
 from peakflow.schema import PEAKS, SKYLINE_NUMERIC
-from peakflow.sources.readers import load_standards, read_wide
+from peakflow.sources.readers import load_standards, read_long, read_wide
 from peakflow.sources.staging import stage, staging_dir
 
 QC = QcParams()
@@ -129,6 +129,19 @@ def dimension_by_header(spark, sf):
     return load_standards(spark, folder)
 
 
+@query
+def long_two_headers(spark, sf):
+    """Long exports of one folder, half of them with another order, spelling and number of columns, read by name."""
+    folder = f"{staging_dir(spark).rstrip('/')}/long-{uuid.uuid4().hex}"
+    raw = view(spark, sf, "skyline_raw")
+    first = F.pmod(F.length("replicate_name") + F.coalesce(F.length("area"), F.lit(0)), F.lit(2)) == 0
+    keep = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    raw.filter(first).toDF(*(c.replace("_", " ").title() for c in raw.columns)).write.options(**keep).csv(folder)
+    other = raw.filter(~first).select(F.lit("x").alias("Extra"), *(F.col(c).alias(c.upper()) for c in reversed(raw.columns)))
+    other.write.mode("append").options(**keep).csv(folder)
+    return read_long(spark, folder)
+
+
 # --- names and scalars ------------------------------------------------------------------------------
 
 
@@ -401,6 +414,21 @@ def assert_two_fragments(spark, sf):
     return R.assert_two_fragments(_standard_fragments(spark, sf))
 
 
+@query
+def single_fragments(spark, sf):
+    """Compounds of which one product ion is missing in all runs."""
+    kept = fragments(spark, sf).filter(~((F.col("product_mz") >= 70) & F.col("precursor_ion_name").rlike("[37]$")))
+    return R.assert_two_fragments(R.check_fragments(kept, transitions(spark, sf), "Std"))
+
+
+@query
+def transitions_within_tolerance(spark, sf):
+    """Measured product ions a little off the listed ones, on both sides of bin edges and of the tolerance."""
+    shift = (F.length("replicate_name") * 7 + F.col("precursor_mz").cast("int")) % 9 - 4
+    off = fragments(spark, sf).withColumn("product_mz", F.col("product_mz") + shift * 0.03)
+    return R.attach_transitions(off, transitions(spark, sf), tolerance=0.1)
+
+
 @query
 def ion_ratio_reference(spark, sf):
     return R.ion_ratio_reference(_standard_fragments(spark, sf))
@@ -503,6 +531,17 @@ def assert_same_replicates(spark, sf):
     )
 
 
+@query
+def replicate_mismatch(spark, sf):
+    """Internal standards lost in some replicates, everything else in others."""
+    data, names = bmis_data(spark, sf), internal(spark, sf)
+    sample = F.element_at(F.split("replicate_name", "_"), 3)
+    return B.assert_same_replicates(
+        B.semi_internal_standards(data, names).filter(~sample.endswith("3")),
+        B.anti_internal_standards(data, names).filter(~sample.endswith("7")),
+    )
+
+
 def _staged_data(spark, sf):
     data = B.bmis_input(qc_of_table(spark, sf))
     return stage(data.select("replicate_name", "metabolite_name", "area_with_qc"), "bmis-input")

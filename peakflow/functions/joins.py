@@ -42,11 +42,11 @@ def natural_left_join(left: DataFrame, right: DataFrame) -> DataFrame:
     return null_safe_join(left, right, shared)
 
 
-def pair_with_each(left: DataFrame, small: DataFrame, shards: int = 16) -> DataFrame:
-    """Every left row with every row of a small table, as an equi-join on a shard number.
-
-    Used where a dense grid is the definition of the result. The small side is broadcast when it is
-    measured small; otherwise both sides are spread over the shards, so no task sees a whole side."""
-    spread = left.withColumn("_shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    keyed = small.withColumn("_shard", F.pmod(F.hash(*small.columns), F.lit(shards)))
-    return spread.join(keyed, "_shard").drop("_shard")
+def missing_of(df: DataFrame, keys: list[str], value: str, every: DataFrame) -> DataFrame:
+    """For every group of rows, the values of a small table that none of its rows has: keys and value.
+
+    A group gathers its different values only, no more than `every` has (the internal standards of a
+    dimension); groups that lack none produce nothing, and no grid of groups and values is built."""
+    all_values = every.agg(F.collect_set(value)).scalar()
+    own = df.groupBy(*keys).agg(F.collect_set(value).alias("_own"))
+    return own.select(*keys, F.explode(F.array_except(all_values, "_own")).alias(value))

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from peakflow.functions.columns import (
     BLANK_OR_STANDARD, fix_replicate_dash, parse_replicate, replicate_part, safe_div, trim_whitespace,
 )
-from peakflow.functions.joins import null_safe_join, pair_with_each, sized
+from peakflow.functions.joins import missing_of, null_safe_join, sized
 from peakflow.functions.stats import weighted_rsd
 from peakflow.params import INJECTION_VOLUME, REFERENCE, BmisParams, is_corrected
+from peakflow.sources.staging import stage
 
 #: Decimals of a relative standard deviation that decide a tie; the rest is rounding noise.
 RSD_DECIMALS = 12
@@ -151,17 +152,19 @@ def bmis_candidates(data: DataFrame, standards: DataFrame, mode: str = REFERENCE
     on, as a result of its own; choosing and normalising work without it."""
     areas = standard_areas(data, standards, mode)
     means = sized(is_means(data, standards, mode)).withColumnRenamed("mass_feature", "mis")
-    volumes = injection_volume(data, mode)
-    rows = _features(data).unionByName(volumes)
+    rows = _features(data).unionByName(injection_volume(data, mode))
     found = areas.select(
         "replicate_name", F.col("mass_feature").alias("mis"), F.col("area_with_qc").alias("_is_area"),
         F.col("weight").alias("_is_weight"),
     )
-    grid = pair_with_each(volumes.select("replicate_name"), means).join(found, ["replicate_name", "mis"], "left")
-    return rows.join(grid, "replicate_name").select(
+    lacking = missing_of(found.where(F.col("replicate_name").isNotNull()), ["replicate_name"], "mis", means).withColumns(
+        {"_is_area": F.lit(None).cast("double"), "_is_weight": F.lit(1).cast("bigint")}
+    )
+    pairs = rows.join(found, "replicate_name").unionByName(rows.join(lacking, "replicate_name"))
+    return pairs.join(means, "mis").select(
         "replicate_name", "mass_feature", "mis", "area_with_qc",
         (safe_div("area_with_qc", "_is_area") * F.col("average_area")).alias("adjusted_area"),
-        (F.col("weight") * F.coalesce("_is_weight", F.lit(1))).alias("weight"),
+        (F.col("weight") * F.col("_is_weight")).alias("weight"),
     )
 
 
@@ -172,12 +175,13 @@ def candidate_moments(
 
     Within a replicate every value of a feature meets every value of a standard, so mean and variance
     of the quotients follow from those of the areas and of the inverse standard areas. One pass reduces
-    the rows to moments per (replicate, feature), so repeated rows never multiply; a replicate then
-    is one row with as many entries as it has compounds, and its pairs go straight into the next
-    aggregation. The mean area of a standard cancels in a relative deviation and is left out.
+    the rows to moments per (replicate, feature), so repeated rows never multiply. Moments of
+    features and of standards are two narrow tables that meet on their replicate; a replicate of very many compounds
+    is split by adaptive execution, and nothing of it is gathered. The mean area of a
+    standard cancels in a relative deviation and is left out.
 
-    `rows` counts table rows. A feature row also counts for standards its replicate lacks: the entry
-    with mis NULL carries these base counts, all others only what they add to them. `runs` restricts
+    `rows` counts table rows. A feature row also counts for standards its replicate lacks: the rows
+    with mis NULL carry these base counts, all others only what they add to them. `runs` restricts
     the replicates, `standards_only` the features."""
     if runs is not None:
         data = data.filter(runs)
@@ -188,42 +192,36 @@ def candidate_moments(
         F.var_pop(area).alias("var"), F.count(inverse).alias("inv_n"), F.avg(inverse).alias("inv_mean"),
         F.var_pop(inverse).alias("inv_var"),
     )
-    standard = F.coalesce("_is_standard", F.lit(False))
-    feature = F.struct(F.col("metabolite_name").alias("name"), "rows", "n", "mean", "var")
-    divisor = F.struct(
-        F.col("metabolite_name").alias("name"), "rows", F.col("inv_n").alias("n"),
-        F.col("inv_mean").alias("mean"), F.col("inv_var").alias("var"),
-    )
-    replicates = _with_standard_flag(compounds, standards).groupBy("replicate_name").agg(
-        F.sum("rows").alias("_k"),
-        F.collect_list(F.when(standard, feature) if standards_only else feature).alias("_features"),
-        F.collect_list(F.when(standard, divisor)).alias("_divisors"),
-    )
+    compounds = stage(_with_standard_flag(compounds, standards), "moments")
+    is_standard = F.coalesce("_is_standard", F.lit(False))
+    volumes = compounds.groupBy("replicate_name").agg(F.sum("rows").alias("_k"))
     k = F.lit(1).cast("bigint") if is_corrected(mode) else F.col("_k")
 
-    def entry(name, rows, n, mean, var):
-        fields = {"name": name, "rows": rows, "n": n, "mean": mean, "var": var}
-        return F.array(F.struct(*[c.alias(field) for field, c in fields.items()]))
-
-    zero, nothing = F.lit(0.0), F.lit(0).cast("bigint")
-    volume, name = _volume(), F.lit(INJECTION_VOLUME)
-    features = F.concat("_features", entry(name, k, k, volume, zero))
-    divisors = F.concat(
-        "_divisors", entry(name, k, k, 1.0 / volume, zero),
-        entry(F.lit(None).cast("string"), nothing, nothing, F.lit(None).cast("double"), F.lit(None).cast("double")),
+    def entries(own, n, mean, var, volume):
+        """Moments of compounds, and of the injection volume of every replicate."""
+        cells = own.select("replicate_name", F.col("metabolite_name").alias("name"), "rows", F.col(n).alias("n"), F.col(mean).alias("mean"), F.col(var).alias("var"))
+        return cells.unionByName(volumes.select(
+            "replicate_name", F.lit(INJECTION_VOLUME).alias("name"), k.alias("rows"), k.alias("n"), volume.alias("mean"), F.lit(0.0).alias("var")
+        ))
+
+    own_standards = compounds.filter(is_standard)
+    features = entries(own_standards if standards_only else compounds, "n", "mean", "var", _volume())
+    divisors = entries(own_standards, "inv_n", "inv_mean", "inv_var", 1.0 / _volume()).select(
+        "replicate_name", F.col("name").alias("mis"), *[F.col(c).alias(f"d_{c}") for c in ("rows", "n", "mean", "var")]
     )
-    pairs = replicates.select("replicate_name", F.explode(features).alias("f"), divisors.alias("_d")).select(
-        "replicate_name", "f", F.explode("_d").alias("d")
+    nothing = F.lit(None).cast("double")
+    base = features.select(
+        "replicate_name", F.col("name").alias("mass_feature"), F.lit(None).cast("string").alias("mis"),
+        nothing.alias("mean"), nothing.alias("variance"), F.lit(0).cast("bigint").alias("frequency"), "rows",
     )
-    f_mean, d_mean, f_var, d_var = (F.col(c) for c in ("f.mean", "d.mean", "f.var", "d.var"))
-    added = F.when(F.col("d.name").isNull(), F.lit(1)).otherwise(F.col("d.rows") - 1)
-    return pairs.select(
-        "replicate_name", F.col("f.name").alias("mass_feature"), F.col("d.name").alias("mis"),
-        (f_mean * d_mean).alias("mean"),
-        (f_var * d_var + f_var * d_mean * d_mean + f_mean * f_mean * d_var).alias("variance"),
-        (F.col("f.n") * F.col("d.n")).alias("frequency"),
-        (F.col("f.rows") * added).alias("rows"),
+    mean, var, d_mean, d_var = (F.col(c) for c in ("mean", "var", "d_mean", "d_var"))
+    pairs = null_safe_join(features, divisors, ["replicate_name"], "inner").select(
+        "replicate_name", F.col("name").alias("mass_feature"), "mis", (mean * d_mean).alias("mean"),
+        (var * d_var + var * d_mean * d_mean + mean * mean * d_var).alias("variance"),
+        (F.col("n") * F.col("d_n")).alias("frequency"),
+        (F.col("rows") * (F.col("d_rows") - 1)).alias("rows"),
     )
+    return pairs.unionByName(base)
 
 
 def pooled_rsd(moments: DataFrame) -> DataFrame:
@@ -244,10 +242,8 @@ def pooled_rsd(moments: DataFrame) -> DataFrame:
 def with_missing_pairs(rsd: DataFrame, means: DataFrame) -> DataFrame:
     """Add the pairs of a feature and a standard that never share a pooled replicate, without a value."""
     rsd = sized(rsd)
-    pairs = pair_with_each(
-        rsd.select("mass_feature").distinct(), sized(means).select(F.col("mass_feature").alias("mis"))
-    )
-    return null_safe_join(pairs, rsd, ["mass_feature", "mis"])
+    missing = missing_of(rsd, ["mass_feature"], "mis", means.select(F.col("mass_feature").alias("mis")))
+    return rsd.unionByName(missing.withColumn("rsd_of_poo", F.lit(None).cast("double")))
 
 
 def bmis_pick(rsd: DataFrame, p: BmisParams = BmisParams()) -> DataFrame:

@@ -10,23 +10,37 @@ from peakflow.functions.joins import null_safe_join, sized
 from peakflow.operators.skyline import COMPOUND, flag_columns, skyline_rt_reference, threshold_flags
 from peakflow.params import REFERENCE, QcParams, is_corrected
 
-#: Decimals to which two m/z values must agree, unless told otherwise, to be the same product ion.
-MZ_DECIMALS = 4
+#: Distance up to which two m/z values, unless told otherwise, are the same product ion.
+MZ_TOLERANCE = 5e-5
 
 _FRAGMENT = ["replicate_name", COMPOUND, "product_mz"]
 
 
-def attach_transitions(df: DataFrame, transitions: DataFrame, mz_decimals: int = MZ_DECIMALS) -> DataFrame:
-    """Add whether a product ion is the quantitative or the secondary trace (NULL: not listed)."""
+def attach_transitions(df: DataFrame, transitions: DataFrame, tolerance: float = MZ_TOLERANCE) -> DataFrame:
+    """Add whether a product ion is the quantitative or the secondary trace (NULL: not listed).
+
+    An interval join: bins are as wide as the interval of a listed ion, so it lies in two neighbouring bins at most
+    and stands in both; a measured ion has one bin, and the exact distance decides. Nothing depends on
+    where bins end. A missing m/z matches a missing one."""
     second, quan = F.col("second_trace"), F.col("quan_trace")
+    width = 2 * tolerance or 1.0
+
+    def bin_of(mz):
+        return F.floor(mz / F.lit(width))
+
+    mz = F.col("daughter")
+    bins = F.when(mz.isNull(), F.array(F.lit(None).cast("bigint"))).otherwise(
+        F.array_distinct(F.array(bin_of(mz - tolerance), bin_of(mz), bin_of(mz + tolerance))))
     listed = sized(transitions.select(
-        F.col("compound_name").alias(COMPOUND),
-        F.round("daughter", mz_decimals).alias("_mz"),
+        F.col("compound_name").alias("_compound"), mz.alias("_listed"), F.explode(bins).alias("_listed_bin"),
         F.when(quan.isNotNull(), quan != "no").alias("quan_trace"),
         F.when(second.isNotNull(), second != "").alias("second_trace"),
     ))
-    keyed = df.withColumn("_mz", F.round("product_mz", mz_decimals))
-    return null_safe_join(keyed, listed, [COMPOUND, "_mz"]).drop("_mz")
+    measured = F.col("product_mz").cast("double")
+    keyed = df.withColumn("_bin", bin_of(measured))
+    near = F.col("_listed").isNull() | (F.abs(measured - F.col("_listed")) <= tolerance)
+    same = F.col(COMPOUND).eqNullSafe(F.col("_compound")) & F.col("_bin").eqNullSafe(F.col("_listed_bin")) & near
+    return keyed.join(listed, same, "left").drop("_bin", "_compound", "_listed", "_listed_bin")
 
 
 def _checked(

@@ -36,21 +36,71 @@ def column_name(header: str) -> str:
     return _ALIASES.get(plain, plain)
 
 
+def _names_of(header: Column) -> Column:
+    """Plain spellings of a header's cells, as `column_name` gives them."""
+    def plain(cell):
+        name = F.regexp_replace(F.regexp_replace(F.lower(F.trim(F.coalesce(cell, F.lit("")))), "[^0-9a-z]+", "_"), "^_+|_+$", "")
+        for alias, own in _ALIASES.items():
+            name = F.when(name == alias, own).otherwise(name)
+        return name
+
+    return F.transform(header, plain)
+
+
+def _lines(spark: SparkSession, path: str, pattern: str | None, skip_first: bool) -> DataFrame:
+    """Whole lines of CSV files, without the first of each file where asked for: _path, _at, line.
+
+    The same reader as for cells, with a separator that does not occur and no quotes."""
+    reader = spark.read.schema("line string").options(header=skip_first, sep="\u0001", quote="", recursiveFileLookup=True)
+    at = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    return _matching(reader.csv(path), pattern).select(F.col("_metadata.file_path").alias("_path"), at.alias("_at"), "line")
+
+
+def _headed(
+    spark: SparkSession, path: str, pattern: str | None, wide: bool, columns: list[str] | None = None
+) -> DataFrame:
+    """Data rows of CSV files with the header of their own file: source_file, header, cells.
+
+    Two scans. The first takes, in one aggregation, each file's header line and the most cells of any line; only that
+    one number reaches the driver. The second reads cells by position and meets the header of its file, so files may
+    differ in order, number and spelling of columns. A header is the first line of its file; in wide exports,
+    whose first line says nothing, the first later line with a first cell. `columns` must be in every header."""
+    lines = _lines(spark, path, pattern, skip_first=wide)
+    commas = F.length("line") - F.length(F.replace("line", F.lit(","), F.lit("")))
+    first = F.regexp_replace(F.substring_index("line", ",", 1), '"', "")
+    heads = (first != "") & (first != "NA") if wide else F.lit(True)
+    found = sized(lines.groupBy("_path").agg(
+        F.min_by(F.when(heads, F.col("line")), F.when(heads, F.col("_at"))).alias("line"), F.max(commas).alias("commas")
+    ))
+    names = [f"_c{i}" for i in range((found.agg(F.max("commas")).first()[0] or 0) + 1)]
+    layout = schema._strings(*names)
+    parsed = F.from_csv("line", ", ".join(f"{n} string" for n in names), {"nullValue": "NA"})
+    headers = found.where(F.col("line").isNotNull()).select(
+        "_path", F.array(*[parsed[n] for n in names]).alias("header"))
+    if columns:
+        lacking = F.array_except(F.array(*map(F.lit, columns)), _names_of(F.col("header")))
+        short = headers.select("_path", "header", lacking.alias("lacking")).where(F.size("lacking") > 0).first()
+        if short:
+            among = ", ".join(c for c in short.header if c is not None)
+            raise ValueError(f"{short['_path']}: no column for {', '.join(short.lacking)} among {among}")
+    rows = _scan_rows(spark, path, layout, pattern).select(
+        dataset_name(F.col("_metadata.file_name")).alias("source_file"),
+        F.col("_metadata.file_path").alias("_path"), F.array(*names).alias("cells"),
+    )
+    if wide:
+        rows = rows.filter(F.coalesce(F.col("cells")[0], F.lit("")) != "")
+    joined = rows.join(headers, "_path")
+    if wide:  # the header is a row here; one that is said again further down is no data either
+        joined = joined.filter(~F.col("cells").eqNullSafe(F.col("header")))
+    return joined.select("source_file", "header", "cells")
+
+
 def _scan_csv(spark: SparkSession, path: str, columns: T.StructType, pattern: str | None) -> DataFrame:
-    """Text columns of CSV files, bound by the names in their header; further columns are ignored.
-
-    All files must have the same header; Spark checks it file by file. Names alone are listed first, so
-    that files outside the pattern neither give the header nor are read."""
-    names = _matching(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path), pattern)
-    paths = [r.path for r in names.select("path").collect()]
-    if not paths:
-        return spark.createDataFrame([], schema._strings(*columns.names))
-    raw = spark.read.option("header", True).option("enforceSchema", False).option("nullValue", "NA").csv(sorted(paths))
-    found = {column_name(c): c for c in reversed(raw.columns)}
-    missing = [c for c in columns.names if c not in found]
-    if missing:
-        raise ValueError(f"{path}: no column for {', '.join(missing)} among {', '.join(raw.columns)}")
-    return raw.select(*(F.col("`" + found[c].replace("`", "``") + "`").cast("string").alias(c) for c in columns.names))
+    """Text columns of CSV files, bound by the names in their own header; further columns are ignored.
+
+    Files of one folder may have different headers; each must have all columns."""
+    rows = _headed(spark, path, pattern, False, columns.names).withColumn("_names", _names_of(F.col("header")))
+    return rows.select(*(F.get("cells", F.array_position("_names", c).cast("int") - 1).alias(c) for c in columns.names))
 
 
 def _scan_rows(spark: SparkSession, path: str, columns: T.StructType, pattern: str | None) -> DataFrame:
@@ -100,32 +150,13 @@ def read_qc_report(spark: SparkSession, path: str, columns: T.StructType) -> Dat
     )
 
 
-def _widest_row(spark: SparkSession, path: str, pattern: str | None) -> int:
-    """Upper bound of the cells of any line, counted by commas."""
-    lines = _matching(spark.read.option("recursiveFileLookup", True).text(path), pattern)
-    commas = F.length("value") - F.length(F.replace(F.col("value"), F.lit(","), F.lit("")))
-    return (lines.agg(F.max(commas)).first()[0] or 0) + 1
-
-
 def wide_header(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
     """Data rows of wide exports with the header of their own file: source_file, header, cells.
 
     The first line of every file is skipped. Then lines with an empty first cell are sample metadata;
     the first line with a first cell is the header, and the rest is data. Files may differ in header
-    and width and may be split over tasks: the header is the line at the smallest file position."""
-    names = [f"_c{i}" for i in range(_widest_row(spark, path, pattern))]
-    rows = _scan_rows(spark, path, schema._strings(*names), pattern).select(
-        dataset_name(F.col("_metadata.file_name")).alias("source_file"),
-        F.col("_metadata.file_path").alias("_path"),
-        F.struct(
-            F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")
-        ).alias("_at"),
-        F.array(*names).alias("cells"),
-    ).filter(F.coalesce(F.col("cells")[0], F.lit("")) != "")
-    headers = sized(rows.groupBy("_path").agg(F.min_by("cells", "_at").alias("header"), F.min("_at").alias("_first")))
-    return rows.join(headers, "_path").filter(F.col("_at") != F.col("_first")).select(
-        "source_file", "header", "cells"
-    )
+    and width and may be split over tasks."""
+    return _headed(spark, path, pattern, wide=True)
 
 
 def syntactic(name: Column) -> Column:

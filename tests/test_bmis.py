@@ -243,6 +243,22 @@ def test_repeated_rows_of_a_hot_replicate_never_multiply(spark, internal):
     assert found["A", "S1"]["variance"] == pytest.approx(square - (mean_a * mean_s) ** 2, rel=1e-6)
 
 
+def test_a_replicate_of_very_many_compounds_is_not_gathered(spark, internal):
+    """One pooled replicate with 100,000 compounds, two of them internal standards."""
+    n = 100_000
+    rows = spark.range(n).selectExpr(
+        "'1_Poo_H_1' AS replicate_name", "CASE id WHEN 0 THEN 'S1' WHEN 1 THEN 'S2' ELSE concat('C', id) END AS metabolite_name",
+        "cast(100 + id % 977 as double) AS area_with_qc",
+    )
+    moments = B.candidate_moments(rows, internal)
+    plan = moments._jdf.queryExecution().toString()
+    assert "collect_list" not in plan and "collect_set" not in plan and "CartesianProduct" not in plan
+    # every compound and the volume against S1, S2, the volume and the row of base counts
+    assert moments.count() == 4 * (n + 1)
+    mean = moments.filter("mass_feature = 'C500' AND mis = 'S2'").first()["mean"]
+    assert mean == pytest.approx(600 / 101)
+
+
 def test_plans_have_no_python_and_no_cross_joins(data, internal):
     for df in (B.bmis_candidates(data, internal), B.bmis_normalize(data, internal)):
         assert forbidden_in(df) == []

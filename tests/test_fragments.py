@@ -41,6 +41,24 @@ def test_transitions_match_rounded_masses(table, listed):
     assert rows["1_Std_a_1", "B", 55.0]["quan_trace"] is None
 
 
+def test_transitions_match_across_bin_edges(spark):
+    """Every place of a listed ion within its bin, and measured ions on both sides of the tolerance."""
+    tolerance, listed, table = 0.01, [], []
+    for k in range(200):
+        mz = 50 + k * 0.0017
+        listed.append((f"c{k}", mz, "yes", ""))
+        table += [("r", f"c{k}", 1.0, mz + f * tolerance, 1.0, 0.0, 0.0, float(f)) for f in (-1.5, -1.01, -0.99, -0.3, 0, 0.99, 1.01, 2.5)]
+    table.append(("r", "none", 1.0, None, 1.0, 0.0, 0.0, 9.0))
+    listed += [("none", None, "no", "yes"), ("c0", 50.005, "no", "yes")]
+    df = R.attach_transitions(spark.createDataFrame(table, ROWS), spark.createDataFrame(
+        listed, "compound_name string, daughter double, quan_trace string, second_trace string"), tolerance)
+    rows = df.collect()
+    assert {(r.precursor_ion_name, r.retention_time) for r in rows if r.quan_trace} == {(f"c{k}", f) for k in range(200) for f in (-0.99, -0.3, 0.0, 0.99)}
+    assert {r.retention_time for r in rows if r.second_trace and r.precursor_ion_name == "c0"} == {-0.3, 0.0, 0.99, 1.01}
+    assert [r.quan_trace for r in rows if r.precursor_ion_name == "none"] == [False]
+    assert len(rows) == len(table) + 3
+
+
 def test_fragment_checks(table, listed):
     frags = R.check_fragments(table, listed, "Std")
     rows = by(frags, "replicate_name", "precursor_ion_name", "product_mz")

@@ -16,7 +16,8 @@ COMPARED = [
     "check_fragments_corrected", "drop_mode_duplicates", "formula_atoms_corrected", "is_to_is_rsd",
     "mode_duplicate_stats", "mole_fractions", "msdial_qc", "msdial_qc_corrected", "pooled_rsd",
     "qc_parameter_report", "rf_dimensions", "skyline_qc", "skyline_qc_corrected", "standardize_names",
-    "tqs_qc", "tqs_qc_corrected", "update_compound_names", "wide_header",
+    "tqs_qc", "tqs_qc_corrected", "update_compound_names", "wide_header", "long_two_headers",
+    "single_fragments", "transitions_within_tolerance", "replicate_mismatch",
 ]
 
 

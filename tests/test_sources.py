@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -108,6 +109,23 @@ def test_columns_are_bound_by_name(spark, tmp_path):
     assert R.read_long(spark, str(tmp_path), pattern="nothing").count() == 0
 
 
+def test_files_of_one_folder_may_have_different_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Replicate Name,Precursor Ion Name,Retention Time,Area,Background,Height,Mass Error PPM\nr1,A,1,2,3,4,5\n")
+    (tmp_path / "b.csv").write_text('height,"x, y",AREA,replicate name,Mass-Error-PPM,Background,Precursor Ion Name,Retention Time,more\n40,z,20,r2,50,30,"B, b",10,q,too,many\n')
+    rows = by(R.read_long(spark, str(tmp_path)), "replicate_name")
+    assert [rows["r1"][c] for c in ("retention_time", "area", "background", "height", "mass_error_ppm")] == [1, 2, 3, 4, 5]
+    assert [rows["r2"][c] for c in ("retention_time", "area", "background", "height", "mass_error_ppm")] == [10, 20, 30, 40, 50]
+    assert rows["r2"]["precursor_ion_name"] == "B, b"
+
+
+def test_wide_exports_are_scanned_twice(spark, exports):
+    plan = R.wide_header(spark, exports, "Area")._jdf.queryExecution().toString()
+    physical = plan[plan.index("== Physical Plan =="):]
+    scans = re.findall(r"FileScan csv \[.*ReadSchema: struct<([^>]*)>", physical)
+    assert {s.split(":")[0] for s in scans} == {"_c0", "line"}  # lines fill the cached headers, cells are the data
+    assert sum(s.startswith("_c0") for s in scans) == 1
+
+
 def test_results_round_trip(spark, tmp_path):
     day = dt.date(2020, 1, 2)
     df = spark.createDataFrame([("r", 1.5), (None, None)], "replicate_name string, area double")

@@ -72,11 +72,12 @@ def test_rsd_by_group(spark):
     assert rows["b"]["rsd"] is None and rows["c"]["rsd"] is None
 
 
-def test_pair_with_each_covers_all_pairs_without_a_cross_join(spark):
-    left, small = spark.range(20).withColumnRenamed("id", "l"), spark.range(7).withColumnRenamed("id", "s")
-    pairs = J.pair_with_each(left, small)
-    assert pairs.distinct().count() == pairs.count() == 140
-    assert forbidden_in(pairs) == []
+def test_missing_values_of_groups_without_a_grid(spark):
+    every = spark.createDataFrame([("a",), ("b",), ("c",)], "v string")
+    df = spark.createDataFrame([("x", "a"), ("x", "a"), ("y", "c"), ("y", "b"), ("y", "a"), (None, "b")], "k string, v string")
+    got = J.missing_of(df, ["k"], "v", every)
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [("x", "b"), ("x", "c"), (None, "a"), (None, "c")]))
+    assert forbidden_in(got) == [] and J.missing_of(df.limit(0), ["k"], "v", every).count() == 0
 
 
 def test_sized_tables_decide_the_join(spark):
