@@ -5,8 +5,10 @@ request and a metadata record; the latter two name the first in WARC-Concurrent-
 records down byte by byte in gzip files of a bounded size, whose records are read by their lengths, so a payload
 may hold anything. Reading joins the records of a capture through the concurrent-to identifiers.
 
-Input: pages (page_id, url, html). A null html is an empty payload, a null url leaves the target out. Rows that
-repeat page_id, url and html are one capture. Null page_ids are captures without id. Records that belong
+Input: pages (page_id, url, html); others, whatever their names, are ignored. A null html is an empty payload, of any length it is
+written whole; a null url leaves the target out. Every row has its own capture, also where rows repeat page_id, url and html: these are
+numbered, and the number is part of the identifier. Of equal payloads the smallest page_id is the response, in all its rows, and
+pages without an id revisit it; where no id is known, all are responses. Records that belong
 to no capture are handed on as captures without response; an empty table gives an empty archive."""
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,24 +37,32 @@ _RECORDS = "record_id string, record_type string, target_uri string, date string
 
 
 def captures_of(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
-    """page_id, url, payload, digest and, for a revisit, the page_id and url of the response (`first`).
+    """page_id, url, payload, digest, `number` among rows equal in all of these and, for a revisit, the page_id and
+    url of the response (`first`).
 
-    The smallest page of each payload is a map-side minimum; only payloads that occur twice are joined back."""
+    The smallest page of each payload is a map-side minimum; only payloads that occur twice are joined back. Equal rows
+    are counted, written once and told as often as they occur, so none of them is ordered anywhere."""
     payload = F.coalesce(F.col("html").cast("binary"), F.lit("").cast("binary"))
     rows = pages.select("page_id", "url", payload.alias("payload"), F.sha2(payload, 256).alias("digest"))
-    long = rows.where(F.octet_length("payload") >= least)
-    again = long.groupBy("digest").agg(F.min(F.struct("page_id", "url")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    own = F.struct("page_id", "url")
-    # nulls sort first, but a page with an id is the better response
-    known = long.where("page_id is not null").groupBy("digest").agg(F.min(F.struct("page_id", "url")).alias("known"))
+    known = F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))
+    again = rows.where(F.octet_length("payload") >= least).groupBy("digest").agg(F.min(known).alias("first"), F.count("*").alias("n"))
+    again = again.where("n > 1 and first is not null").drop("n")
     # stored, so that its size is known and a small one leaves the payloads where they are
-    again = stage(again.join(known, "digest", "left").select("digest", F.coalesce("known", "first").alias("first")), "repeated")
-    joined = rows.join(again, "digest", "left")
-    return joined.withColumn("first", F.when(~F.col("first").eqNullSafe(own), F.col("first")))
-
-
-def _identifier(page_id: Column, url: Column, digest: Column) -> Column:
-    h = F.sha2(F.concat_ws("|", F.coalesce(page_id.cast("string"), F.lit("-")), F.coalesce(url, F.lit("")), digest).cast("binary"), 256)
+    again = stage(again, "repeated")
+    triple = ["page_id", "url", "digest"]
+    equal = stage(rows.groupBy(*triple).agg(F.count("*").alias("n")).where("n > 1"), "equal")
+    same = reduce(and_, (F.col(f"r.{c}").eqNullSafe(F.col(f"e.{c}")) for c in triple))
+    kept = [F.col(f"r.{c}") for c in ("page_id", "url", "payload", "digest")]
+    single = rows.alias("r").join(equal.alias("e"), same, "left_anti").withColumn("number", F.lit(0).cast("long"))
+    copies = rows.alias("r").join(equal.alias("e"), same).select(*kept, "n").groupBy(*triple, "n").agg(F.first("payload").alias("payload"))
+    told = copies.withColumn("number", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))).repartition("digest", "number").drop("n")
+    joined = single.unionByName(told).join(again, "digest", "left")
+    return joined.withColumn("first", F.when(~F.col("first.page_id").eqNullSafe(F.col("page_id")), F.col("first")))
+
+
+def _identifier(page_id: Column, url: Column, digest: Column, number: Column) -> Column:
+    text = F.concat_ws("|", F.coalesce(page_id.cast("string"), F.lit("-")), F.coalesce(url, F.lit("")), digest, F.when(number > 0, number.cast("string")))
+    h = F.sha2(text.cast("binary"), 256)
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *(F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))), F.lit(">"))
 
 
@@ -68,9 +80,9 @@ def write_archive(pages: DataFrame, folder: str, date: str = DATE, least: int =
     """Writes the captures of all pages below `folder`."""
     rows = captures_of(pages, least)
     uri = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
-    own, first = _identifier(F.col("page_id"), F.col("url"), F.col("digest")), F.col("first")
+    own, first = _identifier(F.col("page_id"), F.col("url"), F.col("digest"), F.col("number")), F.col("first")
     revisit = first.isNotNull()
-    of = F.when(revisit, _identifier(first["page_id"], first["url"], F.col("digest")))
+    of = F.when(revisit, _identifier(first["page_id"], first["url"], F.col("digest"), F.lit(0)))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.octet_length("payload").cast("string"), F.lit("\r\n\r\n")).cast("binary")
     body = F.when(revisit, http).otherwise(F.concat(http, F.col("payload")))
     main = _record([("WARC-Type", F.when(revisit, "revisit").otherwise("response")), ("WARC-Record-ID", own), ("WARC-Date", date), ("WARC-Target-URI", uri),
@@ -149,25 +161,42 @@ def read_records(spark: SparkSession, folder: str, with_payload: bool = True) ->
 
 def assemble(records: DataFrame) -> DataFrame:
     """One row per capture: its id, the response or revisit record, and arrays of its request, metadata and
-    other records. Identifiers are followed in either direction, and over one record in between."""
-    records = records.dropDuplicates(["record_id"])
-    main = records.where(F.col("record_type").isin(*_PRIMARY))
-    beside = records.where(~F.coalesce(F.col("record_type").isin(*_PRIMARY), F.lit(False)))
+    other records. Identifiers are followed in either direction, and over one record in between.
+
+    Where every other record names one response and responses name nothing, the usual layout, records meet in one
+    shuffle by the identifier they name or have. Identifiers alone tell whether that is so."""
+    primary = F.coalesce(F.col("record_type").isin(*_PRIMARY), F.lit(False))
+    named = F.coalesce(F.size("concurrent_to"), F.lit(0))
+    ids = records.select("record_id", primary.alias("main"), named.alias("named"), F.get("concurrent_to", F.lit(0)).alias("of"))
+    if ids.groupBy("record_id").count().where("count > 1").take(1):
+        records = records.dropDuplicates(["record_id"])
+    mains = ids.where("main").select(F.col("record_id").alias("of"))
+    usual = not ids.where((F.col("main") & (F.col("named") > 0)) | (~F.col("main") & (F.col("named") != 1)) | F.col("record_id").isNull()).take(1)
+    if usual and not ids.where(~F.col("main")).join(mains, "of", "left_anti").take(1):
+        rooted = records.withColumn("capture_id", F.when(primary, F.col("record_id")).otherwise(F.col("concurrent_to")[0]))
+    else:
+        rooted = _traced(records, primary)
+    part = F.struct(*records.columns)
+    request, meta = F.col("record_type") == "request", F.col("record_type") == "metadata"
+
+    def of(kind: Column) -> Column:
+        return F.collect_list(F.when(kind, part))
+
+    other = ~primary & ~F.coalesce(request | meta, F.lit(False))
+    return rooted.groupBy("capture_id").agg(
+        F.first(F.when(primary, part), ignorenulls=True).alias("response"), of(request).alias("requests"), of(meta).alias("metadata"), of(other).alias("others"))
+
+
+def _traced(records: DataFrame, primary: Column) -> DataFrame:
+    """Records with `capture_id`, by links of any direction and over one record in between."""
+    main, beside = records.where(primary), records.where(~primary)
     named = records.select(F.col("record_id").alias("a"), F.explode("concurrent_to").alias("b"))
     edges = named.unionAll(named.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     near = edges.join(main.select(F.col("record_id").alias("b")), "b").groupBy("a").agg(F.min("b").alias("root"))
     far = edges.join(near.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("root").alias("root2"))
     rooted = beside.join(near.withColumnRenamed("a", "record_id"), "record_id", "left").join(far.withColumnRenamed("a", "record_id"), "record_id", "left") \
-        .withColumn("capture_id", F.coalesce("root", "root2", F.get("concurrent_to", F.lit(0)), "record_id"))
-    part = F.struct(*(c for c in records.columns))
-
-    def of(kind: Column) -> Column:
-        return F.collect_list(F.when(kind, part))
-
-    request, meta = F.col("record_type") == "request", F.col("record_type") == "metadata"
-    others = rooted.groupBy("capture_id").agg(of(request).alias("requests"), of(meta).alias("metadata"), of(~F.coalesce(request | meta, F.lit(False))).alias("others"))
-    whole = main.select(F.col("record_id").alias("capture_id"), part.alias("response"))
-    return whole.join(others, "capture_id", "full_outer")
+        .withColumn("capture_id", F.coalesce("root", "root2", F.get("concurrent_to", F.lit(0)), "record_id")).drop("root", "root2")
+    return rooted.unionByName(main.withColumn("capture_id", F.col("record_id")))
 
 
 def pages_of(captures: DataFrame) -> DataFrame:
@@ -175,13 +204,13 @@ def pages_of(captures: DataFrame) -> DataFrame:
     every capture; revisits look the payload up in the capture they refer to."""
     page = F.get(F.filter(F.transform("metadata", lambda m: m["fields"]["page-id"]), lambda x: x.isNotNull()), F.lit(0)).cast("long")
     r = F.col("response")
-    rows = captures.where(r.isNotNull()).select("capture_id", page.alias("page_id"), r["record_type"].alias("record_type"), r["refers_to"].alias("of"),
-                                                r["payload_bytes"].alias("bytes"), r["payload_sha256"].alias("sha"))
-    full = rows.where(F.col("record_type") != "revisit").select(F.col("capture_id").alias("of"), F.col("page_id").alias("first"), F.col("bytes").alias("f_bytes"), F.col("sha").alias("f_sha"))
-    revisit = F.col("record_type") == "revisit"
-    return rows.join(full, "of", "left").select("page_id", F.when(revisit, F.col("f_bytes")).otherwise(F.col("bytes")).alias("payload_bytes"),
-                                                F.when(revisit, F.col("f_sha")).otherwise(F.col("sha")).alias("payload_digest"), "record_type",
-                                                F.when(revisit, F.col("first")).alias("refers_to"))
+    rows = stage(captures.where(r.isNotNull()).select("capture_id", page.alias("page_id"), r["record_type"].alias("record_type"), r["refers_to"].alias("of"),
+                                                      r["payload_bytes"].alias("payload_bytes"), r["payload_sha256"].alias("payload_digest")), "captures")
+    full = rows.where("record_type <> 'revisit'")
+    found = full.select(F.col("capture_id").alias("of"), F.col("page_id").alias("refers_to"), "payload_bytes", "payload_digest")
+    revisits = rows.where("record_type = 'revisit'").drop("payload_bytes", "payload_digest").join(found, "of", "left")
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return full.withColumn("refers_to", F.lit(None).cast("long")).select(*columns).unionByName(revisits.select(*columns))
 
 
 def op3_warc_transactions(spark, sf_dir):
@@ -197,7 +226,7 @@ WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 d AS (SELECT page_id, strlen(html) AS payload_bytes, sha256(html) AS payload_digest FROM p),
 f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
 SELECT page_id, payload_bytes, payload_digest,
-       CASE WHEN payload_bytes >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to
+       CASE WHEN payload_bytes >= 100 AND first IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND first IS DISTINCT FROM page_id THEN first END AS refers_to
 FROM f
 """

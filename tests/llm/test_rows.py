@@ -109,8 +109,10 @@ def test_archive_round_trip(spark, tmp_path):
     pages = spark.createDataFrame(PAGES, "page_id long, url string, html string")
     warc.write_archive(pages, str(tmp_path / "w"))
     records = warc.read_records(spark, str(tmp_path / "w"))
-    assert {r["record_type"]: r["count"] for r in records.dropDuplicates(["record_id"]).groupBy("record_type").count().collect()} == {"response": 6, "revisit": 2, "request": 8, "metadata": 8}
-    got = {r.page_id: r for r in warc.pages_of(warc.assemble(records)).collect()}
+    assert {r["record_type"]: r["count"] for r in records.dropDuplicates(["record_id"]).groupBy("record_type").count().collect()} == {"response": 6, "revisit": 3, "request": 9, "metadata": 9}
+    rows = warc.pages_of(warc.assemble(records)).collect()
+    assert sorted(str(r.page_id) for r in rows) == sorted(str(r[0]) for r in PAGES)  # a record for every row
+    got = {r.page_id: r for r in rows}
     assert {k: (r.record_type, r.refers_to, r.payload_bytes) for k, r in got.items()} == {
         1: ("response", None, 200), 2: ("revisit", 1, 200), None: ("revisit", 1, 200), 5: ("response", None, 0), 6: ("response", None, 0),
         7: ("response", None, len(PAGES[6][2].encode())), 8: ("response", None, 5), 9: ("response", None, 5)}
@@ -118,6 +120,26 @@ def test_archive_round_trip(spark, tmp_path):
     assert PAGES[6][2].encode() in payload.values()
 
 
+def test_repeated_pages_have_records_of_their_own(spark, tmp_path):
+    """Equal rows with and without id, as response and as revisit, and payloads of which no page has an id."""
+    long, other = "y" * 300, "z" * 300
+    rows = [(3, "u", long)] * 4 + [(8, "u", long)] * 3 + [(None, "u", long)] * 2 + [(None, "w", other)] * 2 + [(4, "n", None)] * 2 + [(9, "o", "tiny")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"digest": F.lit("clash"), "number": F.lit("clash"), "n": F.lit(1)})
+    warc.write_archive(pages, str(tmp_path / "w"))
+    records = warc.read_records(spark, str(tmp_path / "w"))
+    assert records.count() == records.select("record_id").distinct().count() == 3 * len(rows)
+    got = Counter((r.page_id, r.record_type, r.refers_to, r.payload_bytes) for r in warc.pages_of(warc.assemble(records)).collect())
+    assert got == {(3, "response", None, 300): 4, (8, "revisit", 3, 300): 3, (None, "revisit", 3, 300): 2, (None, "response", None, 300): 2,
+                   (4, "response", None, 0): 2, (9, "response", None, 4): 1}
+
+
+def test_usual_layout_needs_no_tracing(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "_traced", None)
+    warc.write_archive(spark.createDataFrame(PAGES, "page_id long, url string, html string"), str(tmp_path / "w"))
+    captures = warc.assemble(warc.read_records(spark, str(tmp_path / "w")))
+    assert all(len(r.requests) == len(r.metadata) == 1 and not r.others and r.requests[0].concurrent_to == [r.capture_id] for r in captures.collect())
+
+
 def test_assembly_follows_identifiers(spark):
     blank = dict.fromkeys(("target_uri", "date", "refers_to", "payload_digest", "payload_sha256", "fields", "payload"))
     rows = [{"record_id": i, "record_type": k, "concurrent_to": c, "payload_bytes": 0, **blank} for i, k, c in (
