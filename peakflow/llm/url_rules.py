@@ -1,14 +1,16 @@
 """URL filtering: listed rules first, then association rules mined from labelled URLs.
 
 Labelled URLs become transactions of typed tokens (host parts, path words, query names) and their label. Spark's
-FP-growth finds token combinations; those that imply `block` with enough support and confidence, more than the
-labels' base rate explains, and more than any combination within them, are kept. Each rule
+FP-growth finds token combinations; those that imply `block` with enough support (a share and a number of URLs) and a
+confidence well above the labels' base rate, and above that of any combination within them, are kept. Each rule
 stands in an inverted index under its rarest token; a URL looks its tokens up there and is blocked if it has all
 tokens of a rule.
 
 Input: pages (page_id, url) and labels (doc_id, quality, toxic; doc_id is the page's id). A null url or one
-without :// has an empty host and path and matches no rule. Labels without a page or value are not
-used; without any label nothing is mined and what no rule lists is allowed. Repeated rows get equal results."""
+without :// has an empty host and path and matches no rule; others are read whole. A label counts if it has a quality or a toxic value; those
+without a page are not used. Without any label nothing is mined and what no rule lists is allowed. Of several rules that match, the one of
+highest confidence, then support, then name is told. Repeated rows get equal results, extra columns are ignored, an empty
+table gives an empty result."""
 
 from __future__ import annotations
 
@@ -20,8 +22,9 @@ from peakflow.sources.staging import stage
 
 # fixed values: the listed rules (verdict, host, path)
 LISTED = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-SUPPORT, CONFIDENCE, LIFT = 0.002, 0.5, 1.5
-TOKENS = 4  # most tokens in a rule
+SUPPORT, CONFIDENCE = 0.002, 0.5
+LEAST = 20  # labelled URLs a rule rests on at least, whatever the size of the table
+GAIN = 1 / 3  # share of the way from the labels' base rate to certainty that a rule's confidence must go beyond it
 BROADCAST_ROWS = 100_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BLOCK, _ALLOW = "label=block", "label=allow"
@@ -56,7 +59,7 @@ def tokens(url: Column) -> Column:
     return F.array_distinct(F.concat(typed("h:", F.split(host, r"[.\-:@]")), typed("p:", F.split(path, r"[^0-9A-Za-z\x80-\x{10FFFF}]+")), typed("q:", names)))
 
 
-def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, lift: float = LIFT, most: int = TOKENS) -> DataFrame | None:
+def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, gain: float = GAIN, least: int = LEAST) -> DataFrame | None:
     """Rules for `block`: rule_id, tokens, confidence, support and key (the rarest token).
 
     `labelled` has url and blocked (boolean). None if there is nothing to learn from."""
@@ -65,13 +68,20 @@ def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONF
     if not rows.take(1):
         return None
     # a token of nearly every URL tells nothing and doubles the combinations
-    total = rows.count()
+    total, base = rows.agg(F.count("*"), F.avg(F.array_contains("items", _BLOCK).cast("double"))).first()
+    support = max(support, (least - 0.5) / total)
+    if support > 1:
+        return None
     counts = stage(rows.select(F.explode("items").alias("token")).groupBy("token").agg(F.count("*").alias("n")), "tokens")
     useful = counts.where((F.col("n") >= support * total) & ((F.col("n") <= 0.9 * total) | F.col("token").startswith("label=")))
     allowed = [r.token for r in useful.select("token").collect()]  # at most items per URL / support
     kept = rows.select(F.array_intersect("items", F.array(*map(F.lit, allowed)) if allowed else F.array().cast("array<string>")).alias("items")).where("size(items) > 1")
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(kept)
-    found = model.associationRules.where((F.col("consequent") == F.array(F.lit(_BLOCK))) & (F.size("antecedent") <= most) & (F.col("lift") >= lift)) \
+    # the share that FP-growth asks for is one of the rows it gets
+    share = support * total / max(1, kept.count())
+    if share > 1:
+        return None
+    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=confidence).fit(kept)
+    found = model.associationRules.where((F.col("consequent") == F.array(F.lit(_BLOCK))) & (F.col("confidence") > base + gain * (1 - base))) \
         .where(~F.array_contains("antecedent", _ALLOW))
     rules = stage(found.select(F.array_sort("antecedent").alias("tokens"), "confidence", "support"), "rules").withColumn("rule_id", F.array_join("tokens", " "))
     # drop a rule if one within it is as good: rules are looked up by one of their own tokens and compared
@@ -95,8 +105,8 @@ def matches(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 def judge(pages: DataFrame, labels: DataFrame, rules=LISTED) -> DataFrame:
     """page_id, host, path, rule, verdict, mined_rule and confidence of every row of `pages`."""
-    known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
-        F.max((F.col("quality") == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).alias("blocked"))
+    bad = (F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)
+    known = labels.where("doc_id is not null and (quality is not null or toxic is not null)").groupBy("doc_id").agg(F.max(bad).alias("blocked"))
     mined = mine(pages.join(known, pages["page_id"] == known["doc_id"]).select("url", "blocked"))
     host, path = host_and_path(F.col("url"))
     rows = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
