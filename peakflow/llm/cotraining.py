@@ -168,7 +168,8 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: i
     """doc_id, content_score, metadata_score and score (probability of good quality) of every row."""
     by_hash = (F.xxhash64(F.col("doc_id").cast("string")), F.col("doc_id"))
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.avg("quality").alias("y"))
-    chosen = stage(known.orderBy(*by_hash).limit(sample), "labelled")
+    present = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    chosen = stage(known.join(present, "doc_id", "left_semi").orderBy(*by_hash).limit(sample), "labelled")
     rows = _features(docs.join(F.broadcast(chosen), "doc_id"))  # at most `sample` ids and labels
     # every fourth row of either class is kept for the calibration
     classes = [[r for r in rows if (r[0] >= 0.5) == good] for good in (False, True)]
@@ -190,8 +191,10 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: i
         scores = stage(_scored(docs, views).where("doc_id is not null").join(known.select("doc_id"), "doc_id", "left_anti"), "scores")
         fresh = []
         for k, name in enumerate(("content_score", "metadata_score")):
-            for y, sure in ((1.0, F.col(name) >= CONFIDENT), (0.0, F.col(name) <= 1 - CONFIDENT)):
-                found = scores.where(sure).orderBy(*by_hash).select("doc_id").distinct().orderBy(*by_hash).limit(pseudo + len(given)).collect()
+            for y, sure in ((1.0, F.col(name)), (0.0, 1 - F.col(name))):
+                # the most confident ones, ties by hash; ids given before are passed over
+                best = scores.where(sure >= CONFIDENT).groupBy("doc_id").agg(F.max(sure).alias("sure"))
+                found = best.orderBy(F.desc("sure"), *by_hash).limit(pseudo + len(given)).collect()
                 fresh += [(r.doc_id, 1 - k, y) for r in [r for r in found if r.doc_id not in given][:pseudo]]
         if not fresh:
             break

@@ -1,6 +1,8 @@
 """Language model, language identification, co-training and URL rules."""
 
+import itertools
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -113,6 +115,41 @@ def test_cotraining_accuracy(spark):
     assert by[1] > 0.97 and by[0] < 0.2
 
 
+def test_cotraining_accuracy_on_labels_it_did_not_see(spark):
+    """Trained on the labels of two thirds of the documents, judged on those of the rest."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "source", "lang", "n_chars")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "quality")
+    unseen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    got = cotraining.classify(docs, labels.where(~unseen), rounds=2).join(labels.where(unseen), "doc_id").collect()
+    right = [(r.score >= 0.5) == (r.quality == 1) for r in got]
+    assert len(right) > 50 and sum(right) / len(right) > 0.9
+
+
+def test_most_confident_labels_are_exchanged(spark, monkeypatch):
+    """One round by hand: of the unlabelled documents the surest of each view and class go to the other view."""
+    given = []
+    monkeypatch.setattr(cotraining, "_features", lambda df, real=cotraining._features: (given.append({(r.doc_id, r.y) for r in df.select("doc_id", "y").collect()}), real(df))[1])
+    scored = []
+    monkeypatch.setattr(cotraining, "_scored", lambda *a, real=cotraining._scored: (scored.append(real(*a)), scored[-1])[1])
+    monkeypatch.setattr(cotraining, "CONFIDENT", 0.6)
+    rows = [(k, ("good words in a row " * (1 + k % 5)) if k % 2 else "!!! ### $$$ " * (1 + k % 7), "s" if k % 2 else "t", "en", 5 + k % 9) for k in range(80)]
+    docs = spark.createDataFrame(rows, DOCS)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(24)] + [(900, 1)] * 3, "doc_id long, quality int")
+    cotraining.classify(docs, labels, sample=24, rounds=1, pseudo=6)
+    assert len(given[0]) == 24  # labels without a document do not take a place in the sample
+    free = [r for r in scored[0].collect() if r.doc_id >= 24]
+    want = [set(), set()]
+    for k, name in enumerate(("content_score", "metadata_score")):
+        for y in (1.0, 0.0):
+            sure = sorted((r[name] if y else 1 - r[name] for r in free), reverse=True)
+            cut = sure[5]
+            chosen = {r.doc_id for r in free if (r[name] if y else 1 - r[name]) >= max(cut, 0.6)}
+            want[1 - k] |= {(i, y) for i in chosen}
+    for view in (0, 1):
+        assert given[1 + view] <= want[view] and len({y for _, y in given[1 + view]}) == 2
+        assert all(sum(y == c for _, y in given[1 + view]) == min(6, sum(y == c for _, y in want[view])) for c in (0.0, 1.0))
+
+
 DOCS = DOC + ", source string, lang string, n_chars long"
 
 
@@ -157,3 +194,36 @@ def test_mined_rules_block(spark):
     for r in got.values():  # what is blocked has every token of its rule
         if r.mined_rule:
             assert all(t.split(":")[1] in (r.host + r.path) for t in r.mined_rule.split())
+
+
+def test_mined_rules_equal_brute_force(spark):
+    """All token sets of at least 20 labelled URLs that block well above the base rate, unless one within is as good."""
+    rng, rows = random.Random(4), []
+    for _ in range(400):
+        words = [w for w in ("win", "cash", "news", "shop", "blog", "2024x") if rng.random() < 0.35]
+        bad = rng.random() < (0.95 if {"win", "cash"} <= set(words) else 0.8 if "shop" in words and "blog" not in words else 0.25)
+        rows.append(("http://" + rng.choice("ab") + ".test/" + "/".join(words), bad))
+    rules = {tuple(sorted(r.tokens)): (r.confidence, r.support) for r in url_rules.mine(spark.createDataFrame(rows, "url string, blocked boolean")).collect()}
+    sets = [frozenset(["h:" + u[7], *("p:" + w for w in u[14:].split("/") if w)]) for u, _ in rows]
+    base = sum(b for _, b in rows) / len(rows)
+    tokens = sorted({t for s in sets for t in s})
+    good = {}
+    for size in range(1, len(tokens) + 1):
+        for c in itertools.combinations(tokens, size):
+            hit = [b for s, (_, b) in zip(sets, rows, strict=True) if s >= set(c)]
+            if sum(hit) >= 20 and sum(hit) / len(hit) > base + (1 - base) / 3 and sum(hit) / len(hit) >= 0.5:
+                good[c] = sum(hit) / len(hit)
+    best = {c: x for c, x in good.items() if not any(set(o) < set(c) and y >= x for o, y in good.items())}
+    assert rules.keys() == best.keys() and len(best) > 2
+    assert all(abs(rules[c][0] - x) < 1e-9 for c, x in best.items())
+
+
+def test_rules_at_every_size_and_base_rate(spark):
+    page, label = "page_id long, url string", "doc_id long, quality int, toxic int"
+    few = spark.createDataFrame([(k, f"http://x{k}.test/only{k}") for k in range(30)], page)
+    got = url_rules.judge(few, spark.createDataFrame([(k, 0, None) for k in range(15)] + [(k, 1, None) for k in range(15, 30)], label), rules=())
+    assert got.where("mined_rule is not null").count() == 0  # no rule from a single URL
+    many = spark.createDataFrame([(k, f"http://{'spam' if k < 350 else 'fine'}.test/{k}") for k in range(400)], page)
+    for labels in ([(k, int(k >= 350), None) for k in range(400)], [(k, None, int(k < 350)) for k in range(400)]):
+        verdicts = {r.page_id: r.verdict for r in url_rules.judge(many, spark.createDataFrame(labels, label), rules=()).collect()}
+        assert verdicts == {k: "block" if k < 350 else "allow" for k in range(400)}
