@@ -5,7 +5,9 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from peakflow.functions.columns import BLANK_OR_STANDARD
 from peakflow.operators import bmis as B
 from peakflow.operators import duplicates as D
 from peakflow.operators import msdial as M
@@ -44,7 +46,8 @@ def write_long_qc(
 
 
 def write_duplicates(qc: DataFrame, base: str, run_date: dt.date, fmt: str = "parquet") -> dict[str, str]:
-    """Duplicated compounds, their statistics, and the text list of what is removed."""
+    """Duplicated compounds of samples and pools, their statistics, and the text list of what is removed."""
+    qc = qc.filter(~F.col("replicate_name").rlike(BLANK_OR_STANDARD))
     written = write_tables(
         {"duplicates": D.mode_duplicates(qc), "duplicate_stats": D.mode_duplicate_stats(qc)}, base, run_date, fmt
     )
