@@ -6,73 +6,68 @@ maximisation on a part of the training documents that is deleted from the counts
 those of all training documents. Every word has its own counts as a context and in bigrams. The
 probabilities of all words after a context sum to one, with the mass of an unseen word kept by the add-one estimate.
 
-Spark moves tokens as packed blocks: each task deals its (document, bigram, count) entries by hash into
-parts whose number follows the size of the corpus, and a part counts its bigrams and scores the documents'
-entries at once. Entries are combined per document first, so a bigram that makes up a third of all
-tokens is one entry per document. Counts of the `VOCABULARY` most frequent words are known to every task, so
-bigrams of two of them are scored where they are counted. Of the others, a slice of documents asks for the counts of its
-different words and bigrams (by 64-bit hashes) and scores them itself. So the vocabulary steers work, never results. Only the frequent words, sums and the EM histogram (bucket by likelihood ratio)
-reach the driver; all are bounded. What a part finds out about the documents of a slice goes back as one row of packed sums.
-
-Input: columns doc_id and text. A null text is the end token alone. A null doc_id counts as the
-empty text in the split. Repeated rows count as often as they occur and get equal scores."""
+Texts are packed into slices of a few megabytes first, a written table with one row per slice. Each slice asks for its
+different words and bigrams: it sends their hashes with their counts of its own, in order, to parts whose number follows
+the size of the corpus. So a bigram that makes up a third of all tokens is one entry per slice. A part adds the counts up and
+answers every slice with whole counts in the order it was asked, which needs no names: texts and answers meet on the slice, and
+there every token finds the counts of its word and its bigram; those of its context are its predecessor's. That
+table is written; weights are learned from the histogram (bucket by likelihood ratio) of its deleted documents, and
+scores are a plain pass over it. Entries are shuffled once, counts for learning and for scoring come in one answer.
+Only sums and the histogram reach the driver; both are bounded. Words and bigrams are told apart by 64-bit hashes.
+
+Input: columns doc_id and text; others, whatever their names, are ignored. A null text or one without words is the end token
+alone. A null doc_id counts as the empty text in the split. Texts are read whole, a very long one is a slice of its own.
+Repeated rows count as often as they occur and get equal scores. There are no ties: no word or bigram is chosen before
+another. An empty table gives an empty result, and without training documents all probabilities are one."""
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peakflow.llm import text as X
 from peakflow.sources.staging import stage
 
-VOCABULARY = 65_000  # with the three markers below within 16 bits
-PART_BYTES = 16 << 20  # text whose entries one part holds, about
+SLICE_BYTES = 8 << 20  # text of a slice
+PART_BYTES = 16 << 20  # text whose words and bigrams one part counts, about
 DELETED = 10  # one training document in so many is deleted from the counts while weights are learned
 _END_HASH = np.uint64(0x45AC1F0D9A3B7C11)
+_START_HASH = np.uint64(0x1F83D9ABFB41BD6B)
+_PAIR = np.uint64(0xD1342543DE82EF95)
 _TEST, _KEPT, _DELETED = 0, 1, 2
 _BIN, _BINS = 0.1, 400  # steps of the logarithm of the likelihood ratio, the first is for ratio zero
 
-_BLOCKS = "part long, slice long, keys binary, n binary, sizes binary, docs binary, role binary"
-_OTHER = np.uint32(1 << 31)  # marks the place of a word beyond the vocabulary among those of its slice
-_START_HASH = np.uint64(0x1F83D9ABFB41BD6B)
-_PAIR = np.uint64(0xD1342543DE82EF95)
-_SUMS = "slice long, kind int, docs binary, x binary, y binary, about binary"
+_SLICES = "slice long, body binary"
+_ASKED = "part long, slice long, keys binary, kept binary, deleted binary"
+_ANSWERS = "slice long, part long, whole binary, kept binary, n long, different long, n_kept long, different_kept long"
+_COUNTED = "docs binary, tokens binary, cells binary, times binary"
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-_HEAD = np.dtype([("key", np.int64), ("role", np.uint8), ("tokens", np.int64), ("rare", np.int64), ("unseen", np.int64), ("logs", np.float64)])
 
 
-@dataclass
-class Unigrams:
-    """Frequent words (hashes in order) with their counts in all and in the kept training documents."""
+def _pack(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
-    words: np.ndarray
-    counts: np.ndarray
-    kept: np.ndarray
-    total: int
-    distinct: int
-    total_kept: int
-    distinct_kept: int
-    docs: int
-    docs_kept: int
 
-    @property
-    def unknown(self) -> int:
-        return len(self.words)
+def _unpack(body: pa.Scalar) -> pa.RecordBatch:
+    return pa.ipc.open_stream(body.as_buffer()).read_next_batch()
+
+
+def _narrow(n: np.ndarray) -> np.ndarray:
+    """Counts in the smallest unsigned type that holds them all."""
+    return n.astype(np.min_scalar_type(int(n.max()) if len(n) else 0))
+
 
-    def tables(self, kept: bool) -> tuple[np.ndarray, np.ndarray, float]:
-        """Context counts and unigram probabilities by id, then of all other words together and the
-        start; and what the add-one estimates are divided by."""
-        n = (self.kept if kept else self.counts).astype(float)
-        total, distinct = (self.total_kept, self.distinct_kept) if kept else (self.total, self.distinct)
-        norm = total + distinct + 1.0
-        mass = (n + 1) / norm
-        return np.concatenate([n, [total - n.sum(), self.docs_kept if kept else self.docs]]), np.concatenate([mass, [1 - mass.sum(), 0.0]]), norm
+def _wide(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, f"u{len(raw) // n}").astype(np.int64) if n else np.empty(0, np.int64)
 
 
 def _tokens(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -84,191 +79,146 @@ def _tokens(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return tokens, first
 
 
-def _prepared(docs: DataFrame, held_out: Column) -> DataFrame:
-    """Columns of the map side: key, checksum and role of every row beside its text."""
+@dataclass
+class _Asked:
+    """Different hashes of a slice, in order of part and hash, and the place of every token's among them."""
+
+    keys: np.ndarray
+    part: np.ndarray
+    place: np.ndarray
+    kept: np.ndarray
+    deleted: np.ndarray
+
+    @property
+    def cuts(self) -> np.ndarray:
+        """Where the keys of each part begin, and their number."""
+        return np.append(np.flatnonzero(np.append(True, self.part[1:] != self.part[:-1])), len(self.part))
+
+
+def _asked(hashes: np.ndarray, role: np.ndarray, parts: int) -> _Asked:
+    keys, where = np.unique(hashes, return_inverse=True)
+    part = (keys % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    back = np.empty(len(order), np.int64)
+    back[order] = np.arange(len(order))
+    place = back[where]
+    kept, deleted = (np.bincount(place[role == r], minlength=len(keys)) for r in (_KEPT, _DELETED))
+    return _Asked(keys[order], part[order], place, kept, deleted)
+
+
+def _words_and_pairs(batch: pa.RecordBatch, parts: int) -> tuple[_Asked, _Asked, np.ndarray, np.ndarray]:
+    """What a slice asks, the offsets of its texts, and the role of every token."""
+    tokens, first = _tokens(batch)
+    role = np.repeat(batch.column("role").to_numpy(), np.diff(first))
+    before = np.empty_like(tokens)
+    before[1:] = tokens[:-1]
+    before[first[:-1]] = _START_HASH
+    return _asked(tokens, role, parts), _asked(X.mix(before * _PAIR + tokens), role, parts), first, role
+
+
+def _sliced(docs: DataFrame, held_out: Column) -> DataFrame:
+    """One row per slice of texts with their ids and roles. Its number is only a name."""
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     kept = F.crc32(F.concat(F.lit("deleted:"), name).cast("binary")) % DELETED != 0
-    role = F.when(held_out, _TEST).when(kept, _KEPT).otherwise(_DELETED)
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_key"),
-                       F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("crc"), role.alias("role"), "text")
-
-
-def unigrams(prepared: DataFrame, parts: int, vocabulary: int = VOCABULARY) -> Unigrams:
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-
-        def summed():
-            words, where = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-            return words, *(np.bincount(where, np.concatenate([h[k] for h in held])).astype(np.int64) for k in (1, 2))
-
-        def blocks():
-            words, n, kept = summed()
-            part = (words % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            edges = np.flatnonzero(np.diff(part[order], prepend=-1))
-            rows = [(part[c[0]], words[c].tobytes(), n[c].tobytes(), kept[c].tobytes()) for c in np.split(order, edges[1:])]
-            return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), *[pa.binary()] * 3), strict=True)], names=["part", "w", "n", "k"])
-
-        for part in X.slices(batches):
-            tokens, first = _tokens(part)
-            role = np.repeat(part.column("role").to_numpy(), np.diff(first))
-            words, where = np.unique(tokens[role != _TEST], return_inverse=True)
-            if len(words):
-                held.append((words, np.bincount(where).astype(np.int64), np.bincount(where, role[role != _TEST] == _KEPT).astype(np.int64)))
-            if sum(len(h[0]) for h in held) > 1 << 20:
-                held = [summed()]
-                if len(held[0][0]) > 1 << 19:
-                    yield blocks()
-                    held = []
-        if held:
-            yield blocks()
-
-    def merge(table: pa.Table) -> pa.Table:
-        words, n, kept = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("w", np.uint64), ("n", np.int64), ("k", np.int64)))
-        words, where = np.unique(words, return_inverse=True)
-        n, kept = (np.bincount(where, x).astype(np.int64) for x in (n, kept))
-        top = np.lexsort((words, -n))[:vocabulary]
-        # one row of sums (no word), then the most frequent words of the part
-        sums = [n.sum(), len(n), kept.sum(), int((kept > 0).sum())]
-        return pa.table({"w": pa.array([None, *X.signed(words[top]).tolist()], pa.int64()), "n": pa.array([sums[0], *n[top].tolist()], pa.int64()),
-                         "k": pa.array([sums[2], *kept[top].tolist()], pa.int64()), "d": pa.array([sums[1]] + [None] * len(top), pa.int64()),
-                         "e": pa.array([sums[3]] + [None] * len(top), pa.int64())})
-
-    merged = stage(prepared.mapInArrow(count, "part long, w binary, n binary, k binary").groupBy("part")
-                   .applyInArrow(merge, "w long, n long, k long, d long, e long"), "unigrams")
-    s = merged.where("w is null").agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in "ndke")).first()
-    end = int(_END_HASH.view(np.int64))
-    rows = merged.where(F.col("w").isNotNull() & (F.col("w") != end)).orderBy(F.desc("n"), "w").limit(vocabulary - 1).select("w", "n", "k").collect()
-    ends = merged.where(F.col("w") == end).agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("k"), F.lit(0))).first()
-    rows = [*rows, (end, *ends)]
-    words = np.array([r[0] for r in rows], np.int64).view(np.uint64)
-    order = np.argsort(words)
-    counts, kept = (np.array([r[k] for r in rows], np.int64)[order] for k in (1, 2))
-    return Unigrams(words[order], counts, kept, s[0], s[1], s[2], s[3], ends[0], ends[1])
-
-
-def _packed(part_of: np.ndarray, keys: np.ndarray, n: np.ndarray, text: np.ndarray, role: np.ndarray, name: int, rows: list) -> None:
-    """One row per part: its entries by document, which are numbered within the slice."""
-    order = np.lexsort((text, part_of))
-    part_of, keys, n, text = part_of[order], keys[order], n[order].astype(np.uint32), text[order]
-    edges = np.flatnonzero(np.append(True, part_of[1:] != part_of[:-1]))
-    for a, b in zip(edges, [*edges[1:], len(order)], strict=True):
-        own, sizes = np.unique(text[a:b], return_counts=True)
-        rows.append((int(part_of[a]), name, keys[a:b].tobytes(), n[a:b].tobytes(), sizes.astype(np.uint32).tobytes(),
-                     own.astype(np.uint32).tobytes(), role[own].tobytes()))
-
-
-def _asked(keys: np.ndarray, n: np.ndarray, asked: np.ndarray, slot: int, part_of: np.ndarray, name: int, rows: list) -> None:
-    """One row per part: its keys with their counts here; first those whose whole count is asked for, with their slots."""
-    order = np.lexsort((~asked, part_of))
-    edges = np.flatnonzero(np.append(True, part_of[order][1:] != part_of[order][:-1])) if len(order) else []
-    for a, b in zip(edges, [*edges[1:], len(order)], strict=False):
-        k = order[a:b]
-        rows.append((int(part_of[k[0]]), name, keys[k].tobytes(), n[k].astype(np.uint32).tobytes(), b"",
-                     (k[asked[k]] + slot).astype(np.uint32).tobytes(), b""))
-
-
-def _entries(prepared: DataFrame, model: Unigrams, parts: int, counted: tuple[int, ...], scored: tuple[int, ...]) -> DataFrame:
-    """Blocks of (document, bigram of ids, count), in parts from 0. Words beyond the vocabulary and bigrams with them
-    are in parts below 0, by slice, with their counts in documents of the `counted` roles. A head of each slice, with its
-    entries of such bigrams in documents of the `scored` roles, is in parts from `parts`."""
-    vocabulary, unknown = model.words, model.unknown
-    logs = np.log10(np.append(model.counts + 1.0, 1.0))
+    role = F.when(F.coalesce(held_out, F.lit(False)), _TEST).when(kept, _KEPT).otherwise(_DELETED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in X.slices(batches):
-            tokens, first = _tokens(part)
-            at = np.minimum(np.searchsorted(vocabulary, tokens), unknown - 1)
-            ids = np.where(vocabulary[at] == tokens, at, unknown).astype(np.uint64)
-            text = np.repeat(np.arange(part.num_rows, dtype=np.uint64), np.diff(first))
-            context, before = np.empty_like(ids), np.empty_like(tokens)
-            context[1:], before[1:] = ids[:-1], tokens[:-1]
-            context[first[:-1]], before[first[:-1]] = unknown + 1, _START_HASH
-            mine = ids == unknown
-            other = mine | (context == unknown)
-            entry, n = np.unique((text << np.uint64(32) | context << np.uint64(16) | ids)[~other], return_counts=True)
-            pair = (entry & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            key, crc, role = (part.column(c).to_numpy() for c in ("doc_key", "crc", "role"))
-            role = role.astype(np.uint8)
-            name = int.from_bytes(hashlib.blake2b(key.tobytes() + crc.tobytes(), digest_size=8).digest(), "little", signed=True)
-            rows: list[tuple] = []
-            if len(entry):
-                _packed((X.mix(pair) % np.uint64(parts)).astype(np.int64), pair, n, (entry >> np.uint64(32)).astype(np.int64), role, name, rows)
-            text = text.astype(np.int64)
-            add, ask = np.isin(role, counted)[text], np.isin(role, scored)[text]
-            words, where = np.unique(tokens[mine], return_inverse=True)
-            _asked(words, np.bincount(where, add[mine], len(words)), np.bincount(where, ask[mine], len(words)) > 0, 0,
-                   -1 - (words % np.uint64(parts)).astype(np.int64), name, rows)
-            hashes = X.mix(before[other] * _PAIR + tokens[other])
-            pairs, example, where = np.unique(hashes, return_index=True, return_inverse=True)
-            _asked(pairs, np.bincount(where, add[other], len(pairs)), np.bincount(where, ask[other], len(pairs)) > 0, len(words),
-                   -1 - parts - (pairs % np.uint64(parts)).astype(np.int64), name, rows)
-            refs = []
-            for i, w in ((context, before), (ids, tokens)):
-                i, w = i[other][example], w[other][example]
-                refs.append(np.where(i == unknown, np.searchsorted(words, w).astype(np.uint32) | _OTHER, i.astype(np.uint32)).astype(np.uint32))
-            own = ask[other]
-            entry, n = np.unique(text[other][own].astype(np.uint64) << np.uint64(32) | where[own].astype(np.uint64), return_counts=True)
-            inside = np.concatenate([entry >> np.uint64(32), entry & np.uint64(0xFFFFFFFF), n.astype(np.uint64)]).astype(np.uint32)
-            head = np.zeros(part.num_rows, _HEAD)
-            head["key"], head["role"], head["tokens"] = key, role, np.diff(first)
-            head["rare"] = np.bincount(text, mine, minlength=part.num_rows)
-            head["unseen"] = np.bincount(text, ~mine & (logs[ids] == 0), minlength=part.num_rows)
-            head["logs"] = np.bincount(text, np.where(mine, 0.0, logs[ids]), minlength=part.num_rows)
-            rows.append((parts + name % parts, name, head.tobytes(), inside.tobytes(), np.concatenate(refs).tobytes(), np.uint32(len(words)).tobytes(), b""))
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), *[pa.binary()] * 5), strict=True)],
-                                  names=["part", "slice", "keys", "n", "sizes", "docs", "role"])
-
-    return prepared.mapInArrow(run, _BLOCKS)
-
-
-def _sums(table: pa.Table, kind: int, docs, x, y=None, about=None) -> pa.Table:
-    empty = pa.array([b""] * len(table), pa.binary())
-    return pa.table([table.column("slice"), pa.array([kind] * len(table), pa.int32()), docs, x, empty if y is None else y, empty if about is None else about],
-                    names=["slice", "kind", "docs", "x", "y", "about"])
-
-
-def _told(table: pa.Table, parts: int) -> pa.Table | None:
-    """Heads as they are (kind 2), and the whole counts that slices ask for (kind 1)."""
-    part = table.column("part")[0].as_py()
-    if part >= parts:
-        return _sums(table, 2, table.column("n"), table.column("sizes"), table.column("docs"), table.column("keys"))
-    if part >= 0:
-        return None
-    keys, n = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("keys", np.uint64), ("n", np.uint32)))
-    _, at = np.unique(keys, return_inverse=True)
-    whole = np.bincount(at, n).astype(np.int64)[at]
-    begin = np.cumsum([0, *(len(k) // 8 for k in table.column("keys").to_pylist())])
-    slots = table.column("docs").to_pylist()
-    return _sums(table, 1, table.column("docs"), pa.array([whole[a:a + len(s) // 4].tobytes() for a, s in zip(begin[:-1], slots, strict=True)], pa.binary()))
-
-
-def _others(table: pa.Table, ids: np.ndarray, starts: np.ndarray):
-    """Of a slice's bigrams with a word beyond the vocabulary: counts of context, word and bigram and whether the word is
-    beyond it; and the entries (document, bigram, count). `ids` and `starts` are the counts of words and contexts by id."""
-    kind, docs, x, y = (table.column(c).to_pylist() for c in ("kind", "docs", "x", "y"))
-    head = kind.index(2)
-    (context, word), (n_words,) = np.frombuffer(x[head], np.uint32).reshape(2, -1), np.frombuffer(y[head], np.uint32)
-    counts = np.zeros(int(n_words) + len(word), np.int64)
-    for k, slots, whole in zip(kind, docs, x, strict=True):
-        if k == 1:
-            counts[np.frombuffer(slots, np.uint32)] = np.frombuffer(whole, np.int64)
-
-    def of(ref, known):
-        out, mine = np.empty(len(ref)), ref >= _OTHER
-        out[mine], out[~mine] = counts[ref[mine] & ~_OTHER], known[ref[~mine]]
-        return out
-
-    return of(context, starts), of(word, ids), counts[int(n_words):], word >= _OTHER, np.frombuffer(docs[head], np.uint32).reshape(3, -1).astype(np.int64)
-
-
-def _unpacked(table: pa.Table):
-    """Keys and counts of all entries, the place of their document among the blocks' documents, and its role."""
-    def joined(name, kind):
-        return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-
-    keys, n, sizes = joined("keys", np.uint32), joined("n", np.uint32), joined("sizes", np.uint32)
-    return keys, n.astype(np.int64), np.repeat(np.arange(len(sizes)), sizes), joined("role", np.uint8)
+        number = TaskContext.get().partitionId() << 32
+        for part in X.slices(batches, limit=SLICE_BYTES):
+            yield pa.record_batch([pa.array([number], pa.int64()), pa.array([_pack(part)], pa.binary())], names=["slice", "body"])
+            number += 1
+
+    rows = docs.select(F.col("doc_id").cast("long"), role.cast("byte").alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    return stage(rows.mapInArrow(run, _SLICES), "slices")
+
+
+def _answers(slices: DataFrame, parts: int) -> DataFrame:
+    """Whole counts by slice and part in the order asked, and a row of sums (no slice) for each part of words.
+
+    Bigrams are in parts from 0, words in parts below 0. Counts of kept documents go to those keys only that a deleted
+    document of the slice has."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, body in zip(batch.column("slice").to_pylist(), batch.column("body"), strict=True):
+                words, pairs, _, _ = _words_and_pairs(_unpack(body), parts)
+                rows = []
+                for asked, word in ((words, True), (pairs, False)):
+                    cuts = asked.cuts
+                    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                        part = int(asked.part[a])
+                        rows.append((-1 - part if word else part, number, asked.keys[a:b].tobytes(),
+                                     _narrow(asked.kept[a:b]).tobytes(), _narrow(asked.deleted[a:b]).tobytes()))
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), *[pa.binary()] * 3), strict=True)],
+                                      names=["part", "slice", "keys", "kept", "deleted"])
+
+    def answer(table: pa.Table) -> pa.Table:
+        part = table.column("part")[0].as_py()
+        raw = table.column("keys").to_pylist()
+        sizes = [len(k) // 8 for k in raw]
+        kept, deleted = (np.concatenate([_wide(r, n) for r, n in zip(table.column(c).to_pylist(), sizes, strict=True)]) for c in ("kept", "deleted"))
+        keys, at = np.unique(np.frombuffer(b"".join(raw), np.uint64), return_inverse=True)
+        all_kept = np.bincount(at, kept, len(keys)).astype(np.int64)
+        whole = all_kept + np.bincount(at, deleted, len(keys)).astype(np.int64)
+        cuts = np.cumsum([0, *sizes])
+        spans = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        told = [_narrow(whole[at[s]]).tobytes() for s in spans]
+        learned = [_narrow(all_kept[at[s][deleted[s] > 0]]).tobytes() for s in spans]
+        number = table.column("slice").to_pylist()
+        sums = [int(x) for x in (whole.sum(), (whole > 0).sum(), all_kept.sum(), (all_kept > 0).sum())]
+        own = [None] * len(number)
+        rows = [number, [part] * len(number), told, learned, *[own] * 4]
+        if part < 0:
+            rows = [[*c, x] for c, x in zip(rows, (None, part, None, None, *sums), strict=True)]
+        types = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), *[pa.int64()] * 4)
+        return pa.table([pa.array(c, t) for c, t in zip(rows, types, strict=True)],
+                        names=["slice", "part", "whole", "kept", "n", "different", "n_kept", "different_kept"])
+
+    return stage(slices.mapInArrow(ask, _ASKED).groupBy("part").applyInArrow(answer, _ANSWERS), "answers")
+
+
+def shifted(counts: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Counts of the contexts: of the token before, and of the start, which occurs as often as the end, the last token."""
+    out = np.empty_like(counts)
+    out[1:] = counts[:-1]
+    out[first[:-1]] = counts[-1]
+    return out
+
+
+def _counted(slices: DataFrame, answers: DataFrame, parts: int, kept_norm: float) -> DataFrame:
+    """Of every slice its documents, the whole counts of each token's word and bigram, and the histogram of its deleted
+    documents by the counts of the kept ones."""
+
+    def filled(asked: _Asked, told: dict) -> tuple[np.ndarray, np.ndarray]:
+        whole, kept = np.zeros(len(asked.keys), np.int64), np.zeros(len(asked.keys), np.int64)
+        cuts = asked.cuts
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            w, k = told[int(asked.part[a])]
+            whole[a:b] = _wide(w, b - a)
+            mine = np.flatnonzero(asked.deleted[a:b]) + a
+            kept[mine] = _wide(k, len(mine))
+        return whole[asked.place], kept[asked.place]
+
+    def meet(own: pa.Table, told: pa.Table) -> pa.Table:
+        batch = _unpack(own.column("body")[0])
+        words, pairs, first, role = _words_and_pairs(batch, parts)
+        answer = dict(zip(told.column("part").to_pylist(), zip(told.column("whole").to_pylist(), told.column("kept").to_pylist(), strict=True), strict=True))
+        word, word_kept = filled(words, {-1 - p: x for p, x in answer.items() if p < 0})
+        pair, pair_kept = filled(pairs, {p: x for p, x in answer.items() if p >= 0})
+        # every text ends with the end token, which has a kept count if the slice has deleted documents
+        ends = first[1:] - 1
+        gone = ends[role[ends] == _DELETED]
+        context = shifted(word_kept, first)
+        context[first[:-1]] = word_kept[gone[0]] if len(gone) else 0
+        mine = role == _DELETED
+        cell, times = _cells(pair_kept[mine], context[mine], (word_kept[mine] + 1) / kept_norm)
+        docs = pa.record_batch([batch.column("doc_id"), batch.column("role"), pa.array(np.diff(first))], names=["doc_id", "role", "tokens"])
+        tokens = pa.record_batch([pa.array(_narrow(word)), pa.array(_narrow(pair))], names=["word", "pair"])
+        return pa.table([pa.array([x], pa.binary()) for x in (_pack(docs), _pack(tokens), cell.tobytes(), times.tobytes())],
+                        names=["docs", "tokens", "cells", "times"])
+
+    asked = answers.where("slice is not null").select("slice", "part", "whole", "kept")
+    return stage(slices.groupBy("slice").cogroup(asked.groupBy("slice")).applyInArrow(meet, _COUNTED), "counted")
 
 
 def bucket(contexts: np.ndarray) -> np.ndarray:
@@ -296,42 +246,26 @@ def weights(histogram: dict[tuple[int, int], int], rounds: int = 60) -> np.ndarr
     return out
 
 
-def _cells(seen: np.ndarray, c: np.ndarray, mass: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _cells(seen: np.ndarray, c: np.ndarray, mass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Cells of the histogram (bucket and likelihood ratio) and how many deleted tokens are in each."""
     ratio = seen / np.maximum(c, 1) / mass
     k = np.where(seen > 0, np.clip(np.round(np.log(np.maximum(ratio, 1e-300)) / _BIN) + _BINS // 3, 1, _BINS - 1), 0).astype(np.int64)
-    cell, back = np.unique(bucket(c) * _BINS + k, return_inverse=True)
-    return cell, np.bincount(back, asked, minlength=len(cell)).astype(np.int64)
-
-
-def learn_weights(prepared: DataFrame, model: Unigrams, parts: int) -> np.ndarray:
-    contexts, mass, norm = model.tables(kept=True)
-
-    def run(table: pa.Table) -> pa.Table:
-        told = _told(table, parts)
-        if told is not None:
-            return told
-        pair, n, where, role = _unpacked(table)
-        role = role[where]
-        kinds, at = np.unique(pair, return_inverse=True)
-        seen = np.bincount(at, n * (role == _KEPT), minlength=len(kinds))
-        asked = np.bincount(at, n * (role == _DELETED), minlength=len(kinds)).astype(np.int64)
-        cell, n = _cells(seen, contexts[kinds >> 16], mass[kinds & 0xFFFF], asked)
-        one = table.slice(0, 1)
-        return _sums(one, 3, pa.array([b""], pa.binary()), pa.array([cell.tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary()))
-
-    def tally(table: pa.Table) -> pa.Table:
-        kind, x, y = (table.column(c).to_pylist() for c in ("kind", "x", "y"))
-        cells, n = ([np.frombuffer(v, np.int64) for k, v in zip(kind, column, strict=True) if k == 3] for column in (x, y))
-        if 2 in kind:
-            c, w, seen, _, (_, pair, times) = _others(table, model.kept, contexts)
-            cell, own = _cells(seen, c, (w + 1) / norm, np.bincount(pair, times, minlength=len(seen)) * kind.count(2))
-            cells, n = [*cells, cell], [*n, own]
-        return pa.table({"cell": np.concatenate(cells), "n": np.concatenate(n)})
-
-    counted = _entries(prepared.where(F.col("role") != _TEST), model, parts, (_KEPT,), (_DELETED,)).groupBy("part").applyInArrow(run, _SUMS)
-    told = counted.groupBy("slice").applyInArrow(tally, "cell long, n long")
-    sums = told.where("n > 0").groupBy("cell").agg(F.sum("n").alias("n")).collect()
+    cell, times = np.unique(bucket(c) * _BINS + k, return_counts=True)
+    return cell, times.astype(np.int64)
+
+
+def mixed(lam: np.ndarray, seen: np.ndarray, context: np.ndarray, word: np.ndarray, norm: float) -> np.ndarray:
+    """Probability of a word after its context by the counts of bigram, context and word."""
+    weight = lam[bucket(context)]
+    return weight * seen / np.maximum(context, 1) + (1 - weight) * (word + 1) / norm
+
+
+def _learned(counted: DataFrame) -> np.ndarray:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.record_batch([pa.array(np.frombuffer(b"".join(batch.column(c).to_pylist()), np.int64)) for c in ("cells", "times")], names=["cell", "n"])
+
+    sums = counted.select("cells", "times").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
     return weights({(r["cell"] // _BINS, r["cell"] % _BINS): r["n"] for r in sums})
 
 
@@ -339,50 +273,30 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
     `held_out` says which rows must not be learned from."""
-    docs = docs.withColumn("_held", F.coalesce(held_out, F.lit(False)))
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(1, -(-size // PART_BYTES))
-    prepared = _prepared(docs, F.col("_held"))
-    model = unigrams(prepared, parts)
-    lam = learn_weights(prepared, model, parts)
-    contexts, mass, norm = model.tables(kept=False)
-    total = model.total
-
-    def run(table: pa.Table) -> pa.Table:
-        told = _told(table, parts)
-        if told is not None:
-            return told
-        keys, n, where, role = _unpacked(table)
-        kinds, at = np.unique(keys, return_inverse=True)
-        seen = np.bincount(at, n * (role[where] != _TEST), minlength=len(kinds))
-        c = contexts[kinds >> 16]
-        weight = lam[bucket(c)]
-        value = np.log10(weight * seen / np.maximum(c, 1) + (1 - weight) * mass[kinds & 0xFFFF])
-        x = np.bincount(where, n * value[at], minlength=len(role))
-        cut = np.cumsum([0, *(len(d) // 4 for d in table.column("docs").to_pylist())])
-        return _sums(table, 0, table.column("docs"), pa.array([x[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()))
-
-    def finish(table: pa.Table) -> pa.Table:
-        kind, docs, x, about = (table.column(c).to_pylist() for c in ("kind", "docs", "x", "about"))
-        heads = [np.frombuffer(a, _HEAD) for a, k in zip(about, kind, strict=True) if k == 2]
-        head, sums = heads[0], np.zeros(len(heads[0]))
-        for k, d, v in zip(kind, docs, x, strict=True):
-            if k == 0:
-                sums[np.frombuffer(d, np.uint32)] += np.frombuffer(v, np.float64)
-        sums /= len(heads)  # a slice of equal rows occurs once for each of its repetitions
-        c, w, seen, mine, (doc, pair, n) = _others(table, model.counts, contexts)
-        weight = lam[bucket(c)]
-        value = np.log10(weight * seen / np.maximum(c, 1) + (1 - weight) * (w + 1) / norm)
-        sums += np.bincount(doc, n * value[pair], minlength=len(head))
-        logs = head["logs"] + np.bincount(doc, n * np.where(mine, np.log10(w + 1), 0.0)[pair], minlength=len(head))
-        known = head["tokens"] - head["rare"] - head["unseen"] + np.bincount(doc, n * (mine & (w > 0))[pair], minlength=len(head)).astype(np.int64)
-        own = {"doc_id": pa.array(head["key"], mask=head["key"] == -(1 << 63)), "held_out": pa.array(head["role"] == _TEST), "n_tokens": pa.array(head["tokens"]), "n_known": pa.array(known),
-               "train_tokens": pa.array(np.full(len(head), total, np.int64)), "base_score": pa.array(logs - head["tokens"] * np.log10(norm)),
-               "score": pa.array(sums)}
-        return pa.concat_tables([pa.table(own)] * len(heads))
-
-    sums = _entries(prepared, model, parts, (_KEPT, _DELETED), (_TEST, _KEPT, _DELETED)).groupBy("part").applyInArrow(run, _SUMS)
-    return sums.groupBy("slice").applyInArrow(finish, _SCORES)
+    slices = _sliced(docs, held_out)
+    answers = _answers(slices, parts)
+    sums = answers.where("slice is null").agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "different", "n_kept", "different_kept"))).first()
+    total, norm, kept_norm = sums[0], sums[0] + sums[1] + 1.0, sums[2] + sums[3] + 1.0
+    counted = _counted(slices, answers, parts, kept_norm)
+    lam = _learned(counted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for own, body in zip(batch.column("docs"), batch.column("tokens"), strict=True):
+                about, tokens = _unpack(own), _unpack(body)
+                n = about.column("tokens").to_numpy()
+                first = np.cumsum([0, *n])
+                word, seen = (tokens.column(c).to_numpy().astype(np.int64) for c in ("word", "pair"))
+                p = np.log10(mixed(lam, seen, shifted(word, first), word, norm))
+                base = np.add.reduceat(np.log10(word + 1.0), first[:-1]) - n * np.log10(norm)
+                yield pa.record_batch([about.column("doc_id"), pa.array(about.column("role").to_numpy() == _TEST), pa.array(n),
+                                       pa.array(np.add.reduceat((word > 0).astype(np.int64), first[:-1])), pa.array(np.full(len(n), total, np.int64)),
+                                       pa.array(base), pa.array(np.add.reduceat(p, first[:-1]))],
+                                      names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    return counted.select("docs", "tokens").mapInArrow(run, _SCORES)
 
 
 def op4_deleted_interpolation(spark, sf_dir):

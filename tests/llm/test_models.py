@@ -17,10 +17,10 @@ SF = "/root/testdata/sf0.01"
 DOC = "doc_id long, text string"
 
 
-@pytest.mark.parametrize("vocabulary", [40, 65_000])
-def test_base_scores_equal_brute_force(spark, monkeypatch, vocabulary):
+@pytest.mark.parametrize("slice_bytes", [3_000, 8 << 20])
+def test_base_scores_equal_brute_force(spark, monkeypatch, slice_bytes):
     monkeypatch.setattr(ngram_lm, "PART_BYTES", 4_000)
-    monkeypatch.setattr(ngram_lm.unigrams, "__defaults__", (vocabulary,))
+    monkeypatch.setattr(ngram_lm, "SLICE_BYTES", slice_bytes)
     rows = brute.documents()
     docs = spark.createDataFrame(rows, DOC).repartition(3)
     got = ngram_lm.score(docs, F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2).collect()
@@ -34,11 +34,11 @@ def test_base_scores_equal_brute_force(spark, monkeypatch, vocabulary):
     assert all(np.isfinite(r.score) and r.score < 0 for r in got)
 
 
-@pytest.mark.parametrize("vocabulary", [5, 65_000])
-def test_every_word_has_its_own_contexts_and_bigrams(spark, monkeypatch, vocabulary):
-    """Scores equal brute force whatever share of the words is beyond the vocabulary."""
+@pytest.mark.parametrize("slice_bytes", [1, 3_000, 8 << 20])
+def test_every_word_has_its_own_contexts_and_bigrams(spark, monkeypatch, slice_bytes):
+    """Scores equal brute force however many slices and parts there are."""
     monkeypatch.setattr(ngram_lm, "PART_BYTES", 4_000)
-    monkeypatch.setattr(ngram_lm.unigrams, "__defaults__", (vocabulary,))
+    monkeypatch.setattr(ngram_lm, "SLICE_BYTES", slice_bytes)
     rows = [*brute.documents(), *((1000 + k, f"red{k % 7} green{k % 7} blue red{k % 3} green{k % 3}") for k in range(120))]
     got = ngram_lm.score(spark.createDataFrame(rows, DOC).repartition(3), F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2).collect()
     name = {i: "" if i is None else str(i) for i, _ in rows}
@@ -69,10 +69,27 @@ def test_every_word_has_its_own_contexts_and_bigrams(spark, monkeypatch, vocabul
 
 
 def test_probabilities_sum_to_one():
-    model = ngram_lm.Unigrams(np.arange(3, dtype=np.uint64), np.array([5, 3, 2]), np.array([4, 3, 0]), 14, 7, 9, 4, 2, 2)
-    for kept in (True, False):
-        _, mass, _ = model.tables(kept)
-        assert mass[:-1].sum() == pytest.approx(1)
+    """After any context the words and the mass of an unseen one make one."""
+    words, lam = np.array([5, 3, 2, 4]), np.full(64, 0.3)
+    lam[0] = 0
+    norm = words.sum() + len(words) + 1.0
+    for after in ([2, 0, 3, 0], [1, 1, 1, 1], [0, 0, 0, 0]):
+        seen = np.array(after)
+        context = np.full(4, seen.sum())
+        unseen = ngram_lm.mixed(lam, np.zeros(1), context[:1], np.zeros(1), norm)
+        assert ngram_lm.mixed(lam, seen, context, words, norm).sum() + unseen.sum() == pytest.approx(1)
+
+
+def test_bigram_in_every_document_and_odd_columns(spark, monkeypatch):
+    """A bigram of every document, repeated rows, one very long text and columns with names of the operator's own."""
+    monkeypatch.setattr(ngram_lm, "SLICE_BYTES", 2_000)
+    rows = [(k, "of the " + ("word%d " % (k % 5)) * 3, k, "x") for k in range(200)] * 2 + [(900, "of the " * 30_000, 0, None), (None, None, None, None)]
+    docs = spark.createDataFrame(rows, DOC + ", slice long, body string").repartition(4)
+    got = ngram_lm.score(docs, F.lit(False)).collect()
+    assert len(got) == len(rows) and {r.train_tokens for r in got} == {400 * 6 + 60_001 + 1}
+    assert next(r.n_tokens for r in got if r.doc_id == 900) == 60_001
+    assert all(len({r.score for r in got if r.doc_id == k}) == 1 for k in (0, 7, 199))
+    assert next(r for r in got if r.doc_id == 900).score > 0.1 * next(r for r in got if r.doc_id == 900).base_score
 
 
 def test_model_beats_base_on_held_out(spark):
