@@ -71,12 +71,18 @@ def _wide(raw: bytes, n: int) -> np.ndarray:
 
 
 def _tokens(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Token hashes of all texts, each followed by the end token, and the offsets of the texts."""
-    words = X.words_of(part.column("text"), lower=True)
-    first = words.first + np.arange(len(words.first))
-    tokens = np.full(first[-1], _END_HASH, np.uint64)
-    tokens[np.arange(len(words.starts)) + words.text_of] = words.hashes()
-    return tokens, first
+    """Token hashes of all texts, each followed by the end token, and the offsets of the texts.
+
+    Hashing takes much more memory than its text, so it goes piece by piece."""
+    tokens, sizes = [], []
+    for piece in X.slices([part]):
+        words = X.words_of(piece.column("text"), lower=True)
+        first = words.first + np.arange(len(words.first))
+        own = np.full(first[-1], _END_HASH, np.uint64)
+        own[np.arange(len(words.starts)) + words.text_of] = words.hashes()
+        tokens.append(own)
+        sizes.append(np.diff(first))
+    return np.concatenate(tokens), np.cumsum(np.concatenate([[0], *sizes]))
 
 
 @dataclass
