@@ -392,7 +392,7 @@ def similar_groups(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100
     if open_.take(1):
         found = searched(open_, comps)
         dense = found.where("b is null").select(*_TILE_KEY, F.col("a").alias("doc"))
-        links = links.unionAll(exact(found))
+        links = comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(exact(found))
         if dense.take(1):
             arrays = stage(_arrays(docs, dense.select("doc").distinct(), size), "shingles")
             dealt = told(dense.select(*_TILE_KEY).distinct(), comps).join(dense, [*_TILE_KEY, "doc"], "left_semi").join(arrays, "doc")
