@@ -103,11 +103,23 @@ FROM lineitem GROUP BY l_partkey
 """,
 }
 
+#: The peak table with half injections, dashes in replicate names, and rows that occur twice in a replicate.
+ODD_PEAKS = """
+SELECT compound_id, run_type, samp, rep, metabolite_name,
+  CASE WHEN samp % 4 = 3 AND run_type IN ('Smp', 'Poo') THEN replace(replicate_name, '_S' || CAST(samp AS VARCHAR(10)) || '_', '_HalfS' || CAST(samp AS VARCHAR(10)) || '_')
+       WHEN samp % 3 = 1 AND run_type IN ('Smp', 'Poo') THEN replace(replicate_name, '_S' || CAST(samp AS VARCHAR(10)) || '_', '_S-' || CAST(samp AS VARCHAR(10)) || '_')
+       ELSE replicate_name END AS replicate_name,
+  area_value, rt_value, mz_value, sn_value, alignment_id
+FROM plain_peaks CROSS JOIN (SELECT 1 AS copy UNION ALL SELECT 2) c
+WHERE copy = 1 OR (compound_id + samp + rep) % 5 = 0
+"""
+VIEWS["plain_peaks"], VIEWS["odd_peaks"] = VIEWS["peaks"], ODD_PEAKS
+
 for _view, _value in (("wide_rt", "l_quantity"), ("wide_sn", "l_discount"), ("wide_mz", "l_tax")):
     VIEWS[_view] = VIEWS["wide_area"].replace("l_extendedprice", _value)
 
 #: Views a view is built on.
-BUILT_ON = {"peaks_modes": "peaks", "skyline_raw": "peaks"}
+BUILT_ON = {"peaks_modes": "peaks", "skyline_raw": "peaks", "odd_peaks": "plain_peaks"}
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -458,6 +458,19 @@ SQL["tqs_qc_corrected"] = f"""
 SELECT {TQ}, area_with_qc, ir_flag, {SK_NAMES}, blank_flag,
   nullif(concat_ws(', ', ir_flag, {SK_NAMES}, blank_flag), '') AS all_flags FROM tq_flagged_each"""
 
+SQL["ion_ratio_table"] = "SELECT * FROM ir_ref"
+SQL["tqs_report"] = f"""
+SELECT * FROM (VALUES ('2017-04-10', NULL), ('Hello! Welcome to the world of Skyline TQS Quality Control! ', NULL),
+  ('Maximum height for a real peak: ', '1e+08'), ('Minimum height for a real peak: ', '1000'),
+  ('Maximum area for a real peak: ', '1000'), ('RT flexibility: ', '0.4'),
+  ('Blank can be this fraction of a sample: ', '0.3'), ('S/N ratio: ', '4'), ('Ion ratio flexibility', '0.3'),
+  ('Processed on: ', '2017-04-11')) v(description, value)
+UNION ALL BY NAME ({SQL["tqs_qc"]})"""
+SQL["combined_peaks"] = "SELECT * FROM sk"
+SQL["reverse_phase_export"] = f"""
+SELECT replicate_name, precursor_ion_name, {CLEAN}, 'P' || mass_error_ppm AS protein_name,
+  CASE WHEN CAST(mass_error_ppm AS INT) > 3 THEN background END AS total_area_fragment FROM skyline_raw"""
+
 SQL["mode_duplicates"] = "SELECT * FROM dup"
 SQL["mode_duplicate_stats"] = f"""
 SELECT metabolite_name, ion_column, {cuts("means", "std_devs")} FROM (
@@ -599,4 +612,7 @@ def oracle_sql() -> dict[str, str]:
     texts = {name: with_steps(sql, STEPS) for name, sql in SQL.items()}
     texts["analyse_two_modes"] = with_steps(SQL["compound_summary"], {**STEPS, **TWO_MODES})
     texts["analyse_long"] = with_steps(SQL["compound_summary"], {**STEPS, **LONG})
+    odd = {**STEPS, "peaks": VIEWS["odd_peaks"]}
+    for name in ("bmis_candidates", "bmis_normalize"):
+        texts[f"{name}_odd"] = with_steps(SQL[name], odd)
     return texts

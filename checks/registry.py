@@ -22,6 +22,7 @@ from peakflow.operators import reports
 from peakflow.operators import skyline as S
 from peakflow.operators import tidy as T
 from peakflow.params import CORRECTED, REFERENCE, QcParams, QuantifyParams
+from peakflow.plans import outputs
 from peakflow.plans import workflow as W
 from peakflow.schema import PEAKS, SKYLINE_NUMERIC
 from peakflow.sources.readers import load_standards, read_long, read_wide
@@ -460,6 +461,46 @@ def tqs_qc_corrected(spark, sf):
     return R.tqs_qc(fragment_table(spark, sf), transitions(spark, sf), QC, CORRECTED)
 
 
+def _triple_quad(spark, sf):
+    return W.triple_quad_quality_control(fragments(spark, sf), transitions(spark, sf), QC)
+
+
+def _written_triple_quad(spark, sf, name):
+    """One table of the written section, read back."""
+    base = f"{staging_dir(spark).rstrip('/')}/tqs-{uuid.uuid4().hex}"
+    written = outputs.write_triple_quad_qc(_triple_quad(spark, sf), QC, base, RUN_DATE, "2017-04-11")
+    return spark.read.parquet(written[name])
+
+
+@query
+def ion_ratio_table(spark, sf):
+    return _written_triple_quad(spark, sf, "ion_ratio_table")
+
+
+@query
+def tqs_report(spark, sf):
+    """Ten parameter rows above the flagged peaks of the plan."""
+    return _written_triple_quad(spark, sf, "qc_output")
+
+
+@query
+def combined_peaks(spark, sf):
+    """Rearranged peaks of a run, written under its pattern and date and read back by a later section."""
+    base = f"{staging_dir(spark).rstrip('/')}/combined-{uuid.uuid4().hex}"
+    return spark.read.parquet(outputs.write_combined(skyline(spark, sf), "Skyline", "HILIC.*QE", base, RUN_DATE))
+
+
+@query
+def reverse_phase_export(spark, sf):
+    """A long export with columns no step reads; they stay, also where half of the files lack one."""
+    folder = f"{staging_dir(spark).rstrip('/')}/reverse-{uuid.uuid4().hex}"
+    raw = view(spark, sf, "skyline_raw").withColumn("Protein Name", F.concat(F.lit("P"), "mass_error_ppm"))
+    late = F.col("mass_error_ppm").cast("int") > 3
+    raw.filter(~late).write.option("header", True).csv(folder)
+    raw.filter(late).withColumn("Total Area.Fragment", F.col("background")).write.mode("append").option("header", True).csv(folder)
+    return read_long(spark, folder, keep_all=True)
+
+
 # --- ion-mode duplicates -----------------------------------------------------------------------------
 
 
@@ -553,6 +594,26 @@ def bmis_candidates(spark, sf):
     return cut_columns(candidates, "adjusted_area")
 
 
+def _odd_data(spark, sf):
+    table = stage(view(spark, sf, "odd_peaks").select(*PEAKS.names), "odd-peaks")
+    data = B.bmis_input(M.msdial_qc(table, QC))
+    return stage(data.select("replicate_name", "metabolite_name", "area_with_qc"), "bmis-input")
+
+
+@query
+def bmis_candidates_odd(spark, sf):
+    """Half injections, dashes and repeated rows; equal rows are counted together."""
+    rows = cut_columns(B.bmis_candidates(_odd_data(spark, sf), internal(spark, sf)), "adjusted_area")
+    return rows.groupBy([c for c in rows.columns if c != "weight"]).agg(F.sum("weight").alias("weight"))
+
+
+@query
+def bmis_normalize_odd(spark, sf):
+    """The different rows, which are what quantification takes: repeated rows of a replicate fan out here."""
+    data, names = _odd_data(spark, sf), internal(spark, sf)
+    return cut_columns(B.bmis_normalize(data, names).distinct(), "orig_rsd", "final_rsd", "adjusted_area")
+
+
 @query
 def rsd_by_group_query(spark, sf):
     rows = bmis_data(spark, sf).withColumn("type", C.replicate_part("replicate_name", 1))

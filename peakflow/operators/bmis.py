@@ -119,6 +119,24 @@ def assert_same_replicates(left: DataFrame, right: DataFrame, strict: bool = Fal
     return offenders
 
 
+def unmatched_replicates(data: DataFrame, standards: DataFrame) -> DataFrame:
+    """Replicates that have internal standards only or none, from one pass: replicate_name, only_in."""
+    own = F.coalesce("_is_standard", F.lit(False))
+    return (
+        _with_standard_flag(data.select("replicate_name", "metabolite_name"), standards).groupBy("replicate_name")
+        .agg(F.bool_or(own).alias("_standards"), F.bool_or(~own).alias("_others"))
+        .filter(F.col("_standards") != F.col("_others"))
+        .select("replicate_name", F.when(F.col("_standards"), "left").otherwise("right").alias("only_in"))
+    )
+
+
+def require_same_replicates(data: DataFrame, standards: DataFrame) -> None:
+    """Raise when internal standards and everything else do not stand in the same replicates."""
+    first = unmatched_replicates(data, standards).first()
+    if first:
+        raise ValueError(f"replicate names are not matched across the two tables: {first.replicate_name}")
+
+
 def is_means(data: DataFrame, standards: DataFrame, mode: str = REFERENCE) -> DataFrame:
     """Mean area of every internal standard over all runs.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from peakflow.functions.columns import flag, open_max, open_min, safe_div, skyline_flag_text
@@ -92,6 +92,16 @@ def assert_two_fragments(frags: DataFrame, strict: bool = False) -> DataFrame:
     return offenders
 
 
+def single_fragment_metric() -> dict[str, Column]:
+    """Whether any compound lacks its second product ion, as an aggregate for a pass made anyway."""
+    return {"single_fragment": F.bool_or(~F.col("two_fragments"))}
+
+
+def require_two_fragments(found: dict) -> None:
+    if found.get("single_fragment"):
+        raise ValueError("some compounds have fewer than two fragments")
+
+
 def _trace_area(trace: str):
     return F.when(F.col(trace), F.col("area"))
 
@@ -149,15 +159,18 @@ def tqs_blank_reference(df: DataFrame, transitions: DataFrame, mode: str = REFER
 
 
 def tqs_qc(
-    df: DataFrame, transitions: DataFrame, p: QcParams = QcParams(), mode: str = REFERENCE, strict: bool = False
+    df: DataFrame, transitions: DataFrame, p: QcParams = QcParams(), mode: str = REFERENCE, strict: bool = False,
+    ion_ratios: DataFrame | None = None,
 ) -> DataFrame:
     """Flags of the quantitative trace in the sample runs.
 
     Reference mode returns the published columns; corrected mode adds the area that passed and the
-    single flags."""
-    standards = check_fragments(df, transitions, "Std", mode)
-    assert_two_fragments(standards, strict)
-    samples = ion_ratio_flags(df, transitions, ion_ratio_reference(standards, mode), p, mode)
+    single flags. `ion_ratios` are the ranges of the standards, where they are known already."""
+    if ion_ratios is None:
+        standards = check_fragments(df, transitions, "Std", mode)
+        assert_two_fragments(standards, strict)
+        ion_ratios = ion_ratio_reference(standards, mode)
+    samples = ion_ratio_flags(df, transitions, ion_ratios, p, mode)
     samples = samples.filter("quan_trace")
     rt = skyline_rt_reference(df, mode).select(COMPOUND, "rt_min", "rt_max")
     with_ranges = null_safe_join(samples, sized(rt), [COMPOUND])

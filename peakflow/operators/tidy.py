@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -127,6 +127,25 @@ def run_types_present(df: DataFrame, required: tuple[str, ...] = ()) -> DataFram
     return found
 
 
+#: The run types every run has.
+RUN_TYPES = ("std", "blk", "poo", "smp")
+
+
+def run_type_metrics(types: tuple[str, ...] = RUN_TYPES) -> dict[str, Column]:
+    """Whether each run type occurs and whether anything else does, as aggregates for a pass made anyway."""
+    kind = run_type("replicate_name")
+    known = F.coalesce(kind.isin(*types), F.lit(False))
+    return {t: F.bool_or(kind == t) for t in types} | {"other": F.bool_or(~known)}
+
+
+def require_run_types(found: dict, types: tuple[str, ...] = RUN_TYPES) -> None:
+    """Raise unless the metrics show all these run types and no other."""
+    missing = [t for t in types if not found.get(t)]
+    if missing or found.get("other"):
+        besides = " and others occur" if found.get("other") else ""
+        raise ValueError(f"run types {list(types)} are expected; missing: {missing}{besides}")
+
+
 def run_type_filter(
     df: DataFrame, pattern: str, include: bool = True, ignore_case: bool = False,
     column: str = "replicate_name",

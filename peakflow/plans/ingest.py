@@ -58,7 +58,8 @@ def long_peaks(
     spark: SparkSession, path: str, standards: DataFrame, file_pattern: str, hilic: bool = True,
     mode: str = REFERENCE, triple_quad: bool = False,
 ) -> DataFrame:
-    """Peaks of long exports, cleaned and cast, with the compound names of the dimension.
+    """Peaks of long exports, cleaned and cast, with the compound names of the dimension. Exports of both ion
+    modes are cut to the columns later steps read; a reverse-phase or triple-quad export keeps all it has.
 
     Reference: a compound the dimension does not know loses its name; corrected: it keeps it."""
     columns, numeric = (
@@ -73,7 +74,7 @@ def long_peaks(
         ]
         peaks = parts[0].unionByName(parts[1])
     else:
-        peaks = read_long(spark, path, columns, numeric, _files(file_pattern))
+        peaks = read_long(spark, path, columns, numeric, _files(file_pattern), keep_all=True)
     return T.update_compound_names(
         peaks, standards, "precursor_ion_name", keep_unmatched=T.keeps_unmatched_names(mode), dedupe=False
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,11 +11,12 @@ from pyspark.sql import functions as F
 from peakflow.functions.columns import BLANK_OR_STANDARD
 from peakflow.operators import bmis as B
 from peakflow.operators import duplicates as D
+from peakflow.operators import fragments as R
 from peakflow.operators import msdial as M
 from peakflow.operators import reports
 from peakflow.operators import skyline as S
 from peakflow.params import REFERENCE, BmisParams, QcParams
-from peakflow.plans.workflow import Quantified
+from peakflow.plans.workflow import Quantified, TripleQuad
 from peakflow.sources.writers import quick_report_line, write_lines, write_table, write_tables
 
 
@@ -45,6 +47,34 @@ def write_long_qc(
     }, base, run_date, fmt)
 
 
+def write_triple_quad_qc(
+    tables: TripleQuad, p: QcParams, base: str, run_date: dt.date, processed_on: str, mode: str = REFERENCE,
+    fmt: str = "parquet",
+) -> dict[str, str]:
+    """As above for triple-quad exports, with the ion-ratio ranges and product ions in the height table."""
+    raw = tables.fragments
+    parameters = reports.parameter_table(
+        raw.sparkSession, reports.skyline_parameters(p, run_date, processed_on, triple_quad=True)
+    )
+    return write_tables({
+        "rt_table": S.skyline_rt_reference(raw, mode),
+        "blank_table": R.tqs_blank_reference(raw, tables.transitions, mode),
+        "area_table": S.area_table(raw), "height_table": S.height_table(raw, triple_quad=True),
+        "sn_table": S.signal_to_noise(raw), "ion_ratio_table": tables.ion_ratios,
+        "final_table": tables.qc, "qc_output": reports.qc_parameter_report(tables.qc, parameters),
+    }, base, run_date, fmt)
+
+
+def write_combined(
+    peaks: DataFrame, software: str, file_pattern: str, base: str, run_date: dt.date, fmt: str = "parquet"
+) -> str:
+    """Combined peaks of all files of a run, as rearranged, under a name that carries software and pattern.
+
+    Only the folder of this run date is replaced."""
+    name = re.sub(r"[^A-Za-z0-9-]+", "_", f"{software}_combined_{file_pattern}").strip("_")
+    return write_table(peaks, f"{base.rstrip('/')}/{name}", run_date, fmt)
+
+
 def write_duplicates(qc: DataFrame, base: str, run_date: dt.date, fmt: str = "parquet") -> dict[str, str]:
     """Duplicated compounds of samples and pools, their statistics, and the text list of what is removed."""
     qc = qc.filter(~F.col("replicate_name").rlike(BLANK_OR_STANDARD))

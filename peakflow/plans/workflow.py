@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame
 from peakflow.functions.columns import fix_replicate_dash
 from peakflow.functions.joins import sized
 from peakflow.operators import bmis as B
+from peakflow.operators import fragments as R
 from peakflow.operators import quantify as Q
+from peakflow.operators import tidy as T
 from peakflow.operators.duplicates import drop_mode_duplicates, mode_duplicates
 from peakflow.operators.msdial import msdial_qc
 from peakflow.operators.skyline import keep_own_mixes, skyline_qc, to_peaks
 from peakflow.params import CORRECTED, REFERENCE, BmisParams, QcParams, QuantifyParams, is_corrected
-from peakflow.sources.staging import stage
+from peakflow.sources.staging import observed_stage, stage
 
 
 @dataclass(frozen=True)
@@ -39,6 +41,25 @@ class Quantified:
         return Q.compound_summary(self.measurements)
 
 
+@dataclass(frozen=True)
+class TripleQuad:
+    """Quality control of a triple-quad export: its rows, the ion-ratio ranges of the standards, the flagged peaks."""
+
+    fragments: DataFrame
+    transitions: DataFrame
+    ion_ratios: DataFrame
+    qc: DataFrame
+
+
+def _checked_stage(df: DataFrame, name: str, strict: bool) -> DataFrame:
+    """A hand-over table; `strict` stops on unexpected run types, told in the pass that writes it."""
+    if not strict:
+        return stage(df, name)
+    staged, found = observed_stage(df, name, T.run_type_metrics())
+    T.require_run_types(found)
+    return staged
+
+
 def without_duplicates(qc: DataFrame) -> DataFrame:
     """Rows of a quality-controlled table without the duplicates of the negative ion mode.
 
@@ -49,26 +70,45 @@ def without_duplicates(qc: DataFrame) -> DataFrame:
 
 
 def quality_control(
-    peaks: DataFrame, p: QcParams = QcParams(), mode: str = REFERENCE
+    peaks: DataFrame, p: QcParams = QcParams(), mode: str = REFERENCE, strict: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Flagged peaks of wide exports as a hand-over table, and the same without duplicates.
 
-    Response factors rest on the first table, everything else on the second."""
-    qc = stage(msdial_qc(peaks, p, mode), "qc")
+    Response factors rest on the first table, everything else on the second. `strict` stops unless
+    the run has its four run types and no other."""
+    qc = _checked_stage(msdial_qc(peaks, p, mode), "qc", strict)
     return qc, without_duplicates(qc)
 
 
 def long_quality_control(
-    raw: DataFrame, standards: DataFrame, p: QcParams = QcParams(), mode: str = REFERENCE, own_mixes: bool | None = None
+    raw: DataFrame, standards: DataFrame, p: QcParams = QcParams(), mode: str = REFERENCE, own_mixes: bool | None = None,
+    strict: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """The same for long exports. Of standard runs only those with the compound's own mix count, by
     default where there are ion modes; all other runs stay."""
     if own_mixes or (own_mixes is None and "ion_column" in raw.columns):
         raw = keep_own_mixes(raw, standards, CORRECTED)
-    qc = stage(to_peaks(skyline_qc(raw, p, mode)), "qc")
+    qc = _checked_stage(to_peaks(skyline_qc(raw, p, mode)), "qc", strict)
     return qc, without_duplicates(qc)
 
 
+def triple_quad_quality_control(
+    raw: DataFrame, transitions: DataFrame, p: QcParams = QcParams(), mode: str = REFERENCE, strict: bool = True
+) -> TripleQuad:
+    """Quality control of a triple-quad export. The export and the product ions of its standards are written
+    once; all tables of the section are derived from these.
+
+    `strict` (as published) stops when a compound of the standards has a single product ion; it is told in
+    the pass that writes them."""
+    table = stage(raw, "fragments")
+    standards, found = observed_stage(
+        R.check_fragments(table, transitions, "Std", mode), "standard-fragments", R.single_fragment_metric())
+    if strict:
+        R.require_two_fragments(found)
+    ratios = sized(R.ion_ratio_reference(standards, mode))
+    return TripleQuad(table, transitions, ratios, stage(R.tqs_qc(table, transitions, p, mode, ion_ratios=ratios), "qc"))
+
+
 def response_factor_tables(
     qc: DataFrame, standards: DataFrame, p: QuantifyParams = QuantifyParams(), mode: str = REFERENCE
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -101,25 +141,32 @@ def quantify(
 def analyse(
     peaks: DataFrame, standards: DataFrame, qc_params: QcParams = QcParams(),
     bmis_params: BmisParams = BmisParams(), quantify_params: QuantifyParams = QuantifyParams(),
-    mode: str = REFERENCE,
+    mode: str = REFERENCE, strict: bool = False,
 ) -> Quantified:
-    """Quality control, duplicate removal, normalisation and quantification of one peak table."""
-    tables = quality_control(peaks, qc_params, mode)
-    return _concentrations(tables, standards, bmis_params, quantify_params, mode)
+    """Quality control, duplicate removal, normalisation and quantification of one peak table.
+
+    `strict` stops on run types other than the usual four, and on replicates that have internal standards
+    only or none; the latter takes one more pass over two columns of the flagged table."""
+    tables = quality_control(peaks, qc_params, mode, strict)
+    return _concentrations(tables, standards, bmis_params, quantify_params, mode, strict)
 
 
 def analyse_long(
     raw: DataFrame, standards: DataFrame, qc_params: QcParams = QcParams(),
     bmis_params: BmisParams = BmisParams(), quantify_params: QuantifyParams = QuantifyParams(),
-    mode: str = REFERENCE, own_mixes: bool | None = None,
+    mode: str = REFERENCE, own_mixes: bool | None = None, strict: bool = False,
 ) -> Quantified:
     """The same from a long export."""
-    tables = long_quality_control(raw, standards, qc_params, mode, own_mixes)
-    return _concentrations(tables, standards, bmis_params, quantify_params, mode)
+    tables = long_quality_control(raw, standards, qc_params, mode, own_mixes, strict)
+    return _concentrations(tables, standards, bmis_params, quantify_params, mode, strict)
 
 
-def _concentrations(tables, standards: DataFrame, bmis_params: BmisParams, quantify_params: QuantifyParams, mode: str) -> Quantified:
+def _concentrations(
+    tables, standards: DataFrame, bmis_params: BmisParams, quantify_params: QuantifyParams, mode: str, strict: bool
+) -> Quantified:
     measured, qc = tables
     internal = B.internal_standards(standards, quantify_params.column_type, mode)
+    if strict:
+        B.require_same_replicates(B.bmis_input(qc), internal)
     normalized = stage(B.bmis_normalize(B.bmis_input(qc), internal, bmis_params, mode), "normalized")
     return quantify(qc, normalized, standards, quantify_params, mode, measured)

@@ -58,8 +58,8 @@ def _lines(spark: SparkSession, path: str, pattern: str | None, skip_first: bool
 
 def _headed(
     spark: SparkSession, path: str, pattern: str | None, wide: bool, columns: list[str] | None = None
-) -> DataFrame:
-    """Data rows of CSV files with the header of their own file: source_file, header, cells.
+) -> tuple[DataFrame, DataFrame]:
+    """Data rows of CSV files with the header of their own file (source_file, header, cells), and the headers.
 
     Two scans. The first takes, in one aggregation, each file's header line and the most cells of any line; only that
     one number reaches the driver. The second reads cells by position and meets the header of its file, so files may
@@ -92,15 +92,23 @@ def _headed(
     joined = rows.join(headers, "_path")
     if wide:  # the header is a row here; one that is said again further down is no data either
         joined = joined.filter(~F.col("cells").eqNullSafe(F.col("header")))
-    return joined.select("source_file", "header", "cells")
+    return joined.select("source_file", "header", "cells"), headers
 
 
-def _scan_csv(spark: SparkSession, path: str, columns: T.StructType, pattern: str | None) -> DataFrame:
-    """Text columns of CSV files, bound by the names in their own header; further columns are ignored.
+def _scan_csv(
+    spark: SparkSession, path: str, columns: T.StructType, pattern: str | None, keep_all: bool = False
+) -> DataFrame:
+    """Text columns of CSV files, bound by the names in their own header.
 
-    Files of one folder may have different headers; each must have all columns."""
-    rows = _headed(spark, path, pattern, False, columns.names).withColumn("_names", _names_of(F.col("header")))
-    return rows.select(*(F.get("cells", F.array_position("_names", c).cast("int") - 1).alias(c) for c in columns.names))
+    Files of one folder may have different headers; each must have all columns. Further ones are ignored or, with
+    `keep_all`, follow in alphabetical order, NULL in files that lack them. Only their names reach the driver."""
+    rows, headers = _headed(spark, path, pattern, False, columns.names)
+    rows, names = rows.withColumn("_names", _names_of(F.col("header"))), list(columns.names)
+    if keep_all:
+        each = headers.select(F.explode(F.array_distinct(_names_of(F.col("header")))).alias("name")).distinct()
+        more = each.filter((F.col("name") != "") & ~F.col("name").isin(*names))
+        names += sorted(x.name for x in more.collect())
+    return rows.select(*(F.get("cells", F.array_position("_names", c).cast("int") - 1).alias(c) for c in names))
 
 
 def _scan_rows(spark: SparkSession, path: str, columns: T.StructType, pattern: str | None) -> DataFrame:
@@ -124,10 +132,11 @@ def read_csv(
 
 def read_long(
     spark: SparkSession, path: str, columns: T.StructType = schema.SKYLINE_LONG,
-    numeric: tuple[str, ...] = schema.SKYLINE_NUMERIC, pattern: str | None = None,
+    numeric: tuple[str, ...] = schema.SKYLINE_NUMERIC, pattern: str | None = None, keep_all: bool = False,
 ) -> DataFrame:
-    """Long exports: markers of missing values removed, numeric columns cast."""
-    return cast_numeric_columns(null_markers(_scan_csv(spark, path, columns, pattern)), numeric)
+    """Long exports: markers of missing values removed, numeric columns cast. `keep_all` keeps the columns
+    no step reads."""
+    return cast_numeric_columns(null_markers(_scan_csv(spark, path, columns, pattern, keep_all)), numeric)
 
 
 def load_standards(spark: SparkSession, path: str) -> DataFrame:
@@ -156,7 +165,7 @@ def wide_header(spark: SparkSession, path: str, pattern: str | None = None) -> D
     The first line of every file is skipped. Then lines with an empty first cell are sample metadata;
     the first line with a first cell is the header, and the rest is data. Files may differ in header
     and width and may be split over tasks."""
-    return _headed(spark, path, pattern, wide=True)
+    return _headed(spark, path, pattern, wide=True)[0]
 
 
 def syntactic(name: Column) -> Column:

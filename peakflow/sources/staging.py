@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _DIR_KEY = "spark.checkpoint.dir"
 #: Folders of local sessions that name none. The session's own setting is never touched.
@@ -34,3 +34,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{staging_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def observed_stage(df: DataFrame, name: str, metrics: dict[str, Column]) -> tuple[DataFrame, dict]:
+    """`stage`, and aggregates of the same rows, taken in the pass that writes them: no job of their own.
+
+    The metrics should not change when a lost task runs again (any-of, minimum, maximum)."""
+    seen = Observation(name)
+    staged = stage(df.observe(seen, *[c.alias(k) for k, c in metrics.items()]), name)
+    return staged, seen.get

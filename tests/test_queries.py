@@ -17,7 +17,8 @@ COMPARED = [
     "mode_duplicate_stats", "mole_fractions", "msdial_qc", "msdial_qc_corrected", "pooled_rsd",
     "qc_parameter_report", "rf_dimensions", "skyline_qc", "skyline_qc_corrected", "standardize_names",
     "tqs_qc", "tqs_qc_corrected", "update_compound_names", "wide_header", "long_two_headers",
-    "single_fragments", "transitions_within_tolerance", "replicate_mismatch",
+    "single_fragments", "transitions_within_tolerance", "replicate_mismatch", "tqs_report", "ion_ratio_table",
+    "combined_peaks", "reverse_phase_export", "bmis_candidates_odd", "bmis_normalize_odd",
 ]
 
 

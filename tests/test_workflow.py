@@ -84,6 +84,61 @@ def test_analysis_and_its_written_results(spark, tmp_path, mode):
         assert spark.read.text(dups["duplicate_report"]).count() == spark.read.parquet(dups["duplicates"]).count() > 0
 
 
+def test_triple_quad_files_to_flags_and_written_tables(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    head = "Replicate Name,Protein Name,Precursor Ion Name,Precursor Mz,Product Mz,Retention Time,Area,Background,Height,Note\n"
+    lines = [f"1_{run}_a_1,P,{name},100,{mz},5,{area},10,5000,n\n"
+             for name in ("A", "B") for run, k in (("Std", 1), ("Blk", 0.01), ("Smp", 2), ("Poo", 2))
+             for mz, area in ((50, 4000 * k), (70, 2000 * k))]
+    (raw / "CRUISE.csv").write_text(head + "".join(lines))
+    (raw / "master.csv").write_text("Compound Name,Daughter,Quan Trace,2nd Trace\nA,50,yes,\nA,70,no,yes\nB,50,yes,\nB,70,no,yes\n")
+    dim = spark.createDataFrame([standard("A", original="A"), standard("B", original="B")], STANDARDS)
+    from peakflow.sources.readers import load_transitions
+
+    peaks = ingest.long_peaks(spark, str(raw), dim, "CRUISE", hilic=False, triple_quad=True)
+    assert peaks.select("note").distinct().first()[0] == "n"
+    listed = load_transitions(spark, str(raw))
+    tables = workflow.triple_quad_quality_control(peaks, listed)
+    assert by(tables.ion_ratios, "precursor_ion_name")["A"]["ir_min"] == 2.0
+    written = outputs.write_triple_quad_qc(tables, QcParams(), str(tmp_path / "out"), DAY, "now")
+    assert spark.read.parquet(written["qc_output"]).count() == 10 + 2
+    assert spark.read.parquet(written["height_table"]).columns[2:4] == ["precursor_mz", "product_mz"]
+    assert spark.read.parquet(written["sn_table"]).count() == 8
+    assert spark.read.parquet(written["ion_ratio_table"]).count() == spark.read.parquet(written["blank_table"]).count() == 2
+    lonely = peaks.filter("not (precursor_ion_name = 'B' and product_mz = 70)")
+    with pytest.raises(ValueError, match="fewer than two fragments"):
+        workflow.triple_quad_quality_control(lonely, listed)
+    assert workflow.triple_quad_quality_control(lonely, listed, strict=False).qc.count() > 0
+
+
+def test_combined_peaks_replace_their_run_date_only(spark, tmp_path):
+    one, two = spark.range(3).toDF("x"), spark.range(5).toDF("x")
+    first = outputs.write_combined(one, "MSDial", "HILIC.*QE", str(tmp_path), DAY)
+    other = outputs.write_combined(two, "MSDial", "HILIC.*QE", str(tmp_path), dt.date(2020, 1, 3))
+    assert "MSDial_combined_HILIC_QE" in first
+    outputs.write_combined(two, "MSDial", "HILIC.*QE", str(tmp_path), DAY)
+    assert spark.read.parquet(first).count() == spark.read.parquet(other).count() == 5
+
+
+def test_strict_analysis_stops(spark):
+    runs = [("1_Std_x_1", 1), ("1_Blk_x_1", 1), ("1_Poo_x_1", 1), ("1_Smp_a_1", 1)]
+    rows = [(r, c, 5000.0, 100.0, 5.0, 10.0, 1) for r, _ in runs for c in ("A", "S")]
+    schema = ("replicate_name string, metabolite_name string, area_value double, mz_value double, rt_value double, "
+              "sn_value double, alignment_id int")
+    dim = spark.createDataFrame([standard("A"), standard("S", kind="Internal Standard")], STANDARDS)
+    full = spark.createDataFrame(rows, schema)
+    assert workflow.analyse(full, dim, strict=True).normalized.count() > 0
+    with pytest.raises(ValueError, match="blk"):
+        workflow.analyse(full.filter("replicate_name not like '%Blk%'"), dim, strict=True)
+    with pytest.raises(ValueError, match="others occur"):
+        workflow.quality_control(full.unionByName(spark.createDataFrame([("odd", "A", 1.0, 1.0, 1.0, 1.0, 1)], schema)), strict=True)
+    with pytest.raises(ValueError, match="1_Smp_a_1"):
+        workflow.analyse(full.filter("not (replicate_name like '%Smp%' and metabolite_name = 'S')"), dim, strict=True)
+    with pytest.raises(ValueError, match="missing"):
+        workflow.quality_control(full.limit(0), strict=True)
+
+
 def test_long_exports_feed_the_normalisation(spark):
     from checks.registry import skyline
 
