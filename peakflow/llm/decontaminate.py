@@ -2,8 +2,9 @@
 
 Windows of `WINDOW` normalised words of all benchmark items (an item of fewer words is one window) form a hash
 table. Every window of every document is looked up in it and a hit is verified by comparing the words
-themselves. The table is broadcast if its measured size is under a bound; beyond it the same join shuffles both sides by the
-window's hash, where adaptive execution splits a passage that very many documents hold.
+themselves. The table is broadcast if its measured size is under a bound; beyond it hashes and places of the
+windows meet it in a shuffle join, where adaptive execution splits a passage that very many documents hold, and the
+places that match are compared with the words of their document.
 
 Input: documents (doc_id, text) and benchmark (item_id, text). A null text has no words. Equal
 item_ids are one item. Rows that repeat a document give equal results each; documents are told apart by
@@ -14,12 +15,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from peakflow.llm.names import free_names
 from peakflow.sources.staging import stage
 
 WINDOW = 10
 BROADCAST_BYTES = 32 << 20
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_RESULTS = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans", "_id", "_hash", "_items", "_spans", "_h", "_n")
+_RESULTS = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans")
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -51,13 +53,20 @@ def hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, broadcast_by
         place = each.select("*", F.explode_outer(starts).alias("start"))
         window = [F.get("w", F.col("start") + k) for k in range(length)]
         keyed = place.withColumn("h", F.xxhash64(*window))
-        if not small:  # only the window itself is shuffled
-            keyed = keyed.select("doc_id", "text_hash", "start", "h", F.slice("w", F.col("start") + 1, length).alias("w")).where("start is not null")
-            window = [F.get("w", F.lit(k)) for k in range(length)]
         own = table.where(F.col("length") == length).select(F.col("h").alias("bh"), F.col("window").alias("bw"), "items")
+        if not small:
+            # hashes and places are shuffled, and the few that match fetch their words: a place once, so copies of a row do not multiply
+            keyed = keyed.select("doc_id", "text_hash", "start", "h").where("start is not null")
+            near = keyed.join(own, F.col("h") == F.col("bh")).select(
+                F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t"), "start", "bw", "items").dropDuplicates(["_d", "_t", "start", "bw"])
+            found = each.join(near, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_t")))
+            found = found.where(F.slice("w", F.col("start") + 1, length) == F.col("bw"))
+            found = found.select("doc_id", "text_hash", "start", F.lit(length).alias("length"), "items")
+            out = found if out is None else out.unionAll(found)
+            continue
         # joined by the hash alone; the words are compared where it matches
         differs = F.greatest(*((x != F.get("bw", F.lit(k))).cast("int") for k, x in enumerate(window)), F.lit(0))
-        found = keyed.join(F.broadcast(own) if small else own, (F.col("h") == F.col("bh")) & (differs == 0))
+        found = keyed.join(F.broadcast(own), (F.col("h") == F.col("bh")) & (differs == 0))
         found = found.select("doc_id", "text_hash", "start", F.lit(length).alias("length"), "items")
         out = found if out is None else out.unionAll(found)
     return out
@@ -78,15 +87,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
                                          F.array(F.struct(F.element_at(spans, -1)["start"].alias("start"),
                                                           F.greatest(F.element_at(spans, -1)["stop"], x["start"] + x["length"]).alias("stop")))))
         .otherwise(F.concat(spans, F.array(F.struct(x["start"].alias("start"), (x["start"] + x["length"]).alias("stop"))))))
-    by_doc = by_doc.select("_id", "_hash", "_items", grown.alias("_spans"))
-    hashed = docs.withColumn("_h", F.xxhash64("text")).withColumn("_n", F.size(words(F.col("text"))).cast("long"))
-    joined = hashed.join(by_doc, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_hash")), "left")
-    n_hit = F.coalesce(F.aggregate("_spans", F.lit(0), lambda a, s: a + s["stop"] - s["start"]), F.lit(0))
+    ident, own, items, spans, h, n = free_names(docs.columns, "_id", "_hash", "_items", "_spans", "_h", "_n")
+    by_doc = by_doc.select("_id", "_hash", "_items", grown).toDF(ident, own, items, spans)
+    hashed = docs.withColumn(h, F.xxhash64("text")).withColumn(n, F.size(words(F.col("text"))).cast("long"))
+    joined = hashed.join(by_doc, F.col("doc_id").eqNullSafe(F.col(ident)) & (F.col(h) == F.col(own)), "left")
+    n_hit = F.coalesce(F.aggregate(spans, F.lit(0), lambda a, s: a + s["stop"] - s["start"]), F.lit(0))
     return joined.select(
-        *docs.columns, F.col("_n").alias("n_words"), n_hit.cast("long").alias("n_hit"),
-        F.coalesce(F.size("_items"), F.lit(0)).cast("long").alias("n_items"),
-        F.sha2(F.coalesce(F.array_join("_items", ","), F.lit("")).cast("binary"), 256).alias("items_sha256"),
-        F.coalesce(n_hit > 0, F.lit(False)).alias("contaminated"), F.col("_spans").alias("spans"))
+        *docs.columns, F.col(n).alias("n_words"), n_hit.cast("long").alias("n_hit"),
+        F.coalesce(F.size(items), F.lit(0)).cast("long").alias("n_items"),
+        F.sha2(F.coalesce(F.array_join(items, ","), F.lit("")).cast("binary"), 256).alias("items_sha256"),
+        F.coalesce(n_hit > 0, F.lit(False)).alias("contaminated"), F.col(spans).alias("spans"))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:

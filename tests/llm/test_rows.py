@@ -59,6 +59,17 @@ def test_contamination_equals_brute_force(spark, monkeypatch, limit):
     assert kept.columns == docs.columns and sorted((str(r.doc_id) for r in kept.collect())) == ["1", "3", "4", "5"]
 
 
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_BYTES, 0])
+def test_contamination_keeps_columns_with_underscores(spark, monkeypatch, limit):
+    monkeypatch.setattr(decontaminate.hits, "__defaults__", (10, limit))
+    clash = {c: F.lit(c) for c in ("_id", "_HASH", "_items", "_spans", "_h", "_n", "_d", "_t", "start", "w", "h")}
+    docs = spark.createDataFrame([(1, "a short item"), (2, "b"), (None, "short item"), (None, "short item")], DOC).withColumns(clash)
+    found = decontaminate.contamination(docs, spark.createDataFrame(ITEMS, "item_id long, text string"))
+    assert found.columns[:len(docs.columns)] == docs.columns
+    assert sorted(str((r.doc_id, r.n_hit)) for r in found.collect()) == ["(1, 2)", "(2, 0)", "(None, 2)", "(None, 2)"]
+    assert all(r[c] == c for r in found.collect() for c in clash)
+
+
 def test_contamination_plan_is_native_and_scans_few_columns(spark):
     plan = plan_of(decontaminate.op1_benchmark_decontamination(spark, SF))
     assert "BroadcastHashJoin" in plan and not any(w in plan for w in ("Python", "InArrow", "CartesianProduct"))
