@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from peakflow.llm import text as X
 from peakflow.llm.hot import frequent
+from peakflow.llm.names import free_names
 from peakflow.sources.staging import stage
 
 WINDOW = 13
@@ -37,11 +38,11 @@ HOT_SHARE = 0.005  # an anchor in about this share of the documents or more is s
 SALTS = 64
 
 _RUNS = "h long, salt int, doc_id long, start int, n int, w binary"
-_SEEDS = "doc_id long, start int, n int, ref_doc long, ref_start int, hot_h long, hot_w long"
+_SEEDS = "doc_id long, start int, n int, ref_doc long, ref_start int, hot_h long, hot_w long, starts array<int>"
 _PARSED = "n_words long, n_removed long, kept_sha256 string, kept_text string, " \
           "factors array<struct<start:int,length:int,ref_doc:long,ref_start:int>>"
 
-_RESULTS = ("n_words", "n_removed", "kept_sha256", "kept_text", "factors", "_seeds")
+_RESULTS = ("n_words", "n_removed", "kept_sha256", "kept_text", "factors")
 
 
 def _minimizers(grams: np.ndarray, size: int) -> np.ndarray:
@@ -146,7 +147,13 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut[1:] = (row[k][1:] != row[k][:-1]) | (s[k][1:] != s[k][:-1] + 1) | (ref_doc[1:] != ref_doc[:-1]) | (shift[1:] != shift[:-1])
         f = np.flatnonzero(cut)
         count = np.diff(np.append(f, len(k)))
-        c = np.flatnonzero(~later & (sa > 0) & (row >= 0))  # first owners within a salt
+        every = np.flatnonzero(~later & (sa > 0) & (row >= 0))  # first owners within a salt
+        every = every[np.lexsort((s[every], d[every], window[every], g[every]))]
+        own = np.ones(len(every), bool)  # all places of a window in its document are one row
+        own[1:] = np.any([x[every][1:] != x[every][:-1] for x in (g, window, d)], axis=0)
+        own = np.flatnonzero(own)
+        c = every[own]
+        places = pa.ListArray.from_arrays(pa.array(np.append(own, len(every)), pa.int32()), pa.array(s[every], pa.int32()))
         none = pa.nulls(len(f), pa.int64())
         yield pa.record_batch([
             pa.concat_arrays([pa.array(d[k][f]), pa.array(d[c])]),
@@ -156,7 +163,8 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.concat_arrays([pa.array((s[k] + shift)[f].astype(np.int32)), pa.nulls(len(c), pa.int32())]),
             pa.concat_arrays([none, pa.array(hh[c])]),
             pa.concat_arrays([none, pa.array(X.signed(window[c]))]),
-        ], names=["doc_id", "start", "n", "ref_doc", "ref_start", "hot_h", "hot_w"])
+            pa.concat_arrays([pa.nulls(len(f), places.type), places]),
+        ], names=["doc_id", "start", "n", "ref_doc", "ref_start", "hot_h", "hot_w", "starts"])
 
 
 def seeds(docs: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -167,8 +175,8 @@ def seeds(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     names = ["doc_id", "start", "n", "ref_doc", "ref_start"]
     split = marked.where(F.col("hot_h").isNotNull())
     first = split.groupBy("hot_h", "hot_w").agg(F.min("doc_id").alias("ref"), F.min(F.struct("doc_id", "start")).alias("at"))
-    across = split.drop("ref_doc", "ref_start").join(first, ["hot_h", "hot_w"]).where(F.col("doc_id") > F.col("ref")).select(
-        "doc_id", "start", "n", F.col("ref").alias("ref_doc"), F.col("at.start").alias("ref_start"))
+    across = split.select("hot_h", "hot_w", "doc_id", "n", "starts").join(first, ["hot_h", "hot_w"]).where(F.col("doc_id") > F.col("ref")).select(
+        "doc_id", F.explode("starts").alias("start"), "n", F.col("ref").alias("ref_doc"), F.col("at.start").alias("ref_start"))
     return marked.where(F.col("hot_h").isNull()).select(*names).unionByName(across)
 
 
@@ -203,16 +211,17 @@ def factorise(start: np.ndarray, n: np.ndarray, ref_doc: np.ndarray, ref_start:
 def parse(docs: DataFrame, size: int = WINDOW, with_text: bool = True) -> DataFrame:
     """All columns of `docs`, and n_words, n_removed, kept_sha256, kept_text (kept words joined by one
     space; null unless `with_text`) and the factors (start and length in words, source)."""
-    by_doc = seeds(docs, size).groupBy(F.col("doc_id").alias("_doc")).agg(
-        F.collect_list(F.struct("start", "n", "ref_doc", "ref_start")).alias("_seeds"))
     docs = docs.select(*(c for c in docs.columns if c not in _RESULTS))
-    joined = docs.join(by_doc, docs["doc_id"].cast("long") == by_doc["_doc"], "left").select(*(docs[c] for c in docs.columns), by_doc["_seeds"])
     names = docs.columns
+    own_id, places = free_names(names, "_doc", "_seeds")
+    by_doc = seeds(docs, size).groupBy(F.col("doc_id").alias(own_id)).agg(
+        F.collect_list(F.struct("start", "n", "ref_doc", "ref_start")).alias(places))
+    joined = docs.join(by_doc, docs["doc_id"].cast("long") == by_doc[own_id], "left").select(*(docs[c] for c in names), by_doc[places])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in X.slices(batches):
             rows = []
-            found = part.column("_seeds").fill_null([])
+            found = part.column(places).fill_null([])
             own, first = found.flatten(), np.concatenate([[0], np.cumsum(found.value_lengths().to_numpy())])
             fields = [own.field(k).to_numpy() for k in range(4)]
             for row, text in enumerate(part.column("text")):

@@ -64,6 +64,21 @@ def test_windows_that_agree_in_half_their_hash_differ(spark, monkeypatch, share)
     assert {r.doc_id: r.n_removed for r in got} == {i: 0 for i, _ in rows} | {90: 13}
 
 
+def test_a_hot_window_is_one_row_of_a_document(spark, monkeypatch):
+    """A document of one word repeated has one row for its window, with all places, and all of them are found."""
+    monkeypatch.setattr(substring_dedup, "HOT_SHARE", 0.0)
+    long = "w " * 3_000
+    rows = [(k, f"x{k} " + long + f"y{k}") for k in range(30)]
+    staged = {}
+    monkeypatch.setattr(substring_dedup, "stage", lambda df, name: staged.setdefault(name, df.cache()))
+    found = substring_dedup.parse(spark.createDataFrame(rows, SCHEMA).withColumns({"_seeds": F.lit("a"), "_DOC": F.lit(1)}))
+    got = {r.doc_id: (r.n_removed, r._seeds, r._DOC) for r in found.collect()}
+    assert got == {k: (3_000 if k else 0, "a", 1) for k, _ in rows}
+    hot = staged["seeds"].where("hot_h is not null")
+    assert hot.groupBy("hot_h", "hot_w", "doc_id").count().where("count > 1").count() == 0 < hot.count()
+    assert hot.agg(F.max(F.size("starts"))).first()[0] == 3_000 - 12
+
+
 def test_cut_documents_keeps_other_columns(spark):
     long = " ".join(f"a{k}" for k in range(20))
     docs = spark.createDataFrame([(1, long, 7, "x", "k"), (2, "b " + long, 9, "y", "l"), (3, "  b\nc ", 5, None, "m"), (4, long, 1, "z", "n"), (5, None, None, None, None)],
