@@ -37,7 +37,8 @@ ANCHOR = 6
 HOT_SHARE = 0.005  # an anchor in about this share of the documents or more is salted
 SALTS = 64
 
-_RUNS = "h long, salt int, doc_id long, start int, n int, w binary"
+#: A run of windows: anchor, document, salt and start in one number, the windows' hashes.
+_RUNS = "h long, doc_id long, place long, w binary"
 _SEEDS = "doc_id long, start int, n int, ref_doc long, ref_start int, hot_h long, hot_w long, starts array<int>"
 _PARSED = "n_words long, n_removed long, kept_sha256 string, kept_text string, " \
           "factors array<struct<start:int,length:int,ref_doc:long,ref_start:int>>"
@@ -87,14 +88,13 @@ def _runs(docs: DataFrame, size: int, hot: np.ndarray) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in X.slices(batches):
             ids = part.column("doc_id").to_numpy(zero_copy_only=False)
-            text, start, count, first, hashes, anchors = _runs_of(X.words_of(part.column("text")), size)
+            text, start, _, first, hashes, anchors = _runs_of(X.words_of(part.column("text")), size)
             doc, h = ids[text], X.signed(anchors)
-            salt = np.where(np.isin(h, hot), (X.mix(doc.astype(np.uint64)) % np.uint64(SALTS)).astype(np.int32) + 1, 0)
+            salt = np.where(np.isin(h, hot), (X.mix(doc.astype(np.uint64)) % np.uint64(SALTS)).astype(np.int64) + 1, 0)
             ends = np.append(first, len(hashes)).astype(np.int32) * 8
             w = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(hashes))])
-            columns = [pa.array(h), pa.array(salt.astype(np.int32)), pa.array(doc.astype(np.int64)),
-                       pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32)), w]
-            yield pa.record_batch(columns, names=["h", "salt", "doc_id", "start", "n", "w"])
+            columns = [pa.array(h), pa.array(doc.astype(np.int64)), pa.array(salt << 32 | start.astype(np.int64)), w]
+            yield pa.record_batch(columns, names=["h", "doc_id", "place", "w"])
 
     return docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text").mapInArrow(emit, _RUNS)
 
@@ -107,8 +107,11 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        h, salt, doc, start, n = (batch.column(k).to_numpy() for k in range(5))
-        key = np.stack([h, salt.astype(np.int64)])
+        h, doc, place = (batch.column(k).to_numpy() for k in range(3))
+        salt, start = place >> 32, place & 0xFFFFFFFF
+        offsets = np.frombuffer(batch.column(3).buffers()[1], np.int32)[batch.column(3).offset:][:len(h) + 1]
+        n, data = np.diff(offsets) // 8, np.frombuffer(batch.column(3).buffers()[2] or b"", np.uint64)
+        key = np.stack([h, salt])
         new = np.ones(len(h), bool)
         new[1:] = (key[:, 1:] != key[:, :-1]).any(axis=0)
         group = np.cumsum(new)
@@ -117,8 +120,6 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = np.bincount(group, minlength=group[-1] + 1)
         last = group == group[-1]
         use = np.flatnonzero((size[group] > 1) | (group == 0) | last | (salt > 0))
-        offsets = np.frombuffer(batch.column(5).buffers()[1], np.int32)[batch.column(5).offset:][:len(h) + 1]
-        data = np.frombuffer(batch.column(5).buffers()[2] or b"", np.uint64)
         row = np.repeat(use, n[use])
         within = np.arange(len(row)) - np.repeat(np.cumsum(n[use]) - n[use], n[use])
         window = data[offsets[row] // 8 + within]
@@ -170,7 +171,8 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def seeds(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """Runs of windows that start in an earlier document: doc_id, start, n, ref_doc, ref_start."""
     runs = _runs(docs, size, frequent(docs, _anchors_of(size), HOT_SHARE))
-    ordered = runs.repartition("h", "salt").sortWithinPartitions("h", "salt", "doc_id", "start")
+    salt = F.shiftright("place", 32)
+    ordered = runs.repartition("h", salt).sortWithinPartitions("h", salt, "doc_id", "place")
     marked = stage(ordered.mapInArrow(_mark, _SEEDS), "seeds")
     names = ["doc_id", "start", "n", "ref_doc", "ref_start"]
     split = marked.where(F.col("hot_h").isNotNull())
