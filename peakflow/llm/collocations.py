@@ -33,7 +33,7 @@ LEAST = 10  # occurrences of a candidate
 INSIDE = 50  # hundredths of its occurrences from which a longer phrase stands for a candidate
 TOP = 2000
 _BLOCK = 1 << 20  # words of a block, about; a longer text is one block
-_SLICE = 1 << 21  # words of the corpus for each slice of a stream
+_SLICE = 1 << 20  # words of the corpus for each slice of a stream
 _BLANK, _BREAK = (0x20, 0x09), (*b".,;:!?", *range(0x0A, 0x0E))  # fixed values
 _KIND = np.zeros(256, np.uint8)
 _KIND[list(_BLANK)], _KIND[list(_BREAK)] = 1, 2
@@ -124,16 +124,25 @@ def _planes(columns: list[np.ndarray]) -> bytes:
     return np.ascontiguousarray(np.stack(columns).astype("<u4").view(np.uint8).reshape(len(columns), -1, 4).transpose(0, 2, 1)).tobytes()
 
 
-def _columns(raw: bytes, count: int) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(count, 4, -1).transpose(0, 2, 1)).view("<u4").reshape(count, -1).astype(np.int64)
+def _entries(raw: memoryview, order: int) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
+    """N-grams of a stretch, the first two words as one number and the third word, and their counts."""
+    columns = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(order + 1, 4, -1).transpose(0, 2, 1)).view("<u4").reshape(order + 1, -1)
+    pairs = np.cumsum(columns[0], dtype=np.uint64) << np.uint64(32) | columns[1]
+    return pairs, columns[2].copy() if order == 3 else None, columns[-1].copy()
 
 
-def _summed(keys: tuple[np.ndarray, ...], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Merge equal keys (the first of them leads the order) and add their counts."""
-    order = np.lexsort(keys[::-1])
-    keys = [k[order] for k in keys]
-    begin = np.flatnonzero(np.append(True, np.any([k[1:] != k[:-1] for k in keys], axis=0)))
-    return [k[begin] for k in keys], np.add.reduceat(counts[order], begin)
+def _summed(stretches: list[tuple], order: int) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
+    """Equal n-grams of all stretches merged, in prefix order, with the sums of their counts."""
+    pairs, thirds, counts = (np.concatenate(c) if c[0] is not None else None for c in zip(*stretches, strict=True))
+    stretches.clear()
+    by = np.argsort(pairs, kind="stable") if order == 2 else np.lexsort((thirds, pairs))
+    pairs, thirds = pairs[by], thirds[by] if order == 3 else None
+    new = np.ones(len(by), bool)
+    new[1:] = pairs[1:] != pairs[:-1]
+    if order == 3:
+        new[1:] |= thirds[1:] != thirds[:-1]
+    begin = np.flatnonzero(new)
+    return pairs[begin], thirds[begin] if order == 3 else None, np.add.reduceat(counts[by], begin, dtype=np.int64)
 
 
 def _streams(blocks: DataFrame, words: DataFrame, slices: int) -> DataFrame:
@@ -183,33 +192,33 @@ def _streams(blocks: DataFrame, words: DataFrame, slices: int) -> DataFrame:
     return told.mapInArrow(run, "order int, slice long, raw binary")
 
 
-def _merged(streams: DataFrame, least: int) -> DataFrame:
-    """Counts of the n-grams from `least` on, slice by slice: w1, w2, w3 (null for pairs), f."""
+def _merged(streams: DataFrame, least: int, slices: int) -> DataFrame:
+    """Counts of the n-grams from `least` on, slice by slice: w1, w2, w3 (null for pairs), f.
+
+    About as many tasks as slices: adaptive execution would put several into one, whose rows come in one batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[bytes] = []
+        held: list[tuple] = []
         at = None
 
         def counted():
-            order = at[0]
-            parts = [_columns(raw, order + 1) for raw in held]
-            keys = [np.concatenate([np.cumsum(p[0]) for p in parts]), *[np.concatenate([p[k] for p in parts]) for k in range(1, order)]]
-            keys, f = _summed(tuple(keys), np.concatenate([p[-1] for p in parts]))
+            pairs, thirds, f = _summed(held, at[0])
             often = f >= least
-            third = pa.array(keys[2][often]) if order == 3 else pa.nulls(int(often.sum()), pa.int64())
-            return pa.record_batch([pa.array(keys[0][often]), pa.array(keys[1][often]), third, pa.array(f[often])], names=["w1", "w2", "w3", "f"])
+            pairs, n = pairs[often], int(often.sum())
+            third = pa.array(thirds[often].astype(np.int64)) if at[0] == 3 else pa.nulls(n, pa.int64())
+            words = [x.astype(np.int64) for x in (pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF))]
+            return pa.record_batch([pa.array(words[0]), pa.array(words[1]), third, pa.array(f[often])], names=["w1", "w2", "w3", "f"])
 
         for batch in batches:
             for order, number, raw in zip(batch.column("order").to_pylist(), batch.column("slice").to_pylist(), batch.column("raw"), strict=True):
                 if at is not None and at != (order, number):
                     yield counted()
-                    held = []
                 at = order, number
-                held.append(raw.as_py())
+                held.append(_entries(raw.as_buffer(), order))
         if held:
             yield counted()
 
-    dealt = streams.repartition("order", "slice").sortWithinPartitions("order", "slice")
+    dealt = streams.repartition(2 * slices, "order", "slice").sortWithinPartitions("order", "slice")
     return dealt.mapInArrow(run, "w1 long, w2 long, w3 long, f long")
 
 
@@ -227,7 +236,7 @@ def candidates(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFram
     total = blocks.groupBy("lang").agg(F.sum(F.expr("aggregate(counts, 0L, (s, c) -> s + c)")).alias("n"))
     words = _numbered(blocks, least)
     slices = 1 + (total.agg(F.sum("n")).first()[0] or 0) // _SLICE
-    ngrams = stage(_merged(_streams(blocks, words, slices), least), "ngrams")
+    ngrams = stage(_merged(_streams(blocks, words, slices), least, slices), "ngrams")
     word = words.withColumn("word", F.col("word").cast("string"))
     # prefix order: pairs and their first word; suffix order: pairs and their last word
     pairs = ngrams.where("w3 is null").select("w1", "w2", "f").hint("merge").join(

@@ -72,6 +72,15 @@ def test_phrases_equal_brute_force(spark, monkeypatch, block, slices):
     assert {tuple(r) for r in few.collect()} == plain_phrases(rows, top=3)
 
 
+def test_slices_of_a_stream_are_not_gathered_in_one_task(spark):
+    """Adaptive execution put many slices into a task, whose rows then came in one batch."""
+    raw = collocations._planes([np.array([1, 0, 4]), np.array([2, 3, 1]), np.array([5, 6, 7])])  # pairs (1, 2), (1, 3), (5, 1)
+    streams = spark.createDataFrame([(2, k, raw) for k in range(40) for _ in range(2)], "order int, slice long, raw binary")
+    merged = collocations._merged(streams, 11, 40).withColumn("task", F.spark_partition_id()).collect()
+    assert {(r.w1, r.w2, r.w3, r.f) for r in merged} == {(1, 3, None, 12), (5, 1, None, 14)}
+    assert len(merged) == 80 and max(Counter(r.task for r in merged).values()) < 20
+
+
 def test_phrases_of_large_counts_are_exact(spark):
     row = spark.sql(f"select {collocations._score('a', 'l', 'r')} s from values (999999999999L, 1000000000000L, 999999999999L) t(a, l, r)").first()
     assert row.s == 10**6 * 999_999_999_999**2 // (10**12 * 999_999_999_999)
