@@ -164,3 +164,19 @@ def test_staged_tables_live_in_the_configured_folder(spark):
 
 def test_dataset_names():
     assert schema.PEAKS.names[0] == "replicate_name"
+
+
+def _shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_staged_table_keeps_no_shuffle_files(spark):
+    """They stood beside the table until the driver collected its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting, cached = spark.conf.get(key, None), spark.range(100).groupBy((F.col("id") % 7).alias("k")).count().persist()
+    cached.count()
+    before = _shuffle_files(spark)
+    staged = stage(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count().join(cached.drop("count"), "k"), "counts")
+    assert not _shuffle_files(spark) - before
+    assert staged.count() == 7 == cached.count() and spark.conf.get(key, None) == setting
