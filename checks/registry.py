@@ -134,7 +134,7 @@ def dimension_by_header(spark, sf):
 def long_two_headers(spark, sf):
     """Long exports of one folder, half of them with another order, spelling and number of columns, read by name."""
     folder = f"{staging_dir(spark).rstrip('/')}/long-{uuid.uuid4().hex}"
-    raw = view(spark, sf, "skyline_raw")
+    raw = stage(view(spark, sf, "skyline_raw"), "skyline-raw")
     first = F.pmod(F.length("replicate_name") + F.coalesce(F.length("area"), F.lit(0)), F.lit(2)) == 0
     keep = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     raw.filter(first).toDF(*(c.replace("_", " ").title() for c in raw.columns)).write.options(**keep).csv(folder)
@@ -494,7 +494,7 @@ def combined_peaks(spark, sf):
 def reverse_phase_export(spark, sf):
     """A long export with columns no step reads; they stay, also where half of the files lack one."""
     folder = f"{staging_dir(spark).rstrip('/')}/reverse-{uuid.uuid4().hex}"
-    raw = view(spark, sf, "skyline_raw").withColumn("Protein Name", F.concat(F.lit("P"), "mass_error_ppm"))
+    raw = stage(view(spark, sf, "skyline_raw"), "skyline-raw").withColumn("Protein Name", F.concat(F.lit("P"), "mass_error_ppm"))
     late = F.col("mass_error_ppm").cast("int") > 3
     raw.filter(~late).write.option("header", True).csv(folder)
     raw.filter(late).withColumn("Total Area.Fragment", F.col("background")).write.mode("append").option("header", True).csv(folder)

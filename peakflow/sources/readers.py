@@ -59,10 +59,11 @@ def _lines(spark: SparkSession, path: str, pattern: str | None, skip_first: bool
 def _headed(
     spark: SparkSession, path: str, pattern: str | None, wide: bool, columns: list[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Data rows of CSV files with the header of their own file (source_file, header, cells), and the headers.
+    """Data rows of CSV files (source_file, _path, cells), and the header of each file (_path, header).
 
     Two scans. The first takes, in one aggregation, each file's header line and the most cells of any line; only that
-    one number reaches the driver. The second reads cells by position and meets the header of its file, so files may
+    one number reaches the driver. The second reads cells by position; they meet on _path what follows from the header of
+    their file, worked out once per file, so files may
     differ in order, number and spelling of columns. A header is the first line of its file; in wide exports,
     whose first line says nothing, the first later line with a first cell. `columns` must be in every header."""
     lines = _lines(spark, path, pattern, skip_first=wide)
@@ -89,10 +90,7 @@ def _headed(
     )
     if wide:
         rows = rows.filter(F.coalesce(F.col("cells")[0], F.lit("")) != "")
-    joined = rows.join(headers, "_path")
-    if wide:  # the header is a row here; one that is said again further down is no data either
-        joined = joined.filter(~F.col("cells").eqNullSafe(F.col("header")))
-    return joined.select("source_file", "header", "cells"), headers
+    return rows, headers
 
 
 def _scan_csv(
@@ -103,12 +101,13 @@ def _scan_csv(
     Files of one folder may have different headers; each must have all columns. Further ones are ignored or, with
     `keep_all`, follow in alphabetical order, NULL in files that lack them. Only their names reach the driver."""
     rows, headers = _headed(spark, path, pattern, False, columns.names)
-    rows, names = rows.withColumn("_names", _names_of(F.col("header"))), list(columns.names)
+    headers, names = headers.select("_path", _names_of(F.col("header")).alias("_names")), list(columns.names)
     if keep_all:
-        each = headers.select(F.explode(F.array_distinct(_names_of(F.col("header")))).alias("name")).distinct()
+        each = headers.select(F.explode(F.array_distinct("_names")).alias("name")).distinct()
         more = each.filter((F.col("name") != "") & ~F.col("name").isin(*names))
         names += sorted(x.name for x in more.collect())
-    return rows.select(*(F.get("cells", F.array_position("_names", c).cast("int") - 1).alias(c) for c in names))
+    places = headers.select("_path", *((F.array_position("_names", c).cast("int") - 1).alias(f"_at{k}") for k, c in enumerate(names)))
+    return rows.join(sized(places), "_path").select(*(F.get("cells", F.col(f"_at{k}")).alias(c) for k, c in enumerate(names)))
 
 
 def _scan_rows(spark: SparkSession, path: str, columns: T.StructType, pattern: str | None) -> DataFrame:
@@ -165,7 +164,9 @@ def wide_header(spark: SparkSession, path: str, pattern: str | None = None) -> D
     The first line of every file is skipped. Then lines with an empty first cell are sample metadata;
     the first line with a first cell is the header, and the rest is data. Files may differ in header
     and width and may be split over tasks."""
-    return _headed(spark, path, pattern, wide=True)[0]
+    rows, headers = _headed(spark, path, pattern, wide=True)
+    # the header is a row here; one that is said again further down is no data either
+    return rows.join(headers, "_path").filter(~F.col("cells").eqNullSafe(F.col("header"))).select("source_file", "header", "cells")
 
 
 def syntactic(name: Column) -> Column:

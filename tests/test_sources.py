@@ -166,6 +166,16 @@ def test_dataset_names():
     assert schema.PEAKS.names[0] == "replicate_name"
 
 
+def test_headers_are_worked_out_once_per_file(spark, tmp_path):
+    """Not once per row: the rows take places that their file's header gave."""
+    (tmp_path / "a.csv").write_text("Replicate Name,Area\nr1,1\n")
+    (tmp_path / "b.csv").write_text("AREA,x,replicate_name\n2,9,r2\n")
+    rows = R._scan_csv(spark, str(tmp_path), schema._strings("replicate_name", "area"), None, keep_all=True)
+    assert {tuple(r) for r in rows.collect()} == {("r1", "1", None), ("r2", "2", "9")}
+    last = rows._jdf.queryExecution().optimizedPlan().expressions().toString()
+    assert "regexp_replace" not in last and "array_position" not in last
+
+
 def _shuffle_files(spark):
     files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
     return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
