@@ -28,7 +28,8 @@ WORD_LIMIT, WORD_GUARD = 0.40, 100  # distance, words
 REFERENCE_WORDS = 1_000  # words of a language below which it is no reference
 BROADCAST_ROWS = 100_000
 SPACES = r"[\x20\x09-\x0D]+"
-# character classes, besides white space and what none of them matches (mostly small letters)
+# character classes, besides white space and what none of them matches (mostly small letters); none of them has a character of _PLAIN
+_PLAIN = r"[a-z\x20\x09-\x0D]+"
 _CLASSES = {"upper": r"[A-Z]+", "digit": r"[0-9]+", "punct": r"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+", "wide": r"[^\x00-\x7F]+"}
 CHARS = ("lower", *_CLASSES, "space")
 
@@ -74,13 +75,15 @@ def measures(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), text.alias("text"), _words(text).alias("w"))
     rows = _repeated(rows, REPEAT_WINDOW)
-    lines = rows.withColumn("_l", F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
+    lines = rows.withColumn("_l", F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(" \t\x0b\x0c\r")) != ""))
+    # one pass over the whole text; classes and symbols are told apart in the little it leaves
+    lines = lines.withColumn("_o", F.regexp_replace("text", _PLAIN, ""))
     base = lines.select(
         "doc_id", F.xxhash64("text").alias("text_hash"), "lang", F.size("w").cast("long").alias("n_words"),
         F.char_length(F.array_join("w", "")).cast("long").alias("word_chars"),
-        _without(F.col("text"), r"[#*$%&|<>]+").cast("long").alias("n_symbols"),
+        _without(F.col("_o"), r"[#*$%&|<>]+").cast("long").alias("n_symbols"),
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"), "n_repeat_words",
-        F.char_length("text").cast("long").alias("n_chars"), *(_without(F.col("text"), p).cast("long").alias(c) for c, p in _CLASSES.items()))
+        F.char_length("text").cast("long").alias("n_chars"), *(_without(F.col("_o"), p).cast("long").alias(c) for c, p in _CLASSES.items()))
     space = F.col("n_chars") - F.col("word_chars")
     return base.withColumn("space", space).withColumn("lower", F.col("n_chars") - space - reduce(lambda a, b: a + b, map(F.col, _CLASSES)))
 

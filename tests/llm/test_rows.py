@@ -1,3 +1,4 @@
+import re
 """Decontamination, quality rules, WARC archives, packing and the pipeline."""
 
 import zlib
@@ -271,3 +272,16 @@ def test_pipeline_equals_brute_force(spark, library):
             total = sum(r.length for r in result)
             assert {r.doc_id for r in result} == set(before) and packed_well(result, list(before.items()), library, 1024) <= 1.03 * total / 1024 + 1
         docs, before = spark.createDataFrame(result, rows.schema), after
+
+
+def test_classes_are_told_apart_in_one_pass_over_the_text(spark):
+    texts = ["ab C1! é\x00 #$", "", " \t\x0b\n\x0c\r\n x", "ÀÀ a|b <c>\n \x0b\n\x85 z\n\x85 z", "{~}\x7f9"]
+    docs = spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], "doc_id long, text string, lang string")
+    measured = quality_rules.measures(docs)
+    for r in measured.collect():
+        t = texts[r.doc_id]
+        n = {"upper": "[A-Z]", "digit": "[0-9]", "punct": r"[!-/:-@\[-`{-~]", "wide": r"[^\x00-\x7F]", "n_symbols": r"[#*$%&|<>]", "space": r"[\x20\x09-\x0D]"}
+        assert all(r[c] == len(re.findall(p, t)) for c, p in n.items())
+        lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        assert r.n_dup_lines == len(lines) - len(set(lines)) and r.lower == len(t) - sum(r[c] for c in n if c != "n_symbols")
+    assert len(re.findall(r"regexp_replace\(text#", measured._jdf.queryExecution().optimizedPlan().toString())) == 1
