@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from peakflow.functions.columns import safe_div
 from peakflow.functions.joins import null_safe_join, sized
+from peakflow.sources.staging import stage
 
 
 def rsd_by_group(df: DataFrame, keys: list[str], value: str, name: str = "rsd") -> DataFrame:
@@ -76,15 +77,19 @@ def median_min_max(
 
     One map-side pass takes the ranges and brackets the middle of every group with a mergeable
     quantile sketch; a second pass counts exactly inside the bracket. A group whose bracket misses is
-    done over its full range. Groups without any value have NULLs."""
+    done over its full range. Groups without any value have NULLs.
+
+    The sketch is written: joined back to the rows it was made of, a cached one is not recognised, so it would be
+    made again in every pass, and at an unknown size the rows would be shuffled whole."""
     by = [*keys, "_metric"]
     long = df.unpivot(keys, columns, "_metric", "_value")
     margin = 2.0 / accuracy
-    stats = sized(
+    stats = stage(
         long.groupBy(*by).agg(
             F.count("_value").alias("_n"), F.min("_value").alias("_min"), F.max("_value").alias("_max"),
             F.percentile_approx("_value", [0.5 - margin, 0.5 + margin], accuracy).alias("_b"),
-        ).select(*by, "_n", "_min", "_max", F.col("_b")[0].alias("_low"), F.col("_b")[1].alias("_high"))
+        ).select(*by, "_n", "_min", "_max", F.col("_b")[0].alias("_low"), F.col("_b")[1].alias("_high")),
+        "ranges",
     )
     values = long.filter(F.col("_value").isNotNull())
     bounds = stats.filter(F.col("_n") > 0).select(*by, "_n", "_low", "_high")

@@ -90,3 +90,12 @@ def test_sized_tables_decide_the_join(spark):
         assert "SortMergeJoin" in plan_of(joined) and joined.count() == 100_000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_median_does_not_make_its_sketch_again(spark):
+    """A cached sketch was not recognised in the passes over the rows it came from."""
+    rows = spark.range(1000).select((F.col("id") % 7).cast("string").alias("k"), F.col("id").cast("double").alias("a"))
+    more = J.null_safe_join(rows, J.sized(rows.groupBy("k").agg(F.max("a").alias("b"))), ["k"])
+    result = S.median_min_max(more, ["k"], ["a", "b"])
+    assert by(result, "k")["0"]["a_med"] == 497.0
+    assert "percentile_approx" not in plan_of(result) and "approx_percentile" not in plan_of(result)
