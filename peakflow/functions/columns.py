@@ -15,6 +15,9 @@ STANDARD_ANY_CASE = "(?i)Std"
 BLANK_ANY_CASE = "(?i)Blk"
 BLANK_OR_STANDARD = "Blk|Std"
 
+#: The tokens of that pattern, for a plain search.
+_BLANK_OR_STANDARD = BLANK_OR_STANDARD.split("|")
+
 #: Text that counts as a number; anything else becomes NULL (infinities and NaN included).
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
@@ -50,8 +53,19 @@ def trim_whitespace(c: Column | str) -> Column:
 
 
 def run_type(replicate: Column | str) -> Column:
-    """Lower-cased first token between two underscores; NULL without one."""
-    return F.lower(F.regexp_substr(col(replicate), F.lit(RUN_TYPE)))
+    """Lower-cased first token between two underscores; NULL without one.
+
+    The pattern is asked only where the second of at least three parts is empty or there are fewer."""
+    name = col(replicate)
+    two = F.substring_index(name, "_", 2)
+    second = F.substring_index(two, "_", -1)
+    return F.lower(F.when((two != name) & (second != ""), second).otherwise(F.regexp_substr(name, F.lit(RUN_TYPE))))
+
+
+def is_blank_or_standard(replicate: Column | str) -> Column:
+    """The same rows as `rlike(BLANK_OR_STANDARD)`, without a regular expression."""
+    blank, standard = (col(replicate).contains(token) for token in _BLANK_OR_STANDARD)
+    return blank | standard
 
 
 def replicate_part(replicate: Column | str, index: int) -> Column:
@@ -73,7 +87,8 @@ def join_parts(*parts: Column | str) -> Column:
 
 def fix_replicate_dash(replicate: Column | str) -> Column:
     """The first dash becomes a dot."""
-    return F.regexp_replace(col(replicate), r"^([^-]*)-", "$1.")
+    name = col(replicate)
+    return F.when(name.contains("-"), F.regexp_replace(name, r"^([^-]*)-", "$1.")).otherwise(name)
 
 
 def flag(condition: Column, label: str) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from peakflow.functions.columns import (
-    BLANK_OR_STANDARD, fix_replicate_dash, parse_replicate, replicate_part, safe_div, trim_whitespace,
+    fix_replicate_dash, is_blank_or_standard, parse_replicate, replicate_part, safe_div, trim_whitespace,
 )
 from peakflow.functions.joins import missing_of, null_safe_join, sized
 from peakflow.functions.stats import weighted_rsd
@@ -37,7 +37,7 @@ def internal_standards(
 
 def bmis_input(qc: DataFrame) -> DataFrame:
     """Quality-controlled rows of samples and pools, with the first dash of a replicate name fixed."""
-    return qc.filter(~F.col("replicate_name").rlike(BLANK_OR_STANDARD)).withColumn(
+    return qc.filter(~is_blank_or_standard("replicate_name")).withColumn(
         "replicate_name", fix_replicate_dash("replicate_name")
     )
 
@@ -141,17 +141,22 @@ def is_means(data: DataFrame, standards: DataFrame, mode: str = REFERENCE) -> Da
     """Mean area of every internal standard over all runs.
 
     Reference: the pseudo-standard counts once per row of a replicate, so its mean is that of the
-    rows and one pass over the table gives all means."""
+    rows and one pass over the table gives all means. No row is doubled for it: sums of volumes are taken
+    beside those of areas, and only these few sums are told apart."""
     if is_corrected(mode):
         areas = standard_areas(data, standards, mode)
-    else:
-        rows = _with_standard_flag(data, standards)
-        own = F.when(F.col("_is_standard"), F.struct(F.col("metabolite_name"), F.col("area_with_qc")))
-        volume = F.struct(F.lit(INJECTION_VOLUME).alias("metabolite_name"), _volume().alias("area_with_qc"))
-        areas = rows.select(F.explode(F.array(own, volume)).alias("_a")).filter(F.col("_a").isNotNull()).select(
-            F.col("_a.metabolite_name").alias("mass_feature"), "_a.area_with_qc"
-        )
-    return areas.groupBy("mass_feature").agg(F.avg("area_with_qc").alias("average_area"))
+        return areas.groupBy("mass_feature").agg(F.avg("area_with_qc").alias("average_area"))
+    rows = _with_standard_flag(data, standards)
+    own = F.coalesce("_is_standard", F.lit(False))
+    sums = rows.groupBy(own.alias("_own"), F.when(own, F.col("metabolite_name")).alias("_name")).agg(
+        F.sum("area_with_qc").alias("_area"), F.count("area_with_qc").alias("_n"),
+        F.sum(_volume()).alias("_volume"), F.count(F.lit(1)).alias("_rows"),
+    )
+    standard = F.when(F.col("_own"), F.struct(F.col("_name").alias("name"), F.col("_area").alias("sum"), F.col("_n").alias("n")))
+    volume = F.struct(F.lit(INJECTION_VOLUME).alias("name"), F.col("_volume").alias("sum"), F.col("_rows").alias("n"))
+    each = sums.select(F.explode(F.array(standard, volume)).alias("_a")).filter(F.col("_a").isNotNull())
+    return each.groupBy(F.col("_a.name").alias("mass_feature")).agg(
+        safe_div(F.sum("_a.sum"), F.sum("_a.n")).alias("average_area"))
 
 
 def is_pool(replicate: str = "replicate_name"):

@@ -117,3 +117,14 @@ def test_strict_and_open_extremes(spark):
 def test_unknown_mode_is_an_error():
     with pytest.raises(ValueError):
         is_corrected("other")
+
+
+def test_names_read_without_patterns_equal_the_patterns(spark):
+    names = ["a_Smp_b", "a__Poo_b", "a_b", "_x_", "__", "a_B_", "x", "", None, "a_Std-1_b", "a-b_Blk_-c", "_-_", "é_Ü_x", "blk_StdBlk"]
+    rows = spark.createDataFrame([(n,) for n in names], "n string")
+    got = rows.select(
+        C.run_type("n").alias("a"), F.lower(F.regexp_substr("n", F.lit(C.RUN_TYPE))).alias("b"),
+        C.fix_replicate_dash("n").alias("c"), F.regexp_replace("n", "^([^-]*)-", "$1.").alias("d"),
+        C.is_blank_or_standard("n").alias("e"), F.col("n").rlike(C.BLANK_OR_STANDARD).alias("f"),
+    ).collect()
+    assert all(r.a == r.b and r.c == r.d and r.e == r.f for r in got)
