@@ -7,7 +7,7 @@ those of all training documents. Every word has its own counts as a context and
 probabilities of all words after a context sum to one, with the mass of an unseen word kept by the add-one estimate.
 
 Texts are packed into slices of a few megabytes first, a written table with one row per slice. Each slice asks for its
-different words and bigrams: it sends their hashes with their counts of its own, in order, to parts whose number follows
+different words and bigrams: it sends their hashes with their counts of its own, in order, to parts (ranges of the hashes) whose number follows
 the size of the corpus. So a bigram that makes up a third of all tokens is one entry per slice. A part adds the counts up and
 answers every slice with whole counts in the order it was asked, which needs no names: texts and answers meet on the slice, and
 there every token finds the counts of its word and its bigram; those of its context are its predecessor's. That
@@ -36,6 +36,9 @@ from peakflow.sources.staging import stage
 
 SLICE_BYTES = 8 << 20  # text of a slice
 PART_BYTES = 16 << 20  # text whose words and bigrams one part counts, about
+HASH_BYTES = 512 << 10  # text hashed at a time
+BATCH_KEYS = 1 << 18  # keys of a batch of questions, about
+PIECE_TOKENS = 1 << 18  # tokens scored at a time, about
 DELETED = 10  # one training document in so many is deleted from the counts while weights are learned
 _END_HASH = np.uint64(0x45AC1F0D9A3B7C11)
 _START_HASH = np.uint64(0x1F83D9ABFB41BD6B)
@@ -67,15 +70,21 @@ def _narrow(n: np.ndarray) -> np.ndarray:
 
 
 def _wide(raw: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(raw, f"u{len(raw) // n}").astype(np.int64) if n else np.empty(0, np.int64)
+    """Those counts again, in the type they were written in."""
+    return np.frombuffer(raw, f"u{len(raw) // n}") if n else np.empty(0, np.uint8)
+
+
+def _joined(counts: list[np.ndarray]) -> np.ndarray:
+    """One array of all of them, in the widest of their types."""
+    return np.concatenate([np.empty(0, np.uint8), *counts])
 
 
 def _tokens(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """Token hashes of all texts, each followed by the end token, and the offsets of the texts.
 
-    Hashing takes much more memory than its text, so it goes piece by piece."""
+    Hashing takes much more memory than its text, so it goes by small pieces."""
     tokens, sizes = [], []
-    for piece in X.slices([part]):
+    for piece in X.slices([part], limit=HASH_BYTES):
         words = X.words_of(piece.column("text"), lower=True)
         first = words.first + np.arange(len(words.first))
         own = np.full(first[-1], _END_HASH, np.uint64)
@@ -87,39 +96,60 @@ def _tokens(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class _Asked:
-    """Different hashes of a slice, in order of part and hash, and the place of every token's among them."""
+    """Different hashes of a slice, in order, and the place of every token's among them.
+
+    Parts are equal ranges of the hashes, so this is the order of the parts too."""
 
     keys: np.ndarray
-    part: np.ndarray
+    parts: int
     place: np.ndarray
     kept: np.ndarray
     deleted: np.ndarray
 
     @property
-    def cuts(self) -> np.ndarray:
-        """Where the keys of each part begin, and their number."""
-        return np.append(np.flatnonzero(np.append(True, self.part[1:] != self.part[:-1])), len(self.part))
+    def spans(self) -> list[tuple[int, int, int]]:
+        """Every part that has keys, where they begin and where they end."""
+        part = (self.keys >> np.uint64(32)) * np.uint64(self.parts) >> np.uint64(32)
+        cuts = np.flatnonzero(np.diff(part)) + 1
+        begins = np.append(0, cuts)
+        return list(zip(part[begins].tolist(), begins.tolist(), [*cuts.tolist(), len(part)], strict=True))
+
+
+def _grouped(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of the hashes, where each different one begins in it, and the number of every hash's among these."""
+    order = np.argsort(hashes)
+    new = np.ones(len(order), bool)
+    ranked = hashes[order]
+    np.not_equal(ranked[1:], ranked[:-1], out=new[1:])
+    del ranked
+    small = np.min_scalar_type(len(order))
+    place = np.empty(len(order), small)
+    place[order] = np.cumsum(new, dtype=small) - small.type(1)
+    return order, np.flatnonzero(new), place
 
 
 def _asked(hashes: np.ndarray, role: np.ndarray, parts: int) -> _Asked:
-    keys, where = np.unique(hashes, return_inverse=True)
-    part = (keys % np.uint64(parts)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    back = np.empty(len(order), np.int64)
-    back[order] = np.arange(len(order))
-    place = back[where]
-    kept, deleted = (np.bincount(place[role == r], minlength=len(keys)) for r in (_KEPT, _DELETED))
-    return _Asked(keys[order], part[order], place, kept, deleted)
-
-
-def _words_and_pairs(batch: pa.RecordBatch, parts: int) -> tuple[_Asked, _Asked, np.ndarray, np.ndarray]:
-    """What a slice asks, the offsets of its texts, and the role of every token."""
-    tokens, first = _tokens(batch)
-    role = np.repeat(batch.column("role").to_numpy(), np.diff(first))
+    order, begins, place = _grouped(hashes)
+    role, keys = role[order], hashes[order[begins]]
+    del order
+    kept, deleted = (np.add.reduceat(role == r, begins, dtype=np.min_scalar_type(len(role))) for r in (_KEPT, _DELETED))
+    return _Asked(keys, parts, place, kept, deleted)
+
+
+def _paired(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Hash of every token and the one before."""
     before = np.empty_like(tokens)
     before[1:] = tokens[:-1]
     before[first[:-1]] = _START_HASH
-    return _asked(tokens, role, parts), _asked(X.mix(before * _PAIR + tokens), role, parts), first, role
+    before *= _PAIR
+    before += tokens
+    return X.mix(before)
+
+
+def _tokens_and_roles(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of a slice, the offsets of its texts, and the role of every token."""
+    tokens, first = _tokens(batch)
+    return tokens, first, np.repeat(batch.column("role").to_numpy(), np.diff(first))
 
 
 def _sliced(docs: DataFrame, held_out: Column) -> DataFrame:
@@ -144,40 +174,49 @@ def _answers(slices: DataFrame, parts: int) -> DataFrame:
     Bigrams are in parts from 0, words in parts below 0. Counts of kept documents go to those keys only that a deleted
     document of the slice has."""
 
+    types = {"part": pa.int64(), "slice": pa.int64(), "keys": pa.binary(), "kept": pa.binary(), "deleted": pa.binary()}
+
+    def told(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types.values(), strict=True)], names=list(types))
+
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, body in zip(batch.column("slice").to_pylist(), batch.column("body"), strict=True):
-                words, pairs, _, _ = _words_and_pairs(_unpack(body), parts)
-                rows = []
-                for asked, word in ((words, True), (pairs, False)):
-                    cuts = asked.cuts
-                    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                        part = int(asked.part[a])
+                tokens, first, role = _tokens_and_roles(_unpack(body))
+                for word in (True, False):  # one after the other, each with its own memory
+                    asked = _asked(tokens if word else _paired(tokens, first), role, parts)
+                    rows, held = [], 0
+                    for part, a, b in asked.spans:
                         rows.append((-1 - part if word else part, number, asked.keys[a:b].tobytes(),
                                      _narrow(asked.kept[a:b]).tobytes(), _narrow(asked.deleted[a:b]).tobytes()))
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), *[pa.binary()] * 3), strict=True)],
-                                      names=["part", "slice", "keys", "kept", "deleted"])
+                        held += b - a
+                        if held >= BATCH_KEYS:
+                            yield told(rows)
+                            rows, held = [], 0
+                    if rows:
+                        yield told(rows)
+                    del asked, rows
 
     def answer(table: pa.Table) -> pa.Table:
-        part = table.column("part")[0].as_py()
-        raw = table.column("keys").to_pylist()
-        sizes = [len(k) // 8 for k in raw]
-        kept, deleted = (np.concatenate([_wide(r, n) for r, n in zip(table.column(c).to_pylist(), sizes, strict=True)]) for c in ("kept", "deleted"))
-        keys, at = np.unique(np.frombuffer(b"".join(raw), np.uint64), return_inverse=True)
-        all_kept = np.bincount(at, kept, len(keys)).astype(np.int64)
-        whole = all_kept + np.bincount(at, deleted, len(keys)).astype(np.int64)
-        cuts = np.cumsum([0, *sizes])
+        part, number = table.column("part")[0].as_py(), table.column("slice").to_pylist()
+        keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint64)
+        cuts = np.cumsum([0, *(len(k.as_buffer()) // 8 for k in table.column("keys"))])
         spans = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        told = [_narrow(whole[at[s]]).tobytes() for s in spans]
-        learned = [_narrow(all_kept[at[s][deleted[s] > 0]]).tobytes() for s in spans]
-        number = table.column("slice").to_pylist()
+        kept, deleted = (_joined([_wide(r.as_py(), s.stop - s.start) for r, s in zip(table.column(c), spans, strict=True)]) for c in ("kept", "deleted"))
+        order, begins, at = _grouped(keys)
+        mine = deleted > 0
+        all_kept = np.add.reduceat(kept[order], begins, dtype=np.int64)
+        whole = np.add.reduceat(deleted[order], begins, dtype=np.int64) + all_kept
+        del keys, kept, deleted, order, begins
         sums = [int(x) for x in (whole.sum(), (whole > 0).sum(), all_kept.sum(), (all_kept > 0).sum())]
+        counts = [_narrow(whole[at[s]]).tobytes() for s in spans]
+        learned = [_narrow(all_kept[at[s][mine[s]]]).tobytes() for s in spans]
         own = [None] * len(number)
-        rows = [number, [part] * len(number), told, learned, *[own] * 4]
+        rows = [number, [part] * len(number), counts, learned, *[own] * 4]
         if part < 0:
             rows = [[*c, x] for c, x in zip(rows, (None, part, None, None, *sums), strict=True)]
-        types = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), *[pa.int64()] * 4)
-        return pa.table([pa.array(c, t) for c, t in zip(rows, types, strict=True)],
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), *[pa.int64()] * 4)
+        return pa.table([pa.array(c, t) for c, t in zip(rows, kinds, strict=True)],
                         names=["slice", "part", "whole", "kept", "n", "different", "n_kept", "different_kept"])
 
     return stage(slices.mapInArrow(ask, _ASKED).groupBy("part").applyInArrow(answer, _ANSWERS), "answers")
@@ -195,29 +234,32 @@ def _counted(slices: DataFrame, answers: DataFrame, parts: int, kept_norm: float
     """Of every slice its documents, the whole counts of each token's word and bigram, and the histogram of its deleted
     documents by the counts of the kept ones."""
 
-    def filled(asked: _Asked, told: dict) -> tuple[np.ndarray, np.ndarray]:
-        whole, kept = np.zeros(len(asked.keys), np.int64), np.zeros(len(asked.keys), np.int64)
-        cuts = asked.cuts
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            w, k = told[int(asked.part[a])]
-            whole[a:b] = _wide(w, b - a)
-            mine = np.flatnonzero(asked.deleted[a:b]) + a
-            kept[mine] = _wide(k, len(mine))
-        return whole[asked.place], kept[asked.place]
+    def filled(hashes: np.ndarray, role: np.ndarray, told: dict) -> tuple[np.ndarray, np.ndarray]:
+        asked = _asked(hashes, role, parts)
+        whole, kept = [], []
+        for part, a, b in asked.spans:
+            w, k = told[part]
+            whole.append(_wide(w, b - a))
+            mine = np.flatnonzero(asked.deleted[a:b])
+            counts = _wide(k, len(mine))
+            kept.append(np.zeros(b - a, counts.dtype))
+            kept[-1][mine] = counts
+        return _joined(whole)[asked.place], _joined(kept)[asked.place]
 
     def meet(own: pa.Table, told: pa.Table) -> pa.Table:
         batch = _unpack(own.column("body")[0])
-        words, pairs, first, role = _words_and_pairs(batch, parts)
+        tokens, first, role = _tokens_and_roles(batch)
         answer = dict(zip(told.column("part").to_pylist(), zip(told.column("whole").to_pylist(), told.column("kept").to_pylist(), strict=True), strict=True))
-        word, word_kept = filled(words, {-1 - p: x for p, x in answer.items() if p < 0})
-        pair, pair_kept = filled(pairs, {p: x for p, x in answer.items() if p >= 0})
+        word, word_kept = filled(tokens, role, {-1 - p: x for p, x in answer.items() if p < 0})
+        pair, pair_kept = filled(_paired(tokens, first), role, {p: x for p, x in answer.items() if p >= 0})
+        del tokens
         # every text ends with the end token, which has a kept count if the slice has deleted documents
         ends = first[1:] - 1
         gone = ends[role[ends] == _DELETED]
         context = shifted(word_kept, first)
         context[first[:-1]] = word_kept[gone[0]] if len(gone) else 0
         mine = role == _DELETED
-        cell, times = _cells(pair_kept[mine], context[mine], (word_kept[mine] + 1) / kept_norm)
+        cell, times = _cells(*(x[mine].astype(np.int64) for x in (pair_kept, context)), (word_kept[mine] + 1.0) / kept_norm)
         docs = pa.record_batch([batch.column("doc_id"), batch.column("role"), pa.array(np.diff(first))], names=["doc_id", "role", "tokens"])
         tokens = pa.record_batch([pa.array(_narrow(word)), pa.array(_narrow(pair))], names=["word", "pair"])
         return pa.table([pa.array([x], pa.binary()) for x in (_pack(docs), _pack(tokens), cell.tobytes(), times.tobytes())],
@@ -292,15 +334,19 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
         for batch in batches:
             for own, body in zip(batch.column("docs"), batch.column("tokens"), strict=True):
                 about, tokens = _unpack(own), _unpack(body)
-                n = about.column("tokens").to_numpy()
-                first = np.cumsum([0, *n])
-                word, seen = (tokens.column(c).to_numpy().astype(np.int64) for c in ("word", "pair"))
-                p = np.log10(mixed(lam, seen, shifted(word, first), word, norm))
-                base = np.add.reduceat(np.log10(word + 1.0), first[:-1]) - n * np.log10(norm)
-                yield pa.record_batch([about.column("doc_id"), pa.array(about.column("role").to_numpy() == _TEST), pa.array(n),
-                                       pa.array(np.add.reduceat((word > 0).astype(np.int64), first[:-1])), pa.array(np.full(len(n), total, np.int64)),
-                                       pa.array(base), pa.array(np.add.reduceat(p, first[:-1]))],
-                                      names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+                sizes = about.column("tokens").to_numpy()
+                upto, at = np.cumsum([0, *sizes]), 0
+                while at < len(sizes):  # documents by the piece: each ends with the end token, as the slice does
+                    end = max(at + 1, int(np.searchsorted(upto, upto[at] + PIECE_TOKENS, side="right")) - 1)
+                    n, first = sizes[at:end], upto[at:end + 1] - upto[at]
+                    word, seen = (tokens.column(c).slice(upto[at], first[-1]).to_numpy().astype(np.int64) for c in ("word", "pair"))
+                    p = np.log10(mixed(lam, seen, shifted(word, first), word, norm))
+                    base = np.add.reduceat(np.log10(word + 1.0), first[:-1]) - n * np.log10(norm)
+                    yield pa.record_batch([about.column("doc_id").slice(at, len(n)), pa.array(about.column("role").to_numpy()[at:end] == _TEST), pa.array(n),
+                                           pa.array(np.add.reduceat((word > 0).astype(np.int64), first[:-1])), pa.array(np.full(len(n), total, np.int64)),
+                                           pa.array(base), pa.array(np.add.reduceat(p, first[:-1]))],
+                                          names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+                    at = end
 
     return counted.select("docs", "tokens").mapInArrow(run, _SCORES)
 

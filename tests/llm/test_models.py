@@ -1,12 +1,16 @@
 """Language model, language identification, co-training and URL rules."""
 
+import gc
 import itertools
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,6 +96,42 @@ def test_bigram_in_every_document_and_odd_columns(spark, monkeypatch):
     assert next(r for r in got if r.doc_id == 900).score > 0.1 * next(r for r in got if r.doc_id == 900).base_score
 
 
+def test_questions_and_answers_take_little_memory(monkeypatch):
+    """Peaks of asking and of meeting the answers, as multiples of a slice's text (14.7 each before)."""
+
+    class Frame:
+        def __getattr__(self, name):
+            return lambda *args: tasks.extend(x for x in args if callable(x)) or self
+
+    tasks: list = []
+    monkeypatch.setattr(ngram_lm, "stage", lambda df, name: df)
+    rng = np.random.default_rng(5)
+    vocabulary = np.array([f"word{k}" for k in range(50_000)])
+    texts = [" ".join(vocabulary[rng.zipf(1.3, 600) % 50_000]) for _ in range(1_000)]
+    size = sum(map(len, texts))
+    batch = pa.record_batch([pa.array(range(1_000)), pa.array(np.arange(1_000) % 3, pa.int8()), pa.array(texts)], names=["doc_id", "role", "text"])
+    body = pa.record_batch([pa.array([7]), pa.array([ngram_lm._pack(batch)], pa.binary())], names=["slice", "body"])
+
+    def peak(work):
+        gc.collect()
+        tracemalloc.start()
+        try:
+            out = work()
+            return out, tracemalloc.get_traced_memory()[1] / size
+        finally:
+            tracemalloc.stop()
+
+    frame = Frame()
+    ngram_lm._answers(frame, 2)
+    ngram_lm._counted(frame, frame, 2, 1e6)
+    ask, answer, meet = tasks
+    asked, asking = peak(lambda: pa.Table.from_batches(ask(iter([body]))))
+    told = pa.concat_tables([answer(asked.filter(pc.equal(asked.column("part"), part))) for part in pc.unique(asked.column("part"))])
+    counted, meeting = peak(lambda: meet(pa.Table.from_batches([body]), told.filter(pc.is_valid(told.column("slice")))))
+    assert counted.num_rows == 1
+    assert asking < 8 and meeting < 9
+
+
 def test_model_beats_base_on_held_out(spark):
     got = ngram_lm.op4_deleted_interpolation(spark, SF).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert got[0] > 0.95 * got[1]
