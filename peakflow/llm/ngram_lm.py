@@ -37,6 +37,7 @@ from peakflow.sources.staging import stage
 SLICE_BYTES = 8 << 20  # text of a slice
 PART_BYTES = 16 << 20  # text whose words and bigrams one part counts, about
 HASH_BYTES = 512 << 10  # text hashed at a time
+BATCH_BYTES = 2 << 20  # packed slices, questions and answers handed to Python at a time, about
 BATCH_KEYS = 1 << 18  # keys of a batch of questions, about
 PIECE_TOKENS = 1 << 18  # tokens scored at a time, about
 DELETED = 10  # one training document in so many is deleted from the counts while weights are learned
@@ -165,7 +166,7 @@ def _sliced(docs: DataFrame, held_out: Column) -> DataFrame:
             number += 1
 
     rows = docs.select(F.col("doc_id").cast("long"), role.cast("byte").alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    return stage(rows.mapInArrow(run, _SLICES), "slices")
+    return stage(rows.mapInArrow(run, _SLICES), "slices", SLICE_BYTES)
 
 
 def _answers(slices: DataFrame, parts: int) -> DataFrame:
@@ -219,7 +220,7 @@ def _answers(slices: DataFrame, parts: int) -> DataFrame:
         return pa.table([pa.array(c, t) for c, t in zip(rows, kinds, strict=True)],
                         names=["slice", "part", "whole", "kept", "n", "different", "n_kept", "different_kept"])
 
-    return stage(slices.mapInArrow(ask, _ASKED).groupBy("part").applyInArrow(answer, _ANSWERS), "answers")
+    return stage(slices.mapInArrow(ask, _ASKED).groupBy("part").applyInArrow(answer, _ANSWERS), "answers", BATCH_BYTES)
 
 
 def shifted(counts: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -266,7 +267,7 @@ def _counted(slices: DataFrame, answers: DataFrame, parts: int, kept_norm: float
                         names=["docs", "tokens", "cells", "times"])
 
     asked = answers.where("slice is not null").select("slice", "part", "whole", "kept")
-    return stage(slices.groupBy("slice").cogroup(asked.groupBy("slice")).applyInArrow(meet, _COUNTED), "counted")
+    return stage(slices.groupBy("slice").cogroup(asked.groupBy("slice")).applyInArrow(meet, _COUNTED), "counted", BATCH_BYTES)
 
 
 def bucket(contexts: np.ndarray) -> np.ndarray:

@@ -104,7 +104,7 @@ def test_questions_and_answers_take_little_memory(monkeypatch):
             return lambda *args: tasks.extend(x for x in args if callable(x)) or self
 
     tasks: list = []
-    monkeypatch.setattr(ngram_lm, "stage", lambda df, name: df)
+    monkeypatch.setattr(ngram_lm, "stage", lambda df, *args: df)
     rng = np.random.default_rng(5)
     vocabulary = np.array([f"word{k}" for k in range(50_000)])
     texts = [" ".join(vocabulary[rng.zipf(1.3, 600) % 50_000]) for _ in range(1_000)]
@@ -132,6 +132,23 @@ def test_questions_and_answers_take_little_memory(monkeypatch):
     assert asking < 8 and meeting < 9
 
 
+def test_slices_come_in_batches_of_bounded_bytes(spark, monkeypatch):
+    """Rows of long texts make no large Arrow batch, and the session keeps its setting."""
+    key, seen, real = "spark.sql.execution.arrow.maxBytesPerBatch", spark.sparkContext.accumulator(0), ngram_lm.X.slices
+    before = spark.conf.get(key, None)
+
+    def slices(batches, **named):
+        for batch in batches:
+            seen.add(int(batch.nbytes > 80_000))
+            yield from real(iter([batch]), **named)
+
+    monkeypatch.setattr(ngram_lm.X, "slices", slices)
+    monkeypatch.setattr(ngram_lm, "SLICE_BYTES", 50_000)
+    docs = spark.range(0, 400, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("a bc "), 500).alias("text"))
+    assert ngram_lm._sliced(docs, F.lit(False)).count() > 15
+    assert seen.value == 0 and spark.conf.get(key, None) == before
+
+
 def test_model_beats_base_on_held_out(spark):
     got = ngram_lm.op4_deleted_interpolation(spark, SF).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert got[0] > 0.95 * got[1]
