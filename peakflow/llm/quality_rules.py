@@ -27,6 +27,7 @@ CHAR_LIMIT, CHAR_GUARD = 0.32, 200  # distance, characters
 WORD_LIMIT, WORD_GUARD = 0.40, 100  # distance, words
 REFERENCE_WORDS = 1_000  # words of a language below which it is no reference
 BROADCAST_ROWS = 100_000
+LONG = 32  # bytes from which common words are looked up together
 SPACES = r"[\x20\x09-\x0D]+"
 # character classes, besides white space and what none of them matches (mostly small letters); none of them has a character of _PLAIN
 _PLAIN = r"[a-z\x20\x09-\x0D]+"
@@ -56,7 +57,10 @@ def _repeated(docs: DataFrame, size: int) -> DataFrame:
     hashed, width = docs.withColumn("_h1", F.transform("w", lambda x: F.xxhash64(x))), 1
     while width < size:  # hashes of windows twice as wide from pairs that adjoin or overlap
         step = min(width, size - width)
-        hashed = hashed.withColumn(f"_h{width + step}", _joined_hashes(f"_h{width}", step))
+        wider = _joined_hashes(f"_h{width}", step)
+        if width + step == size:  # a window found twice begins with a narrower one found twice
+            wider = F.when(F.size(F.array_distinct(f"_h{width}")) < F.size(f"_h{width}"), wider)
+        hashed = hashed.withColumn(f"_h{width + step}", wider)
         width += step
     hashed = hashed.withColumn("_h", F.when(n > 0, F.slice(f"_h{size}", F.lit(1), n)))
     twice = hashed.withColumn("_s", F.when(F.size(F.array_distinct("_h")) < F.size("_h"), F.sort_array(
@@ -109,6 +113,15 @@ def common_words(docs: DataFrame, common: int = COMMON) -> DataFrame:
     return ranked.where(F.col("rank") <= common)
 
 
+def _length(word: Column) -> Column:
+    return F.least(F.octet_length(word), F.lit(LONG))
+
+
+def _rank(same: Column, word: Column) -> Column:
+    """Rank of a word among the common words of its length, null if it is none of them."""
+    return F.get(same["rank"], F.array_position(same["word"], word) - 1)
+
+
 def _word_distances(docs: DataFrame, reference: DataFrame) -> DataFrame:
     """doc_id, text_hash, lang and word_distance of every row whose language has a reference.
 
@@ -116,7 +129,7 @@ def _word_distances(docs: DataFrame, reference: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.coalesce("lang", F.lit("")).alias("lang"), _words(text).alias("w"))
     rows = rows.join(reference, "lang").where("size(w) > 0")
-    ranks = F.transform("w", lambda x: F.when(F.octet_length(x) <= F.col("longest"), F.array_position("common", x)))
+    ranks = F.transform("w", lambda x: _rank(F.get("common", _length(x)), x))
     rows = rows.withColumn("n", F.size("w")).withColumn("_s", F.sort_array(F.filter(ranks, lambda r: r > 0)))
     ends = F.filter(F.transform("_s", lambda r, i: F.struct(r.cast("int").alias("r"), (i + 1).alias("upto"), (~r.eqNullSafe(F.get("_s", i + 1))).alias("last"))), lambda e: e["last"])
     rows = rows.withColumn("_e", ends)
@@ -139,14 +152,14 @@ def divergence(docs: DataFrame) -> DataFrame:
     totals = base.groupBy("lang").agg(*(F.sum(c).alias(f"ref_{c}") for c in rows)).where(F.col("ref_n_words") >= REFERENCE_WORDS)
     top = stage(common_words(docs), "common")
     small = top.count() <= BROADCAST_ROWS
-    # each language's words, their shares and longest length in one row of bounded size
+    # each language's words, dealt out by their length, and their shares in one row of bounded size
     listed = F.sort_array(F.collect_list(F.struct("rank", "word", "n")))
+    dealt = F.transform(F.sequence(F.lit(0), F.lit(LONG)), lambda k: F.filter("_l", lambda x: _length(x["word"]) == k))
     words_of = top.groupBy("lang").agg(listed.alias("_l")).select(
-        "lang", F.col("_l.word").alias("common"), F.col("_l.n").alias("common_n"),
-        F.array_max(F.transform("_l.word", lambda x: F.octet_length(x))).alias("longest"))
+        "lang", F.transform(dealt, lambda x: F.struct(x["rank"].alias("rank"), x["word"].alias("word"))).alias("common"), F.col("_l.n").alias("common_n"))
     reference = stage(totals.join(words_of, "lang"), "reference")
     reference = F.broadcast(reference) if small else reference
-    words = _word_distances(docs, reference.select("lang", "common", "common_n", "longest", "ref_n_words"))
+    words = _word_distances(docs, reference.select("lang", "common", "common_n", "ref_n_words"))
     chars = [(F.col(c) / F.col("n_chars"), F.col(f"ref_{c}") / F.col("ref_n_chars")) for c in CHARS]
     measured = base.join(reference.select("lang", *(f"ref_{c}" for c in rows)), "lang", "left").withColumn(
         "char_distance", F.when((F.col("n_chars") > 0) & F.col("ref_n_chars").isNotNull(), _distance(chars))).select(*base.columns, "char_distance")

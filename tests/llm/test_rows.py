@@ -100,6 +100,17 @@ def test_quality_base_and_distances(spark):
             assert r.word_distance is None and r.char_distance is None
 
 
+def test_quality_looks_only_where_it_must(spark):
+    """Words are looked up among those of their length; 8-word windows are hashed where 4-word windows repeat."""
+    same = F.struct(F.array(F.lit(3), F.lit(5)).alias("rank"), F.array(F.lit("bb"), F.lit("cc")).alias("word"))
+    row = spark.range(1).select(*(quality_rules._rank(same, F.lit(w)) for w in ("bb", "cc", "dd")), *(quality_rules._length(F.lit(w)) for w in ("bb", "x" * 90))).first()
+    assert tuple(row) == (3, 5, None, 2, quality_rules.LONG)
+    docs = spark.createDataFrame([(["a"] * 9,), (list("abcdxabcdy"),), (list("abcdefgh") * 2,)], "w array<string>")
+    got = quality_rules._repeated(docs, 8)
+    assert sorted(r.n_repeat_words for r in got.collect()) == [0, 9, 16]
+    assert "array_distinct(_h4" in got._jdf.queryExecution().analyzed().toString()
+
+
 def test_quality_keeps_columns_and_rejects_far_texts(spark):
     prose = " ".join(f"the word{k} of a thing" for k in range(200))
     rows = [(k, prose + f" end{k}", "en", k) for k in range(30)] + [(40, " ".join(f"QQ{k}!!" for k in range(400)), "en", 1), (41, None, "en", 2), (None, prose + " x", None, 3)]
