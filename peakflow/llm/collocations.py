@@ -34,6 +34,11 @@ INSIDE = 50  # hundredths of its occurrences from which a longer phrase stands f
 TOP = 2000
 _BLOCK = 1 << 20  # words of a block, about; a longer text is one block
 _SLICE = 1 << 20  # words of the corpus for each slice of a stream
+_WORD_BYTES = 16  # bytes of different words that count as one word of a block, so that very long words fill it too
+_LISTED, _RUN = 1 << 13, 1 << 15  # different words and places in a row of a block
+_BATCH_BYTES = 2 << 20  # texts, rows of blocks and stretches handed to Python at a time, about
+_OUT_BYTES, _OUT_ROWS = 1 << 20, 1 << 16  # stretches and counts handed back at a time
+_READ_ROWS = 16  # rows of blocks, or texts, that a task reads at a time
 _BLANK, _BREAK = (0x20, 0x09), (*b".,;:!?", *range(0x0A, 0x0E))  # fixed values
 _KIND = np.zeros(256, np.uint8)
 _KIND[list(_BLANK)], _KIND[list(_BREAK)] = 1, 2
@@ -52,32 +57,38 @@ def pieces_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return X.lowered(data), starts, ends, piece
 
 
+def _one(values: pa.Array) -> pa.ListArray:
+    """A list column of one row."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
 def _blocks(docs: DataFrame) -> DataFrame:
     """Texts of one language as numbers: different words with their counts, and `tokens`, the place of each word among
-    them, with -1 between pieces."""
+    them, with -1 between pieces. A block is several short rows, numbered by `part`: the executors hold few of them at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
         size: dict[str, int] = {}
 
-        def block(lang: str) -> pa.RecordBatch:
-            known: dict[bytes, int] = {}
-            words: list[bytes] = []
-            flat = []
-            for own, tokens in held.pop(lang):
-                at = np.empty(len(own) + 1, np.int64)
-                for k, word in enumerate(own):
-                    at[k] = known.setdefault(word, len(words))
-                    if at[k] == len(words):
-                        words.append(word)
-                at[-1] = -1
-                flat.append(at[tokens])
+        def block(lang: str) -> Iterator[pa.RecordBatch]:
+            own, lengths, placed = zip(*held.pop(lang), strict=True)
             del size[lang]
+            data, ends = np.concatenate(own), np.cumsum(np.concatenate(lengths))
+            starts = ends - np.concatenate(lengths)
+            where, like = X.distinct_spans(data, starts, ends)
+            at, flat = 0, []
+            for n, tokens in zip(map(len, lengths), placed, strict=True):
+                flat.append(np.append(like[at:at + n], -1).astype(np.int32)[tokens])
+                at += n
             tokens = np.concatenate(flat)
-            counts = np.bincount(tokens[tokens >= 0], minlength=len(words))
-            return pa.record_batch([pa.array([uuid.uuid4().int >> 65]), pa.array([lang]), pa.array([words], pa.list_(pa.binary())),
-                                    pa.array([counts], pa.list_(pa.int64())), pa.array([tokens.astype(np.int32)], pa.list_(pa.int32()))],
-                                   names=["block", "lang", "words", "counts", "tokens"])
+            counts = np.bincount(tokens[tokens >= 0], minlength=len(where))
+            starts, sizes, number = starts[where], (ends - starts)[where], uuid.uuid4().int >> 65
+            for k in range(max(-(-len(where) // _LISTED), -(-len(tokens) // _RUN))):
+                some, run = slice(k * _LISTED, (k + 1) * _LISTED), tokens[k * _RUN:(k + 1) * _RUN]
+                offsets = np.append(0, np.cumsum(sizes[some])).astype(np.int32)
+                words = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data[X.ragged(starts[some], sizes[some])])])
+                yield pa.record_batch([pa.array([number]), pa.array([lang]), pa.array([k], pa.int32()), _one(words), _one(pa.array(counts[some])), _one(pa.array(run))],
+                                      names=["block", "lang", "part", "words", "counts", "tokens"])
 
         for part in X.slices(batches):
             langs = part.column("lang").dictionary_encode()
@@ -87,26 +98,26 @@ def _blocks(docs: DataFrame) -> DataFrame:
                 if not len(starts):
                     continue
                 where, inverse = X.distinct_spans(data, starts, ends)
-                raw = data.tobytes()
-                own = [raw[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)]
+                lengths = (ends - starts)[where]
+                own = data[X.ragged(starts[where], lengths)]
                 last = np.append(np.flatnonzero(piece[1:] != piece[:-1]), len(piece) - 1) + 1
-                tokens = np.insert(inverse, last, len(own))
-                held.setdefault(lang, []).append((own, tokens))
-                size[lang] = size.get(lang, 0) + len(tokens)
+                tokens = np.insert(inverse.astype(np.int32), last, len(lengths))
+                held.setdefault(lang, []).append((own, lengths, tokens))
+                size[lang] = size.get(lang, 0) + max(len(tokens), len(own) // _WORD_BYTES)
                 if size[lang] >= _BLOCK:
-                    yield block(lang)
+                    yield from block(lang)
         for lang in list(held):
-            yield block(lang)
+            yield from block(lang)
 
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "block long, lang string, words array<binary>, counts array<long>, tokens array<int>")
+    return rows.mapInArrow(run, "block long, lang string, part int, words array<binary>, counts array<long>, tokens array<int>")
 
 
 def _numbered(blocks: DataFrame, least: int) -> DataFrame:
     """Frequent words with their count and a number from 0, more frequent ones first: id, lang, word, f."""
     each = blocks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("e"))
     counted = each.groupBy("lang", F.col("e.words").alias("word")).agg(F.sum("e.counts").alias("f")).where(F.col("f") >= least)
-    placed = stage(counted.orderBy(F.desc("f"), "lang", "word").withColumn("at", F.monotonically_increasing_id()), "frequent")
+    placed = stage(counted.orderBy(F.desc("f"), "lang", "word").withColumn("at", F.monotonically_increasing_id()), "frequent", read_rows=_READ_ROWS)
     part = F.shiftrightunsigned("at", 33)  # sorted partitions follow each other; only their sizes reach the driver
     offset, offsets = 0, []
     for r in placed.groupBy(part.alias("part")).count().orderBy("part").collect():
@@ -114,7 +125,9 @@ def _numbered(blocks: DataFrame, least: int) -> DataFrame:
         offset += r["count"]
     if offset >= 1 << 32:
         raise ValueError("more than 2**32 frequent words")
-    begin = placed.sparkSession.createDataFrame(offsets, "part long, begin long")
+    parts, begins = zip(*offsets, strict=True) if offsets else ((), ())
+    begin = placed.sparkSession.createDataFrame(  # from rows it would start Python workers of another kind beside the others
+        pa.table({"part": pa.array(parts, pa.int64()), "begin": pa.array(begins, pa.int64())}))
     return stage(placed.withColumn("part", part).join(F.broadcast(begin), "part").select(
         (F.col("begin") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("id"), "lang", "word", "f"), "words")
 
@@ -151,13 +164,14 @@ def _streams(blocks: DataFrame, words: DataFrame, slices: int) -> DataFrame:
     def emit(order: int, number: np.ndarray, columns: list[np.ndarray], counts: np.ndarray):
         by = np.argsort(number, kind="stable")
         cuts = np.append(np.flatnonzero(np.append(True, np.diff(number[by]) != 0)), len(by))
+        columns = [c.astype(np.uint32, copy=False) for c in columns]
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             rows = by[a:b]
             lead = columns[0][rows]
             yield order, int(number[rows[0]]), _planes([np.diff(lead, prepend=0), *[c[rows] for c in columns[1:]], counts[rows]])
 
     def packed(tokens: np.ndarray, places: np.ndarray, ids: np.ndarray):
-        number = np.full(int(tokens.max()) + 2, -1, np.int64)  # the last one is that of the piece ends, -1
+        number = np.full(max(int(tokens.max()), int(places.max())) + 2, -1, np.int64)  # the last one is that of the piece ends, -1
         number[places] = ids
         t = number[tokens]
         pair = np.flatnonzero((t[:-1] >= 0) & (t[1:] >= 0))
@@ -165,31 +179,41 @@ def _streams(blocks: DataFrame, words: DataFrame, slices: int) -> DataFrame:
             return
         keys = (t[pair].astype(np.uint64) << np.uint64(32)) | t[pair + 1].astype(np.uint64)
         own, inverse, counts = np.unique(keys, return_inverse=True, return_counts=True)
-        first, second = (own >> np.uint64(32)).astype(np.int64), (own & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        first, second = (own >> np.uint64(32)).astype(np.uint32), (own & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        del keys
         hashed = X.mix(own)
-        yield from emit(2, (hashed % np.uint64(slices)).astype(np.int64), [first, second], counts)
+        yield from emit(2, (hashed % np.uint64(slices)).astype(np.int32), [first, second], counts)
         triple = np.flatnonzero((pair + 2 < len(t)) & (t[np.minimum(pair + 2, len(t) - 1)] >= 0))
         if not len(triple):
             return
         keys = (inverse[triple].astype(np.uint64) << np.uint64(32)) | t[pair[triple] + 2].astype(np.uint64)
+        del inverse, pair, triple, t
         keys, counts = np.unique(keys, return_counts=True)
-        lead, third = (keys >> np.uint64(32)).astype(np.int64), keys & np.uint64(0xFFFFFFFF)
-        number = (X.mix(hashed[lead] + third) % np.uint64(slices)).astype(np.int64)
-        yield from emit(3, number, [first[lead], second[lead], third.astype(np.int64)], counts)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                values = [batch.column(c)[k].values.to_numpy() for c in ("tokens", "places", "ids")]
-                out = list(packed(*values))
-                for a in range(0, len(out), 512):
-                    order, number, raw = zip(*out[a:a + 512], strict=True)
-                    yield pa.record_batch([pa.array(order, pa.int32()), pa.array(number, pa.int64()), pa.array(raw, pa.binary())], names=["order", "slice", "raw"])
+        lead, third = (keys >> np.uint64(32)).astype(np.int32), keys & np.uint64(0xFFFFFFFF)
+        del keys
+        number = (X.mix(hashed[lead] + third) % np.uint64(slices)).astype(np.int32)
+        yield from emit(3, number, [first[lead], second[lead], third.astype(np.uint32)], counts)
+
+    def meet(texts: pa.Table, listed: pa.Table) -> pa.Table:
+        fields, out, held, size = pa.schema([("order", pa.int32()), ("slice", pa.int64()), ("raw", pa.binary())]), [], [], 0
+        if listed.num_rows:
+            parts = {k: v.values for batch in texts.to_batches() for k, v in zip(batch.column("part").to_pylist(), batch.column("tokens"), strict=True)}
+            tokens = np.concatenate([parts.pop(k).to_numpy() for k in sorted(parts)])
+            entries = listed.column("w").chunk(0)[0].values.to_numpy()
+            for stretch in packed(tokens, entries & ((1 << 31) - 1), entries >> 31):
+                held.append(stretch)
+                size += len(stretch[2])
+                if size >= _OUT_BYTES:
+                    out.append(pa.record_batch([pa.array(c, kind) for c, kind in zip(zip(*held, strict=True), fields.types, strict=True)], schema=fields))
+                    held, size = [], 0
+        if held:
+            out.append(pa.record_batch([pa.array(c, kind) for c, kind in zip(zip(*held, strict=True), fields.types, strict=True)], schema=fields))
+        return pa.Table.from_batches(out, fields)
 
-    known = blocks.select("block", "lang", F.posexplode("words").alias("place", "word")).join(words.select("lang", "word", "id"), ["lang", "word"])
-    listed = known.groupBy("block").agg(F.collect_list(F.struct("place", "id")).alias("w"))  # words of a block, bounded by its size
-    told = blocks.select("block", "tokens").join(listed, "block").select("tokens", F.col("w.place").alias("places"), F.col("w.id").alias("ids"))
-    return told.mapInArrow(run, "order int, slice long, raw binary")
+    known = blocks.select("block", "lang", "part", F.posexplode("words").alias("place", "word")).join(words.select("lang", "word", "id"), ["lang", "word"])
+    entry = F.shiftleft("id", 31).bitwiseOR(F.col("part").cast("long") * _LISTED + F.col("place"))  # ids are below 2**32
+    listed = known.groupBy("block").agg(F.collect_list(entry).alias("w")).select(F.col("block").alias("of"), "w")  # words of a block, bounded by its size
+    return blocks.select("block", "part", "tokens").groupBy("block").cogroup(listed.groupBy("of")).applyInArrow(meet, "order int, slice long, raw binary")
 
 
 def _merged(streams: DataFrame, least: int, slices: int) -> DataFrame:
@@ -201,22 +225,23 @@ def _merged(streams: DataFrame, least: int, slices: int) -> DataFrame:
         held: list[tuple] = []
         at = None
 
-        def counted():
+        def counted() -> Iterator[pa.RecordBatch]:
             pairs, thirds, f = _summed(held, at[0])
             often = f >= least
-            pairs, n = pairs[often], int(often.sum())
-            third = pa.array(thirds[often].astype(np.int64)) if at[0] == 3 else pa.nulls(n, pa.int64())
-            words = [x.astype(np.int64) for x in (pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF))]
-            return pa.record_batch([pa.array(words[0]), pa.array(words[1]), third, pa.array(f[often])], names=["w1", "w2", "w3", "f"])
+            columns = [(pairs >> np.uint64(32))[often], (pairs & np.uint64(0xFFFFFFFF))[often], thirds[often] if at[0] == 3 else None, f[often]]
+            del pairs, thirds, f
+            for a in range(0, len(columns[0]), _OUT_ROWS):
+                rows = [c if c is None else c[a:a + _OUT_ROWS].astype(np.int64) for c in columns]
+                yield pa.record_batch([pa.nulls(len(rows[0]), pa.int64()) if c is None else pa.array(c) for c in rows], names=["w1", "w2", "w3", "f"])
 
         for batch in batches:
             for order, number, raw in zip(batch.column("order").to_pylist(), batch.column("slice").to_pylist(), batch.column("raw"), strict=True):
                 if at is not None and at != (order, number):
-                    yield counted()
+                    yield from counted()
                 at = order, number
                 held.append(_entries(raw.as_buffer(), order))
         if held:
-            yield counted()
+            yield from counted()
 
     dealt = streams.repartition(2 * slices, "order", "slice").sortWithinPartitions("order", "slice")
     return dealt.mapInArrow(run, "w1 long, w2 long, w3 long, f long")
@@ -232,11 +257,12 @@ def candidates(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFram
     """Phrases of two and three words that occur `least` times or more in their language: lang, phrase, a, the
     counts l and r of their lowest-scoring cut, score, and `longer`, the highest count of a triple that holds a pair;
     and all words of each language: lang, n."""
-    blocks = stage(_blocks(docs), "blocks")
+    blocks = stage(_blocks(docs), "blocks", _BATCH_BYTES, _READ_ROWS)
     total = blocks.groupBy("lang").agg(F.sum(F.expr("aggregate(counts, 0L, (s, c) -> s + c)")).alias("n"))
+    total = stage(total, "totals", read_rows=_READ_ROWS)
     words = _numbered(blocks, least)
     slices = 1 + (total.agg(F.sum("n")).first()[0] or 0) // _SLICE
-    ngrams = stage(_merged(_streams(blocks, words, slices), least, slices), "ngrams")
+    ngrams = stage(_merged(_streams(blocks, words, slices), least, slices), "ngrams", _BATCH_BYTES, _READ_ROWS)
     word = words.withColumn("word", F.col("word").cast("string"))
     # prefix order: pairs and their first word; suffix order: pairs and their last word
     pairs = ngrams.where("w3 is null").select("w1", "w2", "f").hint("merge").join(

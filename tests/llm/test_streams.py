@@ -72,6 +72,36 @@ def test_phrases_equal_brute_force(spark, monkeypatch, block, slices):
     assert {tuple(r) for r in few.collect()} == plain_phrases(rows, top=3)
 
 
+def test_rows_of_a_block_are_short(spark):
+    """A block was one row of all its words and places, and 1,000,000 places made buffers of many megabytes."""
+    t = " ".join(f"w{k % 20_000}" for k in range(100_000)) + ". x"
+    rows = collocations._blocks(spark.createDataFrame([(None, t, "a"), (None, "y. z", None)], DOC).coalesce(1)).collect()
+    assert max(len(r.tokens) for r in rows) <= 1 << 15 and max(len(r.words) for r in rows) <= 1 << 13
+    assert len({r.block for r in rows}) == 2 and all(len(r.words) == len(r.counts) for r in rows)
+    for lang, want in (("a", t), ("und", "y. z")):
+        own = sorted((r for r in rows if r.lang == lang), key=lambda r: r.part)
+        words, tokens = [bytes(w) for r in own for w in r.words], [k for r in own for k in r.tokens]
+        assert b" ".join(b"." if k < 0 else words[k] for k in tokens).decode() == want.replace(".", " .") + " ."
+        counts = [c for r in own for c in r.counts]
+        assert Counter(k for k in tokens if k >= 0) == Counter(dict(enumerate(counts))) and len(set(words)) == len(words)
+
+
+def test_long_words_fill_a_block(spark, monkeypatch):
+    """Only words were counted, so a block held long ones without a bound."""
+    monkeypatch.setattr(collocations, "_BLOCK", 300)
+    docs = spark.createDataFrame([(None, chr(97 + k) * 40_000, "a") for k in range(5)], DOC).coalesce(1)
+    monkeypatch.setattr(text.slices, "__defaults__", ("text", 1000))
+    assert collocations._blocks(docs).select("block").distinct().count() == 5
+
+
+def test_phrases_over_many_rows_of_a_block(spark, monkeypatch):
+    for name, value in (("_LISTED", 3), ("_RUN", 5), ("_OUT_BYTES", 100), ("_OUT_ROWS", 2)):
+        monkeypatch.setattr(collocations, name, value)
+    rows = phrase_rows(2)
+    got = collocations.top_phrases(spark.createDataFrame([(None, t, x) for x, t in rows], DOC).repartition(2))
+    assert {tuple(r) for r in got.collect()} == plain_phrases(rows)
+
+
 def test_slices_of_a_stream_are_not_gathered_in_one_task(spark):
     """Adaptive execution put many slices into a task, whose rows then came in one batch."""
     raw = collocations._planes([np.array([1, 0, 4]), np.array([2, 3, 1]), np.array([5, 6, 7])])  # pairs (1, 2), (1, 3), (5, 1)
